@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, cost_packing, rans_files
+from . import byte_bpe, cost_packing, dart_minhash, rans_files, repeat_tree
 from .store import tune
 
 
@@ -27,6 +27,8 @@ def _tokenizer(name: str) -> str:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_rans_token_files": _table("documents", lambda d: rans_files.digest_query(d, _tokenizer("byte_bpe_50k.json"))),
+        "op4_repeat_tree": _table("documents", repeat_tree.digest_query),
+        "op5_dart_minhash": _table("documents", dart_minhash.near_duplicates),
         "op6_cost_packing": _table("documents", lambda d: cost_packing.digest_query(d, _tokenizer("byte_bpe_50k.json"))),
         "op10_byte_bpe": _table("documents", lambda d: byte_bpe.digest_query(d, _tokenizer("byte_bpe_50k.tiktoken"))),
     }
