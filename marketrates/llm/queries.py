@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, cost_packing, dart_minhash, rans_files, repeat_tree
+from . import bayes_quality, byte_bpe, cost_packing, dart_minhash, ngram_quality, rans_files, repeat_tree
 from .store import tune
 
 
@@ -18,6 +18,14 @@ def _table(name: str, run: Callable[[DataFrame], DataFrame]) -> Callable[[SparkS
     return query
 
 
+def _with_labels(run: Callable[[DataFrame, DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tune(spark)
+        return run(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+    return query
+
+
 def _tokenizer(name: str) -> str:
     import public_tokenizers
 
@@ -27,9 +35,11 @@ def _tokenizer(name: str) -> str:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_rans_token_files": _table("documents", lambda d: rans_files.digest_query(d, _tokenizer("byte_bpe_50k.json"))),
+        "op2_bayes_quality": _with_labels(bayes_quality.quality),
         "op4_repeat_tree": _table("documents", repeat_tree.digest_query),
         "op5_dart_minhash": _table("documents", dart_minhash.near_duplicates),
         "op6_cost_packing": _table("documents", lambda d: cost_packing.digest_query(d, _tokenizer("byte_bpe_50k.json"))),
+        "op9_ngram_quality": _with_labels(ngram_quality.quality),
         "op10_byte_bpe": _table("documents", lambda d: byte_bpe.digest_query(d, _tokenizer("byte_bpe_50k.tiktoken"))),
     }
 
