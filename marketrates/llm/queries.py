@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bayes_quality, byte_bpe, cost_packing, dart_minhash, ngram_quality, rans_files, repeat_tree
+from . import bayes_quality, byte_bpe, chat_parts, cost_packing, dart_minhash, ngram_quality, pq_neighbours, rans_files, repeat_tree, warc_index
 from .store import tune
 
 
@@ -36,13 +36,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_rans_token_files": _table("documents", lambda d: rans_files.digest_query(d, _tokenizer("byte_bpe_50k.json"))),
         "op2_bayes_quality": _with_labels(bayes_quality.quality),
+        "op3_warc_index": _table("pages", warc_index.digest_query),
         "op4_repeat_tree": _table("documents", repeat_tree.digest_query),
         "op5_dart_minhash": _table("documents", dart_minhash.near_duplicates),
         "op6_cost_packing": _table("documents", lambda d: cost_packing.digest_query(d, _tokenizer("byte_bpe_50k.json"))),
+        "op7_chat_parts": _table("conversations", chat_parts.digest_query),
+        "op8_pq_neighbours": _table("embeddings", pq_neighbours.near_duplicates),
         "op9_ngram_quality": _with_labels(ngram_quality.quality),
         "op10_byte_bpe": _table("documents", lambda d: byte_bpe.digest_query(d, _tokenizer("byte_bpe_50k.tiktoken"))),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_warc_index": warc_index.oracle(), "op7_chat_parts": chat_parts.oracle()}
