@@ -185,6 +185,14 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Mode
     return fit(data, offsets, np.array([r["label"] for r in sample], float))
 
 
+def verdict(model: Model | None, data: np.ndarray, offsets: np.ndarray, keep: float) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray | None, np.ndarray]:
+    """(base statistics, whether the base fails, probability, whether it is kept) of each text."""
+    s = base(data, offsets)
+    failed = (s["n_words"] < MIN_WORDS) | (100 * s["n_repeat_words"] > MAX_REPEATED * s["n_words"])
+    good = model.probability(data, offsets) if model else None
+    return s, failed, good, ~failed & (good >= keep) if model else ~failed
+
+
 def rate(documents: DataFrame, model: Model | None, keep: float = KEEP) -> DataFrame:
     """doc_id, the base statistics, base_failed, probability (null without a model), kept for each row."""
     held = documents.sparkSession.sparkContext.broadcast(model)
@@ -196,10 +204,7 @@ def rate(documents: DataFrame, model: Model | None, keep: float = KEEP) -> DataF
             data, offsets = K.buffers(batch.column(1))
             for a, b in K.blocks(offsets, BLOCK_BYTES):
                 part, own = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
-                s = base(part, own)
-                failed = (s["n_words"] < MIN_WORDS) | (100 * s["n_repeat_words"] > MAX_REPEATED * s["n_words"])
-                good = m.probability(part, own) if m else None
-                kept = ~failed & (good >= keep) if m else ~failed
+                s, failed, good, kept = verdict(m, part, own, keep)
                 columns = [batch.column(0).slice(a, b - a), *(pa.array(s[x], pa.int64()) for x in names), pa.array(failed), pa.array(good) if m else pa.nulls(b - a, pa.float64()), pa.array(kept)]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", *names, "base_failed", "probability", "kept"])
 
@@ -207,5 +212,19 @@ def rate(documents: DataFrame, model: Model | None, keep: float = KEEP) -> DataF
     return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {', '.join(f'{x} long' for x in names)}, base_failed boolean, probability double, kept boolean")
 
 
+def keep_good(documents: DataFrame, model: Model | None, keep: float = KEEP) -> DataFrame:
+    """The rows that rate() keeps, with all their columns."""
+    held = documents.sparkSession.sparkContext.broadcast(model)
+    at = documents.columns.index("text")
+
+    def run(batches):
+        m = held.value
+        for batch in batches:
+            data, offsets = K.buffers(batch.column(at))
+            yield batch.filter(pa.array(np.concatenate([verdict(m, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], keep)[3] for a, b in K.blocks(offsets, BLOCK_BYTES)] or [np.zeros(0, bool)])))
+
+    return documents.mapInArrow(run, documents.schema)
+
+
 def quality(documents: DataFrame, labels: DataFrame) -> DataFrame:
     return rate(documents, train(documents, labels))

@@ -239,29 +239,40 @@ def _window_hashes(batches):
         yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (*codes, ids, starts)], ["code_a", "code_b", "row_id", "start"])
 
 
-def _cut(batches):
-    """Merge a text's covered ranges into runs and take them out."""
-    for batch in batches:
-        data, offsets = K.buffers(batch.column(1))
-        raw, spans, kept = data.tobytes(), [], []
-        for k, ranges in enumerate(batch.column(2).to_pylist()):
-            runs = []
-            for a, b in sorted((x["start"], x["end"]) for x in ranges or ()):
-                if runs and a <= runs[-1][1]:
-                    runs[-1][1] = max(runs[-1][1], b)
-                else:
-                    runs.append([a, b])
-            text, at, parts = raw[offsets[k] : offsets[k + 1]], 0, []
-            for a, b in runs:
-                parts.append(text[at:a])
-                at = b
-            spans.append([{"start": a, "end": b} for a, b in runs])
-            kept.append(b"".join([*parts, text[at:]]))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.binary())], ["doc_id", "spans", "kept"])
+def _cut(whole_characters: bool):
+    """Merge a text's covered ranges into runs and take them out; a run may first be narrowed to the characters that lie in it whole."""
+
+    def run(batches):
+        for batch in batches:
+            data, offsets = K.buffers(batch.column(1))
+            raw, spans, kept = data.tobytes(), [], []
+            for k, ranges in enumerate(batch.column(2).to_pylist()):
+                text, at, parts, runs = raw[offsets[k] : offsets[k + 1]], 0, [], []
+                for a, b in sorted((x["start"], x["end"]) for x in ranges or ()):
+                    if runs and a <= runs[-1][1]:
+                        runs[-1][1] = max(runs[-1][1], b)
+                    else:
+                        runs.append([a, b])
+                if whole_characters:
+                    for r in runs:
+                        while r[0] < r[1] and text[r[0]] & 0xC0 == 0x80:
+                            r[0] += 1
+                        while r[0] < r[1] < len(text) and text[r[1]] & 0xC0 == 0x80:
+                            r[1] -= 1
+                for a, b in runs:
+                    parts.append(text[at:a])
+                    at = b
+                spans.append([{"start": a, "end": b} for a, b in runs if a < b])
+                kept.append(b"".join([*parts, text[at:]]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.binary())], ["carried", "spans", "kept"])
+
+    return run
 
 
 def _identified(documents: DataFrame, key: str, text: str) -> DataFrame:
-    own = documents.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("text_hash", F.md5("text"))
+    """The text, the other columns in a struct, and what tells texts and rows apart."""
+    carried = F.struct(*[F.col(c) for c in documents.columns if c != text]).alias("carried")
+    own = documents.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), carried).withColumn("text_hash", F.md5("text"))
     return own.withColumn("row_id", F.xxhash64("doc_id", "text_hash"))
 
 
@@ -293,8 +304,8 @@ def repeats(documents: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     return found.distinct()
 
 
-def remove_repeats(documents: DataFrame, key: str = "doc_id", text: str = "text", hot: int = HOT) -> DataFrame:
-    """doc_id, n_bytes, spans (start, end of each maximal removed run of bytes), kept (the remaining bytes) for each row."""
+def _spans(documents: DataFrame, key: str, text: str, hot: int, whole_characters: bool) -> DataFrame:
+    """carried (the other columns), spans, kept for each row."""
     own = _identified(documents, key, text)
     places, copies = _found(own, hot)
     cool = _contexts(own, places.filter("not hot")).repartition(partitions(own.sparkSession), "key").sortWithinPartitions("key")
@@ -304,18 +315,26 @@ def remove_repeats(documents: DataFrame, key: str = "doc_id", text: str = "text"
         twice = windows.groupBy("code_a", "code_b").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
         ranges = ranges.unionByName(windows.join(twice, ["code_a", "code_b"]).select("row_id", "start", (F.col("start") + SPAN).alias("end")))
     lists = written(ranges.groupBy("row_id").agg(F.collect_list(F.struct("start", "end")).alias("ranges")), "ranges")
-    long = F.octet_length("text") >= SPAN
-    copied = own.join(copies.select("row_id"), "row_id", "left_semi")
     struct = "array<struct<start:bigint,end:bigint>>"
-    n_bytes = F.octet_length("text").cast("long").alias("n_bytes")
     everything = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.octet_length("text").cast("long").alias("end"))).cast(struct)
     marked = own.join(copies.select("row_id", F.lit(True).alias("copied")), "row_id", "left").join(lists, "row_id", "left")
-    ranges = F.when(F.col("copied") & long, everything).otherwise(F.when(F.col("copied").isNull(), F.col("ranges")))
-    del copied
-    cut = marked.select(F.struct("doc_id", n_bytes).alias("doc"), "text", ranges.alias("ranges")).mapInArrow(
-        _cut, f"doc_id struct<doc_id:{dict(own.dtypes)['doc_id']},n_bytes:bigint>, spans {struct}, kept binary"
-    )
-    return cut.select("doc_id.doc_id", "doc_id.n_bytes", "spans", "kept")
+    ranges = F.when(F.col("copied") & (F.octet_length("text") >= SPAN), everything).otherwise(F.when(F.col("copied").isNull(), F.col("ranges")))
+    cut = marked.select("carried", "text", ranges.alias("ranges"))
+    return cut.mapInArrow(_cut(whole_characters), f"carried {dict(own.dtypes)['carried']}, spans {struct}, kept binary")
+
+
+def remove_repeats(documents: DataFrame, key: str = "doc_id", text: str = "text", hot: int = HOT) -> DataFrame:
+    """doc_id, n_bytes, spans (start, end of each maximal removed run of bytes), kept (the remaining bytes) for each row."""
+    own = documents.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+    cut = _spans(own, "doc_id", "text", hot, False)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, x: total + x["end"] - x["start"])
+    return cut.select("carried.doc_id", (F.octet_length("kept") + removed).cast("long").alias("n_bytes"), "spans", "kept")
+
+
+def cut_texts(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows with repeated passages cut out of the text, whole characters only, and cut: whether any were. A null text becomes empty."""
+    columns = [F.col(f"carried.{c}") if c != text else F.col("kept").cast("string").alias(text) for c in documents.columns]
+    return _spans(documents, key, text, HOT, True).select(*columns, (F.size("spans") > 0).alias("cut"))
 
 
 def digest_query(documents: DataFrame) -> DataFrame:
