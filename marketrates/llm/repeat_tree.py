@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .store import partitions, written
+from .store import bucketed, partitions, written
 
 SPAN, GRAM = 200, 40
 WIDTH = SPAN - GRAM + 1  # runs of GRAM bytes in a window
@@ -273,7 +273,7 @@ def _identified(documents: DataFrame, key: str, text: str) -> DataFrame:
     """The text, the other columns in a struct, and what tells texts and rows apart."""
     carried = F.struct(*[F.col(c) for c in documents.columns if c != text]).alias("carried")
     own = documents.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), carried).withColumn("text_hash", F.md5("text"))
-    return own.withColumn("row_id", F.xxhash64("doc_id", "text_hash"))
+    return bucketed(own.withColumn("row_id", F.xxhash64("doc_id", "text_hash")), "texts", "row_id")  # two joins with the texts follow
 
 
 def _contexts(own: DataFrame, places: DataFrame) -> DataFrame:
@@ -287,7 +287,8 @@ def _found(own: DataFrame, hot: int):
     whole = own.groupBy("text_hash").agg(F.count("*").alias("n"), F.min("row_id").alias("first")).filter("n > 1")
     copies = written(own.select("row_id", "text_hash").join(whole, "text_hash").select("row_id", (F.col("row_id") == F.col("first")).alias("first")).distinct(), "copies")
     slim = own.select("row_id", "text").mapInArrow(_anchor_rows, "key long, row_id long, place long")
-    again = slim.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    slim = written(slim, "anchors")
+    again = written(slim.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "keys")  # a table, so that a hot key's side of the join can be split
     met = slim.join(again, "key").withColumn("hot", F.col("n") > hot).drop("n")
     return written(met.join(copies.filter("not first").select("row_id"), "row_id", "left_anti"), "places"), copies
 

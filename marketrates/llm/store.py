@@ -63,3 +63,16 @@ def written(frame: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def bucketed(frame: DataFrame, name: str, key: str) -> DataFrame:
+    """Write the frame as a table bucketed and sorted by the key, in the shared folder: later joins on the key do not shuffle it again."""
+    spark = frame.sparkSession
+    table, n, setting = f"{name}_{uuid.uuid4().hex}", partitions(spark), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting, "false")
+    spark.conf.set(setting, "true")
+    try:
+        frame.repartition(n, key).write.bucketBy(n, key).sortBy(key).option("compression", "zstd").option("path", scratch(spark, name)).saveAsTable(table)
+    finally:
+        spark.conf.set(setting, before)
+    return spark.table(table)
