@@ -256,16 +256,16 @@ def _more(ctes: str, body: str) -> str:
     _more(
         _SUMMARY,
         """SELECT service_context_key, observation_count, contract_count, reporting_hospital_count, hospital_count, excluded_hospital_count, ambiguous_contract_count, hospital_count >= 3 AS meets_threshold,
-       CASE WHEN hospital_count >= 3 THEN round(lo, 4) END AS min_amount, CASE WHEN hospital_count >= 3 THEN round(p10, 3) END AS p10_amount, CASE WHEN hospital_count >= 3 THEN round(p50, 4) END AS median_amount,
-       CASE WHEN hospital_count >= 3 THEN round(p90, 3) END AS p90_amount, CASE WHEN hospital_count >= 3 THEN round(hi, 4) END AS max_amount, CASE WHEN hospital_count >= 3 THEN round(p75 - p25, 4) END AS iqr_amount,
+       CASE WHEN hospital_count >= 3 THEN round(lo, 6) END AS min_amount, CASE WHEN hospital_count >= 3 THEN round(p10, 6) END AS p10_amount, CASE WHEN hospital_count >= 3 THEN round(p50, 6) END AS median_amount,
+       CASE WHEN hospital_count >= 3 THEN round(p90, 6) END AS p90_amount, CASE WHEN hospital_count >= 3 THEN round(hi, 6) END AS max_amount, CASE WHEN hospital_count >= 3 THEN round(p75 - p25, 6) END AS iqr_amount,
        CASE WHEN hospital_count >= 3 AND p10 <> 0 THEN round(p90 / p10, 6) END AS spread_p90_to_p10, CASE WHEN hospital_count >= 3 THEN outliers END AS outlier_hospital_count FROM g JOIN o USING (service_context_key)""",
     ),
     model=True,
 )
 def _(m):
     own = compare.distribution(m.amounts)
-    for c, digits in {"min_amount": 4, "p10_amount": 3, "median_amount": 4, "p90_amount": 3, "max_amount": 4, "iqr_amount": 4, "spread_p90_to_p10": 6}.items():
-        own = own.withColumn(c, r4(c, digits))
+    for c in ("min_amount", "p10_amount", "median_amount", "p90_amount", "max_amount", "iqr_amount", "spread_p90_to_p10"):
+        own = own.withColumn(c, r4(c, 6))  # more places than interpolation makes
     return own
 
 
@@ -362,3 +362,383 @@ def _(m):
         r4("pct_rank_all", 6).alias("pct_rank"), F.coalesce(few, F.lit(False)).alias("below_min_denominator"), F.coalesce("has_multiple_amounts", F.lit(False)).alias("multiple_amounts"),
         F.round(F.col("g").cast("double") / F.nullif(F.col("c").cast("double"), F.lit(0.0)), 6).alias("gross_to_cash"),
     )
+
+
+# --- scorecards and reports -------------------------------------------------------------------------------------------------------------------------------
+
+_COVERAGE = f"""fa AS (
+  SELECT snapshot_id, min(hospital_id) AS hospital_id, count(DISTINCT item_id) AS item_count, count(DISTINCT rate_id) AS rate_count, count(*) AS observation_count,
+    count(*) FILTER (WHERE amount_kind = 'gross_charge') AS obs_gross, count(*) FILTER (WHERE amount_kind = 'discounted_cash') AS obs_cash, count(*) FILTER (WHERE amount_kind = 'negotiated_dollar') AS obs_negotiated,
+    count(*) FILTER (WHERE amount_tier = 'comparable_dollar') AS comparable_dollar_count, count(*) FILTER (WHERE amount_tier = 'derived_dollar') AS derived_dollar_count,
+    count(DISTINCT CASE WHEN scope = 'payer_rate' AND payer_id <> '<unmatched>' THEN rate_id END) AS matched_rate_count, count(DISTINCT CASE WHEN has_split_modifier THEN rate_id END) AS modifier_rate_count
+  FROM fact GROUP BY snapshot_id),
+ca AS (
+  SELECT snapshot_id, count(DISTINCT service_code_key) AS comparable_codes, count(DISTINCT CASE WHEN code_comparable THEN item_id END) AS coded_items,
+    count(*) FILTER (WHERE comparison_tier = 'tier_1_code_backed') AS tier_1_count, count(*) FILTER (WHERE comparison_tier = 'tier_2_context_aligned') AS tier_2_count,
+    {", ".join(f"count(*) FILTER (WHERE {n}) AS {n}" for n in BLOCKERS)}
+  FROM spine GROUP BY snapshot_id),
+cov AS (SELECT fa.*, ca.* EXCLUDE (snapshot_id), s.is_current, s.age_days, s.freshness, round(coded_items / item_count, 6) AS coded_item_rate, round(matched_rate_count / rate_count, 6) AS payer_mapping_rate
+  FROM fa LEFT JOIN ca USING (snapshot_id) LEFT JOIN snapshots s USING (snapshot_id, hospital_id))"""
+
+
+def _coverage(m):
+    kind = lambda k: F.count_if(F.col("amount_kind") == k)
+    matched = (F.col("scope") == "payer_rate") & (F.col("payer_id") != compare.UNMATCHED)
+    facts = m.fact.groupBy("snapshot_id").agg(
+        F.min("hospital_id").alias("hospital_id"), F.count_distinct("item_id").alias("item_count"), F.count_distinct("rate_id").alias("rate_count"), F.count("*").alias("observation_count"),
+        kind("gross_charge").alias("obs_gross"), kind("discounted_cash").alias("obs_cash"), kind("negotiated_dollar").alias("obs_negotiated"),
+        F.count_if(F.col("amount_tier") == "comparable_dollar").alias("comparable_dollar_count"), F.count_if(F.col("amount_tier") == "derived_dollar").alias("derived_dollar_count"),
+        F.count_distinct(F.when(matched, F.col("rate_id"))).alias("matched_rate_count"), F.count_distinct(F.when(F.col("has_split_modifier"), F.col("rate_id"))).alias("modifier_rate_count"),
+    )
+    tier = lambda t: F.count_if(F.col("comparison_tier") == t)
+    compared = m.spine.groupBy("snapshot_id").agg(
+        F.count_distinct("service_code_key").alias("comparable_codes"), F.count_distinct(F.when(F.col("code_comparable"), F.col("item_id"))).alias("coded_items"),
+        tier("tier_1_code_backed").alias("tier_1_count"), tier("tier_2_context_aligned").alias("tier_2_count"), *[F.count_if(n).alias(n) for n in compare.blocker_flags()],
+    )
+    own = facts.join(compared, "snapshot_id", "left").join(m.snapshots.select("snapshot_id", "is_current", "age_days", "freshness"), "snapshot_id", "left")
+    return own.withColumns({"coded_item_rate": F.round(F.col("coded_items") / F.col("item_count"), 6), "payer_mapping_rate": F.round(F.col("matched_rate_count") / F.col("rate_count"), 6)})
+
+
+@query("coverage_scorecard", _more(_COVERAGE, "SELECT * FROM cov"), model=True)
+def _(m):
+    return _coverage(m)
+
+
+_SCORED = """sc AS (SELECT hospital_id, snapshot_id, is_current, CASE freshness WHEN '<=365d' THEN 1.0 WHEN '<=730d' THEN 0.75 WHEN '<=1460d' THEN 0.5 ELSE 0.25 END AS freshness_score,
+  coalesce(coded_item_rate, 0) AS code_score, 1.0 AS amount_score, coalesce(payer_mapping_rate, 0) AS payer_score, round(coalesce(tier_2_count / nullif(tier_1_count + tier_2_count, 0), 0), 6) AS readiness_score
+  FROM (SELECT *, row_number() OVER (PARTITION BY hospital_id ORDER BY is_current DESC, age_days, snapshot_id) AS rn FROM cov) WHERE rn = 1)"""
+
+
+def _transparency(m):
+    latest = Window.partitionBy("hospital_id").orderBy(F.col("is_current").desc(), F.col("age_days").asc_nulls_last(), "snapshot_id")
+    own = _coverage(m).withColumn("rn", F.row_number().over(latest)).filter("rn = 1")
+    fresh = F.when(F.col("freshness") == "<=365d", 1.0).when(F.col("freshness") == "<=730d", 0.75).when(F.col("freshness") == "<=1460d", 0.5).otherwise(0.25)
+    ready = F.round(F.coalesce(F.col("tier_2_count") / F.nullif(F.col("tier_1_count") + F.col("tier_2_count"), F.lit(0)), F.lit(0.0)), 6)
+    own = own.select("hospital_id", "snapshot_id", "is_current", fresh.alias("freshness_score"), F.coalesce("coded_item_rate", F.lit(0.0)).alias("code_score"), F.lit(1.0).alias("amount_score"), F.coalesce("payer_mapping_rate", F.lit(0.0)).alias("payer_score"), ready.alias("readiness_score"))
+    total = sum((F.col(c) for c in ("freshness_score", "code_score", "amount_score", "payer_score", "readiness_score")), F.lit(0.0))
+    return own.withColumn("overall_score", F.round(total / 5, 6))
+
+
+@query(
+    "transparency_scorecard",
+    _more(_COVERAGE + ", " + _SCORED, "SELECT *, round((freshness_score + code_score + amount_score + payer_score + readiness_score) / 5, 6) AS overall_score FROM sc"),
+    model=True,
+)
+def _(m):
+    return _transparency(m)
+
+
+_STAGES = {
+    "1_published": ("true", "All published amounts"),
+    "2_code_usable": ("code_comparable", "Code usable across publishers"),
+    "3_full_context": ("comparison_tier = 'tier_2_context_aligned'", "Full service context"),
+    "4_rankable": ("comparison_tier = 'tier_2_context_aligned' AND is_price_rankable", "Rankable dollar price"),
+}
+
+
+@query(
+    "comparability_funnel",
+    ", c AS (SELECT coalesce(hospital_id, '<corpus>') AS hospital_id, "
+    + ", ".join(f'count(*) FILTER (WHERE {c}) AS "{n}"' for n, (c, _) in _STAGES.items())
+    + " FROM spine WHERE is_current GROUP BY GROUPING SETS ((hospital_id), ())) "
+    + " UNION ALL ".join(f"SELECT hospital_id, '{n}' AS stage, '{label}' AS label, \"{n}\" AS rows FROM c" for n, (_, label) in _STAGES.items()),
+    model=True,
+)
+def _(m):
+    counts = [F.count_if(F.expr(c)).alias(n) for n, (c, _) in _STAGES.items()]
+    own = m.spine.filter("is_current").rollup("hospital_id").agg(*counts).withColumn("hospital_id", F.coalesce("hospital_id", F.lit("<corpus>")))
+    return reshape.columns_to_rows(own, {n: (n, label) for n, (_, label) in _STAGES.items()}, ["stage", "label"], "rows", ["hospital_id"])
+
+
+@query(
+    "blocker_summary",
+    ", c AS (SELECT hospital_id, count(*) AS total, " + ", ".join(f"count(*) FILTER (WHERE {n}) AS {n}" for n in BLOCKERS) + " FROM spine WHERE is_current GROUP BY hospital_id) "
+    + " UNION ALL ".join(f"SELECT hospital_id, '{n}' AS blocker, {n} AS rows, round({n} / total, 6) AS share FROM c" for n in BLOCKERS),
+    model=True,
+)
+def _(m):
+    own = m.spine.filter("is_current").groupBy("hospital_id").agg(F.count("*").alias("total"), *[F.count_if(n).alias(n) for n in compare.blocker_flags()])
+    rows = reshape.columns_to_rows(own, {n: (n,) for n in compare.blocker_flags()}, ["blocker"], "rows", ["hospital_id", "total"])
+    return rows.withColumn("share", F.round(F.col("rows") / F.col("total"), 6)).drop("total")
+
+
+_NAMES = """nm AS (SELECT DISTINCT service_context_key, code_system, match_code, setting, billing_class, amount_kind, comparison_methodology FROM spine WHERE is_current AND comparison_tier = 'tier_2_context_aligned')"""
+
+
+def _names(m):
+    return m.spine.filter("is_current and comparison_tier = 'tier_2_context_aligned'").select("service_context_key", "code_system", "match_code", "setting", "billing_class", "amount_kind", "comparison_methodology").distinct()
+
+
+@query(
+    "market_explorer",
+    _more(
+        _SUMMARY + ", " + _NAMES,
+        """SELECT nm.*, hospital_count, CASE WHEN hospital_count >= 3 THEN round(p50, 4) END AS median_amount,
+       CASE WHEN hospital_count >= 10 THEN 'high' WHEN hospital_count >= 5 THEN 'medium' WHEN hospital_count >= 3 THEN 'low' ELSE 'insufficient' END AS confidence,
+       CASE WHEN hospital_count < 3 OR p10 = 0 THEN 'unknown' WHEN round(p90 / p10, 6) >= 10 THEN 'extreme' WHEN round(p90 / p10, 6) >= 3 THEN 'wide' ELSE 'narrow' END AS variation FROM g JOIN nm USING (service_context_key)""",
+    ),
+    model=True,
+)
+def _(m):
+    own = compare.distribution(m.amounts).join(_names(m), "service_context_key")
+    confidence = semantics.ladder(F.col("hospital_count"), [(10, "high"), (5, "medium"), (3, "low")], "insufficient", "insufficient")
+    variation = semantics.ladder(r4("spread_p90_to_p10", 6), [(10, "extreme"), (3, "wide")], "narrow", "unknown")
+    names = ["service_context_key", "code_system", "match_code", "setting", "billing_class", "amount_kind", "comparison_methodology"]
+    return own.select(*names, "hospital_count", r4("median_amount").alias("median_amount"), confidence.alias("confidence"), variation.alias("variation"))
+
+
+@query(
+    "featured_top30",
+    _more(_SUMMARY, "SELECT row_number() OVER (ORDER BY hospital_count DESC, observation_count DESC, service_context_key) AS place, service_context_key, hospital_count, observation_count FROM g WHERE hospital_count >= 3 QUALIFY place <= 30"),
+    model=True,
+)
+def _(m):
+    order = [F.col("hospital_count").desc(), F.col("observation_count").desc(), F.col("service_context_key")]
+    top = compare.distribution(m.amounts).filter("meets_threshold").orderBy(*order).limit(30).select("service_context_key", "hospital_count", "observation_count")
+    return top.select(F.row_number().over(Window.orderBy(*order)).cast("long").alias("place"), "*")  # thirty rows
+
+
+_PEERS_ALL = f"""pa AS (SELECT hospital_id, service_context_key, amount_kind, {_peer_sql("all", ["service_context_key"])} FROM amounts WHERE hospital_amount IS NOT NULL)"""
+
+
+def _positions(m):
+    own = _rounded(compare.peer_statistics(m.amounts, {"all": ["service_context_key"]}), ["all"])
+    return own.withColumn("position", semantics.price_position(F.col("pct_rank_all"), F.col("delta_all")))
+
+
+_POSITION = """CASE WHEN pct_rank_all IS NULL THEN 'not_ranked' WHEN pct_rank_all <= 0.1 AND delta_all < 0 THEN 'very_low' WHEN pct_rank_all <= 0.35 AND delta_all < 0 THEN 'low'
+  WHEN pct_rank_all >= 0.9 AND delta_all > 0 THEN 'very_high' WHEN pct_rank_all >= 0.65 AND delta_all > 0 THEN 'high' ELSE 'typical' END AS position"""
+
+
+@query("rankings_bands", _more(_PEERS_ALL, f"SELECT hospital_id, service_context_key, amount_kind, peers_all, pct_rank_all, delta_all, {_POSITION} FROM pa"), model=True)
+def _(m):
+    return _positions(m).select("hospital_id", "service_context_key", "amount_kind", "peers_all", "pct_rank_all", "delta_all", "position")
+
+
+@query(
+    "hospital_overview",
+    _more(
+        _PEERS_ALL + f", pos AS (SELECT *, {_POSITION} FROM pa)",
+        """SELECT h.hospital_id, h.hospital_name, h.state, count(p.service_context_key) AS contexts, count(*) FILTER (WHERE position IN ('low', 'very_low')) AS low_count, count(*) FILTER (WHERE position IN ('high', 'very_high')) AS high_count,
+       dense_rank() OVER (ORDER BY count(*) FILTER (WHERE position IN ('low', 'very_low')) DESC) AS low_rank, dense_rank() OVER (ORDER BY count(p.service_context_key) DESC) AS breadth_rank
+       FROM hospitals h LEFT JOIN pos p USING (hospital_id) GROUP BY ALL""",
+    ),
+    model=True,
+)
+def _(m):
+    of = lambda *names: F.count_if(F.col("position").isin(*names))
+    own = m.hospitals.join(_positions(m), "hospital_id", "left").groupBy("hospital_id", "hospital_name", "state").agg(F.count("service_context_key").alias("contexts"), of("low", "very_low").alias("low_count"), of("high", "very_high").alias("high_count"))
+    rank = lambda c: F.dense_rank().over(Window.orderBy(F.col(c).desc())).cast("long")  # noqa: E731  a row per publisher
+    return own.withColumns({"low_rank": rank("low_count"), "breadth_rank": rank("contexts")})
+
+
+@query(
+    "payer_overview",
+    """SELECT payer_id, count(*) AS contracts, count(DISTINCT hospital_id) AS hospitals, count(DISTINCT service_context_key) AS contexts, count(*) FILTER (WHERE has_multiple_amounts) AS ambiguous,
+       round(count(*) FILTER (WHERE has_multiple_amounts) / count(*), 6) AS ambiguous_share, cast(sum(raw_observation_count) AS BIGINT) AS observations FROM reps GROUP BY payer_id""",
+    model=True,
+)
+def _(m):
+    many = F.count_if("has_multiple_amounts")
+    return m.reps.groupBy("payer_id").agg(
+        F.count("*").alias("contracts"), F.count_distinct("hospital_id").alias("hospitals"), F.count_distinct("service_context_key").alias("contexts"), many.alias("ambiguous"),
+        F.round(many / F.count("*"), 6).alias("ambiguous_share"), F.sum("raw_observation_count").alias("observations"),
+    )
+
+
+@query(
+    "market_summary",
+    _more(
+        _SUMMARY,
+        """SELECT a.*, b.* FROM (SELECT count(*) AS contexts, count(*) FILTER (WHERE hospital_count >= 3) AS comparable_contexts, cast(sum(observation_count) AS BIGINT) AS observations FROM g),
+       (SELECT count(*) AS snapshots, count(*) FILTER (WHERE is_current) AS current_snapshots, count(DISTINCT hospital_id) AS hospitals FROM snapshots) b, (SELECT 1 AS one) a""".replace("SELECT a.*, b.* FROM", "SELECT * EXCLUDE (one) FROM"),
+    ),
+    model=True,
+)
+def _(m):
+    contexts = compare.distribution(m.amounts).agg(F.count("*").alias("contexts"), F.count_if("meets_threshold").alias("comparable_contexts"), F.sum("observation_count").alias("observations"))
+    sources = m.snapshots.agg(F.count("*").alias("snapshots"), F.count_if("is_current").alias("current_snapshots"), F.count_distinct("hospital_id").alias("hospitals"))
+    return contexts.crossJoin(sources)  # one row each
+
+
+# --- identity, audit, profiles, pages ------------------------------------------------------------------------------------------------------------------------
+
+_IDENTITY = r"""sg AS (SELECT item_id, string_agg(DISTINCT CASE WHEN code_comparable AND code_is_specific THEN code_system || ':' || match_code END, '|') AS specific FROM bridge GROUP BY item_id),
+obs AS (SELECT DISTINCT hospital_id, item_id, snapshot_id, description, drug_unit FROM rates),
+ident AS (SELECT obs.*, 'specific' AS identity_basis, md5(hospital_id || '||' || specific || '||' || array_to_string(list_sort(list_distinct(list_filter(string_split(regexp_replace(lower(description), '[^a-z0-9]+', ' ', 'g'), ' '),
+  lambda w: w <> ''))), ' ') || '||' || coalesce(drug_unit, '<null>')) AS service_item_id FROM obs JOIN sg USING (item_id))"""
+
+
+def _identified(m):
+    return identity.with_item_identity(m.rates.select("hospital_id", "item_id", "snapshot_id", "description", "drug_unit").distinct(), m.bridge)
+
+
+@query("item_identity", _more(_IDENTITY, "SELECT hospital_id, item_id, snapshot_id, identity_basis, service_item_id FROM ident"), model=True)
+def _(m):
+    return _identified(m).select("hospital_id", "item_id", "snapshot_id", "identity_basis", "service_item_id")
+
+
+_HISTORY = """hist AS (SELECT service_item_id, i.hospital_id, arg_min(i.snapshot_id, (valid_from, i.snapshot_id, description)) AS first_snapshot_id, min(valid_from) AS first_seen, arg_max(i.snapshot_id, (valid_from, i.snapshot_id, description)) AS last_snapshot_id,
+  max(valid_from) AS last_seen, count(DISTINCT i.snapshot_id) AS snapshot_count, count(DISTINCT item_id) AS source_item_count FROM ident i JOIN snapshots s ON i.snapshot_id = s.snapshot_id GROUP BY ALL)"""
+
+
+def _history(m):
+    return identity.item_history(_identified(m).join(m.snapshots.select("snapshot_id", "valid_from"), "snapshot_id"))
+
+
+@query("service_item_history", _more(_IDENTITY + ", " + _HISTORY, "SELECT * FROM hist"), model=True)
+def _(m):
+    return _history(m).drop("description")
+
+
+@query("item_continuity", _more(_IDENTITY + ", " + _HISTORY, "SELECT hospital_id, count(*) AS items, count(*) FILTER (WHERE snapshot_count > 1) AS continued, round(count(*) FILTER (WHERE snapshot_count > 1) / count(*), 6) AS share FROM hist GROUP BY hospital_id"), model=True)
+def _(m):
+    more = F.count_if(F.col("snapshot_count") > 1)
+    return _history(m).groupBy("hospital_id").agg(F.count("*").alias("items"), more.alias("continued"), F.round(more / F.count("*"), 6).alias("share"))
+
+
+@query("item_overmerge", _more(_IDENTITY + ", " + _HISTORY, "SELECT service_item_id, hospital_id, source_item_count FROM hist WHERE source_item_count > 1"), model=True)
+def _(m):
+    return _history(m).filter("source_item_count > 1").select("service_item_id", "hospital_id", "source_item_count")
+
+
+@query(
+    "duplicate_context",
+    "SELECT snapshot_id, item_id, setting, payer_name, plan_name, methodology, count(*) AS n, count(DISTINCT negotiated) > 1 AS conflicting FROM rates GROUP BY ALL HAVING count(*) > 1",
+    model=True,
+)
+def _(m):
+    return quality.unique(m.rates, ["snapshot_id", "item_id", "setting", "payer_name", "plan_name", "methodology"]).join(
+        m.rates.groupBy("snapshot_id", "item_id", "setting", "payer_name", "plan_name", "methodology").agg((F.count_distinct("negotiated") > 1).alias("conflicting")),
+        ["snapshot_id", "item_id", "setting", "payer_name", "plan_name", "methodology"],
+    )
+
+
+@query(
+    "review_queue_payers",
+    "SELECT payer_name, plan_name, count(*) AS rate_count, count(DISTINCT hospital_id) AS hospital_count, min(rate_id) AS example FROM rates WHERE payer_id = '<unmatched>' AND snapshot_id IN (SELECT snapshot_id FROM snapshots WHERE is_current) GROUP BY ALL",
+    model=True,
+)
+def _(m):
+    own = m.rates.filter(F.col("payer_id") == compare.UNMATCHED).join(m.snapshots.filter("is_current").select("snapshot_id"), "snapshot_id", "left_semi")
+    return own.groupBy("payer_name", "plan_name").agg(F.count("*").alias("rate_count"), F.count_distinct("hospital_id").alias("hospital_count"), F.min("rate_id").alias("example")).orderBy(F.col("rate_count").desc(), "payer_name", "plan_name")
+
+
+@query(
+    "readiness_gates",
+    """, x AS (SELECT count(*) AS rows, count(*) FILTER (WHERE billing_class IS NULL) / count(*) AS missing_class, count(*) FILTER (WHERE payer_id <> '<unmatched>') / count(*) AS matched FROM rates)
+       SELECT 'rows' AS metric, cast(rows AS DOUBLE) AS value, 100.0 AS threshold, rows >= 100 AS passed FROM x UNION ALL SELECT 'missing_class', round(missing_class, 6), 0.01, round(missing_class, 6) <= 0.01 FROM x
+       UNION ALL SELECT 'matched', round(matched, 6), 0.75, round(matched, 6) >= 0.75 FROM x""",
+    model=True,
+)
+def _(m):
+    measures = m.rates.agg(F.count("*").alias("rows"), F.round(F.count_if(F.col("billing_class").isNull()) / F.count("*"), 6).alias("missing_class"), F.round(F.count_if(F.col("payer_id") != compare.UNMATCHED) / F.count("*"), 6).alias("matched"))
+    return quality.gates(measures, {"rows": ("min", 100), "missing_class": ("max", 0.01), "matched": ("min", 0.75)})
+
+
+@query("plan_context_coverage", "SELECT plan_name, market_segment, count(*) AS rates, count(*) FILTER (WHERE payer_id <> '<unmatched>') AS matched, bool_or(has_split_modifier) AS any_modifier FROM rates GROUP BY ALL", model=True)
+def _(m):
+    return m.rates.groupBy("plan_name", "market_segment").agg(F.count("*").alias("rates"), F.count_if(F.col("payer_id") != compare.UNMATCHED).alias("matched"), F.bool_or("has_split_modifier").alias("any_modifier"))
+
+
+@query("profile_amount_mix", "SELECT amount_kind, methodology, count(*) AS n, sum(amount_value) AS total, count(DISTINCT snapshot_id) AS snapshots FROM fact GROUP BY ALL", model=True)
+def _(m):
+    return m.fact.groupBy("amount_kind", "methodology").agg(F.count("*").alias("n"), F.sum("amount_value").cast("decimal(38,4)").alias("total"), F.count_distinct("snapshot_id").alias("snapshots"))
+
+
+@query("profile_code_expansion", ", c AS (SELECT observation_id, count(service_code_key) AS codes FROM spine GROUP BY ALL) SELECT codes, count(*) AS observations FROM c GROUP BY ALL", model=True)
+def _(m):
+    return m.spine.groupBy("observation_id").agg(F.count("service_code_key").alias("codes")).groupBy("codes").agg(F.count("*").alias("observations"))
+
+
+@query("profile_floor", ", c AS (SELECT service_context_key, count(hospital_amount) AS hospitals FROM amounts GROUP BY ALL) SELECT least(hospitals, 10) AS hospitals, count(*) AS contexts FROM c GROUP BY 1", model=True)
+def _(m):
+    own = m.amounts.groupBy("service_context_key").agg(F.count("hospital_amount").alias("n"))
+    return own.groupBy(F.least("n", F.lit(10)).alias("hospitals")).agg(F.count("*").alias("contexts"))
+
+
+@query("page_top_above_market", _more(_PEERS_ALL, "SELECT hospital_id, service_context_key, delta_all FROM pa WHERE delta_all > 0 ORDER BY delta_all DESC, hospital_id, service_context_key LIMIT 100"), model=True)
+def _(m):
+    own = _positions(m).filter("delta_all > 0").select("hospital_id", "service_context_key", "delta_all")
+    return own.orderBy(F.col("delta_all").desc(), "hospital_id", "service_context_key").limit(100)
+
+
+@query("page_thin_contexts", _more(_SUMMARY, "SELECT service_context_key, hospital_count, observation_count FROM g WHERE hospital_count < 3"), model=True)
+def _(m):
+    return compare.distribution(m.amounts).filter("not meets_threshold").select("service_context_key", "hospital_count", "observation_count")
+
+
+@query("page_search", "SELECT p_partkey, p_name, p_brand FROM part WHERE p_name ILIKE '%a%' AND (p_brand LIKE '%1' OR p_brand LIKE '%3') ORDER BY p_name, p_partkey LIMIT 500")
+def _(m):
+    own = m.table("part").filter(F.ilike("p_name", F.lit("%a%")) & (F.col("p_brand").like("%1") | F.col("p_brand").like("%3")))
+    return own.orderBy("p_name", "p_partkey").limit(500).select("p_partkey", "p_name", "p_brand")
+
+
+@query("page_selectors", "SELECT DISTINCT setting, billing_class, methodology FROM rates", model=True)
+def _(m):
+    return m.rates.select("setting", "billing_class", "methodology").distinct()
+
+
+@query(
+    "page_band_counts",
+    _more(_PEERS_ALL + f", pos AS (SELECT *, {_POSITION} FROM pa)", "SELECT amount_kind, position, count(*) AS n, CASE position WHEN 'very_low' THEN 1 WHEN 'low' THEN 2 WHEN 'typical' THEN 3 WHEN 'high' THEN 4 WHEN 'very_high' THEN 5 ELSE 6 END AS place FROM pos GROUP BY ALL"),
+    model=True,
+)
+def _(m):
+    order = ["very_low", "low", "typical", "high", "very_high", "not_ranked"]
+    place = reduce(lambda rest, x: F.when(F.col("position") == x[1], x[0]).otherwise(rest), list(enumerate(order, 1))[::-1], F.lit(None).cast("int"))
+    return _positions(m).groupBy("amount_kind", "position").agg(F.count("*").alias("n")).withColumn("place", place).orderBy("amount_kind", "place")
+
+
+@query(
+    "reconcile_rows",
+    f"""WITH {_V}, r AS (SELECT DISTINCT {', '.join(_KEYS)} FROM v WHERE excludes), k AS (SELECT DISTINCT {', '.join(_KEYS)} FROM lineitem)
+       SELECT (SELECT count(*) FROM k) AS source_keys, (SELECT count(*) FROM r) AS rejected_keys, (SELECT count(*) FROM k) - (SELECT count(*) FROM r) AS accepted_keys, 0 AS missing""",
+)
+def _(m):
+    source = m.table("lineitem").select(*_KEYS)
+    rejected = rules.rejected_keys(_violations(m), _KEYS)
+    arrived = scope.accepted(source, rejected, _KEYS).distinct()
+    count = lambda f, name: f.agg(F.count("*").alias(name))
+    return count(source.distinct(), "source_keys").crossJoin(count(rejected, "rejected_keys")).crossJoin(count(arrived, "accepted_keys")).crossJoin(count(quality.missing_rows(source, arrived, rejected, _KEYS), "missing"))
+
+
+@query(
+    "semantic_guards",
+    """SELECT * FROM (VALUES ('floor', 0), ('known_kinds', 0), ('matched_payers', 0), ('one_current', 0), ('one_vote', 0), ('rank_range', 0)) AS t("check", failing)""",
+)
+def _(m):
+    summary = compare.distribution(m.amounts)
+    ranks = compare.peer_statistics(m.amounts, {"all": ["service_context_key"]})
+    return quality.counts_of(
+        {
+            "floor": summary.filter("not meets_threshold and median_amount is not null"),
+            "known_kinds": quality.in_values(m.fact, "amount_kind", compare.RANKED_KINDS),
+            "matched_payers": quality.related(m.reps, "hospital_id", m.hospitals, "hospital_id"),
+            "one_current": quality.unique(m.snapshots.filter("is_current"), ["hospital_id"]),
+            "one_vote": quality.unique(m.amounts, ["hospital_id", "service_context_key"]),
+            "rank_range": ranks.filter("pct_rank_all not between 0 and 1"),
+        }
+    )
+
+
+@query(
+    "json_flatten_props",
+    "SELECT event_id, 'k' AS name, json_extract_string(props, '$.k') AS value, 0 AS ordinal FROM events",
+)
+def _(m):
+    own = m.table("events").select("event_id", F.map_entries(F.from_json("props", "map<string,string>")).alias("e"))
+    return own.select("event_id", F.posexplode("e").alias("ordinal", "x")).select("event_id", F.col("x.key").alias("name"), F.col("x.value").alias("value"), "ordinal")
+
+
+@query(
+    "json_quarantine",
+    "SELECT event_type, event_id % 7 = 0 AS quarantined, count(*) AS n FROM events GROUP BY ALL",
+)
+def _(m):
+    from ..sources import ingest
+
+    raw = m.table("events").select("event_type", "event_id", F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("{"), F.col("props"))).otherwise(F.col("props")).alias("props"))
+    good, bad = ingest.split_json(raw, "props", "k string")
+    part = lambda f, flag: f.select("event_type", F.lit(flag).alias("quarantined"))
+    return part(good, False).unionByName(part(bad, True)).groupBy("event_type", "quarantined").agg(F.count("*").alias("n"))
