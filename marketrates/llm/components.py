@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from .store import written
 
 
+def _fingerprint(pairs: DataFrame):
+    return pairs.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) of each end of an edge; component is the smallest id that can be reached.
 
@@ -16,7 +20,7 @@ def components(edges: DataFrame) -> DataFrame:
     """
     pairs = edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     pairs = written(pairs, "edges")
-    state = None
+    state = _fingerprint(pairs)
     while True:
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -24,7 +28,7 @@ def components(edges: DataFrame) -> DataFrame:
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         pairs = written(small.unionByName(down.select("u", F.col("m").alias("v"))).filter("u <> v").distinct(), "edges")
-        now = pairs.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        now = _fingerprint(pairs)
         if now == state:
             break
         state = now

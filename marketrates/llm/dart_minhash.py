@@ -7,8 +7,8 @@ each dart has a coordinate, and the earliest dart of a coordinate is its signatu
 weighted Jaccard similarity.
 
 Exact copies are made one class first. Classes that agree on a whole band share a bucket. Each member is compared with the bucket's smallest id, on the whole
-texts, and links are closed into components. In buckets that still hold several components the members are then compared by their signatures, block by block,
-across components; pairs that may reach the threshold are compared on the whole texts. No bucket is expanded into its pairs.
+texts, and links are closed into components. In buckets that still hold several components the members' whole texts are then compared across components, block by
+block; a task returns the links that join components, never pairs. No bucket is expanded into its pairs.
 
 Result: doc_id, class_id (smallest doc_id of the component), kept (doc_id = class_id). A text without words, or null, links with nothing. Rows of equal doc_id
 and text are one document; a null doc_id gets class null and is kept.
@@ -32,8 +32,6 @@ SHINGLE = 5
 THRESHOLD = (4, 5)  # similarity of 0.8 or more
 COORDINATES, ROWS = 100, 5
 DARTS = COORDINATES * (math.log(COORDINATES) + 3)
-#: A pair of true similarity 0.8 has an estimate below this with probability 0.0001.
-ESTIMATE = 0.65
 BLOCK = 1024
 BLOCK_BYTES = 1 << 19
 
@@ -108,9 +106,8 @@ def _sign(batches):
                     batch.column(0).slice(a, b - a).filter(pa.array(full)),
                     batch.column(2).slice(a, b - a).filter(pa.array(full)),
                     pa.array(list(bands[rows].astype(np.int64)), pa.list_(pa.int64())),
-                    pa.array([x.tobytes() for x in (s[rows] & K.U(0xFFFF)).astype("<u2")], pa.binary()),
                 ],
-                ["doc_id", "text_hash", "bands", "signature"],
+                ["doc_id", "text_hash", "bands"],
             )
 
 
@@ -138,28 +135,47 @@ def _verify(batches):
 
 
 def _across(key, left, right):
-    """Pairs of one bucket's blocks whose signatures may reach the threshold and whose components differ."""
+    """Links between the members of two blocks of a bucket, on the whole texts: a spanning set of those that join different components.
+
+    A member's cells are marked in an array over all cells of the task, and its overlaps with all members of the other block are sums over that array.
+    """
     import pandas as pd
 
-    if left.empty or right.empty:
-        return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-    x, y = (np.frombuffer(b"".join(f["signature"]), "<u2").reshape(len(f), -1) for f in (left, right))
-    la, lb, ia, ib = left["component"].to_numpy(), right["component"].to_numpy(), left["rep"].to_numpy(), right["rep"].to_numpy()
-    a, b = [], []
-    for i in range(len(x)):
-        hit = np.flatnonzero((la[i] != lb) & (ia[i] < ib) & ((y == x[i]).mean(1) >= ESTIMATE))
-        a += [ia[i]] * len(hit)
-        b += ib[hit].tolist()
-    return pd.DataFrame({"a": a, "b": b}, dtype="int64")
+    out = []
+    if not left.empty and not right.empty:
+        n = len(left)
+        texts = pa.array([*left["text"], *right["text"]], pa.string())
+        cells, doc = elements(*K.buffers(texts))
+        _, code = np.unique(cells, return_inverse=True)
+        first = np.searchsorted(doc, np.arange(len(texts) + 1))
+        size = np.diff(first)
+        label = np.concatenate([left["component"].to_numpy(), right["component"].to_numpy()])
+        rep = np.concatenate([left["rep"].to_numpy(), right["rep"].to_numpy()])
+        mark = np.zeros(len(cells) + 1, bool)
+        for i in np.argsort(rep[:n], kind="stable").tolist():
+            other = n + np.flatnonzero((label[n:] != label[i]) & (rep[n:] > rep[i]))
+            if not len(other):
+                continue
+            own = code[first[i] : first[i + 1]]
+            mark[own] = True
+            part = np.concatenate([code[first[j] : first[j + 1]] for j in other.tolist()])
+            both = np.add.reduceat(mark[part].astype(np.int64), np.cumsum(size[other]) - size[other])
+            mark[own] = False
+            hit = other[both * THRESHOLD[1] >= (size[i] + size[other] - both) * THRESHOLD[0]]
+            if len(hit):
+                names, at = np.unique(label[hit], return_index=True)
+                out += [(rep[i], rep[j]) for j in hit[at].tolist()]
+                label[np.isin(label, names)] = label[i]
+    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
 def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, class_id, kept for each row of documents."""
     own = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     hashed = own.select("doc_id", "text", F.md5(F.coalesce("text", F.lit(""))).alias("text_hash"))
-    signed = written(hashed.filter("doc_id is not null").mapInArrow(_sign, "doc_id long, text_hash string, bands array<long>, signature binary"), "signed")
+    signed = written(hashed.filter("doc_id is not null").mapInArrow(_sign, "doc_id long, text_hash string, bands array<long>"), "signed")
     classes = written(
-        signed.groupBy("text_hash").agg(F.min(F.struct("doc_id", "bands", "signature")).alias("x")).select("text_hash", F.col("x.doc_id").alias("rep"), "x.bands", "x.signature"), "classes"
+        signed.groupBy("text_hash").agg(F.min(F.struct("doc_id", "bands")).alias("x")).select("text_hash", F.col("x.doc_id").alias("rep"), "x.bands"), "classes"
     )
     placed = classes.select("rep", F.explode("bands").alias("bucket"))
     centres = placed.groupBy("bucket").agg(F.min("rep").alias("centre"), F.max("rep").alias("other")).filter("centre <> other").select("bucket", "centre")
@@ -177,15 +193,15 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     first = components(links)
     named = shared.join(first.withColumnRenamed("id", "rep"), "rep", "left").select("bucket", "rep", F.coalesce("component", "rep").alias("component"))
     mixed = named.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).filter("low <> high").select("bucket", "n")
-    rest = written(named.join(mixed, "bucket").join(classes.select("rep", "signature"), "rep").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")), "mixed")
+    members = named.join(mixed, "bucket").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    rest = written(members.join(texts.withColumnRenamed("doc_id", "rep"), "rep"), "mixed")
     if not rest.isEmpty():
         # A bucket's members are dealt over blocks; each block meets each block of its bucket in one task.
         block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
         left = rest.withColumn("i", block).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         right = rest.withColumn("j", block).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        keys, carried = ["bucket", "i", "j"], ["bucket", "i", "j", "rep", "component", "signature"]
-        pairs = left.select(carried).groupBy(keys).cogroup(right.select(carried).groupBy(keys)).applyInPandas(_across, "a long, b long").distinct()
-        more = linked(pairs)
+        keys, carried = ["bucket", "i", "j"], ["bucket", "i", "j", "rep", "component", "text"]
+        more = written(left.select(carried).groupBy(keys).cogroup(right.select(carried).groupBy(keys)).applyInPandas(_across, "a long, b long"), "links")
         final = components(links.unionByName(more)) if not more.isEmpty() else first
     else:
         final = first
