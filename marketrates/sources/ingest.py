@@ -65,7 +65,7 @@ def flatten_items(items: DataFrame, record: str = "record", snapshot: str = "sna
     return {
         "standard_charge_info": own.select("charge_item_id", snapshot, r["description"].alias("description"), ordinal),
         "code_information": own.select(snapshot, "charge_item_id", F.posexplode(r["code_information"]).alias("code_ordinal", "x")).select(snapshot, "charge_item_id", "code_ordinal", "x.*"),
-        "drug_information": own.filter(r["drug_information"].isNotNull()).select(snapshot, "charge_item_id", r["drug_information.unit"].alias("unit"), r["drug_information.type"].alias("type")),
+        "drug_information": own.filter(r["drug_information"].isNotNull()).select(snapshot, "charge_item_id", r["drug_information"]["unit"].alias("unit"), r["drug_information"]["type"].alias("type")),
         "standard_charges": charges.select("standard_charge_id", snapshot, "charge_item_id", "charge_ordinal", *[F.col(f"c.{n}") for n in ("minimum", "maximum", "gross_charge", "discounted_cash", "setting", "billing_class", "additional_generic_notes")]),
         "standard_charge_modifiers": charges.select(snapshot, "standard_charge_id", F.posexplode("c.modifier_code").alias("modifier_ordinal", "modifier_code")),
         "payers_information": payers,
@@ -78,8 +78,8 @@ def flatten_headers(headers: DataFrame, record: str = "record", snapshot: str =
     located = headers.select(snapshot, F.posexplode(F.arrays_zip(names.alias("location_name"), places.alias("hospital_address"))).alias("location_ordinal", "x"))
     return {
         "hospital_mrf_snapshots": headers.select(
-            snapshot, r["hospital_name"].alias("reported_hospital_name"), r["last_updated_on"].alias("published_last_updated_on"), r["version"].alias("schema_version"), r["license_information.license_number"].alias("license_number"),
-            r["license_information.state"].alias("reported_state"), r["attestation.attestation"].alias("attestation"), r["attestation.confirm_attestation"].alias("confirm_attestation"), r["attestation.attester_name"].alias("attester_name"),
+            snapshot, r["hospital_name"].alias("reported_hospital_name"), r["last_updated_on"].alias("published_last_updated_on"), r["version"].alias("schema_version"), r["license_information"]["license_number"].alias("license_number"),
+            r["license_information"]["state"].alias("reported_state"), r["attestation"]["attestation"].alias("attestation"), r["attestation"]["confirm_attestation"].alias("confirm_attestation"), r["attestation"]["attester_name"].alias("attester_name"),
         ),
         "hospital_locations": located.select(snapshot, "location_ordinal", "x.*"),
         "type2_npi": headers.select(snapshot, F.posexplode(r["type_2_npi"]).alias("npi_ordinal", "npi")),
@@ -140,7 +140,9 @@ def unpivot_wide(frame: DataFrame, ids: list[str]) -> DataFrame:
 
 def decoded(content: Column) -> Column:
     """Text of a file's bytes: UTF-8 without its mark, else Windows-1252."""
-    text = F.when(F.is_valid_utf8(content.cast("string")), content.cast("string")).otherwise(F.decode(content, "windows-1252"))
+    high = [chr(b) for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)]
+    western = F.translate(F.decode(content, "iso-8859-1"), "".join(high), "".join(c.encode("latin-1").decode("cp1252") for c in high))
+    text = F.when(F.is_valid_utf8(content.cast("string")), content.cast("string")).otherwise(western)
     return F.regexp_replace(text, "^﻿", "")
 
 
