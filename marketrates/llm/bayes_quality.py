@@ -210,6 +210,7 @@ def judge(documents: DataFrame, model: Evidence | None, host: str = "source", pa
     sites = shrunk.withColumn("host_rate", host_rate).withColumn("path_rate", (F.col("good") + F.col("path_prior") * F.col("host_rate")) / (F.col("n") + F.col("path_prior")))
     shift = (_logit(F.col("path_rate")) - _logit(F.col("global_rate"))).alias("shift")
     sites = sites.select("host", "path", "host_rate", "path_rate", shift)
+    sites = written(sites, "rates")  # a table, so that a hot site's side of the join can be split
     joined = scored.join(sites, ["host", "path"], "left")
     score = 1 / (1 + F.exp(-(F.col("evidence") + F.coalesce("shift", F.lit(0.0)))))
     return joined.select("doc_id", "evidence", "host_rate", "path_rate", score.alias("score"), (score >= keep).alias("kept"))

@@ -179,6 +179,7 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     )
     placed = classes.select("rep", F.explode("bands").alias("bucket"))
     centres = placed.groupBy("bucket").agg(F.min("rep").alias("centre"), F.max("rep").alias("other")).filter("centre <> other").select("bucket", "centre")
+    centres = written(centres, "centres")  # a table, as below, so that a hot key's side of the join can be split
     shared = written(placed.join(centres, "bucket"), "buckets")
 
     needed = shared.select(F.col("rep").alias("doc_id")).distinct()
@@ -206,6 +207,7 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     else:
         final = first
     named = classes.select("text_hash", "rep").join(final.withColumnRenamed("id", "rep"), "rep", "left").select("text_hash", F.coalesce("component", "rep").alias("class_id"))
+    named = written(named, "named")
     found = signed.select("doc_id", "text_hash").join(named, "text_hash").select("doc_id", "text_hash", "class_id").distinct()
     every = hashed.select("doc_id", "text_hash")
     return every.join(found, ["doc_id", "text_hash"], "left").select(

@@ -163,8 +163,9 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
                 norm = 0.0
                 if len(x) and np.isfinite(x).all():
                     scale = np.abs(x).max()
-                    norm = np.sqrt(((x / scale) ** 2).sum()) * scale if scale else 0.0
-                out.append((x / scale / (norm / scale) + 0.0).tobytes() if norm else None)
+                    x = x / scale if scale else x  # squares of very large or small numbers would not be finite, or zero
+                    norm = np.sqrt((x**2).sum())
+                out.append((x / norm + 0.0).tobytes() if norm else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["vec_id", "unit"])
 
     rows = written(own.mapInArrow(units, "vec_id long, unit binary"), "units")
@@ -183,6 +184,7 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     joined = components(found.filter("b is not null").select("a", "b"))
     named = classes.join(counts, "rep", "left").join(joined.withColumnRenamed("id", "rep"), "rep", "left")
     named = named.select("unit", (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
+    named = written(named, "named")  # a table, so that a hot vector's side of the join can be split
     return rows.join(named, "unit", "left").select(
         "vec_id",
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),

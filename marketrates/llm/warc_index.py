@@ -91,6 +91,7 @@ def write(pages: DataFrame, path: str, min_payload: int = MIN_PAYLOAD) -> DataFr
     own = own.withColumn("sha1", F.sha1("html")).withColumn("size", F.octet_length("html"))
     # Only payloads met twice or more are looked up; the counts are taken map-side first.
     groups = own.filter(F.col("size") >= min_payload).groupBy("sha1", "size").agg(F.max("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    groups = written(groups, "payloads")  # a table, so that a hot payload's side of the join can be split
     placed = own.join(groups, ["sha1", "size"], "left")
     refers = F.when(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
     rows = placed.select("page_id", "url", "html", refers.alias("refers_to"))
