@@ -57,7 +57,9 @@ def with_comparison(rows: DataFrame) -> DataFrame:
 
 
 def ranking_rows(spine: DataFrame, kinds: list[str]) -> DataFrame:
-    """Rows whose price may be ranked: current, context-aligned, rankable."""
+    """Rows whose price may be ranked: current, context-aligned, rankable. What the tier implies is said again, so that it reaches the scans and joins below."""
+    implied = F.col("code_is_specific") & F.col("match_code").isNotNull() & F.col("setting").isNotNull() & F.col("billing_class").isNotNull()
+    spine = spine.filter(implied)
     return spine.filter(F.col("is_current") & (F.col("comparison_tier") == "tier_2_context_aligned") & F.col("is_price_rankable") & F.col("amount_kind").isin(kinds))
 
 

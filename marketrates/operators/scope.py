@@ -56,7 +56,10 @@ def _drop_partitions(spark: SparkSession, path: str, column: str, ids: list[str]
 
 
 def replace_snapshots(frame: DataFrame, path: str, ids, column: str = "snapshot_id", records_per_file: int = 500_000) -> None:
-    """Replace the named snapshots' rows at path by frame's, also by none. Rows outside the scope, or without a snapshot, are an error."""
+    """Replace the named snapshots' rows at path by frame's, also by none. Rows outside the scope, or without a snapshot, are an error.
+
+    The frame must not read from path itself: the partitions are gone before it is written.
+    """
     ids = _need(ids)
     outside = frame.filter(F.col(column).isNull() | ~F.col(column).cast("string").isin(ids))
     if not outside.isEmpty():

@@ -550,8 +550,8 @@ def _(m):
     "market_summary",
     _more(
         _SUMMARY,
-        """SELECT a.*, b.* FROM (SELECT count(*) AS contexts, count(*) FILTER (WHERE hospital_count >= 3) AS comparable_contexts, cast(sum(observation_count) AS BIGINT) AS observations FROM g),
-       (SELECT count(*) AS snapshots, count(*) FILTER (WHERE is_current) AS current_snapshots, count(DISTINCT hospital_id) AS hospitals FROM snapshots) b, (SELECT 1 AS one) a""".replace("SELECT a.*, b.* FROM", "SELECT * EXCLUDE (one) FROM"),
+        """SELECT * FROM (SELECT count(*) AS contexts, count(*) FILTER (WHERE hospital_count >= 3) AS comparable_contexts, cast(sum(observation_count) AS BIGINT) AS observations FROM g),
+       (SELECT count(*) AS snapshots, count(*) FILTER (WHERE is_current) AS current_snapshots, count(DISTINCT hospital_id) AS hospitals FROM snapshots)""",
     ),
     model=True,
 )
@@ -739,6 +739,6 @@ def _(m):
     from ..sources import ingest
 
     raw = m.table("events").select("event_type", "event_id", F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("{"), F.col("props"))).otherwise(F.col("props")).alias("props"))
-    good, bad = ingest.split_json(raw, "props", "k string")
+    good, bad = ingest.split_json(raw, "props", "struct<k:string>")
     part = lambda f, flag: f.select("event_type", F.lit(flag).alias("quarantined"))
     return part(good, False).unionByName(part(bad, True)).groupBy("event_type", "quarantined").agg(F.count("*").alias("n"))

@@ -32,11 +32,8 @@ def snapshots_of(spark: SparkSession, root: str, schema: str | None = None, colu
 
 
 def split_json(frame: DataFrame, column: str, schema: str) -> tuple[DataFrame, DataFrame]:
-    """(rows whose record parses, with it under 'record'; rows whose record does not)."""
-    fields = schema if not schema.startswith("struct<") else schema.removeprefix("struct<").removesuffix(">").replace(":", ":")
-    kind = f"struct<{fields}>" if not schema.startswith("struct<") else schema
-    wide = re.sub(r">$", ",_corrupt:string>", kind)
-    wide = re.sub(r"^struct<([a-z_]+) string", r"struct<\1:string", wide)
+    """(rows whose record parses, with it under 'record'; rows whose record does not). schema: a struct type."""
+    wide = schema.removesuffix(">") + ",_corrupt:string>"
     own = frame.withColumn("record", F.from_json(column, wide, {"columnNameOfCorruptRecord": "_corrupt"}))
     bad = F.col("record").isNull() | F.col("record._corrupt").isNotNull()
     return own.filter(~bad), own.filter(bad).drop("record")

@@ -12,13 +12,13 @@ def rows_of(frame, *columns):
     return sorted((tuple(r) for r in frame.select(*columns).collect()), key=str)
 
 
-SPINE = "hospital_id string, snapshot_id string, service_context_key string, contract_key string, item_id string, payer_id string, market_segment string, service_code_key string, comparison_methodology string, amount_kind string, amount_value decimal(18,4), comparison_tier string, is_price_rankable boolean, is_current boolean"
+SPINE = "hospital_id string, snapshot_id string, service_context_key string, contract_key string, item_id string, payer_id string, market_segment string, service_code_key string, comparison_methodology string, amount_kind string, amount_value decimal(18,4), comparison_tier string, is_price_rankable boolean, is_current boolean, code_is_specific boolean, match_code string, setting string, billing_class string"
 
 
 def spine(spark, rows):
     from decimal import Decimal
 
-    full = [(h, f"{h}-1", "ctx", c, i, "p", "seg", "code", "case rate", kind, Decimal(v), tier, rank, current) for h, c, i, kind, v, tier, rank, current in rows]
+    full = [(h, f"{h}-1", "ctx", c, i, "p", "seg", "code", "case rate", kind, Decimal(v), tier, rank, current, True, "m", "s", "b") for h, c, i, kind, v, tier, rank, current in rows]
     return spark.createDataFrame(full, SPINE)
 
 
