@@ -1,7 +1,8 @@
 """Ids of whole texts by the tokenizers library, as byte strings, with repeated words encoded once.
 
-A byte-level pre-tokeniser never joins what stands before a space to what follows it, and lets one space lead the next piece, so a text may be cut before each
-space that no white space follows without changing its ids. The parts are encoded by the library and remembered.
+A byte-level pre-tokeniser parts the last white space of a run from what stands before it, and lets a last space lead the next piece, so a text may be cut before each
+space or line end that no white space follows without changing its ids; so may a word before a comma or full stop at its end. The parts are encoded by the
+library and remembered.
 """
 
 from __future__ import annotations
@@ -14,9 +15,19 @@ import re
 import numpy as np
 
 #: Parts remembered by a Python worker.
-CACHE_PARTS = 800_000
-_odd = re.compile(r" (?:\s|$)")
-_cut = re.compile(r" (?=\S)")
+CACHE_PARTS = 1_300_000
+_odd = re.compile(r"[ \n](?:\s|$)")
+_cut = re.compile(r"(?=[ \n]\S)")
+#: Letters in every version of Unicode.
+LETTERS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZàáâãäåæçèéêëìíîïñòóôõöøùúûüß")
+
+
+def cut(text: str) -> list[str]:
+    """The text before its first cut, then the parts; a part that began with a space lost it, one that begins with a line end keeps it."""
+    if not _odd.search(text):
+        return text.replace("\n", " \n").split(" ")
+    first, *rest = _cut.split(text)
+    return [first, *(x[1:] if x[0] == " " else x for x in rest)]
 
 
 class Library:
@@ -30,21 +41,34 @@ class Library:
         self.tokenizer.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.parts: dict[str, bytes] = {}
+        self.marks = dict(zip(",.", self.raw([",", "."])))
 
     def raw(self, texts: list[str]) -> list[bytes]:
-        dtype = self.dtype
-        return [np.array(x.ids, dtype).tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ends = [self.dtype.itemsize * n for n in itertools.accumulate(map(len, ids), initial=0)]
+        flat = np.fromiter(itertools.chain.from_iterable(ids), self.dtype).tobytes()
+        return [flat[a:b] for a, b in itertools.pairwise(ends)]
+
+    def learn(self, missing: set[str]) -> None:
+        """Encode parts that are not remembered; of one that ends in a mark after a letter, what stands before the mark."""
+        parts = self.parts
+        marked = [x for x in missing if len(x) > 1 and x[-1] in ",." and x[-2] in LETTERS]
+        plain = list((missing.difference(marked) | {x[:-1] for x in marked}) - parts.keys())
+        parts.update(zip(plain, self.raw([x if x[:1] == "\n" else " " + x for x in plain])))
+        for x in marked:
+            parts[x] = parts[x[:-1]] + self.marks[x[-1]]
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian integers of self.dtype; null is the empty text."""
-        cut = [x.split(" ") if not _odd.search(x) else _cut.split(x) for x in (t or "" for t in texts)]
+        texts = [cut(t or "") for t in texts]
         if len(self.parts) > CACHE_PARTS:
             self.parts.clear()
         parts = self.parts
-        missing = list(set(itertools.chain.from_iterable(x[1:] for x in cut)) - parts.keys())
-        parts.update(zip(missing, self.raw([" " + x for x in missing])))
-        heads = self.raw([x[0] for x in cut])
-        return [h + b"".join(map(parts.__getitem__, x[1:])) for h, x in zip(heads, cut)]
+        missing = set(itertools.chain.from_iterable(x[1:] for x in texts)) - parts.keys()
+        if missing:
+            self.learn(missing)
+        heads = self.raw([x[0] for x in texts])
+        return [h + b"".join(map(parts.__getitem__, x[1:])) for h, x in zip(heads, texts)]
 
 
 @functools.lru_cache(maxsize=2)

@@ -27,12 +27,12 @@ from .library_ids import library
 from .store import partitions, scratch
 
 SCALE_BITS = 20
-LANES = 512
-BLOCK_IDS = 1 << 18
-POINT_STEPS = 128  # checkpoints every so many steps of all lanes
+LANES = 2048
+BLOCK_IDS = 1 << 19
+POINT_STEPS = 64  # checkpoints every so many steps of all lanes
 LOW = np.uint64(1 << 31)
 
-_plain = "shard long, block long, doc_ids binary, nulls binary, pieces binary, lengths binary, ids binary, n long, seen_ids binary, seen_counts binary"
+_plain = "shard long, block long, doc_ids binary, nulls binary, pieces binary, lengths binary, ids binary, n long, inside long, seen_ids binary, seen_counts binary"
 _coded = "shard long, block long, first_id long, n long, doc_ids binary, nulls binary, pieces binary, lengths binary, payload binary, points binary, sums binary"
 
 
@@ -131,18 +131,18 @@ def _blocks(tokenizer: str, end_id: int):
 
         lib, shard = library(tokenizer), TaskContext.get().partitionId()
         end, counts = np.array([end_id], lib.dtype).tobytes(), np.zeros(max(lib.tokenizer.get_vocab_size(), end_id + 1), np.int64)
-        size, block, held, total = lib.dtype.itemsize, 0, [], 0
+        size, block, held, total, before = lib.dtype.itemsize, 0, [], 0, 0
 
         def row():
-            nonlocal block, held, total
+            nonlocal block, held, total, before
             raw = b"".join(x[3] for x in held)
             counts[:] += np.bincount(np.frombuffer(raw, lib.dtype), minlength=len(counts))
             out = {
                 "shard": shard, "block": block, "doc_ids": _packed([x[0] or 0 for x in held], "<i8"), "nulls": _packed([x[0] is None for x in held], "u1"),
-                "pieces": _packed([x[1] for x in held], "<i8"), "lengths": _packed([x[2] for x in held], "<i8"), "ids": raw, "n": total, "seen_ids": None, "seen_counts": None,
+                "pieces": _packed([x[1] for x in held], "<i8"), "lengths": _packed([x[2] for x in held], "<i8"), "ids": raw, "n": total, "inside": before, "seen_ids": None, "seen_counts": None,
             }
-            block, held, total = block + 1, [], 0
-            return pa.RecordBatch.from_pylist([out], _schema)
+            block, held, before, total = block + 1, [], before + total, 0
+            return pa.RecordBatch.from_pylist([out], _schema)  # one block, however many documents
 
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -165,7 +165,7 @@ def _blocks(tokenizer: str, end_id: int):
 
 
 _binary = lambda *names: [(n, pa.binary()) for n in names]
-_schema = pa.schema([("shard", pa.int64()), ("block", pa.int64()), *_binary("doc_ids", "nulls", "pieces", "lengths", "ids"), ("n", pa.int64()), *_binary("seen_ids", "seen_counts")])
+_schema = pa.schema([("shard", pa.int64()), ("block", pa.int64()), *_binary("doc_ids", "nulls", "pieces", "lengths", "ids"), ("n", pa.int64()), ("inside", pa.int64()), *_binary("seen_ids", "seen_counts")])
 _files = pa.schema([("shard", pa.int64()), ("block", pa.int64()), ("first_id", pa.int64()), ("n", pa.int64()), *_binary("doc_ids", "nulls", "pieces", "lengths", "payload", "points", "sums")])
 
 
@@ -173,7 +173,7 @@ def write_files(documents: DataFrame, path: str, tokenizer: str, end_id: int = 2
     """Encode every whole text by the tokenizers library, append end_id, and write the ids in ascending order of the key to path."""
     spark = documents.sparkSession
     own = documents.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    ordered = own.repartitionByRange(partitions(spark), "key", "text").sortWithinPartitions("key", "text")
+    ordered = own.repartitionByRange(partitions(spark), "key").sortWithinPartitions("key", "text")
     setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(setting, "false")
     spark.conf.set(setting, "true")
@@ -191,11 +191,9 @@ def write_files(documents: DataFrame, path: str, tokenizer: str, end_id: int = 2
     freq = frequencies(counts)
     spark.createDataFrame(zip(seen.tolist(), freq.astype(np.int64).tolist()), "id long, frequency long").coalesce(1).write.parquet(f"{path}/table")
 
-    # Ids before each block: a sum over the shards, of which there are as many as partitions, and a sum within the shard.
+    # Ids before each shard: a sum over the shards, a row for each partition of the write above.
     sizes = ids.filter("block = -1").select("shard", F.col("n").alias("shard_n"))
     bases = sizes.withColumn("base", F.sum("shard_n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))).select("shard", F.coalesce("base", F.lit(0)).alias("base"))
-    places = ids.filter("block >= 0").select("shard", "block", "n").withColumn("inside", F.sum("n").over(Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)))
-    firsts = places.join(bases, "shard").select("shard", "block", (F.col("base") + F.coalesce("inside", F.lit(0))).alias("first_id"))
     held = spark.sparkContext.broadcast((seen, freq))
     itemsize = library(tokenizer).dtype.str
 
@@ -212,8 +210,8 @@ def write_files(documents: DataFrame, path: str, tokenizer: str, end_id: int = 2
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, _files)
 
-    plainly = ids.filter("block >= 0").select("shard", "block", "n", "doc_ids", "nulls", "pieces", "lengths", "ids")
-    coded = plainly.join(firsts, ["shard", "block"])
+    plainly = ids.filter("block >= 0").select("shard", "block", "n", "inside", "doc_ids", "nulls", "pieces", "lengths", "ids")
+    coded = plainly.join(F.broadcast(bases), "shard").withColumn("first_id", F.col("base") + F.col("inside")).drop("base", "inside")
     few = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")  # a row is a block of ids
     spark.conf.set(setting, "true")

@@ -118,7 +118,7 @@ def test_token_files_cut_long_documents(spark, library, monkeypatch):
 
 def test_rans_checkpoints_and_checksums():
     r = np.random.default_rng(3)
-    ids = (r.zipf(1.3, 200_000) % 50_000).astype(np.uint32)
+    ids = (r.zipf(1.3, 420_000) % 50_000).astype(np.uint32)
     seen, counts = np.unique(ids, return_counts=True)
     freq = rans_files.frequencies(counts)
     assert int(freq.sum()) == 1 << rans_files.SCALE_BITS and freq.min() >= 1
