@@ -28,12 +28,11 @@ WIDTH = SPAN - GRAM + 1  # runs of GRAM bytes in a window
 HOT = 20_000
 CHUNK = 1 << 16
 PLACE = K.U((1 << 18) - 1)
-GROUP_ROWS = 20_000
+GROUP_ROWS = 8_000
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     """(text, place, least distance, greatest distance, hash) of each anchor; its windows start that far before it."""
-    length = np.diff(offsets)
     n = len(data)
     out = [[], [], [], [], []]
     for s0 in range(0, max(0, n - SPAN + 1), CHUNK):
@@ -71,7 +70,6 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     first = np.flatnonzero(new)
     text, key, at = text[first], key[first], place[first]
     near, far = np.minimum.reduceat(near, first), np.maximum.reduceat(far, first)
-    del length
     return text, at - offsets[text], near, far, key
 
 
@@ -102,9 +100,11 @@ def _context_rows(batches):
 
 def _matrix(flat: np.ndarray, begin: np.ndarray, count: np.ndarray, width: int, step: int) -> np.ndarray:
     """Rows of up to width bytes from begin on, forwards or backwards; 0xFF, no byte of UTF-8, stands beyond the end."""
-    j = np.arange(width)
-    inside = j < count[:, None]
-    return np.where(inside, flat[np.where(inside, begin[:, None] + step * j, 0)], 0xFF).astype(np.uint8)
+    out, j = np.empty((len(begin), width), np.uint8), np.arange(width)
+    for a in range(0, len(begin), 2000):  # the places take eight times the bytes
+        inside = j < count[a : a + 2000, None]
+        out[a : a + 2000] = np.where(inside, flat[np.where(inside, begin[a : a + 2000, None] + step * j, 0)], np.uint8(0xFF))
+    return out
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -132,7 +132,7 @@ def tree(key: np.ndarray, near: np.ndarray, far: np.ndarray, spans: list[bytes],
     flat = np.frombuffer(b"".join(spans), np.uint8)
     size = np.fromiter(map(len, spans), np.int64, m)
     anchor = np.cumsum(size) - size + far
-    ahead = np.where(True, SPAN - near, 0)
+    ahead = SPAN - near
     right, left = _matrix(flat, anchor, ahead, SPAN, 1), _matrix(flat, anchor - 1, far, SPAN - GRAM, -1)
     code = key.astype(np.uint64).astype(">u8").view(np.uint8).reshape(m, 8)
     joined = lambda side: np.ascontiguousarray(np.concatenate([code, side], 1)).view(f"S{8 + side.shape[1]}").ravel()
@@ -284,7 +284,7 @@ def _contexts(own: DataFrame, places: DataFrame) -> DataFrame:
 
 def _found(own: DataFrame, hot: int):
     """(places of anchors met twice or more, exact copies): written tables."""
-    whole = own.groupBy("text_hash").agg(F.count("*").alias("n"), F.min("row_id").alias("first")).filter("n > 1")
+    whole = written(own.groupBy("text_hash").agg(F.count("*").alias("n"), F.min("row_id").alias("first")).filter("n > 1"), "copied")
     copies = written(own.select("row_id", "text_hash").join(whole, "text_hash").select("row_id", (F.col("row_id") == F.col("first")).alias("first")).distinct(), "copies")
     slim = own.select("row_id", "text").mapInArrow(_anchor_rows, "key long, row_id long, place long")
     slim = written(slim, "anchors")
