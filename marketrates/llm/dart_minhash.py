@@ -213,3 +213,15 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     return every.join(found, ["doc_id", "text_hash"], "left").select(
         "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce(F.col("class_id") == F.col("doc_id"), F.lit(True)).alias("kept")
     )
+
+
+def oracle() -> str:
+    """The result in SQL: all pairs that share a shingle, and their components."""
+    return r"""
+        WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM documents WHERE text IS NOT NULL),
+        s AS (SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS shingle FROM w),
+        c AS (SELECT doc_id, shingle, count(*) AS n FROM s GROUP BY ALL), t AS (SELECT doc_id, sum(n) AS total FROM c GROUP BY ALL),
+        p AS (SELECT a.doc_id AS a, b.doc_id AS b, sum(least(a.n, b.n)) AS shared FROM c a JOIN c b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+        l AS (SELECT a, b FROM p JOIN t x ON a = x.doc_id JOIN t y ON b = y.doc_id WHERE 5 * shared >= 4 * (x.total + y.total - shared)),
+        r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+        SELECT a AS doc_id, min(b) AS class_id, a = min(b) AS kept FROM r GROUP BY a"""

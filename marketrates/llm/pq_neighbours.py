@@ -230,3 +230,14 @@ def _links(classes: DataFrame, dimension: int, cosine: float) -> DataFrame:
 
     keys = ["list", "i", "j"]
     return written(left.groupBy(keys).cogroup(right.groupBy(keys)).applyInPandas(task, "a long, b long, links long"), "found")
+
+
+def oracle() -> str:
+    """The result in SQL: all pairs, and their components."""
+    return """
+        WITH RECURSIVE v AS (SELECT vec_id, cast(embedding AS DOUBLE[]) AS e FROM embeddings),
+        u AS (SELECT * FROM v WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+        l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id WHERE len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95),
+        n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a),
+        r AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+        SELECT r.a AS vec_id, coalesce(any_value(n_links), 0) AS n_links, min(b) AS component_id, r.a = min(b) AS kept FROM r LEFT JOIN n ON r.a = n.a GROUP BY r.a"""

@@ -48,4 +48,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_warc_index": warc_index.oracle(), "op7_chat_parts": chat_parts.oracle()}
+    return {
+        "op3_warc_index": warc_index.oracle(),
+        "op5_dart_minhash": dart_minhash.oracle(),
+        "op7_chat_parts": chat_parts.oracle(),
+        "op8_pq_neighbours": pq_neighbours.oracle(),
+    }

@@ -313,7 +313,7 @@ def _spans(documents: DataFrame, key: str, text: str, hot: int, whole_characters
     ranges = cool.mapInArrow(_covered, "row_id long, start long, end long")
     if not places.filter("hot").isEmpty():
         windows = written(_contexts(own, places.filter("hot")).mapInArrow(_window_hashes, "code_a long, code_b long, row_id long, start long"), "windows")
-        twice = windows.groupBy("code_a", "code_b").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+        twice = written(windows.groupBy("code_a", "code_b").agg(F.count("*").alias("n")).filter("n > 1").drop("n"), "repeated")
         ranges = ranges.unionByName(windows.join(twice, ["code_a", "code_b"]).select("row_id", "start", (F.col("start") + SPAN).alias("end")))
     lists = written(ranges.groupBy("row_id").agg(F.collect_list(F.struct("start", "end")).alias("ranges")), "ranges")
     struct = "array<struct<start:bigint,end:bigint>>"
