@@ -149,12 +149,13 @@ def test_probes_and_tables_lose_nothing():
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     y = x + r.normal(size=x.shape) * 0.04
     y /= np.linalg.norm(y, axis=1, keepdims=True)
-    q = pq_neighbours.Quantiser(x[:200])
+    q = pq_neighbours.Quantiser(x[:200], 16)
     near = np.flatnonzero((x * y).sum(1) >= 0.95)
     assert len(near) > 100
     at, codes, over = q.code(y)
     reach = np.sqrt(0.1)
     assert q.probes(x, reach)[near, at[near]].all()
+    assert q.probes(x, reach * pq_neighbours.MARGIN / 24**0.5)[near, at[near]].mean() > 0.99
     for i in near[:100]:
         table = q.tables(x[i : i + 1], at[i])[0]
         assert np.sqrt(table[np.arange(codes.shape[1]), codes[i]].sum()) <= reach + over[i] + 1e-9
