@@ -5,10 +5,10 @@ by the nearest of CODES codewords. A query is compared with the lists it probes
 query is not quantised); candidates are ranked again by exact cosine in double precision.
 
 Probes and candidates are sufficient, not a fixed number. With cosine c, unit vectors lie within r = sqrt(2 - 2c) of each other. A partner of the query can only be in
-another list if it lies beyond that list's border with the query's own; its step across, in d dimensions, has a deviation of r / sqrt(d) unless it is aimed at
-the border, so lists whose border is within MARGIN deviations of the query are probed (within r itself where that is less, which is certain). A partner's table
-distance is at most r plus the length of what its code leaves over, which is kept with each code, so no candidate is lost in a list. Recall against brute
-force is tested; it was 1 on the tables at hand. Centroids and codewords are fitted on FIT_ROWS classes of least hash, a documented bound; every class is indexed.
+another list if that list's border with any list is at most r beyond the query, and if the query is at most r farther from the list's centroid than its farthest member
+and at most r nearer than its nearest; all other lists are left out, which is certain, however the vectors are spread. Of two lists that may hold partners of each
+other, one is probed from the other, and a link found so counts for both its ends. A partner's table distance is at most r plus the length of what its code leaves
+over, which is kept with each code, so no candidate is lost in a list. Centroids and codewords are fitted on FIT_ROWS classes of least hash, a documented bound; every class is indexed.
 The number of lists is the root of the number of classes, within LISTS.
 
 Lists are dealt out in blocks of BLOCK members and BLOCK queries to a task, each task returns the number of links of each of its queries and a spanning forest of the
@@ -31,7 +31,8 @@ from .store import written
 
 COSINE = 0.95
 LISTS, SUBSPACES, CODES = (16, 1024), 8, 32
-MARGIN = 3.0
+MARGIN = 3.0  # what a narrower probe would take, in deviations of an even spread; only measured in tests, since it loses links
+BORDERS = 8
 FIT_ROWS = 8192
 BLOCK = 2048
 SLACK = 1e-9
@@ -78,11 +79,16 @@ class Quantiser:
             over += d
         return at, codes, np.sqrt(over)
 
-    def probes(self, x: np.ndarray, reach: float) -> np.ndarray:
-        """(row, list): whether a vector within reach of the row can be in the list."""
+    def probes(self, x: np.ndarray, reach: float, shells: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+        """(row, list): whether a vector within reach of the row can be in the list; shells: distances of each list's nearest and farthest member to its centroid."""
         d = (x**2).sum(1)[:, None] - 2 * x @ self.coarse.T + (self.coarse**2).sum(1)
-        own = d.argmin(1)
-        return d - d[np.arange(len(x)), own][:, None] <= 2 * reach * self.between[own] + SLACK
+        row, near = np.arange(len(x)), np.ones(d.shape, bool)
+        for other in np.argsort(d, 1, kind="stable")[:, :BORDERS].T:  # borders with the nearest lists, the row's own first
+            near &= d - d[row, other][:, None] <= 2 * reach * self.between[other] + SLACK
+        if shells is not None:
+            least, most = shells
+            near &= (d <= (most + reach + SLACK) ** 2) & (d >= np.maximum(least - reach - SLACK, 0) ** 2 - SLACK)
+        return near
 
     def tables(self, x: np.ndarray, at: int) -> np.ndarray:
         """(row, subspace, code): squared distances from the rows' residuals to the codewords in a list."""
@@ -118,15 +124,19 @@ def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
 
 
 def block(q: Quantiser, at: int, queries: pd.DataFrame, members: pd.DataFrame, cosine: float) -> pd.DataFrame:
-    """Links from the queries to the members of one list: rows (a, null, count) and forest edges (a, b, null)."""
+    """Links from the queries to the members of one list: rows (a, null, count) and forest edges (a, b, null).
+
+    A query of the list itself (own) meets its partners as queries too; a link of any other counts for the member as well.
+    """
     none = pd.DataFrame({"a": pd.Series([], dtype="int64"), "b": pd.Series([], dtype="Int64"), "links": pd.Series([], dtype="Int64")})
     if queries.empty or members.empty:
         return none
     x, y = _rows(queries["unit"]), _rows(members["unit"])
     codes, over = np.frombuffer(b"".join(members["codes"]), np.uint8).reshape(len(y), -1), members["over"].to_numpy()
     qi, mi, size = queries["rep"].to_numpy(), members["rep"].to_numpy(), members["size"].to_numpy()
+    own, weight = queries["own"].to_numpy(), queries["size"].to_numpy()
     reach = np.sqrt(2 - 2 * cosine)
-    counts, forest = np.zeros(len(x), np.int64), []
+    counts, back, forest = np.zeros(len(x), np.int64), np.zeros(len(y), np.int64), []
     for a in range(0, len(x), 256):
         part = x[a : a + 256]
         table = q.tables(part, at)
@@ -140,13 +150,16 @@ def block(q: Quantiser, at: int, queries: pd.DataFrame, members: pd.DataFrame, c
         hit = exact >= cosine
         i, m = i[hit], m[hit]
         counts[a : a + len(part)] = np.bincount(i, size[m], minlength=len(part)).astype(np.int64)
+        once = ~own[a + i]
+        back += np.bincount(m[once], weight[a + i[once]], minlength=len(y)).astype(np.int64)
         forest += _forest(qi[a + i], mi[m])
     ends = np.array(forest, np.int64).reshape(-1, 2)
     ends = np.array(_forest(ends[:, 0], ends[:, 1]), np.int64).reshape(-1, 2)
+    ids, counts = np.concatenate([qi, mi]), np.concatenate([counts, back])
     some = np.flatnonzero(counts)
     return pd.DataFrame(
         {
-            "a": np.concatenate([qi[some], ends[:, 0]]),
+            "a": np.concatenate([ids[some], ends[:, 0]]),
             "b": pd.array([None] * len(some) + ends[:, 1].tolist(), dtype="Int64"),
             "links": pd.array(counts[some].tolist() + [None] * len(ends), dtype="Int64"),
         }
@@ -203,31 +216,46 @@ def _links(classes: DataFrame, dimension: int, cosine: float) -> DataFrame:
     lists = min(max(int(classes.count() ** 0.5), LISTS[0]), LISTS[1])
     q = Quantiser(_rows(sample["unit"]), lists)
     held = spark.sparkContext.broadcast(q)  # so many vectors, and CODES
-    reach = float(np.sqrt(2 - 2 * cosine)) * min(1.0, MARGIN / dimension**0.5)
+    reach = float(np.sqrt(2 - 2 * cosine))
 
     def index(batches):
         for batch in batches:
             x = _rows(batch.column(1).to_pylist())
             at, codes, over = held.value.code(x)
+            far = np.sqrt(((x - held.value.coarse[at]) ** 2).sum(1))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(at, pa.int32()), batch.column(0), batch.column(2), batch.column(1), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(over)],
-                ["list", "rep", "size", "unit", "codes", "over"],
+                [pa.array(at, pa.int32()), batch.column(0), batch.column(2), batch.column(1), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(over), pa.array(far)],
+                ["list", "rep", "size", "unit", "codes", "over", "far"],
             )
 
+    own = classes.select("rep", "unit", "size")
+    members = written(own.mapInArrow(index, "list int, rep long, size long, unit binary, codes binary, over double, far double"), "index")
+    least, most = np.full(len(q.coarse), np.inf), np.full(len(q.coarse), -np.inf)
+    for at, a, b in members.groupBy("list").agg(F.min("far"), F.max("far")).collect():  # a row per list
+        least[at], most[at] = a, b
+    filled = np.flatnonzero(np.isfinite(most))
+    least[~np.isfinite(most)], most[~np.isfinite(most)] = 0, 0
+
     def probe(batches):
+        q, lists = held.value, np.arange(len(held.value.coarse))
         for batch in batches:
-            i, at = np.nonzero(held.value.probes(_rows(batch.column(1).to_pylist()), reach))
+            home = np.asarray(batch.column(0))
+            near = q.probes(_rows(batch.column(2).to_pylist()), reach, (least, most))
+            apart = lists - home[:, None]
+            near &= np.where((lists + home[:, None]) % 2 == 0, apart > 0, apart < 0)  # one of each two lists probes the other
+            near[:, np.setdiff1d(lists, filled)] = False
+            near[np.arange(len(home)), home] = True
+            i, at = np.nonzero(near)
             take = pa.array(i)
-            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), batch.column(0).take(take), batch.column(1).take(take)], ["list", "rep", "unit"])
+            rest = [batch.column(n).take(take) for n in (1, 2, 3)]
+            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *rest, pa.array(at == home[i])], ["list", "rep", "unit", "size", "own"])
 
-    own = classes.select("rep", "unit", "size")
-    members = written(own.mapInArrow(index, "list int, rep long, size long, unit binary, codes binary, over double"), "index")
-    queries = written(own.select("rep", "unit").mapInArrow(probe, "list int, rep long, unit binary"), "probes")
+    queries = written(members.select("list", "rep", "unit", "size").mapInArrow(probe, "list int, rep long, unit binary, size long, own boolean"), "probes")
     blocks = lambda f, name: f.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(name))  # noqa: E731  a row per list
     counts = F.broadcast(blocks(members, "m").join(blocks(queries, "n"), "list"))
     part = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = queries.join(counts, "list").withColumn("i", part("n")).withColumn("j", every("m")).select("list", "i", "j", "rep", "unit")
+    left = queries.join(counts, "list").withColumn("i", part("n")).withColumn("j", every("m")).select("list", "i", "j", "rep", "unit", "size", "own")
     right = members.join(counts, "list").withColumn("j", part("m")).withColumn("i", every("n")).select("list", "i", "j", "rep", "size", "unit", "codes", "over")
 
     def task(key, a, b):

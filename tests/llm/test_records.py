@@ -143,6 +143,22 @@ def test_pq_neighbours(spark, size, monkeypatch):
     assert got == brute_links(ids, [v if v is None or len(v) != 16 or v[0] != 1e300 else [1.0] * 16 for v in [w if w is None or w != [1e-300] * 16 else [1.0] * 16 for w in vectors]])
 
 
+@pytest.mark.parametrize("directions", [1, 2, 4, 8])
+def test_pq_neighbours_of_a_drifting_group(spark, directions):
+    r = np.random.default_rng(directions)
+    rest = r.normal(size=(1200, 64))
+    axes = np.linalg.qr(r.normal(size=(64, directions + 1)))[0].T
+    hot = axes[0] + r.uniform(-0.7, 0.7, size=(800, directions)) / directions**0.5 @ axes[1:] + r.normal(size=(800, 64)) * 0.004
+    x = np.concatenate([rest, hot])
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.95
+    want = (near.sum(1) - 1).tolist()
+    assert sum(want) > 3000
+    frame = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>")
+    got = {v["vec_id"]: v["n_links"] for v in pq_neighbours.near_duplicates(frame).collect()}
+    assert [got[i] for i in range(len(x))] == want
+
+
 def test_probes_and_tables_lose_nothing():
     r = np.random.default_rng(6)
     x = r.normal(size=(600, 24))
