@@ -282,27 +282,70 @@ def _contexts(own: DataFrame, places: DataFrame) -> DataFrame:
     return texts.mapInArrow(_context_rows, "key long, row_id long, place long, bytes binary")
 
 
+def _met(own: DataFrame, hot: int) -> DataFrame:
+    """Places of anchors whose hash is met twice or more; hot: more than that often."""
+    slim = written(own.select("row_id", "text").mapInArrow(_anchor_rows, "key long, row_id long, place long"), "anchors")
+    again = written(slim.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "keys")  # a table, so that a hot key's side of the join can be split
+    return slim.join(again, "key").withColumn("hot", F.col("n") > hot).drop("n")
+
+
 def _found(own: DataFrame, hot: int):
     """(places of anchors met twice or more, exact copies): written tables."""
     whole = written(own.groupBy("text_hash").agg(F.count("*").alias("n"), F.min("row_id").alias("first")).filter("n > 1"), "copied")
     copies = written(own.select("row_id", "text_hash").join(whole, "text_hash").select("row_id", (F.col("row_id") == F.col("first")).alias("first")).distinct(), "copies")
-    slim = own.select("row_id", "text").mapInArrow(_anchor_rows, "key long, row_id long, place long")
-    slim = written(slim, "anchors")
-    again = written(slim.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "keys")  # a table, so that a hot key's side of the join can be split
-    met = slim.join(again, "key").withColumn("hot", F.col("n") > hot).drop("n")
-    return written(met.join(copies.filter("not first").select("row_id"), "row_id", "left_anti"), "places"), copies
+    return written(_met(own, hot).join(copies.filter("not first").select("row_id"), "row_id", "left_anti"), "places"), copies
 
 
-def repeats(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """group_id, length, row_id, start: every occurrence of each maximal repeat of SPAN bytes or more within the windows of an anchor.
+def repeats(documents: DataFrame, key: str = "doc_id", text: str = "text", hot: int = HOT) -> DataFrame:
+    """group_id, length, doc_id, row_id, start: every occurrence of each maximal repeat of SPAN bytes or more within the windows of an anchor.
 
-    A longer repeat has several anchors and is reported as overlapping groups, one or more for each.
+    A longer repeat has several anchors and is reported as overlapping groups, one or more for each. Exact copies have equal repeats: a text that has copies is
+    searched as two, and what is found in it is reported for each of its rows. Anchors of more than hot occurrences are grouped by Spark instead of in one task.
     """
     own = _identified(documents, key, text)
-    places, _ = _found(own, HOT)
-    spans = _contexts(own, places).repartition(partitions(own.sparkSession), "key").sortWithinPartitions("key")
+    counts = own.groupBy("text_hash").agg(F.count("*").alias("n"))
+    each = own.select("text_hash", "text").dropDuplicates(["text_hash"]).join(counts, "text_hash")
+    each = each.withColumn("copy", F.explode(F.sequence(F.lit(0), F.when(F.col("n") > 1, 1).otherwise(0))))
+    each = bucketed(each.select("text_hash", "text", F.xxhash64("text_hash", "copy").alias("row_id")), "searched", "row_id")
+    places = written(_met(each, hot), "places")
+    spans = _contexts(each, places.filter("not hot")).repartition(partitions(own.sparkSession), "key").sortWithinPartitions("key")
     found = spans.mapInArrow(_repeat_groups, "group_id string, length long, row_id long, start long")
-    return found.distinct()
+    if not places.filter("hot").isEmpty():
+        found = found.unionByName(_hot_groups(_contexts(each, places.filter("hot"))))
+    found = written(found.join(each.select("row_id", "text_hash"), "row_id").select("group_id", "length", "text_hash", "start").distinct(), "groups")
+    return found.join(own.select("text_hash", "doc_id", "row_id"), "text_hash").select("group_id", "length", "doc_id", "row_id", "start")
+
+
+def _hot_groups(contexts: DataFrame) -> DataFrame:
+    """What _repeat_groups finds, by grouped aggregation: strings that occur twice or more and do not all go on alike to one side within their windows."""
+    held = contexts.withColumn("near", F.expr("place >> 8 & 255")).withColumn("far", F.expr("place & 255")).withColumn("at", F.expr("place >> 16"))
+    held = held.withColumn("context", F.sha2(F.concat(F.col("bytes"), F.encode(F.concat_ws(" ", F.lit(""), "key", "near", "far"), "utf-8")), 256))
+    held = written(held, "contexts")
+    alike = held.groupBy("context").agg(F.count("*").alias("n"), *(F.first(c).alias(c) for c in ("key", "near", "far", "bytes")))
+    strings = alike.select("context", "n", "key", "near", "far", "bytes").mapInArrow(
+        _strings, "context string, n long, key long, before long, length long, group_id string, left int, right int"
+    )
+    strings = written(strings, "strings")
+    same = ["key", "before", "length", "group_id"]
+    ends = strings.groupBy(same).agg(F.sum("n").alias("n"), *(f(c).alias(f"{c}_{name}") for c in ("left", "right") for f, name in ((F.min, "low"), (F.max, "high"))))
+    open_ = lambda c: (F.col(f"{c}_low") < 0) | (F.col(f"{c}_low") != F.col(f"{c}_high"))  # noqa: E731  -1 stands beyond the windows
+    whole = written(ends.filter((F.col("n") > 1) & open_("left") & open_("right")).select(same), "maximal")
+    return strings.join(whole, same).select("context", "before", "length", "group_id").join(held.select("context", "row_id", "at"), "context").select(
+        "group_id", "length", "row_id", (F.col("at") - F.col("before")).alias("start")
+    )
+
+
+def _strings(batches):
+    """Each string of SPAN bytes or more around an anchor within its windows, with the bytes that stand next to it there."""
+    schema = pa.schema([("context", pa.string()), ("n", pa.int64()), ("key", pa.int64()), ("before", pa.int64()), ("length", pa.int64()), ("group_id", pa.string()), ("left", pa.int32()), ("right", pa.int32())])
+    for batch in batches:
+        for context, n, key, near, far, span in zip(*(c.to_pylist() for c in batch.columns)):
+            rows = []
+            for a in range(far - near + 1):
+                for b in range(a + SPAN, len(span) + 1):
+                    name = hashlib.sha256(span[a:b]).hexdigest()[:32]
+                    rows.append((context, n, key, far - a, b - a, name, span[a - 1] if a else -1, span[b] if b < len(span) else -1))
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows), schema)], schema=schema)
 
 
 def _spans(documents: DataFrame, key: str, text: str, hot: int, whole_characters: bool) -> DataFrame:

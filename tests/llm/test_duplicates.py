@@ -84,6 +84,31 @@ def test_repeat_groups_have_all_occurrences(spark):
     assert any(len(x) == 3 for x in groups.values())
 
 
+def test_repeat_groups_of_copies_and_hot_anchors(spark):
+    r = random.Random(11)
+    a, b = words(r, 60), words(r, 50)
+    texts = [f"{words(r, 20)} {a} {words(r, 9)}" for _ in range(3)] + [f"{words(r, 20)} {b} {a} {words(r, 9)}" for _ in range(2)]
+    lone = words(r, 90)
+    texts += [texts[0]] * 2 + [lone] * 3
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = []
+    for hot in (20_000, 2, 1):
+        groups = collections.defaultdict(set)
+        for g in repeat_tree.repeats(frame, hot=hot).collect():
+            groups[g["group_id"], g["length"]].add((g["doc_id"], g["start"]))
+        found.append(groups)
+    assert found[0] == found[1] == found[2]
+    raw = [t.encode() for t in texts]
+    for (name, length), members in found[0].items():
+        doc, start = min(members)
+        passage = raw[doc][start : start + length]
+        assert len(passage) == length >= 200 and hashlib.sha256(passage).hexdigest()[:32] == name
+        assert members == {(i, k) for i, x in enumerate(raw) for k in range(len(x)) if x.startswith(passage, k)} and len(members) > 1
+    assert any({i for i, _ in m} == {7, 8, 9} for m in found[0].values())
+    covered = {(i, k) for (_, n), m in found[0].items() for i, s in m for k in range(s, s + n)}
+    assert covered >= {(i, k) for i in (0, 5, 6, 7, 8, 9) for k in range(len(raw[i]))}
+
+
 def test_anchors_cover_all_windows():
     r = random.Random(1)
     raw = words(r, 30_000).encode()
