@@ -20,6 +20,8 @@ vec_id and vector count as vectors of their own in n_links; a null vec_id is cou
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -188,14 +190,16 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     rows = written(own.mapInArrow(units, "vec_id long, unit binary"), "units")
     sizes = rows.filter("unit is not null").groupBy("unit").agg(F.min("vec_id").alias("rep"), F.count("*").alias("size"))
     classes = written(sizes.filter("rep is not null"), "classes")
-    dims = sorted(r[0] for r in classes.select(F.octet_length("unit")).distinct().limit(1000).collect())
+    kinds = classes.groupBy(F.octet_length("unit").alias("bytes")).agg(F.count("*").alias("n")).filter("n > 1")  # a class alone has no links
+    dims = sorted(r["bytes"] for r in kinds.collect())
     parts = []
     for n in dims:  # one for tables of one kind of vector
         parts.append(_links(classes.filter(F.octet_length("unit") == n), n // 8, cosine))
+    many = len(parts) > 1
+    while len(parts) > 1:  # in pairs, so that plans stay shallow
+        parts = [reduce(DataFrame.unionByName, parts[k : k + 2]) for k in range(0, len(parts), 2)]
     found = parts[0] if parts else spark.createDataFrame([], "a long, b long, links long")
-    for x in parts[1:]:
-        found = found.unionByName(x)
-    if len(parts) > 1:
+    if many:
         found = written(found, "found")
     counts = found.filter("links is not null").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     joined = components(found.filter("b is not null").select("a", "b"))

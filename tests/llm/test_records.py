@@ -159,6 +159,22 @@ def test_pq_neighbours_of_a_drifting_group(spark, directions):
     assert [got[i] for i in range(len(x))] == want
 
 
+def test_pq_neighbours_take_every_dimension(spark, monkeypatch):
+    seen = []
+
+    def links(classes, dimension, cosine):
+        seen.append(dimension)
+        if dimension == 1004:
+            raise StopIteration
+
+    monkeypatch.setattr(pq_neighbours, "_links", links)
+    vectors = [[1.0] * n + [sign] for n in range(1, 1004) for sign in (0.5, -0.5)]
+    frame = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    with pytest.raises(StopIteration):
+        pq_neighbours.near_duplicates(frame)
+    assert seen == list(range(2, 1005))
+
+
 def test_probes_and_tables_lose_nothing():
     r = np.random.default_rng(6)
     x = r.normal(size=(600, 24))
