@@ -15,7 +15,8 @@ Lists are dealt out in blocks of BLOCK members and BLOCK queries to a task, each
 links it found, never the pairs themselves; counts are added up and forests joined into components.
 
 Vectors that are null, zero, or hold nulls or non-finite components link with nothing. Vectors of different dimension only link within their dimension. Rows of equal
-vec_id and vector count as vectors of their own in n_links; a null vec_id is counted as a partner but gets no component but its class's.
+vec_id and vector count as vectors of their own in n_links, and so do vectors of equal or null vec_id. Classes have ids of their own; a component is named by the least
+vec_id in it, and is null only where all are.
 """
 
 from __future__ import annotations
@@ -188,8 +189,8 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["vec_id", "unit"])
 
     rows = written(own.mapInArrow(units, "vec_id long, unit binary"), "units")
-    sizes = rows.filter("unit is not null").groupBy("unit").agg(F.min("vec_id").alias("rep"), F.count("*").alias("size"))
-    classes = written(sizes.filter("rep is not null"), "classes")
+    sizes = rows.filter("unit is not null").groupBy("unit").agg(F.min("vec_id").alias("name"), F.count("*").alias("size"))
+    classes = written(sizes.withColumn("rep", F.monotonically_increasing_id()), "classes")  # as a table, so that the ids stay
     kinds = classes.groupBy(F.octet_length("unit").alias("bytes")).agg(F.count("*").alias("n")).filter("n > 1")  # a class alone has no links
     dims = sorted(r["bytes"] for r in kinds.collect())
     parts = []
@@ -204,8 +205,10 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     counts = found.filter("links is not null").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     joined = components(found.filter("b is not null").select("a", "b"))
     named = classes.join(counts, "rep", "left").join(joined.withColumnRenamed("id", "rep"), "rep", "left")
-    named = named.select("unit", (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
-    named = written(named, "named")  # a table, so that a hot vector's side of the join can be split
+    named = named.select("unit", "name", (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component"))
+    named = written(named, "named")
+    names = named.groupBy("component").agg(F.min("name").alias("component_id"))
+    named = written(named.join(names, "component").select("unit", "n_links", "component_id"), "named")  # a table, so that a hot vector's side of the join can be split
     return rows.join(named, "unit", "left").select(
         "vec_id",
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),

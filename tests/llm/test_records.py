@@ -175,6 +175,14 @@ def test_pq_neighbours_take_every_dimension(spark, monkeypatch):
     assert seen == list(range(2, 1005))
 
 
+def test_pq_neighbours_with_null_and_repeated_ids(spark):
+    rows = [(None, [1.0, 0.0]), (None, [1.0, 0.01]), (7, [1.0, 0.02]), (7, [1.0, 0.03]), (9, [1.0, 0.04]), (None, [0.0, 1.0]), (5, [-1.0, 0.0]), (5, [-1.0, 0.01]), (None, None)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((tuple(x) for x in pq_neighbours.near_duplicates(frame).collect()), key=str)
+    want = [(None, 4, 7, True)] * 2 + [(7, 4, 7, True)] * 2 + [(9, 4, 7, False), (None, 0, None, True), (None, 0, None, True), (5, 1, 5, True), (5, 1, 5, True)]
+    assert got == sorted(want, key=str)
+
+
 def test_probes_and_tables_lose_nothing():
     r = np.random.default_rng(6)
     x = r.normal(size=(600, 24))
