@@ -177,7 +177,10 @@ def _strength(mean, square, weight, prior):
 
 
 def judge(documents: DataFrame, model: Evidence | None, host: str = "source", path: str = "lang", keep: float = KEEP) -> DataFrame:
-    """doc_id, evidence (log odds), host_rate, path_rate (posterior means), score, kept for each row."""
+    """doc_id, evidence (log odds), host_rate, path_rate (posterior means), score, kept for each row.
+
+    Documents have no URL: source stands for the host and lang for the path unless other columns are named.
+    """
     held = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
