@@ -174,17 +174,16 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     own = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     hashed = own.select("doc_id", "text", F.md5(F.coalesce("text", F.lit(""))).alias("text_hash"))
     signed = written(hashed.filter("doc_id is not null").mapInArrow(_sign, "doc_id long, text_hash string, bands array<long>"), "signed")
-    classes = written(
-        signed.groupBy("text_hash").agg(F.min(F.struct("doc_id", "bands")).alias("x")).select("text_hash", F.col("x.doc_id").alias("rep"), "x.bands"), "classes"
-    )
+    least = signed.groupBy("text_hash").agg(F.min(F.struct("doc_id", "bands")).alias("x")).select("text_hash", F.col("x.doc_id").alias("name"), "x.bands")
+    classes = written(least.withColumn("rep", F.monotonically_increasing_id()), "classes")  # as a table, so that the ids stay; a doc_id may have several texts
     placed = classes.select("rep", F.explode("bands").alias("bucket"))
     centres = placed.groupBy("bucket").agg(F.min("rep").alias("centre"), F.max("rep").alias("other")).filter("centre <> other").select("bucket", "centre")
     centres = written(centres, "centres")  # a table, as below, so that a hot key's side of the join can be split
     shared = written(placed.join(centres, "bucket"), "buckets")
 
-    needed = shared.select(F.col("rep").alias("doc_id")).distinct()
-    texts = written(own.join(needed, "doc_id").dropDuplicates(["doc_id"]), "texts")
-    side = lambda name: texts.select(F.col("doc_id").alias(name), F.col("text").alias(f"{name}_text"))
+    needed = classes.join(shared.select("rep").distinct(), "rep", "left_semi").select("rep", "text_hash", F.col("name").alias("doc_id"))
+    texts = written(hashed.join(needed, ["doc_id", "text_hash"]).select("rep", "text").dropDuplicates(["rep"]), "texts")
+    side = lambda name: texts.select(F.col("rep").alias(name), F.col("text").alias(f"{name}_text"))
 
     def linked(pairs: DataFrame) -> DataFrame:
         whole = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "a_text", "b_text")
@@ -195,7 +194,7 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     named = shared.join(first.withColumnRenamed("id", "rep"), "rep", "left").select("bucket", "rep", F.coalesce("component", "rep").alias("component"))
     mixed = named.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).filter("low <> high").select("bucket", "n")
     members = named.join(mixed, "bucket").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-    rest = written(members.join(texts.withColumnRenamed("doc_id", "rep"), "rep"), "mixed")
+    rest = written(members.join(texts, "rep"), "mixed")
     if not rest.isEmpty():
         # A bucket's members are dealt over blocks; each block meets each block of its bucket in one task.
         block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
@@ -206,8 +205,10 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
         final = components(links.unionByName(more)) if not more.isEmpty() else first
     else:
         final = first
-    named = classes.select("text_hash", "rep").join(final.withColumnRenamed("id", "rep"), "rep", "left").select("text_hash", F.coalesce("component", "rep").alias("class_id"))
+    named = classes.select("text_hash", "name", "rep").join(final.withColumnRenamed("id", "rep"), "rep", "left").select("text_hash", "name", F.coalesce("component", "rep").alias("component"))
     named = written(named, "named")
+    names = named.groupBy("component").agg(F.min("name").alias("class_id"))
+    named = written(named.join(names, "component").select("text_hash", "class_id"), "named")
     found = signed.select("doc_id", "text_hash").join(named, "text_hash").select("doc_id", "text_hash", "class_id").distinct()
     every = hashed.select("doc_id", "text_hash")
     return every.join(found, ["doc_id", "text_hash"], "left").select(

@@ -157,6 +157,15 @@ def test_dart_minhash(frame, block, monkeypatch):
     assert all(r["kept"] == (r["doc_id"] == r["class_id"]) for r in rows if r["doc_id"] is not None)
 
 
+def test_dart_minhash_with_several_texts_of_one_id(spark):
+    r = random.Random(12)
+    a, b = words(r, 150), words(r, 150)
+    rows = [(1, a), (1, b), (2, a + " end"), (3, b + " end"), (4, words(r, 150))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(tuple(x) for x in dart_minhash.near_duplicates(frame).collect())
+    assert got == [(1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True)]
+
+
 def test_signatures_estimate_weighted_similarity():
     r = random.Random(4)
     base = [f"w{r.randrange(40)}" for _ in range(400)]
