@@ -7,8 +7,9 @@ each dart has a coordinate, and the earliest dart of a coordinate is its signatu
 weighted Jaccard similarity.
 
 Exact copies are made one class first. Classes that agree on a whole band share a bucket. Each member is compared with the bucket's smallest id, on the whole
-texts, and links are closed into components. In buckets that still hold several components the members' whole texts are then compared across components, block by
-block; a task returns the links that join components, never pairs. No bucket is expanded into its pairs.
+texts, where total weights allow a link, and links are closed into components. In buckets that still hold several components their members are then compared across
+components: strangers with the members of the bucket's main component, whose texts are carried once however many buckets they share, and with each other. A task
+returns the links that join components, never pairs. No bucket is expanded into its pairs.
 
 Result: doc_id, class_id (smallest doc_id of the component), kept (doc_id = class_id). A text without words, or null, links with nothing. Rows of equal doc_id
 and text are one document; a null doc_id gets class null and is kept.
@@ -99,15 +100,17 @@ def _sign(batches):
             for j in range(ROWS):
                 bands = K.mix(bands * K.U(K.BASE) + s[:, j::ROWS])
             bands = K.mix(bands + np.arange(bands.shape[1]).astype(K.U))
-            full = np.bincount(doc, minlength=b - a) > 0
+            weight = np.bincount(doc, minlength=b - a)
+            full = weight > 0
             rows = np.flatnonzero(full)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).slice(a, b - a).filter(pa.array(full)),
                     batch.column(2).slice(a, b - a).filter(pa.array(full)),
+                    pa.array(weight[rows]),
                     pa.array(list(bands[rows].astype(np.int64)), pa.list_(pa.int64())),
                 ],
-                ["doc_id", "text_hash", "bands"],
+                ["doc_id", "text_hash", "weight", "bands"],
             )
 
 
@@ -134,51 +137,108 @@ def _verify(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0).filter(yes), batch.column(1).filter(yes)], ["a", "b"])
 
 
-def _across(key, left, right):
-    """Links between the members of two blocks of a bucket, on the whole texts: a spanning set of those that join different components.
+def _across(ordered: bool):
+    """Links between two sets of texts, on the whole texts: a spanning set of those that join different components; ordered: only from a smaller rep to a greater.
 
-    A member's cells are marked in an array over all cells of the task, and its overlaps with all members of the other block are sums over that array.
+    A text's cells are marked in an array over all cells of the task, and its overlaps with all texts of the other set are sums over that array.
     """
-    import pandas as pd
-
-    out = []
-    if not left.empty and not right.empty:
-        n = len(left)
-        texts = pa.array([*left["text"], *right["text"]], pa.string())
-        cells, doc = elements(*K.buffers(texts))
-        _, code = np.unique(cells, return_inverse=True)
-        first = np.searchsorted(doc, np.arange(len(texts) + 1))
-        size = np.diff(first)
-        label = np.concatenate([left["component"].to_numpy(), right["component"].to_numpy()])
-        rep = np.concatenate([left["rep"].to_numpy(), right["rep"].to_numpy()])
-        mark = np.zeros(len(cells) + 1, bool)
-        for i in np.argsort(rep[:n], kind="stable").tolist():
-            other = n + np.flatnonzero((label[n:] != label[i]) & (rep[n:] > rep[i]))
-            if not len(other):
-                continue
-            own = code[first[i] : first[i + 1]]
-            mark[own] = True
-            part = np.concatenate([code[first[j] : first[j + 1]] for j in other.tolist()])
-            both = np.add.reduceat(mark[part].astype(np.int64), np.cumsum(size[other]) - size[other])
-            mark[own] = False
-            hit = other[both * THRESHOLD[1] >= (size[i] + size[other] - both) * THRESHOLD[0]]
-            if len(hit):
-                names, at = np.unique(label[hit], return_index=True)
-                out += [(rep[i], rep[j]) for j in hit[at].tolist()]
-                label[np.isin(label, names)] = label[i]
-    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    def run(key, left, right):
+        import pandas as pd
+
+        out = []
+        if not left.empty and not right.empty:
+            n = len(left)
+            texts = pa.array([*left["text"], *right["text"]], pa.string())
+            cells, doc = elements(*K.buffers(texts))
+            _, code = np.unique(cells, return_inverse=True)
+            first = np.searchsorted(doc, np.arange(len(texts) + 1))
+            size = np.diff(first)
+            label = np.concatenate([left["component"].to_numpy(), right["component"].to_numpy()])
+            rep = np.concatenate([left["rep"].to_numpy(), right["rep"].to_numpy()])
+            mark = np.zeros(len(cells) + 1, bool)
+            for i in np.argsort(rep[:n], kind="stable").tolist():
+                near = np.minimum(size[n:], size[i]) * THRESHOLD[1] >= np.maximum(size[n:], size[i]) * THRESHOLD[0]
+                other = n + np.flatnonzero((label[n:] != label[i]) & near & (rep[n:] > rep[i] if ordered else True))
+                if not len(other):
+                    continue
+                own = code[first[i] : first[i + 1]]
+                mark[own] = True
+                part = np.concatenate([code[first[j] : first[j + 1]] for j in other.tolist()])
+                both = np.add.reduceat(mark[part].astype(np.int64), np.cumsum(size[other]) - size[other])
+                mark[own] = False
+                hit = other[both * THRESHOLD[1] >= (size[i] + size[other] - both) * THRESHOLD[0]]
+                if len(hit):
+                    names, at = np.unique(label[hit], return_index=True)
+                    out += [(rep[i], rep[j]) for j in hit[at].tolist()]
+                    label[np.isin(label, names)] = label[i]
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return run
+
+
+def _may_link(a: str, b: str):
+    """Whether total weights allow a similarity of THRESHOLD."""
+    return F.least(a, b) * THRESHOLD[1] >= F.greatest(a, b) * THRESHOLD[0]
+
+
+def _strangers(named: DataFrame, texts: DataFrame) -> DataFrame | None:
+    """Links between members of one bucket that its centre did not show, both not the centre; named: bucket, rep, weight, centre, component of all members.
+
+    A bucket's largest component is its main one, members of others are strangers. A stranger is compared with the main component's members, whose texts are carried
+    once for all buckets; strangers of several components in one bucket are compared with each other. Both by blocks of BLOCK texts.
+    """
+    counts = named.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.count_if(F.col("rep") != F.col("centre")).alias("others"))
+    mixed = counts.groupBy("bucket").agg(F.max(F.struct("n", "component", "others")).alias("main"), F.count("*").alias("kinds")).filter("kinds > 1")
+    mixed = written(mixed.select("bucket", "kinds", F.col("main.component").alias("main"), F.col("main.others").alias("others")), "mixed")
+    strange = written(named.filter("rep <> centre").join(mixed, "bucket").filter("component <> main").select("bucket", "rep", "weight", "component", "main", "others", "kinds"), "strangers")
+    if strange.isEmpty():
+        return None
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    dealt = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")
+
+    # Strangers against main components: where the main component has the centre alone in the bucket, all was compared before.
+    whole = named.select("rep", "weight", "component").distinct()
+    items = strange.filter("others > 0").select(F.col("main"), "rep", "weight", "component").distinct()
+    mains = whole.join(items.select(F.col("main").alias("component")).distinct(), "component", "left_semi")
+    spread = mains.groupBy("component").agg(F.count("*").alias("n"), F.min("weight").alias("low"), F.max("weight").alias("high")).select(F.col("component").alias("main"), blocks, "low", "high")
+    fits = (F.col("weight") * THRESHOLD[1] >= F.col("low") * THRESHOLD[0]) & (F.col("high") * THRESHOLD[1] >= F.col("weight") * THRESHOLD[0])
+    items = written(items.join(spread, "main").filter(fits).select("main", "blocks", "rep", "component"), "items")
+    used = items.select("main", "blocks").distinct()
+    fresh = lambda names: [F.col(c).alias(c) for c in names]  # noqa: E731  columns of their own for either side
+    sides = fresh(["main", "i", "rep", "component", "text"])
+    left = items.withColumn("i", every("blocks")).join(texts, "rep").select(sides)
+    right = mains.withColumnRenamed("component", "main").join(used, "main").withColumn("i", dealt("blocks")).join(texts, "rep").withColumn("component", F.col("main")).select(sides)
+    keys = ["main", "i"]
+    found = written(left.groupBy(keys).cogroup(right.groupBy(keys)).applyInPandas(_across(False), "a long, b long"), "links")
+
+    # Strangers against each other; equal sets of them are compared once.
+    several = strange.groupBy("bucket").agg(
+        F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"), F.bit_xor(F.xxhash64("rep")).alias("x"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("y")
+    )
+    sets = several.filter("low <> high").groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket", blocks)
+    own = written(strange.join(sets, "bucket").select("bucket", "rep", "component", "blocks"), "sets")
+    if own.isEmpty():
+        return found
+    carried = own.join(texts, "rep").withColumn("at", dealt("blocks"))
+    sides, keys = fresh(["bucket", "i", "j", "rep", "component", "text"]), ["bucket", "i", "j"]
+    left = carried.withColumn("i", F.col("at")).withColumn("j", every("blocks")).select(sides)
+    right = carried.withColumn("j", F.col("at")).withColumn("i", every("blocks")).select(sides)
+    more = written(left.groupBy(keys).cogroup(right.groupBy(keys)).applyInPandas(_across(True), "a long, b long"), "links")
+    return found.unionByName(more)
 
 
 def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, class_id, kept for each row of documents."""
     own = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     hashed = own.select("doc_id", "text", F.md5(F.coalesce("text", F.lit(""))).alias("text_hash"))
-    signed = written(hashed.filter("doc_id is not null").mapInArrow(_sign, "doc_id long, text_hash string, bands array<long>"), "signed")
-    least = signed.groupBy("text_hash").agg(F.min(F.struct("doc_id", "bands")).alias("x")).select("text_hash", F.col("x.doc_id").alias("name"), "x.bands")
+    signed = written(hashed.filter("doc_id is not null").mapInArrow(_sign, "doc_id long, text_hash string, weight long, bands array<long>"), "signed")
+    least = signed.groupBy("text_hash").agg(F.min(F.struct("doc_id", "weight", "bands")).alias("x")).select("text_hash", F.col("x.doc_id").alias("name"), "x.weight", "x.bands")
     classes = written(least.withColumn("rep", F.monotonically_increasing_id()), "classes")  # as a table, so that the ids stay; a doc_id may have several texts
-    placed = classes.select("rep", F.explode("bands").alias("bucket"))
-    centres = placed.groupBy("bucket").agg(F.min("rep").alias("centre"), F.max("rep").alias("other")).filter("centre <> other").select("bucket", "centre")
-    centres = written(centres, "centres")  # a table, as below, so that a hot key's side of the join can be split
+    placed = classes.select("rep", "weight", F.explode("bands").alias("bucket"))
+    centres = placed.groupBy("bucket").agg(F.min(F.struct("rep", "weight")).alias("centre"), F.count("*").alias("n")).filter("n > 1")
+    centres = written(centres.select("bucket", F.col("centre.rep").alias("centre"), F.col("centre.weight").alias("centre_weight")), "centres")  # a table, as below, so that a hot key's side of the join can be split
     shared = written(placed.join(centres, "bucket"), "buckets")
 
     needed = classes.join(shared.select("rep").distinct(), "rep", "left_semi").select("rep", "text_hash", F.col("name").alias("doc_id"))
@@ -189,22 +249,12 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
         whole = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "a_text", "b_text")
         return written(whole.mapInArrow(_verify, "a long, b long"), "links")
 
-    links = linked(shared.filter("rep <> centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct())
+    pairs = shared.filter((F.col("rep") != F.col("centre")) & _may_link("weight", "centre_weight"))
+    links = linked(pairs.select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct())
     first = components(links)
-    named = shared.join(first.withColumnRenamed("id", "rep"), "rep", "left").select("bucket", "rep", F.coalesce("component", "rep").alias("component"))
-    mixed = named.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).filter("low <> high").select("bucket", "n")
-    members = named.join(mixed, "bucket").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-    rest = written(members.join(texts, "rep"), "mixed")
-    if not rest.isEmpty():
-        # A bucket's members are dealt over blocks; each block meets each block of its bucket in one task.
-        block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-        left = rest.withColumn("i", block).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        right = rest.withColumn("j", block).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        keys, carried = ["bucket", "i", "j"], ["bucket", "i", "j", "rep", "component", "text"]
-        more = written(left.select(carried).groupBy(keys).cogroup(right.select(carried).groupBy(keys)).applyInPandas(_across, "a long, b long"), "links")
-        final = components(links.unionByName(more)) if not more.isEmpty() else first
-    else:
-        final = first
+    named = shared.join(first.withColumnRenamed("id", "rep"), "rep", "left").select("bucket", "rep", "weight", "centre", F.coalesce("component", "rep").alias("component"))
+    more = _strangers(written(named, "members"), texts)
+    final = first if more is None or more.isEmpty() else components(links.unionByName(more))
     named = classes.select("text_hash", "name", "rep").join(final.withColumnRenamed("id", "rep"), "rep", "left").select("text_hash", "name", F.coalesce("component", "rep").alias("component"))
     named = written(named, "named")
     names = named.groupBy("component").agg(F.min("name").alias("class_id"))
