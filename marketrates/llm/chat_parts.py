@@ -5,11 +5,14 @@ for each attachment; it records the attachment's reference and how many tokens i
 
     <|turn|>role NEWLINE text <|end|>NEWLINE
 
-where control strings inside role and text are escaped: every backslash is doubled, a backslash goes after the first character of each control string, and line ends
-in a role get a backslash before them. Reading back removes the backslashes, so any text survives. The loss mask holds the characters of assistant turns' text.
-
-Turns are formatted row by row, without a shuffle; a conversation's output is its turns in order. Null role or text is empty; rows of equal turn follow in the order
-of role and text; a null conv_id is a conversation of its own. Unknown part types are an error.
+where role and text are escaped: every backslash, each character that a control string can begin with and line ends in a role are written as a backslash and a
+letter. So no control string stands in an escaped text, whatever is overlapped, and none arises where parts meet; reading back restores any text. The loss mask
+holds the characters of assistant turns' text.
+
+Turns are formatted row by row, without a shuffle; a conversation's output is its turns in order, a null turn first. Null role or text is empty; rows of equal turn
+follow in the order of role and text, and rows that repeat are turns of their own; a null conv_id is a conversation. Unknown part types are an error; other
+columns, whatever their names, are left out; an empty table gives no rows. A turn of any length is one row; a conversation's digests run over its rows in order in
+one task, as a hash over all its text has to, with one batch of rows held.
 """
 
 from __future__ import annotations
@@ -30,16 +33,26 @@ OPEN, CLOSE = "<|turn|>", "<|end|>\n"
 #: Tokens for an image tile, a second of audio and a page of a document.
 TILE_TOKENS, TILE_PIXELS, SECOND_TOKENS, PAGE_TOKENS = 85, 512, 25, 600
 
-_control = re.compile("|".join(map(re.escape, sorted(CONTROL, key=len, reverse=True))))
-_escaped = re.compile(r"\\(.)", re.DOTALL)
+#: What stands for each character that a control string begins with.
+LETTERS = {"<": "l", "|": "p", "[": "b"}
+_codes = str.maketrans({"\\": "\\\\"} | {c: "\\" + x for c, x in LETTERS.items()})
+_plain = {x: c for c, x in LETTERS.items()} | {"\\": "\\", "n": "\n"}
+_escaped = re.compile(r"\\(.)")
 
 
 def escape(text: str) -> str:
-    return _control.sub(lambda m: m[0][0] + "\\" + m[0][1:], text.replace("\\", "\\\\"))
+    return text.translate(_codes)
 
 
 def unescape(text: str) -> str:
-    return _escaped.sub(r"\1", text)
+    return _escaped.sub(lambda m: _plain[m[1]], text)
+
+
+def unescaped(column):
+    """unescape in Spark: a letter is a code after an odd number of backslashes."""
+    for c, x in [*LETTERS.items(), ("\n", "n")]:
+        column = F.regexp_replace(column, rf"(?<!\\)((?:\\\\)*)\\{x}", f"$1{c}")
+    return F.regexp_replace(column, r"\\\\", r"\\")
 
 
 class Visitor:
@@ -79,7 +92,7 @@ def turn(role: str | None, parts: list[dict]) -> dict:
     v = Visitor()
     for part in parts:
         v.visit(part)
-    head = OPEN + escape(role or "").replace("\n", "\\\n") + "\n"
+    head = OPEN + escape(role or "").replace("\n", "\\n") + "\n"
     body = "".join(v.text)
     loss = role == "assistant"
     return {
@@ -91,14 +104,11 @@ def turn(role: str | None, parts: list[dict]) -> dict:
     }
 
 
-_head_end = re.compile(r"(?:[^\\\n]|\\.)*\n", re.DOTALL)
-
-
 def read_turn(formatted: str) -> tuple[str, str]:
     """(role, text) of a formatted turn; placeholders stay in the text."""
     if not formatted.startswith(OPEN) or not formatted.endswith(CLOSE):
         raise ValueError("not a formatted turn")
-    cut = _head_end.match(formatted, len(OPEN)).end()
+    cut = formatted.index("\n", len(OPEN)) + 1
     return unescape(formatted[len(OPEN) : cut - 1]), unescape(formatted[cut : len(formatted) - len(CLOSE)])
 
 
@@ -166,8 +176,9 @@ def digests(formatted: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pylist([row()], schema)
 
     spark = formatted.sparkSession
-    own = formatted.select("conv_id", "turn", "role", "formatted", "loss_start", "loss_end")
-    sorted_rows = own.repartition(partitions(spark), "conv_id").sortWithinPartitions("conv_id", "turn", "role", "formatted")
+    said = unescaped(F.expr(f"substr(formatted, 1, length(formatted) - {len(CLOSE)})"))
+    own = formatted.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), said.alias("said"), "formatted", "loss_start", "loss_end")
+    sorted_rows = own.repartition(partitions(spark), "conv_id").sortWithinPartitions("conv_id", "turn", "role", "said").drop("said")
     return sorted_rows.mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
@@ -180,17 +191,16 @@ def digest_query(conversations: DataFrame) -> DataFrame:
 
 def oracle() -> str:
     """The query in SQL, the lengths of the escaped texts included."""
-    control = sorted(CONTROL, key=len, reverse=True)
-    pattern = "|".join(re.escape(c).replace("\\<", "<").replace("\\>", ">").replace("\\/", "/") for c in control)
-    escaped = lambda x: f"(length(replace({x}, '\\', '\\\\')) + len(regexp_extract_all(replace({x}, '\\', '\\\\'), '{pattern}')))"
+    special = "".join(LETTERS)
+    escaped = lambda x: f"(length({x}) + length({x}) - length(translate({x}, '\\{special}', '')))"
     frame = len(OPEN) + 1 + len(CLOSE)
     return f"""
         WITH t AS (
           SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
           UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]')
         SELECT conv_id, count(*) AS n_turns,
-          sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+          sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
           cast(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
-          sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+          sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
           cast(sum({escaped("text")} + {escaped("role")} + length(role) - length(replace(role, chr(10), '')) + {frame}) AS BIGINT) AS formatted_chars
         FROM t GROUP BY conv_id"""

@@ -4,9 +4,12 @@ import base64
 import hashlib
 import random
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from marketrates.llm import chat_parts, pq_neighbours, store, warc_index
 
@@ -68,6 +71,34 @@ def test_turns_read_back():
             assert got["formatted"].count("<|end|>") == 1
 
 
+MARKS = st.sampled_from([*chat_parts.CONTROL, "<", "|", ">", "[", "]", "/", "s>", "INST]", "end|", "<|end", "\\", "\n", "é", " "])
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.lists(MARKS, max_size=6).map("".join), max_size=6), st.lists(MARKS, max_size=4).map("".join))
+def test_no_control_string_is_left_whatever_the_parts(texts, role):
+    got = chat_parts.turn(role, [{"type": "text", "text": t} for t in texts])
+    head = len(chat_parts.OPEN)
+    inside = got["formatted"][head : -len(chat_parts.CLOSE)]
+    assert not any(c in inside for c in chat_parts.CONTROL)
+    assert got["formatted"].count(chat_parts.OPEN) == got["formatted"].count(chat_parts.CLOSE) == 1
+    assert chat_parts.read_turn(got["formatted"]) == (role, "".join(texts))
+    mixed = chat_parts.turn(role, [x for t in texts for x in ({"type": "text", "text": t}, {"type": "image", "uri": "i"})])
+    inside = mixed["formatted"][head : -len(chat_parts.CLOSE)]
+    assert inside.count("<image") == len(texts) == len(mixed["attachments"])
+    assert not any(c in inside for c in chat_parts.CONTROL if c != "<image")
+
+
+def test_equal_turns_follow_in_the_order_of_role_and_text(spark):
+    texts = ["<|a", "<a", "\\b", "[c", "<", "", None, "|", "ab", "a<"]
+    rows = [(1, t, role, x) for t in (None, 0) for role in ("user", None, "", "assistant") for x in texts]
+    con = duckdb.connect()
+    con.register("conversations", pa.table({"conv_id": [x[0] for x in rows], "turn": pa.array([x[1] for x in rows], pa.int64()), "role": [x[2] for x in rows], "text": [x[3] for x in rows]}))
+    want = con.sql(chat_parts.oracle())
+    got = chat_parts.digest_query(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3))
+    assert sorted(tuple(x) for x in got.select(*want.columns).collect()) == sorted(want.fetchall())
+
+
 def test_typed_parts():
     parts = [{"type": "text", "text": "see <image:7> "}, {"type": "image", "uri": "i.png", "width": 1000, "height": 300}, {"type": "audio", "uri": "a.wav", "seconds": 1.5}, {"type": "text", "text": " and "}, {"type": "document", "uri": "d.pdf", "pages": 3}]
     got = chat_parts.turn("user", parts)
