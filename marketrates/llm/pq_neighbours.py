@@ -5,11 +5,14 @@ by the nearest of CODES codewords. A query is compared with the lists it probes
 query is not quantised); candidates are ranked again by exact cosine in double precision.
 
 Probes and candidates are sufficient, not a fixed number. With cosine c, unit vectors lie within r = sqrt(2 - 2c) of each other. A partner of the query can only be in
-another list if that list's border with any list is at most r beyond the query, and if the query is at most r farther from the list's centroid than its farthest member
-and at most r nearer than its nearest; all other lists are left out, which is certain, however the vectors are spread. Of two lists that may hold partners of each
-other, one is probed from the other, and a link found so counts for both its ends. A partner's table distance is at most r plus the length of what its code leaves
-over, which is kept with each code, so no candidate is lost in a list. Centroids and codewords are fitted on FIT_ROWS classes of least hash, a documented bound; every class is indexed.
-The number of lists is the root of the number of classes, within LISTS.
+another list if that list's border with any list is at most r beyond the query along the border's normal, and if the query is at most r farther from the list's centroid
+than its farthest member and at most r nearer than its nearest. A pair's difference that points anywhere lies along a given normal with r / sqrt(dimension) at most in
+the mean of squares, so borders are tested with MARGIN of these deviations where pairs do point anywhere, and with the whole r, which is certain, where they may not:
+for queries of all lists that hold ends of the fitting sample's links, unless each of these links, measured along the list's borders, stays within MARGIN / 2 deviations.
+So groups dense enough to shape centroids are probed with certainty however they are spread, and others with chance of 0.003 to lose a pair that lies just at the line
+between two lists. Of two lists that may hold partners of each other, one is probed from the other, and a link found so counts for both its ends. A partner's table
+distance is at most r plus the length of what its code leaves over, which is kept with each code, so no candidate is lost in a list. Centroids and codewords are fitted
+on FIT_ROWS classes of least hash, a documented bound; every class is indexed. The number of lists is the root of the number of classes, within LISTS.
 
 Lists are dealt out in blocks of BLOCK members and BLOCK queries to a task, each task returns the number of links of each of its queries and a spanning forest of the
 links it found, never the pairs themselves; counts are added up and forests joined into components.
@@ -33,12 +36,13 @@ from .components import components
 from .store import written
 
 COSINE = 0.95
-LISTS, SUBSPACES, CODES = (16, 1024), 8, 32
-MARGIN = 3.0  # what a narrower probe would take, in deviations of an even spread; only measured in tests, since it loses links
+LISTS, SUBSPACES, CODES = (16, 4096), 8, 32
+MARGIN = 3.0  # deviations of a pair's difference along a border's normal where pairs point anywhere
 BORDERS = 8
-FIT_ROWS = 8192
+FIT_ROWS = (8192, 32768)  # eight for each list, within these
 BLOCK = 2048
 SLACK = 1e-9
+ROUNDING = 1e-5  # of table distances in single precision; candidates are ranked again in double
 
 
 def _nearest(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -82,24 +86,40 @@ class Quantiser:
             over += d
         return at, codes, np.sqrt(over)
 
-    def probes(self, x: np.ndarray, reach: float, shells: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
-        """(row, list): whether a vector within reach of the row can be in the list; shells: distances of each list's nearest and farthest member to its centroid."""
+    def probes(self, x: np.ndarray, reach: float, shells: tuple[np.ndarray, np.ndarray] | None = None, along: np.ndarray | float | None = None) -> np.ndarray:
+        """(row, list): whether a vector within reach of the row can be in the list.
+
+        shells: distances of each list's nearest and farthest member to its centroid; along: how far such a vector lies along a border's normal at most, reach if not given.
+        """
         d = (x**2).sum(1)[:, None] - 2 * x @ self.coarse.T + (self.coarse**2).sum(1)
         row, near = np.arange(len(x)), np.ones(d.shape, bool)
+        wide = 2 * np.broadcast_to(np.asarray(reach if along is None else along), len(x))[:, None]
         for other in np.argsort(d, 1, kind="stable")[:, :BORDERS].T:  # borders with the nearest lists, the row's own first
-            near &= d - d[row, other][:, None] <= 2 * reach * self.between[other] + SLACK
+            near &= d - d[row, other][:, None] <= wide * self.between[other] + SLACK
         if shells is not None:
             least, most = shells
             near &= (d <= (most + reach + SLACK) ** 2) & (d >= np.maximum(least - reach - SLACK, 0) ** 2 - SLACK)
         return near
 
+    def reaches(self, sample: np.ndarray, reach: float) -> np.ndarray:
+        """How far along borders queries of each list probe: MARGIN deviations, the whole reach where two thirds of that lose a link of the sample."""
+        narrow = min(reach, MARGIN * reach / sample.shape[1] ** 0.5)
+        at, _ = _nearest(sample, self.coarse)
+        near, out = self.probes(sample, reach, along=narrow * 2 / 3), np.full(len(self.coarse), narrow)
+        for a in range(0, len(sample), 1024):
+            i, j = np.nonzero(sample[a : a + 1024] @ sample.T >= 1 - reach**2 / 2)
+            i = i + a
+            lost = ~(near[i, at[j]] & near[j, at[i]])
+            out[at[i[lost]]] = reach
+        return out
+
     def tables(self, x: np.ndarray, at: int) -> np.ndarray:
-        """(row, subspace, code): squared distances from the rows' residuals to the codewords in a list."""
+        """(subspace, code, row): squared distances from the rows' residuals to the codewords in a list."""
         rest = x - self.coarse[at]
-        out = np.full((len(x), len(self.books), CODES), np.inf)
+        out = np.full((len(self.books), CODES, len(x)), np.inf, np.float32)
         for j, book in enumerate(self.books):
             own = rest[:, self.edges[j] : self.edges[j + 1]]
-            out[:, j, : len(book)] = np.maximum((own**2).sum(1)[:, None] - 2 * own @ book.T + (book**2).sum(1), 0)
+            out[j, : len(book)] = np.maximum((own**2).sum(1) - 2 * book @ own.T + (book**2).sum(1)[:, None], 0)
         return out
 
 
@@ -140,13 +160,18 @@ def block(q: Quantiser, at: int, queries: pd.DataFrame, members: pd.DataFrame, c
     own, weight = queries["own"].to_numpy(), queries["size"].to_numpy()
     reach = np.sqrt(2 - 2 * cosine)
     counts, back, forest = np.zeros(len(x), np.int64), np.zeros(len(y), np.int64), []
+    limit = ((reach + over + ROUNDING) ** 2).astype(np.float32)[:, None]
     for a in range(0, len(x), 256):
         part = x[a : a + 256]
-        table = q.tables(part, at)
-        far = np.zeros((len(part), len(y)))
-        for j in range(codes.shape[1]):
-            far += table[:, j, :][:, codes[:, j]]
-        i, m = np.nonzero(np.sqrt(far) <= reach + over + SLACK)
+        table, found = q.tables(part, at), []
+        for b in range(0, len(y), 512):
+            own_codes = codes[b : b + 512]
+            far = table[0][own_codes[:, 0]]  # a row of the table for each member: all queries at once
+            for j in range(1, codes.shape[1]):
+                far += table[j][own_codes[:, j]]
+            m, i = np.nonzero(far <= limit[b : b + 512])
+            found.append((i, m + b))
+        i, m = (np.concatenate(z) for z in zip(*found))
         other = qi[a + i] != mi[m]
         i, m = i[other], m[other]
         exact = np.einsum("ij,ij->i", part[i], y[m])
@@ -219,11 +244,12 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
 
 def _links(classes: DataFrame, dimension: int, cosine: float) -> DataFrame:
     spark = classes.sparkSession
-    sample = classes.orderBy(F.xxhash64("unit"), "rep").limit(FIT_ROWS).select("unit").toPandas()
     lists = min(max(int(classes.count() ** 0.5), LISTS[0]), LISTS[1])
-    q = Quantiser(_rows(sample["unit"]), lists)
+    sample = _rows(classes.orderBy(F.xxhash64("unit"), "rep").limit(min(max(8 * lists, FIT_ROWS[0]), FIT_ROWS[1])).select("unit").toPandas()["unit"])
+    q = Quantiser(sample, lists)
     held = spark.sparkContext.broadcast(q)  # so many vectors, and CODES
     reach = float(np.sqrt(2 - 2 * cosine))
+    along = q.reaches(sample, reach)
 
     def index(batches):
         for batch in batches:
@@ -247,7 +273,7 @@ def _links(classes: DataFrame, dimension: int, cosine: float) -> DataFrame:
         q, lists = held.value, np.arange(len(held.value.coarse))
         for batch in batches:
             home = np.asarray(batch.column(0))
-            near = q.probes(_rows(batch.column(2).to_pylist()), reach, (least, most))
+            near = q.probes(_rows(batch.column(2).to_pylist()), reach, (least, most), along[home])
             apart = lists - home[:, None]
             near &= np.where((lists + home[:, None]) % 2 == 0, apart > 0, apart < 0)  # one of each two lists probes the other
             near[:, np.setdiff1d(lists, filled)] = False

@@ -226,10 +226,10 @@ def test_probes_and_tables_lose_nothing():
     at, codes, over = q.code(y)
     reach = np.sqrt(0.1)
     assert q.probes(x, reach)[near, at[near]].all()
-    assert q.probes(x, reach * pq_neighbours.MARGIN / 24**0.5)[near, at[near]].mean() > 0.99
+    assert q.probes(x, reach, along=reach * pq_neighbours.MARGIN / 24**0.5)[near, at[near]].mean() > 0.99
     for i in near[:100]:
-        table = q.tables(x[i : i + 1], at[i])[0]
-        assert np.sqrt(table[np.arange(codes.shape[1]), codes[i]].sum()) <= reach + over[i] + 1e-9
+        table = q.tables(x[i : i + 1], at[i])[:, :, 0]
+        assert np.sqrt(table[np.arange(codes.shape[1]), codes[i]].sum()) <= reach + over[i] + pq_neighbours.ROUNDING
 
 
 def test_empty(spark):
