@@ -2,7 +2,11 @@
 
 import base64
 import hashlib
+import pathlib
 import random
+import re
+import urllib.parse
+import zlib
 
 import duckdb
 import numpy as np
@@ -51,6 +55,44 @@ def test_warc_reads_selected_records_in_joined_ranges(spark, pages):
     assert all(r["start"] == r["records"][0]["offset"] for r in whole)
 
 
+def test_warc_is_valid(spark, pages):
+    """A parser of its own, by the published format: members, mandatory fields, block lengths, HTTP messages, references."""
+    path = store.scratch(spark, "warc")
+    index = warc_index.write(pages, path).collect()
+    ids, refers, found = set(), set(), 0
+    for file in pathlib.Path(path).iterdir():
+        raw, records = file.read_bytes(), []
+        while raw:
+            d = zlib.decompressobj(wbits=31)
+            records.append(d.decompress(raw))
+            assert d.eof
+            raw = d.unused_data
+        for n, x in enumerate(records):
+            head, block = x.split(b"\r\n\r\n", 1)
+            version, *lines = head.decode("utf-8").split("\r\n")
+            fields = [line.split(": ", 1) for line in lines]
+            f = dict(fields)
+            assert version == "WARC/1.1" and len(f) == len(fields) and all(v and not any(ord(c) < 32 for c in v) for v in f.values())
+            assert re.fullmatch(r"<urn:uuid:[0-9a-f-]{36}>", f["WARC-Record-ID"]) and re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", f["WARC-Date"])
+            assert block[int(f["Content-Length"]) :] == b"\r\n\r\n"
+            assert f["WARC-Type"] == ("warcinfo" if n == 0 else f["WARC-Type"]) and (n == 0 or f["WARC-Type"] in ("response", "revisit"))
+            if n == 0:
+                assert f["Content-Type"] == "application/warc-fields"
+                continue
+            found += 1
+            assert f["Content-Type"] == "application/http;msgtype=response" and urllib.parse.urlparse(f["WARC-Target-URI"]).scheme
+            http, payload = block[:-4].split(b"\r\n\r\n", 1)
+            assert http.startswith(b"HTTP/1.1 200 OK\r\n")
+            if f["WARC-Type"] == "response":
+                ids.add(f["WARC-Record-ID"])
+                assert f["WARC-Payload-Digest"] == "sha1:" + base64.b32encode(hashlib.sha1(payload).digest()).decode()
+                assert int(re.search(rb"Content-Length: (\d+)", http)[1]) == len(payload)
+            else:
+                assert payload == b"" and f["WARC-Profile"].endswith("identical-payload-digest")
+                refers.add(f["WARC-Refers-To"])
+    assert found == len(index) == pages.count() and refers and refers <= ids
+
+
 def test_warc_threshold_and_empty(spark, pages):
     path = store.scratch(spark, "warc")
     kinds = {r["page_id"]: r["record_type"] for r in warc_index.write(pages, path, min_payload=100).collect()}
