@@ -8,7 +8,9 @@ left extensions of two members agree for so long that the repeat reaches SPAN by
 
 Hot anchors of more than HOT occurrences are not gathered in one task: their windows are hashed to 128 bits and counted by grouped aggregation instead.
 
-Texts are UTF-8 bytes; null is the empty text. Repeated rows are copies like any others. Texts with exact copies are covered whole where they have SPAN bytes.
+Texts are UTF-8 bytes; null is the empty text. Repeated rows are copies like any others, each with an id of its own. Texts with exact copies are covered whole where
+they have SPAN bytes, and are searched once. Ties between anchors go to the leftmost. Texts of any length go through in pieces of CHUNK bytes; a text itself is one
+row. Other columns are carried in a struct, so their names clash with nothing. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -273,7 +275,8 @@ def _identified(documents: DataFrame, key: str, text: str) -> DataFrame:
     """The text, the other columns in a struct, and what tells texts and rows apart."""
     carried = F.struct(*[F.col(c) for c in documents.columns if c != text]).alias("carried")
     own = documents.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), carried).withColumn("text_hash", F.md5("text"))
-    return bucketed(own.withColumn("row_id", F.xxhash64("doc_id", "text_hash")), "texts", "row_id")  # two joins with the texts follow
+    # Each row has an id of its own, equal ones too; a lost task gives the same ids again where documents are read again in the same order, as files are.
+    return bucketed(own.withColumn("row_id", F.monotonically_increasing_id()), "texts", "row_id")  # two joins with the texts follow
 
 
 def _contexts(own: DataFrame, places: DataFrame) -> DataFrame:
@@ -306,7 +309,8 @@ def repeats(documents: DataFrame, key: str = "doc_id", text: str = "text", hot:
     counts = own.groupBy("text_hash").agg(F.count("*").alias("n"))
     each = own.select("text_hash", "text").dropDuplicates(["text_hash"]).join(counts, "text_hash")
     each = each.withColumn("copy", F.explode(F.sequence(F.lit(0), F.when(F.col("n") > 1, 1).otherwise(0))))
-    each = bucketed(each.select("text_hash", "text", F.xxhash64("text_hash", "copy").alias("row_id")), "searched", "row_id")
+    each = each.sortWithinPartitions("text_hash", "copy").select("text_hash", "text", F.monotonically_increasing_id().alias("row_id"))  # sorted, so that a lost task gives the same ids again
+    each = bucketed(each, "searched", "row_id")
     places = written(_met(each, hot), "places")
     spans = _contexts(each, places.filter("not hot")).repartition(partitions(own.sparkSession), "key").sortWithinPartitions("key")
     found = spans.mapInArrow(_repeat_groups, "group_id string, length long, row_id long, start long")

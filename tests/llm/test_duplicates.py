@@ -109,6 +109,25 @@ def test_repeat_groups_of_copies_and_hot_anchors(spark):
     assert covered >= {(i, k) for i in (0, 5, 6, 7, 8, 9) for k in range(len(raw[i]))}
 
 
+def test_repeated_rows_are_searched_once(spark, monkeypatch):
+    r = random.Random(5)
+    text, other = words(r, 150), words(r, 150)
+    seen = []
+    contexts = repeat_tree._contexts
+
+    def counted(own, places):
+        seen.append(places.count())
+        return contexts(own, places)
+
+    monkeypatch.setattr(repeat_tree, "_contexts", counted)
+    for n in (2, 40):
+        frame = spark.createDataFrame([(1, text)] * n + [(2, other), (2, other + text)], "doc_id long, text string")
+        rows = repeat_tree.digest_query(frame).collect()
+        assert [x["n_removed"] for x in rows if x["doc_id"] == 1] == [len(text)] * n
+        assert sorted(x["n_removed"] for x in rows if x["doc_id"] == 2) == [len(other), len(other + text)]
+    assert seen[0] == seen[1] > 0
+
+
 def test_anchors_cover_all_windows():
     r = random.Random(1)
     raw = words(r, 30_000).encode()
