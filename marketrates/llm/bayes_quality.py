@@ -8,8 +8,14 @@ Sites: the documents' probabilities are summed by host and by path, over all doc
 paths of a host differ that of the host's (moments); each host's posterior shrinks to the global rate and each path's to its host's, the more so the fewer
 documents it has. A document's score adds its path's log odds, less the global ones, to its own evidence; it is kept at KEEP or more.
 
+Where documents have a URL, site_columns() gives its host and the first folder of its path; `documents` of the query has none, so there source stands for the host and
+lang for the path, which is a coarser site than a path is.
+
 good means quality 1 and not toxic. Labels of the FIT_ROWS documents of least hash are used, the one bound; all documents are scored, and all count for their sites.
-Null text: no words, no evidence beyond the curve's constant. A null host or path is a site of its own ('<none>'). Without labels of both kinds all are kept.
+Null or empty text: no words, no evidence beyond the curve's constant. A null host or path is a site of its own ('<none>'). Without labels of both kinds all are kept.
+A doc_id with several labels is good only if all say so. Rows that repeat are scored alike and count as often as they occur. Ties in evidence change nothing: sums
+do not depend on their order. Texts of any length are scored whole, in blocks of BLOCK_BYTES, a longer text as a block. Other columns, whatever their names, are left
+out of the result, or carried in a struct by keep_good(). An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -176,10 +182,16 @@ def _strength(mean, square, weight, prior):
     return F.coalesce(F.least(F.greatest(m * (1 - m) / F.when(spread > 0, spread) - 1, F.lit(2.0)), F.lit(1000.0)), F.lit(prior))
 
 
-def judge(documents: DataFrame, model: Evidence | None, host: str = "source", path: str = "lang", keep: float = KEEP) -> DataFrame:
+def site_columns(url) -> tuple:
+    """(host, first folder of the path) of a URL column, in lower case; null where it has none."""
+    host = F.lower(F.try_parse_url(url, F.lit("HOST")))
+    return host, F.nullif(F.regexp_extract(F.try_parse_url(url, F.lit("PATH")), "^(/[^/]*)/", 1), F.lit(""))
+
+
+def judge(documents: DataFrame, model: Evidence | None, host: str = "source", path: str = "lang", keep: float = KEEP, url: str | None = None, carry: bool = False) -> DataFrame:
     """doc_id, evidence (log odds), host_rate, path_rate (posterior means), score, kept for each row.
 
-    Documents have no URL: source stands for the host and lang for the path unless other columns are named.
+    url: a column to take host and path from instead of the columns named; carry: also `carried`, a struct of all the row's columns.
     """
     held = documents.sparkSession.sparkContext.broadcast(model)
 
@@ -188,12 +200,15 @@ def judge(documents: DataFrame, model: Evidence | None, host: str = "source", pa
         for batch in batches:
             data, offsets = K.buffers(batch.column(1))
             x = m.log_odds(data, offsets) if m else np.full(len(batch), 35.0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), pa.array(x)], ["doc_id", "host", "path", "evidence"])
+            rest = batch.columns[4:]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), *rest, pa.array(x)], ["doc_id", "host", "path", *["carried"] * len(rest), "evidence"])
 
     none = F.lit("<none>")
-    own = documents.select("doc_id", "text", F.coalesce(F.col(host).cast("string"), none).alias("host"), F.coalesce(F.col(path).cast("string"), none).alias("path"))
-    kind = dict(own.dtypes)["doc_id"]
-    scored = written(own.mapInArrow(run, f"doc_id {kind}, host string, path string, evidence double"), "evidence")
+    site = site_columns(F.col(url)) if url else (F.col(host).cast("string"), F.col(path).cast("string"))
+    whole = [F.struct(*documents.columns).alias("carried")] * carry
+    own = documents.select("doc_id", "text", F.coalesce(site[0], none).alias("host"), F.coalesce(site[1], none).alias("path"), *whole)
+    kinds = ", ".join(f"{c} {t}" for c, t in own.dtypes if c != "text")
+    scored = written(own.mapInArrow(run, f"{kinds}, evidence double"), "evidence")
     chance = F.least(F.greatest(1 / (1 + F.exp(-F.col("evidence"))), F.lit(1e-6)), F.lit(1 - 1e-6))
     paths = written(scored.groupBy("host", "path").agg(F.sum(chance).alias("good"), F.count("*").alias("n")), "sites")
     hosts = paths.groupBy("host").agg(F.sum("good").alias("host_good"), F.sum("n").alias("host_n"))
@@ -216,7 +231,12 @@ def judge(documents: DataFrame, model: Evidence | None, host: str = "source", pa
     sites = written(sites, "rates")  # a table, so that a hot site's side of the join can be split
     joined = scored.join(sites, ["host", "path"], "left")
     score = 1 / (1 + F.exp(-(F.col("evidence") + F.coalesce("shift", F.lit(0.0)))))
-    return joined.select("doc_id", "evidence", "host_rate", "path_rate", score.alias("score"), (score >= keep).alias("kept"))
+    return joined.select("doc_id", "evidence", "host_rate", "path_rate", score.alias("score"), (score >= keep).alias("kept"), *["carried"] * carry)
+
+
+def keep_good(documents: DataFrame, model: Evidence | None) -> DataFrame:
+    """The rows that judge() keeps, with all their columns; rows of equal doc_id are told apart."""
+    return judge(documents, model, carry=True).filter("kept").select("carried.*")
 
 
 def quality(documents: DataFrame, labels: DataFrame) -> DataFrame:

@@ -12,7 +12,9 @@ components: strangers with the members of the bucket's main component, whose tex
 returns the links that join components, never pairs. No bucket is expanded into its pairs.
 
 Result: doc_id, class_id (smallest doc_id of the component), kept (doc_id = class_id). A text without words, or null, links with nothing. Rows of equal doc_id
-and text are one document; a null doc_id gets class null and is kept.
+and text are one document; texts of one doc_id stay apart unless they are alike; a null doc_id gets class null and is kept. A similarity of exactly 0.8 links. Texts of
+any length are compared whole, in blocks of BLOCK_BYTES, a longer text as a block. Other columns, whatever their names, are left out, or carried in a struct by
+keep_first(). An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -229,10 +231,10 @@ def _strangers(named: DataFrame, texts: DataFrame) -> DataFrame | None:
     return found.unionByName(more)
 
 
-def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, class_id, kept for each row of documents."""
+def _classes(documents: DataFrame, key: str, text: str) -> DataFrame:
+    """text_hash, class_id, first (whether the text stands for the class) of each text with words: a written table."""
     own = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    hashed = own.select("doc_id", "text", F.md5(F.coalesce("text", F.lit(""))).alias("text_hash"))
+    hashed = own.select("doc_id", "text", _hash("text"))
     signed = written(hashed.filter("doc_id is not null").mapInArrow(_sign, "doc_id long, text_hash string, weight long, bands array<long>"), "signed")
     least = signed.groupBy("text_hash").agg(F.min(F.struct("doc_id", "weight", "bands")).alias("x")).select("text_hash", F.col("x.doc_id").alias("name"), "x.weight", "x.bands")
     classes = written(least.withColumn("rep", F.monotonically_increasing_id()), "classes")  # as a table, so that the ids stay; a doc_id may have several texts
@@ -257,13 +259,30 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     final = first if more is None or more.isEmpty() else components(links.unionByName(more))
     named = classes.select("text_hash", "name", "rep").join(final.withColumnRenamed("id", "rep"), "rep", "left").select("text_hash", "name", F.coalesce("component", "rep").alias("component"))
     named = written(named, "named")
-    names = named.groupBy("component").agg(F.min("name").alias("class_id"))
-    named = written(named.join(names, "component").select("text_hash", "class_id"), "named")
-    found = signed.select("doc_id", "text_hash").join(named, "text_hash").select("doc_id", "text_hash", "class_id").distinct()
-    every = hashed.select("doc_id", "text_hash")
-    return every.join(found, ["doc_id", "text_hash"], "left").select(
-        "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce(F.col("class_id") == F.col("doc_id"), F.lit(True)).alias("kept")
-    )
+    names = named.groupBy("component").agg(F.min(F.struct("name", "text_hash")).alias("least"))
+    first = (F.col("text_hash") == F.col("least.text_hash")).alias("first")
+    return written(named.join(names, "component").select("text_hash", F.col("least.name").alias("class_id"), first), "named")  # a table, so that a hot text's side of the join can be split
+
+
+def _hash(text: str):
+    return F.md5(F.coalesce(F.col(text), F.lit(""))).alias("text_hash")
+
+
+def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, class_id, kept for each row of documents."""
+    every = documents.select(F.col(key).cast("long").alias("doc_id"), _hash(text)).join(_classes(documents, key, text).drop("first"), "text_hash", "left")
+    class_id = F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id")
+    return every.select("doc_id", class_id).select("*", F.coalesce(F.col("class_id") == F.col("doc_id"), F.lit(True)).alias("kept"))
+
+
+def keep_first(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each class, all columns: of its smallest id, and the text of least hash where that id has several. Rows without an id or words stay, once each."""
+    carried = F.struct(*documents.columns).alias("carried")
+    own = documents.select(F.col(key).cast("long").alias("doc_id"), _hash(text), carried).join(_classes(documents, key, text), "text_hash", "left")
+    free = F.col("doc_id").isNull() | F.col("class_id").isNull()
+    kept = own.filter(free | (F.col("first") & (F.col("doc_id") == F.col("class_id"))))
+    # What repeats among the few rows left of a class: equal texts of one id.
+    return kept.withColumn("of", F.when(free, F.struct("doc_id", "text_hash", F.xxhash64("carried").alias("x"))).otherwise(F.struct("doc_id", "text_hash", F.lit(0).cast("long").alias("x")))).dropDuplicates(["of"]).select("carried.*")
 
 
 def oracle() -> str:

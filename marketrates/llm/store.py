@@ -10,8 +10,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Rows in one Arrow batch; a batch of whole texts must fit a Python worker.
-BATCH_ROWS = 1000
+#: Rows and bytes in one Arrow batch, whichever comes first: a batch of whole texts must fit a Python worker, and offsets of 32 bits.
+BATCH_ROWS, BATCH_BYTES = 1000, 64 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -38,10 +38,14 @@ def ship(spark: SparkSession) -> None:
 
 
 def tune(spark: SparkSession) -> None:
-    """Session settings that bound what one Python worker holds; the package where the workers lack it."""
+    """Session settings that bound what one Python worker holds; the package where the workers lack it.
+
+    The settings stay, since plans made now run later.
+    """
     ship(spark)
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) != BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     spark.conf.set("spark.sql.execution.arrow.useLargeVarTypes", "false")
 
 

@@ -1,11 +1,15 @@
 """The pipeline's stages: each acts on all that the one before kept, and its decisions take effect."""
 
+import random
+
+import numpy as np
+import pyarrow as pa
 import pytest
 
 pytest.importorskip("corpus_pipeline")
 import corpus_pipeline as C  # noqa: E402
 
-from marketrates.llm import bayes_quality, dart_minhash, ngram_quality, repeat_tree, store  # noqa: E402
+from marketrates.llm import bayes_quality, dart_minhash, kernels, ngram_quality, repeat_tree, store  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -52,6 +56,23 @@ def test_passages_and_packing(stages):
     assert sorted({r[0] for r in packed.select("doc_id").collect()}) == ids(docs)
 
 
+def test_rows_that_share_an_id_are_told_apart(spark):
+    store.tune(spark)
+    r = random.Random(6)
+    words = lambda n: " ".join("".join(r.choices("abcdefgh", k=5)) for _ in range(n))
+    a, b, c = words(80), words(80), words(80)
+    rows = [(1, a, "en", "s", 1), (1, b, "en", "s", 1), (2, a + " end", "en", "s", 1), (2, c, "en", "s", 1), (3, c, "en", "s", 1), (3, c, "fr", "s", 1), (None, a, "en", "s", 1), (None, a, "en", "s", 1), (4, "", "en", "s", 0)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    out = C.near_duplicates(spark, spark.createDataFrame(rows, schema), "")
+    assert sorted((x["doc_id"] or 0, x["text"]) for x in out.collect()) == sorted([(1, a), (1, b), (2, c), (0, a), (4, "")])
+    odds = np.zeros(2 * bayes_quality.HALF)
+    _, feature, _ = bayes_quality.tokens(*kernels.buffers(pa.array(["zzz"])))
+    odds[feature[feature < bayes_quality.HALF]] = 9.0
+    frame = spark.createDataFrame([(1, a, "en", "s", 1), (1, a + " zzz", "en", "s", 1)], schema)
+    kept = bayes_quality.keep_good(frame, bayes_quality.Evidence(odds, np.array([-1.0, 0.0, 1.0])))
+    assert [tuple(x) for x in kept.collect()] == [(1, a, "en", "s", 1)]
+
+
 def test_odd_rows(spark, sf_dir):
     store.tune(spark)
     schema = "doc_id long, text string, lang string, source string, n_chars long"

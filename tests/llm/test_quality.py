@@ -1,6 +1,7 @@
 """Operators 2 and 9: base statistics against brute force, models on held-out labels, odd rows."""
 
 import collections
+import math
 import random
 import re
 
@@ -70,6 +71,53 @@ def test_bayes_quality_on_held_out_labels(tables):
     assert all(0 < r["path_rate"] < 1 and 0 < r["host_rate"] < 1 for r in out.values())
 
 
+def brute_posteriors(rows):
+    """(host rate, path rate, score) of each (evidence, host, path), in plain Python from the published formulas."""
+    chance = lambda x: min(max(1 / (1 + math.exp(-x)), 1e-6), 1 - 1e-6)
+    logit = lambda p: math.log(p / (1 - p))
+    hosts, paths = collections.defaultdict(list), collections.defaultdict(list)
+    for x, host, path in rows:
+        hosts[host].append(chance(x))
+        paths[host, path].append(chance(x))
+    everything = [p for own in hosts.values() for p in own]
+    overall = sum(everything) / len(everything)
+    mean = lambda own: sum(own) / len(own)
+
+    def strength(rate, variance):
+        return min(max(rate * (1 - rate) / variance - 1, 2.0), 1000.0) if variance > 0 else 50.0
+
+    a = strength(overall, sum(len(o) * mean(o) ** 2 for o in hosts.values()) / len(everything) - overall**2)
+    b = strength(overall, sum(len(o) * (mean(o) - mean(hosts[h])) ** 2 for (h, _), o in paths.items()) / len(everything))
+    out = []
+    for x, host, path in rows:
+        h, p = hosts[host], paths[host, path]
+        host_rate = (sum(h) + a * overall) / (len(h) + a)
+        path_rate = (sum(p) + b * host_rate) / (len(p) + b)
+        out.append((host_rate, path_rate, 1 / (1 + math.exp(-(x + logit(path_rate) - logit(overall))))))
+    return out
+
+
+def test_posteriors_against_plain_python(spark):
+    r = random.Random(3)
+    names = [f"w{chr(97 + i)}" for i in range(12)]
+    odds = np.zeros(2 * bayes_quality.HALF)
+    for i, w in enumerate(names):
+        _, feature, _ = bayes_quality.tokens(*kernels.buffers(pa.array([w])))
+        odds[feature[feature < bayes_quality.HALF]] = i / 3
+    model = bayes_quality.Evidence(odds, np.array([-1.0, 0.0, 1.5]))
+    urls = [f"http://{h}.example/{p}/page" for h in ("a", "b", "c", "d") for p in "xyz" for _ in range(r.randrange(1, 40))] + [None, "no url", "http://e.example/top"]
+    rows = [(i, " ".join(r.choices(names[:4] if u and "a.ex" in u else names, k=2)), u, "clash") for i, u in enumerate(urls)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, url string, host string").repartition(3)
+    got = {x["doc_id"]: x for x in bayes_quality.judge(frame, model, url="url").collect()}
+    site = lambda u: ("<none>", "<none>") if not u or ":" not in u else (u.split("/")[2], "/" + u.split("/")[3] if u.count("/") > 3 else "<none>")
+    own = [(got[i]["evidence"], *site(u)) for i, _, u, _ in rows]
+    for (i, *_), want in zip(rows, brute_posteriors(own)):
+        assert (got[i]["host_rate"], got[i]["path_rate"], got[i]["score"]) == pytest.approx(want, rel=1e-9)
+        assert got[i]["kept"] == (want[2] >= bayes_quality.KEEP)
+    kept = bayes_quality.judge(frame, model, url="url", carry=True).filter("kept").select("carried.*")
+    assert kept.columns == frame.columns and {x["doc_id"] for x in kept.collect()} == {i for i in got if got[i]["kept"]}
+
+
 def test_sparse_sites_shrink_further(spark):
     rows = [(i, "bad", "big", "p") for i in range(400)] + [(900, "bad", "small", "p")] + [(1000 + i, "fine", "other", "q") for i in range(400)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
