@@ -1,8 +1,9 @@
 """A training corpus from `documents`: quality rules, site-level quality, near duplicates, repeated passages, packing.
 
 STAGES lists (name, function); each function takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read as the next one's docs.
-All but the last return the columns of documents. Rows that are null or empty in any column pass through the stages as their operators define; rows that
-repeat whole are one row after the near-duplicate stage.
+All but the last return the columns of documents; a verdict is on a row, so rows that share a doc_id are told apart. Null and empty texts fail the quality rules.
+Rows without a doc_id pass the near-duplicate stage, once each where they repeat whole; of the others one of each class stays. Texts of any length, ties and an
+empty table go as the operators' docstrings say; other columns than those of documents are left out.
 """
 
 from __future__ import annotations
@@ -17,12 +18,6 @@ from marketrates.llm import bayes_quality, cost_packing, dart_minhash, ngram_qua
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def _kept(docs: DataFrame, verdict: DataFrame) -> DataFrame:
-    """The rows whose doc_id has a kept row in the verdict (null ids compare as equal)."""
-    good = verdict.filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(good, docs["doc_id"].eqNullSafe(good["kept_id"]), "left_semi").select(COLUMNS)
-
-
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 9: documents that fail the base rules or the n-gram regression go."""
     store.tune(spark)
@@ -32,13 +27,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 2: documents that the hierarchical classifier rejects go, toxic ones among them."""
     store.tune(spark)
-    return _kept(docs, bayes_quality.quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    return bayes_quality.keep_good(docs.select(COLUMNS), bayes_quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 5: the document of smallest doc_id of each group stays."""
+    """Operator 5: one document of each group stays, that of smallest doc_id."""
     store.tune(spark)
-    return _kept(docs, dart_minhash.near_duplicates(docs)).dropDuplicates()
+    return dart_minhash.keep_first(docs.select(COLUMNS))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
