@@ -122,7 +122,7 @@ def pack_documents(documents: DataFrame, tokenizer: str, end_id: int = 0, length
 
         for batch in batches:
             keys += batch.column(0).to_pylist()
-            own = [x + end for x in lib.ids(batch.column(1).to_pylist())]
+            own = [x + end for x in lib.ids(batch.column(1))]
             held += own
             total += sum(map(len, own)) // width
             if total >= WINDOW_IDS:

@@ -145,8 +145,7 @@ def _blocks(tokenizer: str, end_id: int):
             return pa.RecordBatch.from_pylist([out], _schema)  # one block, however many documents
 
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for key, ids in zip(keys, (x + end for x in lib.ids(texts))):
+            for key, ids in zip(batch.column(0).to_pylist(), (x + end for x in lib.ids(batch.column(1)))):
                 n = len(ids) // size
                 if total and total + n > BLOCK_IDS:
                     yield row()
