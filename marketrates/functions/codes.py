@@ -5,53 +5,58 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Code systems by how they are treated.
-DRG_SYSTEMS = ["ms-drg", "apr-drg", "tris-drg", "drg", "r-drg", "s-drg", "aps-drg", "ap-drg"]
+#: Fixed values, in the published order: code systems by how they are treated.
 LOCAL_SYSTEMS = ["cdm", "local"]
-SPECIFIC_SYSTEMS = ["cpt", "hcpcs", "ndc", "cdt", "hipps", *DRG_SYSTEMS]
+DRG_SYSTEMS = ["drg", "ms-drg", "r-drg", "s-drg", "aps-drg", "ap-drg", "apr-drg", "tris-drg", "ms-ltc-drg"]
+SPECIFIC_SYSTEMS = ["cpt", "hcpcs", "ndc", "cdt", "apc", "eapg", "hipps", "cmg", *DRG_SYSTEMS]
+#: Layouts of ten digits that show which segment is short, and where its zero goes.
+NDC_LAYOUTS = {"4-4-2": 0, "5-3-2": 5, "5-4-1": 9}
+#: Forms that codes of a system must have to be valid; other systems are not validated.
+VALID_FORMS = {"rc": "^[0-9]{4}$", "ms-drg": "^[0-9]{3}$", "cpt": "^[0-9]{4}[0-9A-Z]$", "hcpcs": "^([A-Z][0-9]{4}|[0-9]{4}[0-9A-Z])$", "ndc": "^[0-9]{11}$"}
 
 
-def ndc_layout(x: Column) -> Column:
-    """Which hyphen layout a drug code has: 4-4-2, 5-3-2, 5-4-1, 5-4-2, digits_11, digits_10 or unknown."""
-    text = F.trim(x)
-    out = F.lit("unknown")
-    for layout in ("4-4-2", "5-3-2", "5-4-1", "5-4-2"):
-        a, b, c = layout.split("-")
-        out = F.when(text.rlike(f"^[0-9]{{{a}}}-[0-9]{{{b}}}-[0-9]{{{c}}}$"), layout).otherwise(out)
-    out = F.when(text.rlike("^[0-9]{11}$"), "digits_11").otherwise(out)
-    return F.when(text.rlike("^[0-9]{10}$"), "digits_10").otherwise(out)
+def _layout(layout: str) -> str:
+    return "^" + "-".join(f"[0-9]{{{n}}}" for n in layout.split("-")) + "$"
 
 
 def ndc11(x: Column) -> Column:
-    """Eleven digits where the layout proves which segment is short; null otherwise."""
-    text, layout = F.trim(x), ndc_layout(x)
-    digits = F.regexp_replace(text, "-", "")
-    return (
-        F.when(layout == "4-4-2", F.concat(F.lit("0"), digits))
-        .when(layout == "5-3-2", F.concat(F.substring(digits, 1, 5), F.lit("0"), F.substring(digits, 6, 5)))
-        .when(layout == "5-4-1", F.concat(F.substring(digits, 1, 9), F.lit("0"), F.substring(digits, 10, 1)))
-        .when(layout.isin("5-4-2", "digits_11"), digits)
-    )
+    """Eleven digits where there are eleven, or where the layout of ten proves which segment is short; null otherwise."""
+    digits = F.regexp_replace(x, "[^0-9]", "")
+    out = F.when(F.length(digits) == 11, digits)
+    for layout, at in NDC_LAYOUTS.items():
+        out = out.when(x.rlike(_layout(layout)), F.concat(F.substring(digits, 1, at), F.lit("0"), F.substring(digits, at + 1, 10)))
+    return out
+
+
+def ndc_status(x: Column) -> Column:
+    """How a drug code is written: canonical_11(_unhyphenated), padded_from_10_*, ambiguous_10_unhyphenated, invalid_layout, invalid_length; null for null."""
+    digits = F.length(F.regexp_replace(x, "[^0-9]", ""))
+    out = F.when(x.rlike("^[0-9]{11}$"), "canonical_11_unhyphenated").when(digits == 11, "canonical_11")
+    for layout in NDC_LAYOUTS:
+        out = out.when(x.rlike(_layout(layout)), "padded_from_10_" + layout.replace("-", "_"))
+    return out.when(x.rlike("^[0-9]{10}$"), "ambiguous_10_unhyphenated").when(digits == 10, "invalid_layout").when(x.isNotNull(), "invalid_length")
 
 
 def match_code(system: Column, code: Column) -> Column:
-    """The form in which codes of a system are compared: zero-padded numbers, 11-digit drug codes, else upper case without white space."""
-    plain = F.upper(F.regexp_replace(code, r"\s+", ""))
-    padded = lambda n: F.when(plain.rlike(f"^[0-9]{{1,{n}}}$"), F.lpad(plain, n, "0")).otherwise(plain)
-    return F.nullif(
-        F.when(system == "rc", padded(4)).when(system.isin(DRG_SYSTEMS), padded(3)).when(system == "apc", padded(4)).when(system == "ndc", F.coalesce(ndc11(code), plain)).otherwise(plain),
-        F.lit(""),
+    """The form in which cleaned codes of a system are compared: zero-padded numbers, 11-digit drug codes, else upper case without white space."""
+    padded = lambda systems, n: system.isin(systems) & code.rlike(f"^[0-9]{{1,{n}}}$")
+    return (
+        F.when(code.isNull(), None)
+        .when(padded(["rc", "apc"], 4), F.lpad(code, 4, "0"))
+        .when(padded(DRG_SYSTEMS, 3), F.lpad(code, 3, "0"))
+        .when((system == "apc") & code.rlike("^0[0-9]{4}$"), F.substring(code, 2, 4))
+        .when((system == "ndc") & ndc11(code).isNotNull(), ndc11(code))
+        .otherwise(F.upper(F.regexp_replace(code, r"\s+", "")))
     )
 
 
-def code_status(system: Column, match: Column) -> Column:
-    """missing, unknown, valid, invalid_format or not_validated, from the code's match form."""
-    m = match
-    shape = {"cpt": "^([0-9]{5}|[0-9]{4}[A-Z])$", "hcpcs": "^([A-Z][0-9]{4}|[0-9]{5}|[0-9]{4}[A-Z])$", "rc": "^[0-9]{4}$", "apc": "^[0-9]{4}$", "ndc": "^[0-9]{11}$", "cdt": "^D[0-9]{4}$"}
-    out = F.when(system.isin(DRG_SYSTEMS), F.when(m.rlike("^[0-9]{3}$"), "valid").otherwise("invalid_format")).otherwise("not_validated")
-    for name, pattern in shape.items():
-        out = F.when(system == name, F.when(m.rlike(pattern), "valid").otherwise("invalid_format")).otherwise(out)
-    return F.when(m.isNull(), "missing").when(system.isNull(), "unknown").otherwise(out)
+def code_status(code: Column, kind: Column, system: Column, match: Column) -> Column:
+    """missing_code, missing_code_system, unknown_code_system, valid, invalid_format or not_validated; kind is the cleaned type, system what it stands for."""
+    out = F.when(code.isNull(), "missing_code").when(kind.isNull(), "missing_code_system").when(system.isNull(), "unknown_code_system")
+    for name, form in VALID_FORMS.items():
+        fits = ndc11(code).isNotNull() if name == "ndc" else match.rlike(form)
+        out = out.when(system == name, F.when(fits, "valid").otherwise("invalid_format"))
+    return out.otherwise("not_validated")
 
 
 def comparable_across_publishers(system: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Texts that stand for nothing.
+#: Fixed values, in the published order: texts that stand for nothing.
 NULL_TOKENS = ["", "null", "none", "n/a", "na", "not applicable", "not available", "unknown", "-"]
 
 
@@ -21,8 +21,8 @@ def clean_display_text(x: Column) -> Column:
 
 
 def title_case(x: Column) -> Column:
-    """First letter of each space-separated word in upper case, the rest in lower."""
-    return F.initcap(x)
+    """Cleaned text with the first letter of each space-separated word in upper case, the rest in lower."""
+    return F.initcap(clean_text(x))
 
 
 def description_tokens(x: Column) -> Column:
@@ -41,14 +41,16 @@ def slug(x: Column) -> Column:
 
 def context_slug(name: Column, amount_kind: Column, methodology: Column, key: Column) -> Column:
     """Slug of a comparison context: the service, the kind of price, how it was agreed, ten characters of the key."""
-    price = F.when(amount_kind == "negotiated_dollar", "negotiated").when(amount_kind == "discounted_cash", "cash").when(amount_kind == "gross_charge", "gross").otherwise(amount_kind)
+    price = F.when(amount_kind == "negotiated_dollar", "negotiated").when(amount_kind == "discounted_cash", "cash").when(amount_kind == "gross_charge", "list").otherwise(amount_kind)
     how = F.when((methodology.isNotNull()) & (methodology != "not applicable"), slug(methodology))
     return F.concat_ws("-", slug(name), slug(price), how, F.substring(key, 1, 10))
 
 
 def methodology_label(x: Column) -> Column:
-    labels = {"case rate": "Case rate", "fee schedule": "Fee schedule", "per diem": "Per diem", "percent of total billed charges": "Percent of charges", "other": "Other method"}
-    out = F.lit("Method not stated")
+    """What the public is told of a methodology; others are shown as they are."""
+    #: Fixed values.
+    labels = {"fee schedule": "Fee schedule (per item/service)", "case rate": "Case rate (per episode)", "per diem": "Per diem (per day)", "not applicable": "Not applicable"}
+    out = x
     for value, label in labels.items():
         out = F.when(x == value, label).otherwise(out)
     return out
@@ -60,6 +62,7 @@ def description_availability(description: Column, restricted: Column) -> Column:
 
 def schema_family(version: Column) -> Column:
     """2.1, 2.2 or 3.0 from a version's first characters."""
+    version = clean_text(version)
     return F.when(version.like("2.1%"), "2.1").when(version.like("2.2%"), "2.2").when(version.like("3.%"), "3.0")
 
 

@@ -15,6 +15,11 @@ from .reshape import non_null_names
 FLOOR = 3
 UNMATCHED = "<unmatched>"
 CONTEXT = ["service_code_key", "setting", "billing_class", "modifier_signature", "amount_kind", "comparison_methodology", "drug_unit"]
+#: Fixed values, in the published order: reasons not to compare a row; the last two need its context's and its contract's other rows.
+BLOCKERS = [
+    "not_current_snapshot", "code_not_cross_hospital_comparable", "code_not_specific", "missing_match_code", "non_rankable_amount", "derived_dollar", "modifier_context_required", "drug_unit_context_missing",
+    "payer_unmatched", "market_segment_unknown", "below_min_hospital_denominator", "multiple_amounts_per_contract_context",
+]
 RANKED_KINDS = ["negotiated_dollar", "gross_charge", "discounted_cash"]
 
 
@@ -114,15 +119,8 @@ def hospital_amounts(spine: DataFrame, representatives: DataFrame) -> DataFrame:
 
 def distribution(amounts: DataFrame, floor: int = FLOOR) -> DataFrame:
     """Per context: counts of publishers, and the distribution of their amounts, withheld below the floor; outliers lie beyond 1.5 quartile ranges."""
-    own = Window.partitionBy("service_context_key")
-    quartile = lambda q: F.percentile("hospital_amount", q).over(own)
-    fenced = amounts.withColumns({"q1": quartile(0.25), "q3": quartile(0.75)})
-    fence = 1.5 * (F.col("q3") - F.col("q1"))
-    outside = (F.col("hospital_amount") < F.col("q1") - fence) | (F.col("hospital_amount") > F.col("q3") + fence)
-    n = F.count("hospital_amount")
-    shown = lambda c: F.when(n >= floor, c)
-    pct = lambda q: F.percentile("hospital_amount", q)
-    return fenced.groupBy("service_context_key").agg(
+    n, quantiles = F.count("hospital_amount"), [0.1, 0.25, 0.5, 0.75, 0.9]
+    own = amounts.groupBy("service_context_key").agg(
         F.sum("raw_observation_count").alias("observation_count"),
         F.sum("contract_count").alias("contract_count"),
         F.count("*").alias("reporting_hospital_count"),
@@ -130,15 +128,19 @@ def distribution(amounts: DataFrame, floor: int = FLOOR) -> DataFrame:
         (F.count("*") - n).alias("excluded_hospital_count"),
         F.sum(F.coalesce("ambiguous_contract_count", F.lit(0))).alias("ambiguous_contract_count"),
         (n >= floor).alias("meets_threshold"),
-        shown(F.min("hospital_amount")).alias("min_amount"),
-        shown(pct(0.1)).alias("p10_amount"),
-        shown(F.median("hospital_amount")).alias("median_amount"),
-        shown(pct(0.9)).alias("p90_amount"),
-        shown(F.max("hospital_amount")).alias("max_amount"),
-        shown(pct(0.75) - pct(0.25)).alias("iqr_amount"),
-        shown(F.when(pct(0.1) != 0, pct(0.9) / pct(0.1))).alias("spread_p90_to_p10"),
-        shown(F.count_if(outside)).alias("outlier_hospital_count"),
+        F.min("hospital_amount").alias("least"),
+        F.max("hospital_amount").alias("most"),
+        F.percentile("hospital_amount", quantiles).alias("q"),
+        F.collect_list("hospital_amount").alias("votes"),  # one for each publisher
     )
+    p10, p25, p50, p75, p90 = (F.col("q")[i] for i in range(5))
+    fence = 1.5 * (p75 - p25)
+    outside = F.size(F.filter("votes", lambda v: (v < p25 - fence) | (v > p75 + fence))).cast("long")
+    shown = {
+        "min_amount": F.col("least"), "p10_amount": p10, "p25_amount": p25, "median_amount": p50, "p75_amount": p75, "p90_amount": p90, "max_amount": F.col("most"), "iqr_amount": p75 - p25,
+        "spread_p90_to_p10": F.when(p10 != 0, p90 / p10), "outlier_hospital_count": outside,
+    }
+    return own.withColumns({name: F.when(F.col("meets_threshold"), c) for name, c in shown.items()}).drop("least", "most", "q", "votes")
 
 
 def peer_statistics(amounts: DataFrame, cohorts: dict[str, list[str]], value: str = "hospital_amount", floor: int = FLOOR) -> DataFrame:
@@ -155,6 +157,7 @@ def peer_statistics(amounts: DataFrame, cohorts: dict[str, list[str]], value: st
         own = own.withColumn(f"median_{name}", F.when(enough, F.median(value).over(group)))
         own = own.withColumn(f"pct_rank_{name}", F.when(enough, F.percent_rank().over(group.orderBy(F.col(value).asc_nulls_last()))))
         own = own.withColumn(f"delta_{name}", F.when(enough, F.col(value) - F.col(f"median_{name}")))
+        own = own.withColumn(f"pct_delta_{name}", F.when(F.col(f"median_{name}") != 0, F.col(f"delta_{name}") / F.col(f"median_{name}")))
     return own
 
 
@@ -171,6 +174,17 @@ def payer_amounts(representatives: DataFrame) -> DataFrame:
     )
 
 
+def payer_peers(representatives: DataFrame, floor: int = FLOOR) -> DataFrame:
+    """A matched payer's price at each publisher among its prices at all publishers in the context: peers, median, percent rank, withheld below the floor."""
+    own = payer_amounts(representatives).filter("negotiated_dollar is not null").select("payer_id", "hospital_id", "service_context_key", F.col("negotiated_dollar").alias("payer_hospital_amount"))
+    group = Window.partitionBy("payer_id", "service_context_key")
+    own = own.withColumn("payer_peer_hospital_count", F.count("*").over(group))
+    enough = F.col("payer_peer_hospital_count") >= floor
+    return own.withColumns({
+        "payer_market_median": F.when(enough, F.median("payer_hospital_amount").over(group)), "payer_pct_rank": F.when(enough, F.percent_rank().over(group.orderBy("payer_hospital_amount"))),
+    })
+
+
 def cash_comparison(payers: DataFrame, cash: DataFrame, on: list[str]) -> DataFrame:
     """Payer amounts against the same publisher's cash price on nullable context columns; per diems and ambiguous contracts are not compared."""
     other = cash.select(*[F.col(c).alias(f"_{c}") for c in on], F.col("hospital_amount").alias("cash_amount"))

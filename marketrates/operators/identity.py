@@ -10,18 +10,29 @@ from ..functions.text import description_tokens
 
 
 def with_item_identity(items: DataFrame, codes: DataFrame) -> DataFrame:
-    """Add service_item_id: publisher, the item's specific codes (else its categorical ones), description words and drug unit.
+    """Add description_token_signature, code_signature_specific, code_signature_all, drug_signature, identity_basis, identity_confidence and service_item_id.
 
-    items: hospital_id, item_id, description, drug_unit; codes: item_id, code_system, match_code, code_comparable, code_is_specific.
+    The identity is the publisher's, the item's specific codes (else all its codes), its description words and, of drugs, the drug codes and the unit; quantities are
+    left out. items: hospital_id, item_id, description, drug_unit_type (canonical where known), drug_unit; codes: item_id, code_system, code_type, match_code, code_is_specific.
     """
-    text = F.concat_ws(":", "code_system", "match_code")
-    signatures = codes.groupBy("item_id").agg(
-        signature_text(F.when(F.col("code_comparable") & F.col("code_is_specific"), text)).alias("specific"), signature_text(F.when(F.col("code_comparable") & ~F.col("code_is_specific"), text)).alias("categorical")
+    named = F.concat_ws(":", F.coalesce("code_system", "code_type", F.lit("unknown")), "match_code")
+    of = lambda when: signature_text(F.when(when, named))
+    signatures = codes.filter("match_code is not null").groupBy("item_id").agg(
+        F.md5(of(F.col("code_is_specific") & F.col("code_system").isNotNull())).alias("code_signature_specific"),
+        F.md5(of(F.lit(True))).alias("code_signature_all"),
+        signature_text(F.when(F.col("code_system") == "ndc", F.col("match_code"))).alias("ndc_codes"),
     )
     own = items.join(signatures, "item_id", "left")
-    basis = F.when(F.col("specific").isNotNull(), "specific").when(F.col("categorical").isNotNull(), "categorical").otherwise("uncoded")
-    key = surrogate_key("hospital_id", F.coalesce("specific", "categorical"), description_tokens(F.col("description")), "drug_unit")
-    return own.withColumns({"identity_basis": basis, "service_item_id": key}).drop("specific", "categorical")
+    specific, every = F.col("code_signature_specific"), F.col("code_signature_all")
+    by = lambda a, b, c: F.when(specific.isNotNull(), a).when(every.isNotNull(), b).otherwise(c)
+    drug = F.col("ndc_codes").isNotNull() | F.col("drug_unit_type").isNotNull() | F.col("drug_unit").isNotNull()
+    own = own.withColumns({
+        "description_token_signature": F.md5(description_tokens(F.col("description"))), "drug_signature": F.when(drug, surrogate_key("ndc_codes", "drug_unit_type")),
+        "identity_basis": by("specific_code", "categorical_code", "uncoded"), "identity_confidence": by("high", "medium", "low"),
+    })
+    rest = ["description_token_signature", "drug_signature"]
+    coded = surrogate_key("hospital_id", F.coalesce(specific, every), *rest)
+    return own.withColumn("service_item_id", F.when(every.isNotNull(), coded).otherwise(surrogate_key("hospital_id", *rest))).drop("ndc_codes")
 
 
 def item_history(observed: DataFrame) -> DataFrame:

@@ -38,7 +38,7 @@ def best_rule(inputs: DataFrame, rules: DataFrame, payer: str, plan: str, region
         "regex": F.rlike(F.concat_ws(" ", p, q), text),
     }
     condition = reduce(lambda a, b: a | b, [(rules["match_type"] == k) & t for k, t in tests.items()])
-    hit = own.join(F.broadcast(rules), condition & ((rules["scope"] == "global") | (rules["scope_region"] == own[region])))
+    hit = own.join(rules, condition & ((rules["scope"] == "global") | (rules["scope_region"] == own[region])))
     kind = F.array_position(F.array(*[F.lit(m) for m in MATCH_TYPES]), F.col("match_type"))
     rank = Window.partitionBy(payer, plan, region).orderBy("priority", (F.col("scope") != "state").cast("int"), kind, F.length("pattern").desc(), "rule_id")
     return hit.withColumn("rank", F.row_number().over(rank)).filter("rank = 1").select(payer, plan, region, "rule_id", *carry)

@@ -9,18 +9,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..functions.semantics import METHODOLOGIES, WHOLE_COUNT
 from ..functions.text import clean_text
 from .rules import Rule
 
-#: Accepted settings, classes, measures, methods, code types by family, states.
+#: Fixed values, in the published order: accepted settings, classes, measures, methods, code types by family, states.
 SETTINGS = ["inpatient", "outpatient", "both"]
 BILLING_CLASSES = ["professional", "facility", "both"]
 DRUG_TYPES = ["gr", "me", "ml", "un", "f2", "ea", "gm"]
-METHODOLOGIES = ["case rate", "fee schedule", "percent of total billed charges", "per diem", "other"]
-CODE_TYPES = ["cpt", "ndc", "hcpcs", "rc", "icd", "drg", "ms-drg", "r-drg", "s-drg", "aps-drg", "ap-drg", "apr-drg", "tris-drg", "apc", "local", "eapg", "hipps", "cdt", "cdm", "cmg", "ms-ltc-drg"]
+CODE_TYPES = ["cpt", "ndc", "hcpcs", "rc", "icd", "drg", "ms-drg", "r-drg", "s-drg", "aps-drg", "ap-drg", "apr-drg", "apc", "local", "eapg", "hipps", "cdt", "cdm", "tris-drg", "cmg", "ms-ltc-drg"]
 CODE_TYPES_SINCE_3 = ["cmg", "ms-ltc-drg"]
-STATES = "al ak az ar ca co ct de fl ga hi id il in ia ks ky la me md ma mi mn ms mo mt ne nv nh nj nm ny nc nd oh ok or pa ri sc sd tn tx ut vt va wa wv wi wy dc as gu mp pr vi".split()
-COUNT = r"^(0|1 through 10|1[1-9]|[2-9][0-9]+|[1-9][0-9]{2,})$"
+STATES = "al ak as az ar ca co ct de dc fm fl ga gu hi id il in ia ks ky la me mh md ma mi mn ms mo mt ne nv nh nj nm ny nc nd mp oh ok or pw pa pr ri sc sd tn tx ut vt vi va wa wv wi wy".split()
+COUNT = "^(0|1 through 10)$|" + WHOLE_COUNT
 
 
 def _has(name: str) -> Column:

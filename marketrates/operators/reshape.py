@@ -11,10 +11,11 @@ from ..functions.text import clean_text
 
 
 def unpivot_measures(frame: DataFrame, measures: list[dict], value: str = "amount_value") -> DataFrame:
-    """One row per measure that has a value. A measure is {'value': Column, and a literal for each other column}."""
-    names = [k for k in measures[0] if k != "value"]
-    cells = [F.struct(*[F.lit(m[n]).alias(n) for n in names], m["value"].alias(value)) for m in measures]
-    cell = F.explode(F.filter(F.array(*cells), lambda c: c[value].isNotNull())).alias("cell")
+    """One row per measure that is there. A measure is {'value': Column, and a literal or a Column for each other column}; 'present' says when it is there, else a value does."""
+    names = [k for k in measures[0] if k not in ("value", "present")]
+    lit = lambda x: x if isinstance(x, Column) else F.lit(x)
+    cells = [F.when(m.get("present", m["value"].isNotNull()), F.struct(*[lit(m[n]).alias(n) for n in names], m["value"].alias(value))) for m in measures]
+    cell = F.explode(F.filter(F.array(*cells), lambda c: c.isNotNull())).alias("cell")
     return frame.select("*", cell).select("*", "cell.*").drop("cell")
 
 

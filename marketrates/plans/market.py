@@ -9,7 +9,7 @@ from ..functions import semantics
 from ..functions.keys import signature_text, surrogate_key
 from ..operators import compare, identity, match, quality, reshape, rules, scope
 from . import star
-from .registry import query, r4
+from .registry import MARKET, query, r4
 from .sql import BLOCKERS
 
 # --- validation -------------------------------------------------------------------------------------------------------------------------------------------
@@ -126,7 +126,7 @@ _NAMED = """named AS (SELECT c_custkey, lower(trim(c_mktsegment)) AS payer, lowe
 
 def _named(m):
     c, n, r = m.table("customer"), m.table("nation"), m.table("region")
-    return c.join(F.broadcast(n), c["c_nationkey"] == n["n_nationkey"]).join(F.broadcast(r), F.col("n_regionkey") == F.col("r_regionkey")).select("c_custkey", F.lower(F.trim("c_mktsegment")).alias("payer"), F.lower("r_name").alias("region"))
+    return c.join(n, c["c_nationkey"] == n["n_nationkey"]).join(r, F.col("n_regionkey") == F.col("r_regionkey")).select("c_custkey", F.lower(F.trim("c_mktsegment")).alias("payer"), F.lower("r_name").alias("region"))
 
 
 @query(
@@ -138,7 +138,7 @@ def _named(m):
 def _(m):
     own = _named(m)
     aliases = m.spark.createDataFrame(_ALIASES, "alias_id int, alias string, canonical_id string, scope string, scope_region string, verified boolean")
-    return match.attach(own, match.best_alias(own, F.broadcast(aliases), "payer", "region"), ["payer", "region"]).select("c_custkey", "canonical_id")
+    return match.attach(own, match.best_alias(own, aliases, "payer", "region"), ["payer", "region"]).select("c_custkey", "canonical_id")
 
 
 @query(
@@ -227,12 +227,12 @@ def _(m):
     return scope.current_only(m.fact, m.snapshots).select("observation_id", "snapshot_id", "amount_value")
 
 
-@query("contract_representatives", "SELECT * FROM reps", model=True)
+@query("contract_representatives", "SELECT * FROM reps", model=True, keep=("rates", "snapshots", "bridge"))
 def _(m):
     return m.reps
 
 
-@query("hospital_amounts", "SELECT * REPLACE (round(hospital_amount, 4) AS hospital_amount) FROM amounts", model=True)
+@query("hospital_amounts", "SELECT * REPLACE (round(hospital_amount, 4) AS hospital_amount) FROM amounts", model=True, keep=("rates", "snapshots", "bridge"))
 def _(m):
     return m.amounts.withColumn("hospital_amount", r4("hospital_amount"))
 
@@ -256,15 +256,16 @@ def _more(ctes: str, body: str) -> str:
     _more(
         _SUMMARY,
         """SELECT service_context_key, observation_count, contract_count, reporting_hospital_count, hospital_count, excluded_hospital_count, ambiguous_contract_count, hospital_count >= 3 AS meets_threshold,
-       CASE WHEN hospital_count >= 3 THEN round(lo, 6) END AS min_amount, CASE WHEN hospital_count >= 3 THEN round(p10, 6) END AS p10_amount, CASE WHEN hospital_count >= 3 THEN round(p50, 6) END AS median_amount,
-       CASE WHEN hospital_count >= 3 THEN round(p90, 6) END AS p90_amount, CASE WHEN hospital_count >= 3 THEN round(hi, 6) END AS max_amount, CASE WHEN hospital_count >= 3 THEN round(p75 - p25, 6) END AS iqr_amount,
+       CASE WHEN hospital_count >= 3 THEN round(lo, 6) END AS min_amount, CASE WHEN hospital_count >= 3 THEN round(p10, 6) END AS p10_amount, CASE WHEN hospital_count >= 3 THEN round(p25, 6) END AS p25_amount, CASE WHEN hospital_count >= 3 THEN round(p50, 6) END AS median_amount,
+       CASE WHEN hospital_count >= 3 THEN round(p75, 6) END AS p75_amount, CASE WHEN hospital_count >= 3 THEN round(p90, 6) END AS p90_amount, CASE WHEN hospital_count >= 3 THEN round(hi, 6) END AS max_amount, CASE WHEN hospital_count >= 3 THEN round(p75 - p25, 6) END AS iqr_amount,
        CASE WHEN hospital_count >= 3 AND p10 <> 0 THEN round(p90 / p10, 6) END AS spread_p90_to_p10, CASE WHEN hospital_count >= 3 THEN outliers END AS outlier_hospital_count FROM g JOIN o USING (service_context_key)""",
     ),
     model=True,
+    keep=MARKET,
 )
 def _(m):
     own = compare.distribution(m.amounts)
-    for c in ("min_amount", "p10_amount", "median_amount", "p90_amount", "max_amount", "iqr_amount", "spread_p90_to_p10"):
+    for c in ("min_amount", "p10_amount", "p25_amount", "median_amount", "p75_amount", "p90_amount", "max_amount", "iqr_amount", "spread_p90_to_p10"):
         own = own.withColumn(c, r4(c, 6))  # more places than interpolation makes
     return own
 
@@ -286,7 +287,7 @@ def _rounded(frame, names):
 
 
 def _peers(m):
-    return compare.peer_statistics(m.amounts.join(F.broadcast(m.hospitals), "hospital_id", "left"), _COHORTS)
+    return compare.peer_statistics(m.amounts.join(m.hospitals, "hospital_id", "left"), _COHORTS)
 
 
 @query(
@@ -294,6 +295,7 @@ def _peers(m):
     f"""SELECT hospital_id, service_context_key, amount_kind, state, hospital_type, health_system, round(hospital_amount, 4) AS hospital_amount, {", ".join(_peer_sql(n, c) for n, c in _COHORTS.items())}
        FROM amounts LEFT JOIN hospitals USING (hospital_id) WHERE hospital_amount IS NOT NULL""",
     model=True,
+    keep=MARKET,
 )
 def _(m):
     own = _rounded(_peers(m), _COHORTS).withColumn("hospital_amount", r4("hospital_amount"))
@@ -310,12 +312,17 @@ def _(m):
        cash AS (SELECT hospital_id, hospital_amount, ctx.* EXCLUDE (service_context_key) FROM amounts JOIN ctx USING (service_context_key) WHERE amount_kind = 'discounted_cash' AND hospital_amount IS NOT NULL),
        j AS (SELECT hp.*, c.hospital_amount AS cash_amount FROM hp JOIN ctx x USING (service_context_key) LEFT JOIN cash c ON hp.hospital_id = c.hospital_id AND x.service_code_key IS NOT DISTINCT FROM c.service_code_key
          AND x.setting IS NOT DISTINCT FROM c.setting AND x.billing_class IS NOT DISTINCT FROM c.billing_class AND x.modifier_signature IS NOT DISTINCT FROM c.modifier_signature AND x.drug_unit IS NOT DISTINCT FROM c.drug_unit),
-       w AS (SELECT *, count(negotiated_dollar) OVER (PARTITION BY payer_id, service_context_key) AS payer_hospital_count, median(negotiated_dollar) OVER (PARTITION BY payer_id, service_context_key) AS med FROM j)
+       w AS (SELECT *, CASE WHEN negotiated_dollar IS NULL THEN 'ambiguous_negotiated_context' WHEN comparison_methodology = 'per diem' THEN 'per_diem_incompatible' WHEN cash_amount IS NULL THEN 'cash_unavailable' ELSE 'comparable' END AS cash_status,
+         count(negotiated_dollar) OVER (PARTITION BY payer_id, service_context_key) AS payer_hospital_count, median(negotiated_dollar) OVER (PARTITION BY payer_id, service_context_key) AS med FROM j)
        SELECT payer_id, hospital_id, service_context_key, contract_count, valid_contract_count, ambiguous_contract_count, round(negotiated_dollar, 4) AS negotiated_dollar, round(cash_amount, 4) AS cash_amount,
-         CASE WHEN negotiated_dollar IS NULL THEN 'ambiguous_negotiated_context' WHEN comparison_methodology = 'per diem' THEN 'per_diem_incompatible' WHEN cash_amount IS NULL THEN 'cash_unavailable' ELSE 'comparable' END AS cash_status,
-         CASE WHEN negotiated_dollar IS NOT NULL AND comparison_methodology <> 'per diem' THEN round(negotiated_dollar - cash_amount, 4) END AS delta_from_cash, payer_hospital_count,
-         CASE WHEN negotiated_dollar IS NOT NULL AND payer_hospital_count >= 3 THEN round(med, 4) END AS payer_market_median FROM w""",
+         cash_status, CASE WHEN negotiated_dollar IS NOT NULL AND comparison_methodology <> 'per diem' THEN round(negotiated_dollar - cash_amount, 4) END AS delta_from_cash, payer_hospital_count,
+         CASE WHEN negotiated_dollar IS NOT NULL AND payer_hospital_count >= 3 THEN round(med, 4) END AS payer_market_median,
+         CASE WHEN negotiated_dollar IS NULL THEN 'ambiguous_negotiated_context' WHEN payer_hospital_count < 3 THEN 'insufficient_denominator' WHEN (negotiated_dollar - med) / nullif(med, 0) <= -0.25 THEN 'well_below_payer_market'
+           WHEN (negotiated_dollar - med) / nullif(med, 0) <= -0.1 THEN 'below_payer_market' WHEN (negotiated_dollar - med) / nullif(med, 0) >= 0.25 THEN 'well_above_payer_market'
+           WHEN (negotiated_dollar - med) / nullif(med, 0) >= 0.1 THEN 'above_payer_market' ELSE 'near_payer_market' END AS contract_position,
+         CASE WHEN cash_status <> 'comparable' THEN cash_status WHEN negotiated_dollar < cash_amount THEN 'below_cash' WHEN negotiated_dollar > cash_amount THEN 'above_cash' ELSE 'equal_to_cash' END AS cash_position FROM w""",
     model=True,
+    keep=MARKET,
 )
 def _(m):
     context = ["service_code_key", "setting", "billing_class", "modifier_signature", "drug_unit"]
@@ -325,42 +332,71 @@ def _(m):
     own = compare.cash_comparison(payers, cash, ["hospital_id", *context])
     group = Window.partitionBy("payer_id", "service_context_key")
     own = own.withColumns({"payer_hospital_count": F.count("negotiated_dollar").over(group), "med": F.median("negotiated_dollar").over(group)})
+    apart = (F.col("negotiated_dollar") - F.col("med")) / F.nullif("med", F.lit(0.0))
     shown = F.when(F.col("negotiated_dollar").isNotNull() & (F.col("payer_hospital_count") >= compare.FLOOR), r4("med"))
     return own.select(
         "payer_id", "hospital_id", "service_context_key", "contract_count", "valid_contract_count", "ambiguous_contract_count", r4("negotiated_dollar").alias("negotiated_dollar"), r4("cash_amount").alias("cash_amount"),
         "cash_status", r4("delta_from_cash").alias("delta_from_cash"), "payer_hospital_count", shown.alias("payer_market_median"),
+        semantics.contract_position(F.col("negotiated_dollar"), F.col("payer_hospital_count"), apart).alias("contract_position"),
+        semantics.cash_position(F.col("cash_status"), F.col("negotiated_dollar"), F.col("cash_amount")).alias("cash_position"),
     )
 
 
+_BLOCKERS_12 = [*BLOCKERS, "below_min_hospital_denominator", "multiple_amounts_per_contract_context"]
+
+
 @query(
     "price_comparison",
-    """, p AS (SELECT service_context_key, count(*) AS peers, median(hospital_amount) AS med FROM amounts WHERE hospital_amount IS NOT NULL GROUP BY ALL),
-       ranks AS (SELECT hospital_id, service_context_key, hospital_amount, percent_rank() OVER (PARTITION BY service_context_key ORDER BY hospital_amount) AS pct FROM amounts WHERE hospital_amount IS NOT NULL),
-       i AS (SELECT item_id, snapshot_id, setting, billing_class, modifier_signature, max(CASE WHEN amount_kind = 'gross_charge' THEN amount_value END) AS g, max(CASE WHEN amount_kind = 'discounted_cash' THEN amount_value END) AS c FROM fact GROUP BY ALL)
-       SELECT s.observation_id, s.service_context_key, s.comparison_tier, round(hospital_amount, 4) AS hospital_amount, peers, CASE WHEN peers >= 3 THEN round(med, 4) END AS market_median, CASE WHEN peers >= 3 THEN round(pct, 6) END AS pct_rank,
-         coalesce(s.comparison_tier = 'tier_2_context_aligned' AND s.is_price_rankable AND coalesce(peers, 0) < 3, false) AS below_min_denominator, coalesce(r.has_multiple_amounts, false) AS multiple_amounts,
-         round(cast(g AS DOUBLE) / nullif(cast(c AS DOUBLE), 0), 6) AS gross_to_cash
-       FROM spine s LEFT JOIN ranks k ON s.hospital_id = k.hospital_id AND s.service_context_key = k.service_context_key LEFT JOIN p ON s.service_context_key = p.service_context_key
+    f""", hr AS (SELECT hospital_id, service_context_key, hospital_amount, percent_rank() OVER (PARTITION BY service_context_key ORDER BY hospital_amount) AS pct FROM amounts WHERE hospital_amount IS NOT NULL),
+       p AS (SELECT service_context_key, count(*) AS peers, median(hospital_amount) AS med, quantile_cont(hospital_amount, 0.1) AS p10, quantile_cont(hospital_amount, 0.9) AS p90 FROM hr GROUP BY ALL),
+       ph AS (SELECT payer_id, hospital_id, service_context_key, median(cast(contract_amount AS DOUBLE)) AS payer_amount FROM reps WHERE payer_id <> '<unmatched>' AND contract_amount IS NOT NULL GROUP BY ALL),
+       pp AS (SELECT payer_id, service_context_key, count(*) AS payer_peers, median(payer_amount) AS payer_med FROM ph GROUP BY ALL),
+       pk AS (SELECT *, percent_rank() OVER (PARTITION BY payer_id, service_context_key ORDER BY payer_amount) AS payer_pct FROM ph),
+       i AS (SELECT item_id, snapshot_id, setting, billing_class, modifier_signature, max(CASE WHEN amount_kind = 'gross_charge' THEN amount_value END) AS g, max(CASE WHEN amount_kind = 'discounted_cash' THEN amount_value END) AS c,
+         median(CASE WHEN amount_kind = 'negotiated_dollar' AND is_price_rankable THEN cast(amount_value AS DOUBLE) END) AS n FROM fact GROUP BY ALL),
+       x AS (SELECT s.*, hr.hospital_amount, hr.pct, peers, med, p10, p90, payer_amount, payer_pct, payer_peers, payer_med, g, c, n, r.contract_amount,
+         s.comparison_tier = 'tier_2_context_aligned' AND s.is_price_rankable AND coalesce(peers, 0) < 3 AS below_min_hospital_denominator, coalesce(r.has_multiple_amounts, false) AS multiple_amounts_per_contract_context
+       FROM spine s LEFT JOIN hr ON s.hospital_id = hr.hospital_id AND s.service_context_key = hr.service_context_key LEFT JOIN p ON s.service_context_key = p.service_context_key
        LEFT JOIN reps r ON s.hospital_id = r.hospital_id AND s.snapshot_id = r.snapshot_id AND s.service_context_key = r.service_context_key AND md5(s.payer_name || '||' || s.plan_name) = r.contract_key
+       LEFT JOIN pk ON s.payer_id = pk.payer_id AND s.hospital_id = pk.hospital_id AND s.service_context_key = pk.service_context_key
+       LEFT JOIN pp ON s.payer_id = pp.payer_id AND s.service_context_key = pp.service_context_key
        LEFT JOIN i ON s.item_id = i.item_id AND s.snapshot_id = i.snapshot_id AND s.setting = i.setting AND s.billing_class IS NOT DISTINCT FROM i.billing_class AND s.modifier_signature = i.modifier_signature
-       WHERE s.is_current""",
+       WHERE s.is_current)
+       SELECT observation_id, service_context_key, comparison_tier, round(hospital_amount, 4) AS hospital_amount, peers, CASE WHEN peers >= 3 THEN round(med, 4) END AS market_median,
+         CASE WHEN peers >= 3 THEN round(p10, 6) END AS market_p10, CASE WHEN peers >= 3 THEN round(p90, 6) END AS market_p90, CASE WHEN peers >= 3 THEN round(pct, 6) END AS pct_rank,
+         round(payer_amount, 4) AS payer_hospital_amount, payer_peers, CASE WHEN payer_peers >= 3 THEN round(payer_med, 4) END AS payer_market_median, CASE WHEN payer_peers >= 3 THEN round(payer_pct, 6) END AS payer_pct_rank,
+         contract_amount, below_min_hospital_denominator, multiple_amounts_per_contract_context,
+         array_to_string(list_filter([{", ".join(f"CASE WHEN {b} THEN '{b}' END" for b in _BLOCKERS_12)}], lambda z: z IS NOT NULL), ',') AS blocker_reasons,
+         round(cast(g AS DOUBLE) / nullif(cast(c AS DOUBLE), 0), 6) AS gross_to_cash, round(n / nullif(cast(c AS DOUBLE), 0), 6) AS negotiated_to_cash FROM x""",
     model=True,
+    keep=MARKET,
 )
 def _(m):
-    peers = compare.peer_statistics(m.amounts, {"all": ["service_context_key"]}).select("hospital_id", "service_context_key", "hospital_amount", "pct_rank_all")
-    market = m.amounts.filter("hospital_amount is not null").groupBy("service_context_key").agg(F.count("*").alias("peers"), F.median("hospital_amount").alias("med"))
-    contracts = m.reps.select("hospital_id", "snapshot_id", "service_context_key", "contract_key", "has_multiple_amounts")
+    """Each current observation with its context's market, its payer's market and all twelve reasons not to compare it."""
+    context = ["hospital_id", "service_context_key"]
+    ranked = compare.peer_statistics(m.amounts, {"all": ["service_context_key"]})
+    ranks = ranked.select(*context, "hospital_amount", "pct_rank_all")
+    market = m.amounts.filter("hospital_amount is not null").groupBy("service_context_key").agg(F.count("*").alias("peers"), F.percentile("hospital_amount", [0.1, 0.5, 0.9]).alias("q"))
+    contracts = m.reps.select(*context, "snapshot_id", "contract_key", "contract_amount", "has_multiple_amounts")
+    payers = compare.payer_peers(m.reps)
+    # A payer's market holds for its rows at publishers that have no valid contract of it, too.
+    payer_market = payers.groupBy("payer_id", "service_context_key").agg(F.max("payer_peer_hospital_count").alias("payer_peers"), F.max("payer_market_median").alias("payer_med"))
     item = ["item_id", "snapshot_id", "setting", "billing_class", "modifier_signature"]
-    of = lambda kind: F.max(F.when(F.col("amount_kind") == kind, F.col("amount_value")))
-    items = m.fact.groupBy(*item).agg(of("gross_charge").alias("g"), of("discounted_cash").alias("c"))
+    fair = F.when(F.col("methodology").isin(semantics.COMPARABLE_METHODOLOGIES), F.col("negotiated").cast("double"))
+    items = m.rates.groupBy(*item).agg(F.max("gross").alias("g"), F.max("cash").alias("c"), F.median(fair).alias("n"))  # before amounts fan out
     own = m.spine.filter("is_current").withColumn("contract_key", surrogate_key("payer_name", "plan_name"))
-    own = own.join(peers, ["hospital_id", "service_context_key"], "left").join(market, "service_context_key", "left").join(contracts, ["hospital_id", "snapshot_id", "service_context_key", "contract_key"], "left")
+    own = own.join(ranks, context, "left").join(market, "service_context_key", "left").join(contracts, [*context, "snapshot_id", "contract_key"], "left")
+    own = own.join(payers.select("payer_id", *context, "payer_hospital_amount", "payer_pct_rank"), ["payer_id", *context], "left").join(payer_market, ["payer_id", "service_context_key"], "left")
     own = match.attach(own, items, item)
     few = (F.col("comparison_tier") == "tier_2_context_aligned") & F.col("is_price_rankable") & (F.coalesce("peers", F.lit(0)) < compare.FLOOR)
+    own = own.withColumns({"below_min_hospital_denominator": few, "multiple_amounts_per_contract_context": F.coalesce("has_multiple_amounts", F.lit(False))})
+    shown = lambda c, digits=4: F.when(F.col("peers") >= compare.FLOOR, r4(c, digits))
+    ratio = lambda x: F.round(F.col(x).cast("double") / F.nullif(F.col("c").cast("double"), F.lit(0.0)), 6)
     return own.select(
-        "observation_id", "service_context_key", "comparison_tier", r4("hospital_amount").alias("hospital_amount"), "peers", F.when(F.col("peers") >= compare.FLOOR, r4("med")).alias("market_median"),
-        r4("pct_rank_all", 6).alias("pct_rank"), F.coalesce(few, F.lit(False)).alias("below_min_denominator"), F.coalesce("has_multiple_amounts", F.lit(False)).alias("multiple_amounts"),
-        F.round(F.col("g").cast("double") / F.nullif(F.col("c").cast("double"), F.lit(0.0)), 6).alias("gross_to_cash"),
+        "observation_id", "service_context_key", "comparison_tier", r4("hospital_amount").alias("hospital_amount"), "peers", shown(F.col("q")[1]).alias("market_median"), shown(F.col("q")[0], 6).alias("market_p10"),
+        shown(F.col("q")[2], 6).alias("market_p90"), r4("pct_rank_all", 6).alias("pct_rank"), r4("payer_hospital_amount").alias("payer_hospital_amount"), "payer_peers", r4("payer_med").alias("payer_market_median"),
+        r4("payer_pct_rank", 6).alias("payer_pct_rank"), "contract_amount", "below_min_hospital_denominator", "multiple_amounts_per_contract_context",
+        F.array_join(reshape.non_null_names({b: F.col(b) for b in compare.BLOCKERS}), ",").alias("blocker_reasons"), ratio("g").alias("gross_to_cash"), ratio("n").alias("negotiated_to_cash"),
     )
 
 
@@ -382,24 +418,28 @@ cov AS (SELECT fa.*, ca.* EXCLUDE (snapshot_id), s.is_current, s.age_days, s.fre
 
 
 def _coverage(m):
-    kind = lambda k: F.count_if(F.col("amount_kind") == k)
     matched = (F.col("scope") == "payer_rate") & (F.col("payer_id") != compare.UNMATCHED)
-    facts = m.fact.groupBy("snapshot_id").agg(
-        F.min("hospital_id").alias("hospital_id"), F.count_distinct("item_id").alias("item_count"), F.count_distinct("rate_id").alias("rate_count"), F.count("*").alias("observation_count"),
-        kind("gross_charge").alias("obs_gross"), kind("discounted_cash").alias("obs_cash"), kind("negotiated_dollar").alias("obs_negotiated"),
-        F.count_if(F.col("amount_tier") == "comparable_dollar").alias("comparable_dollar_count"), F.count_if(F.col("amount_tier") == "derived_dollar").alias("derived_dollar_count"),
-        F.count_distinct(F.when(matched, F.col("rate_id"))).alias("matched_rate_count"), F.count_distinct(F.when(F.col("has_split_modifier"), F.col("rate_id"))).alias("modifier_rate_count"),
-    )
-    tier = lambda t: F.count_if(F.col("comparison_tier") == t)
-    compared = m.spine.groupBy("snapshot_id").agg(
-        F.count_distinct("service_code_key").alias("comparable_codes"), F.count_distinct(F.when(F.col("code_comparable"), F.col("item_id"))).alias("coded_items"),
-        tier("tier_1_code_backed").alias("tier_1_count"), tier("tier_2_context_aligned").alias("tier_2_count"), *[F.count_if(n).alias(n) for n in compare.blocker_flags()],
-    )
+    kind = lambda k: F.count_if(F.col("amount_kind") == k)
+    tier = lambda t: F.count_if(F.col("amount_tier") == t)
+    # By rate, then by item, then by snapshot: distinct counts without expanding rows, and the amounts of a rate meet in the task that made them.
+    sums = {"observation_count": F.count("*"), "obs_gross": kind("gross_charge"), "obs_cash": kind("discounted_cash"), "obs_negotiated": kind("negotiated_dollar"), "comparable_dollar_count": tier("comparable_dollar"), "derived_dollar_count": tier("derived_dollar")}
+    by_rate = m.fact.groupBy("snapshot_id", "item_id", "rate_id").agg(
+        F.min("hospital_id").alias("hospital_id"), *[c.alias(n) for n, c in sums.items()], F.max(matched.cast("int")).alias("matched_rate_count"), F.max(F.col("has_split_modifier").cast("int")).alias("modifier_rate_count")
+    )
+    added = [F.sum(n).alias(n) for n in (*sums, "matched_rate_count", "modifier_rate_count")]
+    by_item = by_rate.groupBy("snapshot_id", "item_id").agg(F.min("hospital_id").alias("hospital_id"), F.count("*").alias("rate_count"), *added)
+    facts = by_item.groupBy("snapshot_id").agg(F.min("hospital_id").alias("hospital_id"), F.count("*").alias("item_count"), F.sum("rate_count").alias("rate_count"), *added)
+    level = lambda t: F.count_if(F.col("comparison_tier") == t)
+    counts = {"tier_1_count": level("tier_1_code_backed"), "tier_2_count": level("tier_2_context_aligned"), **{n: F.count_if(n) for n in compare.blocker_flags()}}
+    by_code = m.spine.groupBy("snapshot_id", "item_id", "service_code_key").agg(F.max("code_comparable").alias("code_comparable"), *[c.alias(n) for n, c in counts.items()])
+    compared = by_code.groupBy("snapshot_id").agg(
+        F.count_distinct("service_code_key").alias("comparable_codes"), F.count_distinct(F.when(F.col("code_comparable"), F.col("item_id"))).alias("coded_items"), *[F.sum(n).alias(n) for n in counts]
+    )
     own = facts.join(compared, "snapshot_id", "left").join(m.snapshots.select("snapshot_id", "is_current", "age_days", "freshness"), "snapshot_id", "left")
     return own.withColumns({"coded_item_rate": F.round(F.col("coded_items") / F.col("item_count"), 6), "payer_mapping_rate": F.round(F.col("matched_rate_count") / F.col("rate_count"), 6)})
 
 
-@query("coverage_scorecard", _more(_COVERAGE, "SELECT * FROM cov"), model=True)
+@query("coverage_scorecard", _more(_COVERAGE, "SELECT * FROM cov"), model=True, keep=("rates", "snapshots", "bridge"))
 def _(m):
     return _coverage(m)
 
@@ -416,13 +456,17 @@ def _transparency(m):
     ready = F.round(F.coalesce(F.col("tier_2_count") / F.nullif(F.col("tier_1_count") + F.col("tier_2_count"), F.lit(0)), F.lit(0.0)), 6)
     own = own.select("hospital_id", "snapshot_id", "is_current", fresh.alias("freshness_score"), F.coalesce("coded_item_rate", F.lit(0.0)).alias("code_score"), F.lit(1.0).alias("amount_score"), F.coalesce("payer_mapping_rate", F.lit(0.0)).alias("payer_score"), ready.alias("readiness_score"))
     total = sum((F.col(c) for c in ("freshness_score", "code_score", "amount_score", "payer_score", "readiness_score")), F.lit(0.0))
-    return own.withColumn("overall_score", F.round(total / 5, 6))
+    rank = lambda c: F.dense_rank().over(Window.orderBy(F.col(c).desc())).cast("long")  # noqa: E731  a row per publisher
+    own = own.withColumn("overall_score", F.round(total / 5, 6))
+    return own.withColumns({"overall_rank": rank("overall_score"), "readiness_rank": rank("readiness_score"), "payer_rank": rank("payer_score"), "data_confidence": semantics.data_confidence(F.col("overall_score"))})
 
 
 @query(
     "transparency_scorecard",
-    _more(_COVERAGE + ", " + _SCORED, "SELECT *, round((freshness_score + code_score + amount_score + payer_score + readiness_score) / 5, 6) AS overall_score FROM sc"),
-    model=True,
+    _more(_COVERAGE + ", " + _SCORED, """SELECT *, dense_rank() OVER (ORDER BY overall_score DESC) AS overall_rank, dense_rank() OVER (ORDER BY readiness_score DESC) AS readiness_rank, dense_rank() OVER (ORDER BY payer_score DESC) AS payer_rank,
+       CASE WHEN overall_score >= 0.85 THEN 'high' WHEN overall_score >= 0.70 THEN 'moderate' WHEN overall_score >= 0.50 THEN 'limited' ELSE 'low' END AS data_confidence
+       FROM (SELECT *, round((freshness_score + code_score + amount_score + payer_score + readiness_score) / 5, 6) AS overall_score FROM sc)"""),
+    model=True, keep=("rates", "snapshots", "bridge"),
 )
 def _(m):
     return _transparency(m)
@@ -442,7 +486,7 @@ _STAGES = {
     + ", ".join(f'count(*) FILTER (WHERE {c}) AS "{n}"' for n, (c, _) in _STAGES.items())
     + " FROM spine WHERE is_current GROUP BY GROUPING SETS ((hospital_id), ())) "
     + " UNION ALL ".join(f"SELECT hospital_id, '{n}' AS stage, '{label}' AS label, \"{n}\" AS rows FROM c" for n, (_, label) in _STAGES.items()),
-    model=True,
+    model=True, keep=("rates", "snapshots", "bridge"),
 )
 def _(m):
     counts = [F.count_if(F.expr(c)).alias(n) for n, (c, _) in _STAGES.items()]
@@ -454,7 +498,7 @@ def _(m):
     "blocker_summary",
     ", c AS (SELECT hospital_id, count(*) AS total, " + ", ".join(f"count(*) FILTER (WHERE {n}) AS {n}" for n in BLOCKERS) + " FROM spine WHERE is_current GROUP BY hospital_id) "
     + " UNION ALL ".join(f"SELECT hospital_id, '{n}' AS blocker, {n} AS rows, round({n} / total, 6) AS share FROM c" for n in BLOCKERS),
-    model=True,
+    model=True, keep=("rates", "snapshots", "bridge"),
 )
 def _(m):
     own = m.spine.filter("is_current").groupBy("hospital_id").agg(F.count("*").alias("total"), *[F.count_if(n).alias(n) for n in compare.blocker_flags()])
@@ -474,23 +518,26 @@ def _names(m):
     _more(
         _SUMMARY + ", " + _NAMES,
         """SELECT nm.*, hospital_count, CASE WHEN hospital_count >= 3 THEN round(p50, 4) END AS median_amount,
-       CASE WHEN hospital_count >= 10 THEN 'high' WHEN hospital_count >= 5 THEN 'medium' WHEN hospital_count >= 3 THEN 'low' ELSE 'insufficient' END AS confidence,
-       CASE WHEN hospital_count < 3 OR p10 = 0 THEN 'unknown' WHEN round(p90 / p10, 6) >= 10 THEN 'extreme' WHEN round(p90 / p10, 6) >= 3 THEN 'wide' ELSE 'narrow' END AS variation FROM g JOIN nm USING (service_context_key)""",
+       CASE WHEN hospital_count < 3 THEN 'low' WHEN hospital_count >= 10 AND code_system = 'brand' THEN 'high' WHEN hospital_count >= 5 THEN 'moderate' ELSE 'limited' END AS confidence,
+       CASE WHEN hospital_count < 3 THEN 'not_ranked' WHEN p10 <> 0 AND round(p90 / p10, 6) >= 3 THEN 'very_high_variation' WHEN p10 <> 0 AND round(p90 / p10, 6) >= 2 THEN 'high_variation' ELSE 'moderate_variation' END AS variation,
+       CASE WHEN hospital_count < 3 THEN 'insufficient_denominator' WHEN code_system = 'brand' THEN 'described_comparable' ELSE 'code_only_comparable' END AS status FROM g JOIN nm USING (service_context_key)""",
     ),
     model=True,
+    keep=MARKET,
 )
 def _(m):
     own = compare.distribution(m.amounts).join(_names(m), "service_context_key")
-    confidence = semantics.ladder(F.col("hospital_count"), [(10, "high"), (5, "medium"), (3, "low")], "insufficient", "insufficient")
-    variation = semantics.ladder(r4("spread_p90_to_p10", 6), [(10, "extreme"), (3, "wide")], "narrow", "unknown")
+    enough, described = F.col("meets_threshold"), F.col("code_system") == "brand"
+    confidence, variation = semantics.comparison_confidence(enough, F.col("hospital_count"), described), semantics.variation(enough, r4("spread_p90_to_p10", 6))
+    status = F.when(~enough, "insufficient_denominator").when(described, "described_comparable").otherwise("code_only_comparable")
     names = ["service_context_key", "code_system", "match_code", "setting", "billing_class", "amount_kind", "comparison_methodology"]
-    return own.select(*names, "hospital_count", r4("median_amount").alias("median_amount"), confidence.alias("confidence"), variation.alias("variation"))
+    return own.select(*names, "hospital_count", r4("median_amount").alias("median_amount"), confidence.alias("confidence"), variation.alias("variation"), status.alias("status"))
 
 
 @query(
     "featured_top30",
     _more(_SUMMARY, "SELECT row_number() OVER (ORDER BY hospital_count DESC, observation_count DESC, service_context_key) AS place, service_context_key, hospital_count, observation_count FROM g WHERE hospital_count >= 3 QUALIFY place <= 30"),
-    model=True,
+    model=True, keep=("rates", "snapshots", "bridge"),
 )
 def _(m):
     order = [F.col("hospital_count").desc(), F.col("observation_count").desc(), F.col("service_context_key")]
@@ -498,21 +545,27 @@ def _(m):
     return top.select(F.row_number().over(Window.orderBy(*order)).cast("long").alias("place"), "*")  # thirty rows
 
 
-_PEERS_ALL = f"""pa AS (SELECT hospital_id, service_context_key, amount_kind, {_peer_sql("all", ["service_context_key"])} FROM amounts WHERE hospital_amount IS NOT NULL)"""
+_PEERS_ALL = f"""pa AS (SELECT *, CASE WHEN peers_all >= 3 THEN raw_rank END AS pr, CASE WHEN peers_all >= 3 AND med <> 0 THEN (hospital_amount - med) / med END AS pd
+  FROM (SELECT hospital_id, service_context_key, amount_kind, hospital_amount, median(hospital_amount) OVER (PARTITION BY service_context_key) AS med, percent_rank() OVER (PARTITION BY service_context_key ORDER BY hospital_amount) AS raw_rank,
+    {_peer_sql("all", ["service_context_key"])} FROM amounts WHERE hospital_amount IS NOT NULL))"""
 
 
 def _positions(m):
-    own = _rounded(compare.peer_statistics(m.amounts, {"all": ["service_context_key"]}), ["all"])
-    return own.withColumn("position", semantics.price_position(F.col("pct_rank_all"), F.col("delta_all")))
+    own = compare.peer_statistics(m.amounts, {"all": ["service_context_key"]})
+    own = own.withColumn("position", semantics.price_position(F.col("peers_all"), F.col("pct_rank_all"), F.col("pct_delta_all")))
+    outlier = lambda sign: F.coalesce((F.col("peers_all") >= compare.FLOOR) & ((sign * F.col("pct_delta_all") >= 0.5) | ((F.col("pct_rank_all") >= 0.9) if sign > 0 else (F.col("pct_rank_all") <= 0.1))), F.lit(False))
+    own = own.withColumns({"is_high_outlier": outlier(1), "is_low_outlier": outlier(-1)})
+    return _rounded(own, ["all"]).withColumn("pct_delta_all", r4("pct_delta_all", 6))
 
 
-_POSITION = """CASE WHEN pct_rank_all IS NULL THEN 'not_ranked' WHEN pct_rank_all <= 0.1 AND delta_all < 0 THEN 'very_low' WHEN pct_rank_all <= 0.35 AND delta_all < 0 THEN 'low'
-  WHEN pct_rank_all >= 0.9 AND delta_all > 0 THEN 'very_high' WHEN pct_rank_all >= 0.65 AND delta_all > 0 THEN 'high' ELSE 'typical' END AS position"""
+_POSITION = """CASE WHEN peers_all < 3 THEN 'insufficient_denominator' WHEN pd <= -0.25 OR pr <= 0.10 THEN 'very_low' WHEN pd <= -0.10 OR pr <= 0.25 THEN 'low'
+  WHEN pd >= 0.25 OR pr >= 0.90 THEN 'very_high' WHEN pd >= 0.10 OR pr >= 0.75 THEN 'high' ELSE 'near_market' END AS position"""
 
 
-@query("rankings_bands", _more(_PEERS_ALL, f"SELECT hospital_id, service_context_key, amount_kind, peers_all, pct_rank_all, delta_all, {_POSITION} FROM pa"), model=True)
+@query("rankings_bands", _more(_PEERS_ALL, f"""SELECT hospital_id, service_context_key, amount_kind, peers_all, pct_rank_all, delta_all, round(pd, 6) AS pct_delta_all, {_POSITION},
+       coalesce(peers_all >= 3 AND (pd >= 0.5 OR pr >= 0.9), false) AS is_high_outlier, coalesce(peers_all >= 3 AND (pd <= -0.5 OR pr <= 0.1), false) AS is_low_outlier FROM pa"""), model=True, keep=MARKET)
 def _(m):
-    return _positions(m).select("hospital_id", "service_context_key", "amount_kind", "peers_all", "pct_rank_all", "delta_all", "position")
+    return _positions(m).select("hospital_id", "service_context_key", "amount_kind", "peers_all", "pct_rank_all", "delta_all", "pct_delta_all", "position", "is_high_outlier", "is_low_outlier")
 
 
 @query(
@@ -524,6 +577,7 @@ def _(m):
        FROM hospitals h LEFT JOIN pos p USING (hospital_id) GROUP BY ALL""",
     ),
     model=True,
+    keep=MARKET,
 )
 def _(m):
     of = lambda *names: F.count_if(F.col("position").isin(*names))
@@ -554,6 +608,7 @@ def _(m):
        (SELECT count(*) AS snapshots, count(*) FILTER (WHERE is_current) AS current_snapshots, count(DISTINCT hospital_id) AS hospitals FROM snapshots)""",
     ),
     model=True,
+    keep=MARKET,
 )
 def _(m):
     contexts = compare.distribution(m.amounts).agg(F.count("*").alias("contexts"), F.count_if("meets_threshold").alias("comparable_contexts"), F.sum("observation_count").alias("observations"))
@@ -563,19 +618,29 @@ def _(m):
 
 # --- identity, audit, profiles, pages ------------------------------------------------------------------------------------------------------------------------
 
-_IDENTITY = r"""sg AS (SELECT item_id, string_agg(DISTINCT CASE WHEN code_comparable AND code_is_specific THEN code_system || ':' || match_code END, '|') AS specific FROM bridge GROUP BY item_id),
+_TOKENS = r"""tk AS (SELECT item_id, string_agg(w, ' ' ORDER BY w) AS words FROM (SELECT DISTINCT item_id, unnest(regexp_split_to_array(lower(description), '[^a-z0-9]+')) AS w FROM rates) WHERE w <> '' GROUP BY item_id)"""
+_IDENTITY = _TOKENS + r""",
+ic AS (SELECT item_id, code_system, match_code, code_is_specific FROM bridge WHERE cast(item_id AS BIGINT) % 11 <> 0 AND (code_system = 'local' OR cast(item_id AS BIGINT) % 5 <> 0)),
+sg AS (SELECT item_id, md5(string_agg(DISTINCT code_system || ':' || match_code, '|' ORDER BY code_system || ':' || match_code) FILTER (WHERE code_is_specific)) AS sp,
+  md5(string_agg(DISTINCT code_system || ':' || match_code, '|' ORDER BY code_system || ':' || match_code)) AS al FROM ic GROUP BY item_id),
 obs AS (SELECT DISTINCT hospital_id, item_id, snapshot_id, description, drug_unit FROM rates),
-ident AS (SELECT obs.*, 'specific' AS identity_basis, md5(hospital_id || '||' || specific || '||' || array_to_string(list_sort(list_distinct(list_filter(string_split(regexp_replace(lower(description), '[^a-z0-9]+', ' ', 'g'), ' '),
-  lambda w: w <> ''))), ' ') || '||' || coalesce(drug_unit, '<null>')) AS service_item_id FROM obs JOIN sg USING (item_id))"""
+ident AS (SELECT obs.*, CASE WHEN sp IS NOT NULL THEN 'specific_code' WHEN al IS NOT NULL THEN 'categorical_code' ELSE 'uncoded' END AS identity_basis,
+  CASE WHEN sp IS NOT NULL THEN 'high' WHEN al IS NOT NULL THEN 'medium' ELSE 'low' END AS identity_confidence,
+  md5(concat_ws('||', hospital_id, coalesce(sp, al), md5(words), coalesce(CASE WHEN drug_unit IS NOT NULL THEN md5('<null>||' || drug_unit) END, '<null>'))) AS service_item_id
+  FROM obs LEFT JOIN sg USING (item_id) JOIN tk USING (item_id))"""
 
 
 def _identified(m):
-    return identity.with_item_identity(m.rates.select("hospital_id", "item_id", "snapshot_id", "description", "drug_unit").distinct(), m.bridge)
+    """Some items are left with categorical codes only, some with none."""
+    items = m.rates.select("hospital_id", "item_id", "snapshot_id", "description", F.col("drug_unit").alias("drug_unit_type"), F.lit(None).cast("double").alias("drug_unit")).distinct()
+    key = F.col("item_id").cast("bigint")
+    codes = m.bridge.filter((key % 11 != 0) & ((F.col("code_system") == "local") | (key % 5 != 0))).withColumn("code_type", F.col("code_system"))
+    return identity.with_item_identity(items, codes)
 
 
-@query("item_identity", _more(_IDENTITY, "SELECT hospital_id, item_id, snapshot_id, identity_basis, service_item_id FROM ident"), model=True)
+@query("item_identity", _more(_IDENTITY, "SELECT hospital_id, item_id, snapshot_id, identity_basis, identity_confidence, service_item_id FROM ident"), model=True)
 def _(m):
-    return _identified(m).select("hospital_id", "item_id", "snapshot_id", "identity_basis", "service_item_id")
+    return _identified(m).select("hospital_id", "item_id", "snapshot_id", "identity_basis", "identity_confidence", "service_item_id")
 
 
 _HISTORY = """hist AS (SELECT service_item_id, i.hospital_id, arg_min(i.snapshot_id, (valid_from, i.snapshot_id, description)) AS first_snapshot_id, min(valid_from) AS first_seen, arg_max(i.snapshot_id, (valid_from, i.snapshot_id, description)) AS last_snapshot_id,
@@ -608,10 +673,8 @@ def _(m):
     model=True,
 )
 def _(m):
-    return quality.unique(m.rates, ["snapshot_id", "item_id", "setting", "payer_name", "plan_name", "methodology"]).join(
-        m.rates.groupBy("snapshot_id", "item_id", "setting", "payer_name", "plan_name", "methodology").agg((F.count_distinct("negotiated") > 1).alias("conflicting")),
-        ["snapshot_id", "item_id", "setting", "payer_name", "plan_name", "methodology"],
-    )
+    context = ["snapshot_id", "item_id", "setting", "payer_name", "plan_name", "methodology"]
+    return m.rates.groupBy(*context).agg(F.count("*").alias("n"), (F.min("negotiated") != F.max("negotiated")).alias("conflicting")).filter("n > 1")
 
 
 @query(
@@ -657,13 +720,13 @@ def _(m):
     return own.groupBy(F.least("n", F.lit(10)).alias("hospitals")).agg(F.count("*").alias("contexts"))
 
 
-@query("page_top_above_market", _more(_PEERS_ALL, "SELECT hospital_id, service_context_key, delta_all FROM pa WHERE delta_all > 0 ORDER BY delta_all DESC, hospital_id, service_context_key LIMIT 100"), model=True)
+@query("page_top_above_market", _more(_PEERS_ALL, "SELECT hospital_id, service_context_key, delta_all FROM pa WHERE delta_all > 0 ORDER BY delta_all DESC, hospital_id, service_context_key LIMIT 100"), model=True, keep=("rates", "snapshots", "bridge"))
 def _(m):
     own = _positions(m).filter("delta_all > 0").select("hospital_id", "service_context_key", "delta_all")
     return own.orderBy(F.col("delta_all").desc(), "hospital_id", "service_context_key").limit(100)
 
 
-@query("page_thin_contexts", _more(_SUMMARY, "SELECT service_context_key, hospital_count, observation_count FROM g WHERE hospital_count < 3"), model=True)
+@query("page_thin_contexts", _more(_SUMMARY, "SELECT service_context_key, hospital_count, observation_count FROM g WHERE hospital_count < 3"), model=True, keep=("rates", "snapshots", "bridge"))
 def _(m):
     return compare.distribution(m.amounts).filter("not meets_threshold").select("service_context_key", "hospital_count", "observation_count")
 
@@ -681,11 +744,12 @@ def _(m):
 
 @query(
     "page_band_counts",
-    _more(_PEERS_ALL + f", pos AS (SELECT *, {_POSITION} FROM pa)", "SELECT amount_kind, position, count(*) AS n, CASE position WHEN 'very_low' THEN 1 WHEN 'low' THEN 2 WHEN 'typical' THEN 3 WHEN 'high' THEN 4 WHEN 'very_high' THEN 5 ELSE 6 END AS place FROM pos GROUP BY ALL"),
+    _more(_PEERS_ALL + f", pos AS (SELECT *, {_POSITION} FROM pa)", "SELECT amount_kind, position, count(*) AS n, CASE position WHEN 'very_low' THEN 1 WHEN 'low' THEN 2 WHEN 'near_market' THEN 3 WHEN 'high' THEN 4 WHEN 'very_high' THEN 5 ELSE 6 END AS place FROM pos GROUP BY ALL"),
     model=True,
+    keep=MARKET,
 )
 def _(m):
-    order = ["very_low", "low", "typical", "high", "very_high", "not_ranked"]
+    order = ["very_low", "low", "near_market", "high", "very_high", "insufficient_denominator"]
     place = reduce(lambda rest, x: F.when(F.col("position") == x[1], x[0]).otherwise(rest), list(enumerate(order, 1))[::-1], F.lit(None).cast("int"))
     return _positions(m).groupBy("amount_kind", "position").agg(F.count("*").alias("n")).withColumn("place", place).orderBy("amount_kind", "place")
 
@@ -705,19 +769,38 @@ def _(m):
 
 @query(
     "semantic_guards",
-    """SELECT * FROM (VALUES ('floor', 0), ('known_kinds', 0), ('matched_payers', 0), ('one_current', 0), ('one_vote', 0), ('rank_range', 0)) AS t("check", failing)""",
+    _more(
+        _SUMMARY + ", " + _PEERS_ALL,
+        """SELECT 'floor' AS "check", count(*) FILTER (WHERE hospital_count < 3 AND shown IS NOT NULL) AS failing FROM (SELECT hospital_count, CASE WHEN hospital_count >= 3 THEN p50 END AS shown FROM g)
+       UNION ALL SELECT 'known_kinds', count(*) FILTER (WHERE amount_kind NOT IN ('gross_charge', 'discounted_cash', 'min_negotiated', 'max_negotiated', 'negotiated_dollar', 'negotiated_percentage', 'negotiated_algorithm', 'estimated_amount', 'median_amount', 'p10_amount', 'p90_amount')) FROM fact
+       UNION ALL SELECT 'matched_payers', count(*) FILTER (WHERE hospital_id NOT IN (SELECT hospital_id FROM hospitals)) FROM reps
+       UNION ALL SELECT 'one_current', count(*) FROM (SELECT hospital_id FROM snapshots WHERE is_current GROUP BY hospital_id HAVING count(*) > 1)
+       UNION ALL SELECT 'one_method', count(*) FROM (SELECT service_context_key FROM spine WHERE is_current GROUP BY service_context_key HAVING count(DISTINCT comparison_methodology) > 1)
+       UNION ALL SELECT 'one_vote', count(*) FROM (SELECT hospital_id, service_context_key FROM amounts GROUP BY ALL HAVING count(*) > 1)
+       UNION ALL SELECT 'rank_range', count(*) FILTER (WHERE raw_rank NOT BETWEEN 0 AND 1) FROM pa
+       UNION ALL SELECT 'slugs_one_to_one', count(*) FROM (SELECT left(service_context_key, 10) AS slug FROM amounts GROUP BY slug HAVING count(DISTINCT service_context_key) > 1)
+       UNION ALL SELECT 'unranked_kinds', count(*) FILTER (WHERE is_price_rankable AND amount_kind NOT IN ('negotiated_dollar', 'gross_charge', 'discounted_cash')) FROM fact""",
+    ),
+    model=True,
+    keep=MARKET,
 )
 def _(m):
+    """How many rows break what must always hold: statistics below the floor, kinds, relations, one current snapshot, one method and one vote each, ranks, slugs."""
     summary = compare.distribution(m.amounts)
     ranks = compare.peer_statistics(m.amounts, {"all": ["service_context_key"]})
+    current = m.spine.filter("is_current").groupBy("service_context_key").agg(F.min("comparison_methodology").alias("a"), F.max("comparison_methodology").alias("b"))
+    slugs = m.amounts.groupBy(F.substring("service_context_key", 1, 10).alias("slug")).agg(F.min("service_context_key").alias("a"), F.max("service_context_key").alias("b"))
     return quality.counts_of(
         {
             "floor": summary.filter("not meets_threshold and median_amount is not null"),
-            "known_kinds": quality.in_values(m.fact, "amount_kind", compare.RANKED_KINDS),
+            "known_kinds": quality.in_values(m.fact, "amount_kind", list(star.AMOUNTS)),
             "matched_payers": quality.related(m.reps, "hospital_id", m.hospitals, "hospital_id"),
             "one_current": quality.unique(m.snapshots.filter("is_current"), ["hospital_id"]),
+            "one_method": current.filter("a <> b"),
             "one_vote": quality.unique(m.amounts, ["hospital_id", "service_context_key"]),
             "rank_range": ranks.filter("pct_rank_all not between 0 and 1"),
+            "slugs_one_to_one": slugs.filter("a <> b"),
+            "unranked_kinds": m.fact.filter(F.col("is_price_rankable") & ~F.col("amount_kind").isin(compare.RANKED_KINDS)),
         }
     )
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import compare
+from ..sources import shared
 from . import sql, star
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,10 +18,13 @@ _oracles: dict[str, str] = {}
 
 
 class Model:
-    """The model's tables over one folder, each planned once."""
+    """The model's tables over one folder. Those named in keep are written when first used and read again: a query that uses one several times scans its sources once."""
 
-    def __init__(self, spark: SparkSession, d: str):
-        self.spark, self.d = spark, d
+    def __init__(self, spark: SparkSession, d: str, keep: tuple[str, ...] = ()):
+        self.spark, self.d, self.keep = spark, d, keep
+
+    def _own(self, name: str, frame: DataFrame) -> DataFrame:
+        return shared.written(frame, name) if name in self.keep else frame
 
     def table(self, name: str) -> DataFrame:
         return star.table(self.spark, self.d, name)
@@ -31,11 +35,11 @@ class Model:
 
     @cached_property
     def rates(self):
-        return star.rates(self.spark, self.d)
+        return self._own("rates", star.rates(self.spark, self.d))
 
     @cached_property
     def snapshots(self):
-        return star.snapshots(self.rates)
+        return self._own("snapshots", star.snapshots(self.rates))
 
     @cached_property
     def fact(self):
@@ -43,7 +47,7 @@ class Model:
 
     @cached_property
     def bridge(self):
-        return star.bridge(self.rates)
+        return self._own("bridge", star.bridge(self.rates))
 
     @cached_property
     def spine(self):
@@ -51,18 +55,22 @@ class Model:
 
     @cached_property
     def reps(self):
-        return star.contracts(self.spine)
+        return self._own("reps", star.contracts(self.spine))
 
     @cached_property
     def amounts(self):
-        return compare.hospital_amounts(self.spine, self.reps)
+        return self._own("amounts", compare.hospital_amounts(self.spine, self.reps))
+
+
+#: For queries over the market's statistics: the joins of rates once, votes and contracts once.
+MARKET = ("rates", "snapshots", "bridge", "reps", "amounts")
 
 
-def query(name: str, oracle: str, model: bool = False):
-    """Register a function of a Model under the name; oracle is its SQL, on the model's tables if asked for."""
+def query(name: str, oracle: str, model: bool = False, keep: tuple[str, ...] = ()):
+    """Register a function of a Model under the name; oracle is its SQL, on the model's tables if asked for; keep: tables to write once."""
 
     def add(run: Callable[[Model], DataFrame]) -> Callable[[Model], DataFrame]:
-        _queries[name] = lambda spark, d: run(Model(spark, d))
+        _queries[name] = lambda spark, d: run(Model(spark, d, keep))
         _oracles[name] = sql.model(oracle) if model else oracle
         return run
 

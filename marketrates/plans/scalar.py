@@ -27,9 +27,16 @@ def _(m):
     return m.table("documents").select("doc_id", F.md5(text.clean_text(t)).alias("text_md5"), F.length(text.clean_display_text(t)).cast("long").alias("display_length"), text.clean_text(F.col("source")).alias("source"), text.clean_text(F.lit("  N/A ")).alias("nothing"))
 
 
-@query("title_case", "SELECT p_partkey, array_to_string(list_transform(string_split(lower(p_name), ' '), lambda w: upper(w[1]) || w[2:]), ' ') AS title FROM part")
+@query(
+    "title_case",
+    """WITH p AS (SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN 'Not  Available' WHEN 1 THEN '  ' || upper(p_name) || '  x' ELSE p_name END AS name FROM part),
+       w AS (SELECT p_partkey, generate_subscripts(regexp_split_to_array(trim(lower(name)), ' +'), 1) AS i, unnest(regexp_split_to_array(trim(lower(name)), ' +')) AS word FROM p WHERE name <> 'Not  Available')
+       SELECT p_partkey, title FROM p LEFT JOIN (SELECT p_partkey, string_agg(upper(left(word, 1)) || substr(word, 2), ' ' ORDER BY i) AS title FROM w GROUP BY p_partkey) USING (p_partkey)""",
+)
 def _(m):
-    return m.table("part").select("p_partkey", text.title_case(F.col("p_name")).alias("title"))
+    k, name = F.col("p_partkey"), F.col("p_name")
+    odd = F.when(k % 5 == 0, "Not  Available").when(k % 5 == 1, F.concat(F.lit("  "), F.upper(name), F.lit("  x"))).otherwise(name)
+    return m.table("part").select("p_partkey", text.title_case(odd).alias("title"))
 
 
 @query(
@@ -56,9 +63,10 @@ def _(m):
 
 @query(
     "description_tokens",
-    r"""SELECT doc_id, md5(nullif(array_to_string(list_sort(list_distinct(list_filter(string_split(
-       regexp_replace(replace(regexp_replace(regexp_replace(lower(text), '\bw/o\b', ' without ', 'g'), '\bw/', ' with ', 'g'), '&', ' and '), '[^a-z0-9]+', ' ', 'g'), ' '),
-       lambda w: w <> ''))), ' '), '')) AS tokens_md5 FROM documents""",
+    r"""WITH spelt AS (SELECT doc_id, replace(regexp_replace(regexp_replace(lower(text), '\bw/o\b', ' without ', 'g'), '\bw/', ' with ', 'g'), '&', ' and ') AS t FROM documents),
+       w AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(t, '[a-z0-9]+')) AS word FROM spelt),
+       j AS (SELECT doc_id, md5(string_agg(word, ' ' ORDER BY word)) AS tokens_md5 FROM w GROUP BY doc_id)
+       SELECT doc_id, tokens_md5 FROM documents LEFT JOIN j USING (doc_id)""",
 )
 def _(m):
     return m.table("documents").select("doc_id", F.md5(text.description_tokens(F.col("text"))).alias("tokens_md5"))
@@ -75,7 +83,8 @@ _SLUG = "trim(regexp_replace(lower({0}), '[^a-z0-9]+', '-', 'g'), '-')"
 @query(
     "context_slugs",
     f"""SELECT rate_id, {_SLUG.format("description")} || '-negotiated-' || {_SLUG.format("methodology")} || '-' || left(rate_id, 10) AS slug,
-       CASE methodology WHEN 'case rate' THEN 'Case rate' WHEN 'fee schedule' THEN 'Fee schedule' WHEN 'per diem' THEN 'Per diem' ELSE 'Other method' END AS label,
+       CASE methodology WHEN 'case rate' THEN 'Case rate (per episode)' WHEN 'fee schedule' THEN 'Fee schedule (per item/service)' WHEN 'per diem' THEN 'Per diem (per day)' ELSE methodology END AS label,
+       {_SLUG.format("description")} || '-list-' || left(rate_id, 10) AS list_slug,
        CASE WHEN p_size > 25 THEN 'available' WHEN p_type = 'SMALL' THEN 'license_restricted' ELSE 'not_loaded' END AS availability FROM rates""",
     model=True,
 )
@@ -83,7 +92,7 @@ def _(m):
     described = F.when(F.col("p_size") > 25, F.col("description"))
     return m.rates.select(
         "rate_id", text.context_slug(F.col("description"), F.lit("negotiated_dollar"), F.col("methodology"), F.col("rate_id")).alias("slug"),
-        text.methodology_label(F.col("methodology")).alias("label"), text.description_availability(described, F.col("is_drug")).alias("availability"),
+        text.context_slug(F.col("description"), F.lit("gross_charge"), F.lit("not applicable"), F.col("rate_id")).alias("list_slug"), text.methodology_label(F.col("methodology")).alias("label"), text.description_availability(described, F.col("is_drug")).alias("availability"),
     )
 
 
@@ -101,66 +110,76 @@ def _(m):
 
 @query(
     "count_bounds",
-    """WITH c AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity < 5 THEN '0' WHEN l_quantity < 15 THEN '1 through 10' WHEN l_quantity < 20 THEN 'about 12' ELSE cast(cast(l_quantity AS BIGINT) AS VARCHAR) END AS n FROM lineitem)
-       SELECT *, CASE WHEN n = '0' THEN 0 WHEN n = '1 through 10' THEN 1 WHEN try_cast(n AS BIGINT) >= 11 THEN try_cast(n AS BIGINT) END AS low,
-       CASE WHEN n = '0' THEN 0 WHEN n = '1 through 10' THEN 10 WHEN try_cast(n AS BIGINT) >= 11 THEN try_cast(n AS BIGINT) END AS high FROM c""",
+    """WITH c AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity < 5 THEN '0' WHEN l_quantity < 15 THEN '1 through 10' WHEN l_quantity < 20 THEN 'about 12'
+         WHEN l_quantity < 25 THEN '0' || cast(cast(l_quantity AS BIGINT) AS VARCHAR) WHEN l_quantity < 30 THEN ' ' || cast(cast(l_quantity AS BIGINT) AS VARCHAR) || '00000000000' ELSE cast(cast(l_quantity AS BIGINT) AS VARCHAR) END AS n FROM lineitem),
+       t AS (SELECT *, trim(n) AS x, regexp_full_match(trim(n), '[1-9][0-9]+') AND try_cast(n AS BIGINT) > 10 AS whole FROM c)
+       SELECT l_orderkey, l_linenumber, n, CASE WHEN x = '0' THEN 0 WHEN x = '1 through 10' THEN 1 WHEN whole THEN try_cast(x AS BIGINT) END AS low,
+       CASE WHEN x = '0' THEN 0 WHEN x = '1 through 10' THEN 10 WHEN whole THEN try_cast(x AS BIGINT) END AS high FROM t""",
 )
 def _(m):
     q = F.col("l_quantity")
-    n = F.when(q < 5, "0").when(q < 15, "1 through 10").when(q < 20, "about 12").otherwise(q.cast("long").cast("string"))
+    whole = q.cast("long").cast("string")
+    n = F.when(q < 5, "0").when(q < 15, "1 through 10").when(q < 20, "about 12").when(q < 25, F.concat(F.lit("0"), whole)).when(q < 30, F.concat(F.lit(" "), whole, F.lit("00000000000"))).otherwise(whole)
     own = m.table("lineitem").select("l_orderkey", "l_linenumber", n.alias("n"))
     return own.select("*", semantics.count_min(F.col("n")).alias("low"), semantics.count_max(F.col("n")).alias("high"))
 
 
 @query(
     "amount_semantics",
-    """SELECT rate_id, CASE WHEN p_size % 4 = 0 THEN 'percentage' WHEN p_size % 4 = 1 THEN 'algorithm' WHEN p_size % 4 = 2 THEN 'dollar' ELSE 'none' END AS kind,
-       CASE WHEN p_size % 4 = 0 THEN 'percentage' WHEN p_size % 4 = 1 THEN 'algorithm' WHEN p_size % 4 = 2 THEN CASE WHEN methodology = 'other' THEN 'derived_dollar' ELSE 'comparable_dollar' END ELSE 'none' END AS tier,
-       methodology AS methodology, CASE WHEN drug_unit IS NOT NULL THEN 'unit' WHEN billing_class IS NOT NULL THEN 'class' ELSE 'none' END AS chosen FROM rates""",
+    """SELECT rate_id, ['percentage', 'algorithm', 'dollar', 'none', 'estimated'][p_size % 5 + 1] AS kind,
+       CASE p_size % 5 WHEN 0 THEN 'percentage' WHEN 1 THEN 'algorithm' WHEN 2 THEN CASE WHEN methodology = 'other' THEN 'derived_dollar' ELSE 'comparable_dollar' END ELSE 'none' END AS tier,
+       CASE WHEN p_size % 3 > 0 THEN methodology END AS methodology, CASE WHEN drug_unit IS NOT NULL THEN 'unit' WHEN billing_class IS NOT NULL THEN 'class' ELSE 'none' END AS chosen FROM rates""",
     model=True,
 )
 def _(m):
-    of = lambda k, v: F.when(F.col("p_size") % 4 == k, v)
-    kind = semantics.amount_kind(of(2, F.col("negotiated")), of(0, F.lit(50.0)), of(1, F.lit("list")), F.lit(None))
+    of = lambda k, v: F.when(F.col("p_size") % 5 == k, v)
+    kind = semantics.amount_kind(of(2, F.col("negotiated")), of(0, F.lit(50.0)), of(1, F.lit("list")), of(4, F.lit(1.0)))
+    stated = F.when(F.col("p_size") % 3 == 1, F.concat(F.lit(" "), F.upper("methodology"))).when(F.col("p_size") % 3 == 2, F.initcap("methodology")).otherwise(F.concat(F.lit("about "), F.col("methodology")))
     own = m.rates.withColumn("kind", kind)
     return own.select(
-        "rate_id", "kind", semantics.amount_tier(F.col("kind"), F.col("methodology")).alias("tier"), semantics.canonical_methodology(F.col("methodology")).alias("methodology"),
+        "rate_id", "kind", semantics.amount_tier(F.col("kind"), F.col("methodology")).alias("tier"), semantics.canonical_methodology(stated).alias("methodology"),
         semantics.chosen_source(unit=F.col("drug_unit"), **{"class": F.col("billing_class")}).alias("chosen"),
     )
 
 
-_CODE_TEXT = """c AS (SELECT p_partkey, ['rc', 'ms-drg', 'apc', 'ndc', 'cpt', 'cdm', 'hcpcs'][p_partkey % 7 + 1] AS system,
-  CASE p_partkey % 7 WHEN 3 THEN CASE p_partkey % 3 WHEN 0 THEN '1234-5678-' || lpad(cast(p_partkey % 100 AS VARCHAR), 2, '0') WHEN 1 THEN '12345-678-90' ELSE '12345-6789-1' END
-    WHEN 4 THEN cast(10000 + p_partkey % 90000 AS VARCHAR) WHEN 6 THEN 'a ' || lpad(cast(p_partkey % 10000 AS VARCHAR), 4, '0') ELSE cast(p_partkey % 1000 AS VARCHAR) END AS code FROM part),
-m AS (SELECT *, upper(replace(code, ' ', '')) AS plain FROM c),
-n AS (SELECT *, CASE WHEN system IN ('rc', 'apc') AND regexp_full_match(plain, '[0-9]{1,4}') THEN lpad(plain, 4, '0') WHEN system = 'ms-drg' AND regexp_full_match(plain, '[0-9]{1,3}') THEN lpad(plain, 3, '0')
-  WHEN system = 'ndc' AND regexp_full_match(code, '[0-9]{4}-[0-9]{4}-[0-9]{2}') THEN '0' || replace(code, '-', '')
-  WHEN system = 'ndc' AND regexp_full_match(code, '[0-9]{5}-[0-9]{3}-[0-9]{2}') THEN left(replace(code, '-', ''), 5) || '0' || right(code, 6)[1:3] || right(code, 2)
-  WHEN system = 'ndc' AND regexp_full_match(code, '[0-9]{5}-[0-9]{4}-[0-9]{1}') THEN left(replace(code, '-', ''), 9) || '0' || right(code, 1) ELSE plain END AS match_code FROM m)"""
+#: Codes as they might be published: (system, code); where the system is not known its type is kept, where there is no type both are null.
+_CODES = [
+    ("rc", "450"), ("rc", "0450"), ("rc", "45O"), ("drg", "7"), ("ms-drg", "5"), ("ms-drg", "1234"), ("tris-drg", "45"), ("ms-ltc-drg", "9"), ("apc", "604"), ("apc", "05302"), ("apc", "15302"), ("eapg", "12"), ("cmg", "a 1"),
+    ("ndc", "1234-5678-90"), ("ndc", "12345-678-90"), ("ndc", "12345-6789-0"), ("ndc", "12345-6789-01"), ("ndc", "12345678901"), ("ndc", "1234567890"), ("ndc", "12345-67890"), ("ndc", "12345678"), ("cdm", "ABC 123"), ("local", "pharm 001"),
+    ("hcpcs", "j1100"), ("hcpcs", "J1100TC26"), ("cpt", "99213"), ("cpt", "0001U"), ("cpt", "9921"), ("hipps", "x1"), ("cdt", "D0120"), ("icd", "A00"), ("rc", None), (None, "123"), ("mystery code", "456"),
+]
+_UNKNOWN = "mystery code"
+
+
+def _code_rows() -> str:
+    text = lambda x: "NULL" if x is None else f"'{x}'"
+    return ", ".join(f"({i}, {text(k)}, {text(c)})" for i, (k, c) in enumerate(_CODES))
 
 
 @query(
     "code_status",
-    f"""WITH {_CODE_TEXT}
-       SELECT p_partkey, system, match_code, CASE WHEN system = 'cdm' THEN 'not_validated' WHEN system = 'ms-drg' THEN CASE WHEN regexp_full_match(match_code, '[0-9]{{3}}') THEN 'valid' ELSE 'invalid_format' END
-         WHEN system IN ('rc', 'apc') THEN CASE WHEN regexp_full_match(match_code, '[0-9]{{4}}') THEN 'valid' ELSE 'invalid_format' END
-         WHEN system = 'ndc' THEN CASE WHEN regexp_full_match(match_code, '[0-9]{{11}}') THEN 'valid' ELSE 'invalid_format' END
-         WHEN system = 'cpt' THEN CASE WHEN regexp_full_match(match_code, '[0-9]{{5}}|[0-9]{{4}}[A-Z]') THEN 'valid' ELSE 'invalid_format' END
-         ELSE CASE WHEN regexp_full_match(match_code, '[A-Z][0-9]{{4}}|[0-9]{{5}}|[0-9]{{4}}[A-Z]') THEN 'valid' ELSE 'invalid_format' END END AS status,
-         system <> 'cdm' AS comparable, system IN ('ms-drg', 'ndc', 'cpt', 'hcpcs') AS specific,
-         CASE WHEN regexp_full_match(code, '[0-9]{{4}}-[0-9]{{4}}-[0-9]{{2}}') THEN '4-4-2' WHEN regexp_full_match(code, '[0-9]{{5}}-[0-9]{{3}}-[0-9]{{2}}') THEN '5-3-2'
-           WHEN regexp_full_match(code, '[0-9]{{5}}-[0-9]{{4}}-[0-9]') THEN '5-4-1' ELSE 'unknown' END AS layout FROM n""",
+    f"""WITH k AS (SELECT * FROM (VALUES {_code_rows()}) AS t(i, kind, code)), c AS (SELECT p_partkey, kind, nullif(kind, '{_UNKNOWN}') AS system, code FROM part JOIN k ON p_partkey % {len(_CODES)} = i),
+       d AS (SELECT *, regexp_replace(code, '[^0-9]', '', 'g') AS digits FROM c),
+       n AS (SELECT *, CASE WHEN system <> 'ndc' THEN NULL WHEN length(digits) = 11 THEN digits WHEN regexp_full_match(code, '\\d{{4}}-\\d{{4}}-\\d{{2}}') THEN concat('0', digits)
+           WHEN regexp_full_match(code, '\\d{{5}}-\\d{{3}}-\\d{{2}}') THEN concat(left(digits, 5), '0', right(digits, 5)) WHEN regexp_full_match(code, '\\d{{5}}-\\d{{4}}-\\d') THEN concat(left(digits, 9), '0', right(digits, 1)) END AS ndc,
+         CASE WHEN system <> 'ndc' OR system IS NULL OR code IS NULL THEN NULL WHEN regexp_full_match(code, '\\d{{11}}') THEN 'canonical_11_unhyphenated' WHEN length(digits) = 11 THEN 'canonical_11'
+           WHEN regexp_full_match(code, '\\d{{4}}-\\d{{4}}-\\d{{2}}') THEN 'padded_from_10_4_4_2' WHEN regexp_full_match(code, '\\d{{5}}-\\d{{3}}-\\d{{2}}') THEN 'padded_from_10_5_3_2'
+           WHEN regexp_full_match(code, '\\d{{5}}-\\d{{4}}-\\d') THEN 'padded_from_10_5_4_1' WHEN regexp_full_match(code, '\\d{{10}}') THEN 'ambiguous_10_unhyphenated' WHEN length(digits) = 10 THEN 'invalid_layout' ELSE 'invalid_length' END AS ndc_status FROM d),
+       m AS (SELECT *, CASE WHEN system IN ('rc', 'apc') AND regexp_full_match(code, '\\d{{1,4}}') OR system LIKE '%drg' AND regexp_full_match(code, '\\d{{1,3}}') THEN lpad(code, CASE WHEN system LIKE '%drg' THEN 3 ELSE 4 END, '0')
+           WHEN system = 'apc' AND regexp_full_match(code, '0\\d{{4}}') THEN right(code, 4) WHEN system = 'ndc' AND ndc IS NOT NULL THEN ndc ELSE upper(regexp_replace(code, '\\s', '', 'g')) END AS match_code FROM n)
+       SELECT p_partkey, system, match_code, ndc_status,
+         CASE WHEN code IS NULL THEN 'missing_code' WHEN kind IS NULL THEN 'missing_code_system' WHEN system IS NULL THEN 'unknown_code_system' WHEN system NOT IN ('rc', 'ms-drg', 'cpt', 'hcpcs', 'ndc') THEN 'not_validated'
+           WHEN CASE system WHEN 'rc' THEN regexp_full_match(match_code, '\\d{{4}}') WHEN 'ms-drg' THEN regexp_full_match(match_code, '\\d{{3}}') WHEN 'ndc' THEN ndc IS NOT NULL
+             WHEN 'cpt' THEN regexp_full_match(match_code, '\\d{{4}}[0-9A-Z]') ELSE regexp_full_match(match_code, '[A-Z]\\d{{4}}|\\d{{4}}[0-9A-Z]') END THEN 'valid' ELSE 'invalid_format' END AS status,
+         system IS NOT NULL AND system NOT IN ('cdm', 'local') AS comparable, system IS NOT NULL AND system NOT IN ('rc', 'cdm', 'local', 'icd') AS specific FROM m""".replace("\\\\", "\\"),
 )
 def _(m):
-    k = F.col("p_partkey")
-    system = F.element_at(F.array(*[F.lit(x) for x in ("rc", "ms-drg", "apc", "ndc", "cpt", "cdm", "hcpcs")]), (k % 7 + 1).cast("int"))
-    text_of = lambda x: x.cast("string")
-    ndc = F.when(k % 3 == 0, F.concat(F.lit("1234-5678-"), F.lpad(text_of(k % 100), 2, "0"))).when(k % 3 == 1, "12345-678-90").otherwise("12345-6789-1")
-    code = F.when(k % 7 == 3, ndc).when(k % 7 == 4, text_of(k % 90000 + 10000)).when(k % 7 == 6, F.concat(F.lit("a "), F.lpad(text_of(k % 10000), 4, "0"))).otherwise(text_of(k % 1000))
-    own = m.table("part").select("p_partkey", system.alias("system"), code.alias("code"))
-    s, c = F.col("system"), F.col("code")
+    known = m.spark.createDataFrame([(i, k, c) for i, (k, c) in enumerate(_CODES)], "i int, kind string, code string")
+    own = m.table("part").join(known, F.col("p_partkey") % len(_CODES) == F.col("i")).select("p_partkey", "kind", F.nullif("kind", F.lit(_UNKNOWN)).alias("system"), "code")
+    s, c, k = F.col("system"), F.col("code"), F.col("kind")
     own = own.withColumn("match_code", codes.match_code(s, c))
-    return own.select("p_partkey", "system", "match_code", codes.code_status(s, F.col("match_code")).alias("status"), codes.comparable_across_publishers(s).alias("comparable"), codes.is_specific(s).alias("specific"), codes.ndc_layout(c).alias("layout"))
+    status = codes.code_status(c, k, s, F.col("match_code"))
+    return own.select("p_partkey", "system", "match_code", F.when(s == "ndc", codes.ndc_status(c)).alias("ndc_status"), status.alias("status"), codes.comparable_across_publishers(s).alias("comparable"), codes.is_specific(s).alias("specific"))
 
 
 @query(

@@ -27,7 +27,11 @@ rates AS (
     (tax >= 0.06 OR disc >= 0.08) AS has_split_modifier, p_type = 'SMALL' AS is_drug, CASE WHEN p_type = 'SMALL' AND p_size <= 25 THEN 'ml' END AS drug_unit,
     CASE WHEN p_type = 'SMALL' AND p_size <= 25 THEN 'canonical' WHEN p_type = 'SMALL' THEN 'missing_unit' ELSE 'not_a_drug' END AS drug_unit_status,
     cast(price AS DECIMAL(18,4)) AS gross, cast(cast(price * (1 - disc) AS DECIMAL(18,2)) AS DECIMAL(18,4)) AS cash,
-    cast(cast(price * (1 - disc) * (1 + tax) AS DECIMAL(18,2)) AS DECIMAL(18,4)) AS negotiated
+    cast(cast(price * (1 - disc) * (1 + tax) AS DECIMAL(18,2)) AS DECIMAL(18,4)) AS negotiated,
+    CASE WHEN l_linenumber <= 2 THEN cast(cast(price * 0.50 AS DECIMAL(18,2)) AS DECIMAL(18,4)) END AS minimum, CASE WHEN l_linenumber <= 2 THEN cast(cast(price * 1.50 AS DECIMAL(18,2)) AS DECIMAL(18,4)) END AS maximum,
+    CASE WHEN l_linenumber = 3 THEN cast(price AS DECIMAL(18,4)) END AS median_amount, CASE WHEN l_linenumber = 3 THEN cast(cast(price * 0.25 AS DECIMAL(18,2)) AS DECIMAL(18,4)) END AS p10_amount,
+    CASE WHEN l_linenumber = 3 THEN cast(cast(price * 1.75 AS DECIMAL(18,2)) AS DECIMAL(18,4)) END AS p90_amount, CASE WHEN l_linenumber = 4 THEN cast(price AS DECIMAL(18,4)) END AS estimated_amount,
+    CASE WHEN l_linenumber = 5 THEN cast((1 - disc) * 100 AS DECIMAL(18,4)) END AS percentage, CASE WHEN l_linenumber = 6 THEN 'lesser of ' || l_returnflag END AS algorithm
   FROM raw)"""
 
 SNAPSHOTS = """first_days AS (SELECT hospital_id, snapshot_id, min(ship_date) AS valid_from FROM rates GROUP BY ALL),
@@ -39,14 +43,18 @@ snapshots AS (
       WHEN date_diff('day', valid_from, DATE '2002-01-01') <= 1460 THEN '<=1460d' ELSE '>1460d' END AS freshness
   FROM first_days)"""
 
-FACT = """fact AS (
+_KINDS = [
+    ("gross_charge", "standard_charge", "gross", "usd", "gross"), ("discounted_cash", "standard_charge", "cash", "usd", "cash"), ("min_negotiated", "standard_charge", "bound", "usd", "minimum"),
+    ("max_negotiated", "standard_charge", "bound", "usd", "maximum"), ("negotiated_dollar", "payer_rate", "negotiated", "usd", "negotiated"), ("negotiated_percentage", "payer_rate", "negotiated", "percent", "percentage"),
+    ("negotiated_algorithm", "payer_rate", "negotiated", "text", "algorithm"), ("estimated_amount", "payer_rate", "estimated", "usd", "estimated_amount"), ("median_amount", "payer_rate", "allowed_amount_stat", "usd", "median_amount"),
+    ("p10_amount", "payer_rate", "allowed_amount_stat", "usd", "p10_amount"), ("p90_amount", "payer_rate", "allowed_amount_stat", "usd", "p90_amount"),
+]
+
+FACT = f"""fact AS (
   SELECT *, md5(rate_id || '||' || amount_kind) AS observation_id,
-    CASE WHEN amount_kind <> 'negotiated_dollar' THEN 'standard' WHEN methodology = 'other' THEN 'derived_dollar' ELSE 'comparable_dollar' END AS amount_tier,
-    NOT (amount_kind = 'negotiated_dollar' AND methodology = 'other') AS is_price_rankable
-  FROM (
-    SELECT *, 'gross_charge' AS amount_kind, 'standard_charge' AS scope, gross AS amount_value FROM rates
-    UNION ALL SELECT *, 'discounted_cash', 'standard_charge', cash FROM rates
-    UNION ALL SELECT *, 'negotiated_dollar', 'payer_rate', negotiated FROM rates))"""
+    CASE WHEN scope = 'standard_charge' THEN 'standard' WHEN methodology IN ('fee schedule', 'case rate', 'per diem') THEN 'comparable_dollar' ELSE 'derived_dollar' END AS amount_tier,
+    amount_kind IN ('gross_charge', 'discounted_cash') OR (amount_kind = 'negotiated_dollar' AND methodology IN ('fee schedule', 'case rate', 'per diem')) AS is_price_rankable
+  FROM ({" UNION ALL ".join(f"SELECT *, '{k}' AS amount_kind, '{s}' AS scope, '{r}' AS amount_role, '{u}' AS amount_unit, {'cast(NULL AS DECIMAL(18,4))' if u == 'text' else c} AS amount_value, {c if u == 'text' else 'cast(NULL AS VARCHAR)'} AS raw_algorithm_value FROM rates WHERE {c} IS NOT NULL" for k, s, r, u, c in _KINDS)}))"""
 
 BRIDGE = r"""bridge AS (
   SELECT item_id, code_system, match_code, code_comparable, code_is_specific, md5(code_system || '||' || match_code) AS service_code_key
@@ -60,7 +68,7 @@ BLOCKERS = {
     "code_not_cross_hospital_comparable": "NOT coalesce(code_comparable, false)",
     "code_not_specific": "coalesce(code_comparable, false) AND NOT coalesce(code_is_specific, false)",
     "missing_match_code": "match_code IS NULL",
-    "non_rankable_amount": "false",
+    "non_rankable_amount": "amount_unit <> 'usd' OR amount_role IN ('allowed_amount_stat', 'estimated')",
     "derived_dollar": "amount_tier = 'derived_dollar'",
     "modifier_context_required": "has_split_modifier",
     "drug_unit_context_missing": "is_drug AND drug_unit_status = 'missing_unit'",

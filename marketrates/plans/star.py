@@ -20,6 +20,22 @@ AS_OF = "2002-01-01"
 PAYER_ALIASES = {"automobile": "auto_mutual", "building": "builders_health", "furniture": "home_benefit", "household": "home_benefit"}
 
 
+#: Kinds of amounts, in the published order, with the column each comes from, its scope, role and unit.
+AMOUNTS = {
+    "gross_charge": ("gross", "standard_charge", "gross", "usd"),
+    "discounted_cash": ("cash", "standard_charge", "cash", "usd"),
+    "min_negotiated": ("minimum", "standard_charge", "bound", "usd"),
+    "max_negotiated": ("maximum", "standard_charge", "bound", "usd"),
+    "negotiated_dollar": ("negotiated", "payer_rate", "negotiated", "usd"),
+    "negotiated_percentage": ("percentage", "payer_rate", "negotiated", "percent"),
+    "negotiated_algorithm": ("algorithm", "payer_rate", "negotiated", "text"),
+    "estimated_amount": ("estimated_amount", "payer_rate", "estimated", "usd"),
+    "median_amount": ("median_amount", "payer_rate", "allowed_amount_stat", "usd"),
+    "p10_amount": ("p10_amount", "payer_rate", "allowed_amount_stat", "usd"),
+    "p90_amount": ("p90_amount", "payer_rate", "allowed_amount_stat", "usd"),
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -27,7 +43,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def hospitals(spark: SparkSession, d: str) -> DataFrame:
     """A row per publisher: state, health system and a type by size."""
     s, n, r = (table(spark, d, t) for t in ("supplier", "nation", "region"))
-    own = s.join(F.broadcast(n), s["s_nationkey"] == n["n_nationkey"]).join(F.broadcast(r), n["n_regionkey"] == r["r_regionkey"])
+    own = s.join(n, s["s_nationkey"] == n["n_nationkey"]).join(r, n["n_regionkey"] == r["r_regionkey"])
     kind = F.when(F.col("s_acctbal") < 0, "critical access").when(F.col("s_acctbal") < 5000, "general").otherwise("teaching")
     return own.select(F.col("s_suppkey").cast("string").alias("hospital_id"), F.col("s_name").alias("hospital_name"), clean_text(F.col("n_name")).alias("state"), clean_text(F.col("r_name")).alias("health_system"), kind.alias("hospital_type"))
 
@@ -76,6 +92,15 @@ def rates(spark: SparkSession, d: str) -> DataFrame:
         price.cast("decimal(18,4)").alias("gross"),
         (price * (one - discount)).cast("decimal(18,2)").cast("decimal(18,4)").alias("cash"),
         (price * (one - discount) * (one + tax)).cast("decimal(18,2)").cast("decimal(18,4)").alias("negotiated"),
+        # What some rates state besides.
+        F.when(F.col("l_linenumber") <= 2, (price * F.lit(0.5).cast("decimal(3,2)")).cast("decimal(18,2)").cast("decimal(18,4)")).alias("minimum"),
+        F.when(F.col("l_linenumber") <= 2, (price * F.lit(1.5).cast("decimal(3,2)")).cast("decimal(18,2)").cast("decimal(18,4)")).alias("maximum"),
+        F.when(F.col("l_linenumber") == 3, price.cast("decimal(18,4)")).alias("median_amount"),
+        F.when(F.col("l_linenumber") == 3, (price * F.lit(0.25).cast("decimal(3,2)")).cast("decimal(18,2)").cast("decimal(18,4)")).alias("p10_amount"),
+        F.when(F.col("l_linenumber") == 3, (price * F.lit(1.75).cast("decimal(3,2)")).cast("decimal(18,2)").cast("decimal(18,4)")).alias("p90_amount"),
+        F.when(F.col("l_linenumber") == 4, price.cast("decimal(18,4)")).alias("estimated_amount"),
+        F.when(F.col("l_linenumber") == 5, ((one - discount) * 100).cast("decimal(18,4)")).alias("percentage"),
+        F.when(F.col("l_linenumber") == 6, F.concat(F.lit("lesser of "), F.col("l_returnflag"))).alias("algorithm"),
     )
 
 
@@ -88,17 +113,17 @@ def snapshots(rates: DataFrame, as_of: str = AS_OF) -> DataFrame:
 
 
 def fact(rates: DataFrame) -> DataFrame:
-    """One row per stated amount."""
-    measure = lambda kind, column, of, rankable, tier: {"amount_kind": kind, "scope": of, "amount_role": "published", "amount_unit": "usd", "rankable": rankable, "kind_tier": tier, "value": F.col(column)}
-    cells = [
-        measure("gross_charge", "gross", "standard_charge", True, "standard"),
-        measure("discounted_cash", "cash", "standard_charge", True, "standard"),
-        measure("negotiated_dollar", "negotiated", "payer_rate", True, "negotiated"),
-    ]
+    """One row per stated amount: four of the charge, seven of the payer's rate. Only charges' prices and comparable dollars may be ranked."""
+    none, text = F.lit(None).cast("decimal(18,4)"), F.lit(None).cast("string")
+    cells = []
+    for kind, (column, of, role, unit) in AMOUNTS.items():
+        value = none if unit == "text" else F.col(column)
+        cells.append({"amount_kind": kind, "scope": of, "amount_role": role, "amount_unit": unit, "raw_algorithm_value": F.col(column) if unit == "text" else text, "value": value, "present": F.col(column).isNotNull()})
     own = unpivot_measures(rates, cells)
-    derived = (F.col("kind_tier") == "negotiated") & (F.col("methodology") == "other")
-    tier = F.when(derived, "derived_dollar").when(F.col("kind_tier") == "negotiated", "comparable_dollar").otherwise("standard")
-    return own.withColumns({"amount_tier": tier, "is_price_rankable": F.col("rankable") & ~derived, "observation_id": surrogate_key("rate_id", "amount_kind")}).drop("rankable", "kind_tier")
+    stated = semantics.amount_kind(F.col("negotiated"), F.col("percentage"), F.col("algorithm"), F.col("estimated_amount"))
+    tier = F.when(F.col("scope") == "payer_rate", semantics.amount_tier(stated, F.col("methodology"))).otherwise("standard")
+    rankable = F.col("amount_kind").isin("gross_charge", "discounted_cash") | ((F.col("amount_kind") == "negotiated_dollar") & (F.col("amount_tier") == "comparable_dollar"))
+    return own.withColumn("amount_tier", tier).withColumns({"is_price_rankable": rankable, "observation_id": surrogate_key("rate_id", "amount_kind")})
 
 
 def bridge(rates: DataFrame) -> DataFrame:
