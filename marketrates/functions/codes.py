@@ -71,5 +71,22 @@ def drug_unit_status(unit: Column, canonical: Column) -> Column:
     return F.when(unit.isNull(), "missing_unit").when(canonical.isNotNull(), "canonical").otherwise("unknown_unit")
 
 
+def ndc_lacks_unit(has_ndc: Column, unit: Column, kind: Column) -> Column:
+    """Whether an item with a drug code states no unit."""
+    return F.coalesce(has_ndc, F.lit(False)) & (unit.isNull() | kind.isNull())
+
+
+#: Statuses of drug units, the most informative first.
+DRUG_UNIT_STATUSES = ["canonical", "unknown_unit", "missing_unit"]
+
+
+def collapse_status(status: Column, order: list[str] | None = None) -> Column:
+    """Aggregate: the foremost status that occurs; the last one where none of them does."""
+    order = order or DRUG_UNIT_STATUSES
+    names = F.array(*[F.lit(x) for x in order])
+    rank = F.array_position(names, status)
+    return F.element_at(names, F.coalesce(F.min(F.when(rank > 0, rank)), F.lit(len(order))).cast("int"))
+
+
 def modifier_status(reference: Column) -> Column:
     return F.when(reference.isNotNull(), "known").otherwise("unknown")

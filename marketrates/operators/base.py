@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.casts import safe_decimal
-from ..functions.keys import surrogate_key
+from ..functions.keys import modifier_signature, surrogate_key
 from ..functions.text import clean_display_text, clean_text
 from . import published_rules, scope
 from .reshape import union_all
@@ -132,6 +132,12 @@ def standard_charges(staged: dict[str, DataFrame], rejected: dict[str, DataFrame
     return own.select(*KEYS["charges"], "hospital_id", "charge_item_id", key.alias("standard_charge_id"), *amounts.values(), clean_text(F.col("setting")).alias("clean_setting"), clean_text(F.col("billing_class")).alias("clean_billing_class"))
 
 
+def rate_modifiers(rates: DataFrame, modifiers: DataFrame, on: str = "standard_charge_id", rate: str = "payer_rate_id") -> DataFrame:
+    """(rate, modifier_signature, modifier_count): a charge's modifiers hold for every rate below it; rates without any have the marker's signature."""
+    own = rates.select(rate, on).join(modifiers.select(on, "match_modifier_code"), on, "left")
+    return own.groupBy(rate).agg(modifier_signature(F.col("match_modifier_code")).alias("modifier_signature"), F.count_distinct("match_modifier_code").alias("modifier_count"))
+
+
 def payer_rates(staged: dict[str, DataFrame], rejected: dict[str, DataFrame], charges: DataFrame) -> DataFrame:
     """Accepted rates of accepted charges, of both formats."""
     own = _left(staged, rejected, "rates").join(charges.select(*KEYS["charges"], "charge_item_id", "standard_charge_id"), KEYS["charges"])

@@ -75,6 +75,7 @@ def numeric_profile(long: DataFrame) -> DataFrame:
         F.min(x).alias("min_value"),
         F.max(x).alias("max_value"),
         F.avg(x).alias("mean_value"),
+        *[F.percentile(x, q).alias(n) for n, q in (("p10_value", 0.1), ("median_value", 0.5), ("p90_value", 0.9))],
         F.count_if(x == 0).alias("zero_count"),
         F.count_if(x < 0).alias("negative_count"),
     )

@@ -1,12 +1,14 @@
 """Snapshots: which are current, reading some of them, replacing and removing them.
 
-Current is derived by recency, never stored as truth. Destructive calls refuse an empty scope. Plain Parquet has no transactions: a replace deletes the named
-partitions and then appends, so readers in between see neither; use a table format with transactions where that matters.
+Current is derived by recency, never stored as truth. Destructive calls refuse an empty scope. Plain Parquet has no transactions: a replace writes aside, drops the
+named partitions and moves the new ones in, so readers in between may see neither; use a table format with transactions where that matters.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -58,14 +60,26 @@ def _drop_partitions(spark: SparkSession, path: str, column: str, ids: list[str]
 def replace_snapshots(frame: DataFrame, path: str, ids, column: str = "snapshot_id", records_per_file: int = 500_000) -> None:
     """Replace the named snapshots' rows at path by frame's, also by none. Rows outside the scope, or without a snapshot, are an error.
 
-    The frame must not read from path itself: the partitions are gone before it is written.
+    The new rows are written aside first, which may read from path itself; only when they are there are the old partitions dropped and the new ones moved in, a rename
+    each. A failure before that leaves the table as it was.
     """
-    ids = _need(ids)
-    outside = frame.filter(F.col(column).isNull() | ~F.col(column).cast("string").isin(ids))
-    if not outside.isEmpty():
-        raise ValueError("rows outside the snapshots that are to be replaced")
-    _drop_partitions(frame.sparkSession, path, column, ids)
-    frame.write.mode("append").partitionBy(column).option("maxRecordsPerFile", records_per_file).parquet(path)
+    ids, spark = _need(ids), frame.sparkSession
+    inside = F.coalesce(F.col(column).cast("string").isin(ids), F.lit(False))
+    seen = Observation()
+    aside = f"{path.rstrip('/')}.replacing-{uuid.uuid4().hex}"
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    system = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        frame.observe(seen, F.count_if(~inside).alias("outside")).write.partitionBy(column).option("maxRecordsPerFile", records_per_file).parquet(aside)
+        if seen.get["outside"]:
+            raise ValueError("rows outside the snapshots that are to be replaced")
+        _drop_partitions(spark, path, column, ids)
+        system.mkdirs(hadoop.Path(path))
+        for part in system.listStatus(hadoop.Path(aside)):
+            if part.isDirectory() and not system.rename(part.getPath(), hadoop.Path(path, part.getPath().getName())):
+                raise OSError(f"{part.getPath()} could not be moved")
+    finally:
+        system.delete(hadoop.Path(aside), True)
 
 
 def clear_snapshots(spark: SparkSession, paths: list[str], ids, column: str = "snapshot_id") -> None:

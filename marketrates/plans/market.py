@@ -81,14 +81,14 @@ def _(m):
     "numeric_profile",
     " UNION ALL ".join(
         f"""SELECT '{g}' AS grain, '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count, count(*) FILTER (WHERE {c} IS NOT NULL AND try_cast({c} AS DOUBLE) IS NULL) AS non_numeric_count,
-       min(try_cast({c} AS DOUBLE)) AS min_value, max(try_cast({c} AS DOUBLE)) AS max_value, round(avg(try_cast({c} AS DOUBLE)), 4) AS mean_value,
+       round(quantile_cont(try_cast({c} AS DOUBLE), 0.1), 4) AS p10_value, round(median(try_cast({c} AS DOUBLE)), 4) AS median_value, round(quantile_cont(try_cast({c} AS DOUBLE), 0.9), 4) AS p90_value, min(try_cast({c} AS DOUBLE)) AS min_value, max(try_cast({c} AS DOUBLE)) AS max_value, round(avg(try_cast({c} AS DOUBLE)), 4) AS mean_value,
        count(*) FILTER (WHERE try_cast({c} AS DOUBLE) = 0) AS zero_count, count(*) FILTER (WHERE try_cast({c} AS DOUBLE) < 0) AS negative_count FROM {t}"""
         for g, t, c in (("line", "lineitem", "l_quantity"), ("line", "lineitem", "l_tax"), ("supplier", "supplier", "s_acctbal"), ("supplier", "supplier", "s_name"))
     ),
 )
 def _(m):
     long = reshape.union_all([reshape.profile_columns(m.table("lineitem"), ["l_quantity", "l_tax"], "line"), reshape.profile_columns(m.table("supplier"), ["s_acctbal", "s_name"], "supplier")])
-    return rules.numeric_profile(long).withColumn("mean_value", r4("mean_value"))
+    return rules.numeric_profile(long).withColumns({c: r4(c) for c in ("mean_value", "p10_value", "median_value", "p90_value")})
 
 
 @query(
@@ -102,11 +102,14 @@ def _(m):
 @query(
     "anomalies",
     """SELECT rate_id, 'above_gross' AS anomaly FROM rates WHERE negotiated > gross UNION ALL SELECT rate_id, 'cash_equals_gross' FROM rates WHERE cash = gross
-       UNION ALL SELECT rate_id, 'below_cash' FROM rates WHERE negotiated < cash""",
+       UNION ALL SELECT rate_id, 'below_cash' FROM rates WHERE negotiated < cash UNION ALL SELECT rate_id, 'percentage_above_100' FROM rates WHERE percentage > 100
+       UNION ALL SELECT rate_id, 'minimum_above_maximum' FROM rates WHERE minimum > maximum UNION ALL SELECT rate_id, 'orphan_estimate' FROM rates WHERE estimated_amount IS NOT NULL AND percentage IS NULL AND algorithm IS NULL""",
     model=True,
 )
 def _(m):
     checks = {"above_gross": F.col("negotiated") > F.col("gross"), "cash_equals_gross": F.col("cash") == F.col("gross"), "below_cash": F.col("negotiated") < F.col("cash")}
+    checks |= {"percentage_above_100": F.col("percentage") > 100, "minimum_above_maximum": F.col("minimum") > F.col("maximum")}
+    checks["orphan_estimate"] = F.col("estimated_amount").isNotNull() & F.col("percentage").isNull() & F.col("algorithm").isNull()
     return m.rates.select("rate_id", F.explode(reshape.non_null_names(checks)).alias("anomaly"))
 
 
@@ -170,23 +173,25 @@ def _(m):
 
 @query(
     "modifier_signature_dim",
-    "SELECT modifier_signature, min(modifier_text) AS modifiers, count(*) AS rate_count, coalesce(min(modifier_text) LIKE '%26%', false) AS has_professional FROM rates GROUP BY modifier_signature",
+    "SELECT modifier_signature, min(modifier_text) AS modifiers, count(*) AS rate_count, min(list_contains(string_split(coalesce(modifier_text, ''), '|'), '26')) AS has_professional, min(CASE modifier_text WHEN '26' THEN 'Professional component' WHEN 'TC' THEN 'Technical component' WHEN '26|TC' THEN 'Professional component, Technical component' ELSE 'No modifier' END) AS label FROM rates GROUP BY modifier_signature",
     model=True,
 )
 def _(m):
     own = m.rates.withColumn("modifier_text", F.nullif(F.array_join("modifiers", "|"), F.lit("")))
-    return own.groupBy("modifier_signature").agg(F.min("modifier_text").alias("modifiers"), F.count("*").alias("rate_count"), F.coalesce(F.min("modifier_text").contains("26"), F.lit(False)).alias("has_professional"))
+    names = F.transform("modifiers", lambda x: F.when(x == "26", "Professional component").when(x == "TC", "Technical component").otherwise(x))
+    label = F.when(F.size("modifiers") > 0, F.array_join(names, ", ")).otherwise("No modifier")
+    return own.groupBy("modifier_signature").agg(F.min("modifier_text").alias("modifiers"), F.count("*").alias("rate_count"), F.bool_or(F.array_contains("modifiers", "26")).alias("has_professional"), F.min(label).alias("label"))
 
 
 @query(
     "service_code_dim",
-    """SELECT service_code_key, code_system, match_code, code_comparable, code_is_specific, count(*) AS item_count, (SELECT max(p_name) FROM part WHERE upper(replace(p_brand, ' ', '')) = match_code) AS description
+    """SELECT service_code_key, code_system, match_code, code_comparable, code_is_specific, count(*) AS item_count, (SELECT arg_max(p_name, (p_size, p_name)) FROM part WHERE upper(replace(p_brand, ' ', '')) = match_code) AS description
        FROM bridge GROUP BY ALL""",
     model=True,
 )
 def _(m):
     own = m.bridge.groupBy("service_code_key", "code_system", "match_code", "code_comparable", "code_is_specific").agg(F.count("*").alias("item_count"))
-    latest = m.table("part").groupBy(F.upper(F.regexp_replace("p_brand", " ", "")).alias("match_code")).agg(F.max("p_name").alias("description"))
+    latest = m.table("part").groupBy(F.upper(F.regexp_replace("p_brand", " ", "")).alias("match_code")).agg(F.max_by("p_name", F.struct("p_size", "p_name")).alias("description"))  # sizes stand for editions
     return own.join(latest, "match_code", "left").select("service_code_key", "code_system", "match_code", "code_comparable", "code_is_specific", "item_count", "description")
 
 

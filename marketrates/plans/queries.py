@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import market, published, scalar  # noqa: F401  they register theirs
+from . import audit, market, published, scalar  # noqa: F401  they register theirs
 from .registry import Query, _oracles, _queries
 
 

@@ -28,10 +28,10 @@ rates AS (
     CASE WHEN p_type = 'SMALL' AND p_size <= 25 THEN 'canonical' WHEN p_type = 'SMALL' THEN 'missing_unit' ELSE 'not_a_drug' END AS drug_unit_status,
     cast(price AS DECIMAL(18,4)) AS gross, cast(cast(price * (1 - disc) AS DECIMAL(18,2)) AS DECIMAL(18,4)) AS cash,
     cast(cast(price * (1 - disc) * (1 + tax) AS DECIMAL(18,2)) AS DECIMAL(18,4)) AS negotiated,
-    CASE WHEN l_linenumber <= 2 THEN cast(cast(price * 0.50 AS DECIMAL(18,2)) AS DECIMAL(18,4)) END AS minimum, CASE WHEN l_linenumber <= 2 THEN cast(cast(price * 1.50 AS DECIMAL(18,2)) AS DECIMAL(18,4)) END AS maximum,
+    CASE WHEN l_linenumber <= 2 THEN cast(cast(price * CASE WHEN l_linenumber = 2 THEN 1.75 ELSE 0.50 END AS DECIMAL(18,2)) AS DECIMAL(18,4)) END AS minimum, CASE WHEN l_linenumber <= 2 THEN cast(cast(price * 1.50 AS DECIMAL(18,2)) AS DECIMAL(18,4)) END AS maximum,
     CASE WHEN l_linenumber = 3 THEN cast(price AS DECIMAL(18,4)) END AS median_amount, CASE WHEN l_linenumber = 3 THEN cast(cast(price * 0.25 AS DECIMAL(18,2)) AS DECIMAL(18,4)) END AS p10_amount,
     CASE WHEN l_linenumber = 3 THEN cast(cast(price * 1.75 AS DECIMAL(18,2)) AS DECIMAL(18,4)) END AS p90_amount, CASE WHEN l_linenumber = 4 THEN cast(price AS DECIMAL(18,4)) END AS estimated_amount,
-    CASE WHEN l_linenumber = 5 THEN cast((1 - disc) * 100 AS DECIMAL(18,4)) END AS percentage, CASE WHEN l_linenumber = 6 THEN 'lesser of ' || l_returnflag END AS algorithm
+    CASE WHEN l_linenumber = 5 THEN cast((1 - disc) * 100 + 2 AS DECIMAL(18,4)) END AS percentage, CASE WHEN l_linenumber = 6 THEN 'lesser of ' || l_returnflag END AS algorithm
   FROM raw)"""
 
 SNAPSHOTS = """first_days AS (SELECT hospital_id, snapshot_id, min(ship_date) AS valid_from FROM rates GROUP BY ALL),

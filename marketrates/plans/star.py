@@ -93,13 +93,13 @@ def rates(spark: SparkSession, d: str) -> DataFrame:
         (price * (one - discount)).cast("decimal(18,2)").cast("decimal(18,4)").alias("cash"),
         (price * (one - discount) * (one + tax)).cast("decimal(18,2)").cast("decimal(18,4)").alias("negotiated"),
         # What some rates state besides.
-        F.when(F.col("l_linenumber") <= 2, (price * F.lit(0.5).cast("decimal(3,2)")).cast("decimal(18,2)").cast("decimal(18,4)")).alias("minimum"),
+        F.when(F.col("l_linenumber") <= 2, (price * F.when(F.col("l_linenumber") == 2, 1.75).otherwise(0.5).cast("decimal(3,2)")).cast("decimal(18,2)").cast("decimal(18,4)")).alias("minimum"),
         F.when(F.col("l_linenumber") <= 2, (price * F.lit(1.5).cast("decimal(3,2)")).cast("decimal(18,2)").cast("decimal(18,4)")).alias("maximum"),
         F.when(F.col("l_linenumber") == 3, price.cast("decimal(18,4)")).alias("median_amount"),
         F.when(F.col("l_linenumber") == 3, (price * F.lit(0.25).cast("decimal(3,2)")).cast("decimal(18,2)").cast("decimal(18,4)")).alias("p10_amount"),
         F.when(F.col("l_linenumber") == 3, (price * F.lit(1.75).cast("decimal(3,2)")).cast("decimal(18,2)").cast("decimal(18,4)")).alias("p90_amount"),
         F.when(F.col("l_linenumber") == 4, price.cast("decimal(18,4)")).alias("estimated_amount"),
-        F.when(F.col("l_linenumber") == 5, ((one - discount) * 100).cast("decimal(18,4)")).alias("percentage"),
+        F.when(F.col("l_linenumber") == 5, ((one - discount) * 100 + 2).cast("decimal(18,4)")).alias("percentage"),
         F.when(F.col("l_linenumber") == 6, F.concat(F.lit("lesser of "), F.col("l_returnflag"))).alias("algorithm"),
     )
 

@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import codes
 from ..functions.text import clean_text
 
 _PAYER = "struct<payer_name:string,plan_name:string,methodology:string,standard_charge_dollar:string,standard_charge_percentage:string,standard_charge_algorithm:string,estimated_amount:string,median_amount:string,`10th_percentile`:string,`90th_percentile`:string,count:string,additional_payer_notes:string>"
@@ -31,11 +32,19 @@ def snapshots_of(spark: SparkSession, root: str, schema: str | None = None, colu
     return (reader.schema(f"{schema}, {column} string") if schema else reader).parquet(root)
 
 
+def _container_pattern(schema: str) -> str:
+    """Where a record has an array or object under a key that the schema has as text, or inside a list of texts. Quotes within JSON texts follow a backslash, so keys are told apart."""
+    scalars = sorted(set(re.findall(r"[<,]`?(\w+)`?:string", schema)))
+    lists = sorted(set(re.findall(r"[<,]`?(\w+)`?:array<string>", schema)))
+    patterns = [rf'(?<!\\)"({"|".join(scalars)})"\s*:\s*[\[{{]'] + [rf'(?<!\\)"({"|".join(lists)})"\s*:\s*\[[^\]"]*(?:"(?:[^"\\]|\\.)*"[^\]"]*)*[\[{{]'] * bool(lists)
+    return "|".join(patterns)
+
+
 def split_json(frame: DataFrame, column: str, schema: str) -> tuple[DataFrame, DataFrame]:
-    """(rows whose record parses, with it under 'record'; rows whose record does not). schema: a struct type."""
+    """(rows whose record parses, with it under 'record'; rows whose record does not, or has a container where a scalar belongs). schema: a struct type."""
     wide = schema.removesuffix(">") + ",_corrupt:string>"
     own = frame.withColumn("record", F.from_json(column, wide, {"columnNameOfCorruptRecord": "_corrupt"}))
-    bad = F.col("record").isNull() | F.col("record._corrupt").isNotNull()
+    bad = F.col("record").isNull() | F.col("record._corrupt").isNotNull() | F.col(column).rlike(_container_pattern(schema))
     return own.filter(~bad), own.filter(bad).drop("record")
 
 
@@ -44,13 +53,24 @@ def diagnostics(bad: DataFrame, keys: list[str], column: str, section: str) -> D
     return bad.select(*keys, F.lit(section).alias("section"), F.lit("record does not parse").alias("error_summary"), F.col(column).alias("raw_record"))
 
 
-def schema_family(record: str = "record", default: Column | None = None) -> Column:
-    """3.0 where a payer with a percentage or algorithm states counts or percentiles, 2.2 where it states an estimate; conflict for both, else the header's."""
+def _signals(record: str) -> tuple[Column, Column]:
+    """(of 3.0, of 2.2): whether a payer with a percentage or algorithm states counts or allowed amounts, or an estimate."""
     payers = F.flatten(F.transform(F.col(f"{record}.standard_charges"), lambda c: F.coalesce(c["payers_information"], F.array().cast(f"array<{_PAYER}>"))))
-    indirect = lambda p: p["standard_charge_percentage"].isNotNull() | p["standard_charge_algorithm"].isNotNull()
-    v3 = F.coalesce(F.exists(payers, lambda p: indirect(p) & (p["count"].isNotNull() | p["median_amount"].isNotNull())), F.lit(False))
-    v2 = F.coalesce(F.exists(payers, lambda p: indirect(p) & p["estimated_amount"].isNotNull()), F.lit(False))
-    return F.when(v3 & v2, "conflict").when(v3, "3.0").when(v2, "2.2").otherwise(default if default is not None else F.lit(None).cast("string"))
+    some = lambda names: lambda p: (p["standard_charge_percentage"].isNotNull() | p["standard_charge_algorithm"].isNotNull()) & reduce(lambda a, b: a | b, [p[n].isNotNull() for n in names])
+    v3 = F.coalesce(F.exists(payers, some(["count", "median_amount", "10th_percentile", "90th_percentile"])), F.lit(False))
+    return v3, F.coalesce(F.exists(payers, some(["estimated_amount"])), F.lit(False))
+
+
+def schema_family(record: str = "record", default: Column | None = None) -> Column:
+    """The family that a record's payers show: 3.0, also where both show, or 2.2; else the header's."""
+    v3, v2 = _signals(record)
+    return F.when(v3, "3.0").when(v2, "2.2").otherwise(default if default is not None else F.lit(None).cast("string"))
+
+
+def schema_conflict(record: str = "record") -> Column:
+    """Whether a record's payers show both families: it is kept as published, for inspection."""
+    v3, v2 = _signals(record)
+    return v3 & v2
 
 
 def flatten_items(items: DataFrame, record: str = "record", snapshot: str = "snapshot_id", ordinal: str = "item_ordinal") -> dict[str, DataFrame]:
@@ -113,6 +133,60 @@ def layout(columns: list[str]) -> str:
     return "csv_tall" if "payer_name" in names else "unknown"
 
 
+#: Headers of tall files that are named otherwise in tables.
+TALL_NAMES = {
+    "standard_charge_gross": "gross_charge", "standard_charge_discounted_cash": "discounted_cash", "standard_charge_min": "minimum", "standard_charge_max": "maximum", "standard_charge_negotiated_dollar": "standard_charge_dollar",
+    "standard_charge_negotiated_percentage": "standard_charge_percentage", "standard_charge_negotiated_algorithm": "standard_charge_algorithm", "standard_charge_methodology": "methodology", "10th_percentile": "tenth_percentile", "90th_percentile": "ninetieth_percentile",
+}
+
+
+def _cells(line: Column, width: int) -> Column:
+    """The trimmed cells of a CSV line of at most width cells, '' where there is none."""
+    parsed = F.from_csv(line, ", ".join(f"c{i} string" for i in range(width)), {"escape": '"'})
+    return F.array(*[F.coalesce(F.trim(parsed[f"c{i}"]), F.lit("")) for i in range(width)])
+
+
+def csv_files(lines: DataFrame, width: int = 64) -> tuple[DataFrame, DataFrame]:
+    """lines: snapshot_id, line_ordinal from 0, line. Files' first two lines are the header's keys and values, the third names the columns.
+
+    (snapshot_id, header, layout, version: a row per file; snapshot_id, row_ordinal from 0, cells: a row per line from the fourth on). header and cells are maps from
+    canonical names to texts. Files of any layout go through together; what names the columns is a row per file.
+    """
+    own = lines.withColumn("cells", _cells(F.col("line"), width))
+    first = lambda n: F.max(F.when(F.col("line_ordinal") == n, F.col("cells")))
+    heads = own.filter("line_ordinal < 3").groupBy("snapshot_id").agg(first(0).alias("keys"), first(1).alias("values"), first(2).alias("names"))
+    canonical = lambda x: F.regexp_replace(F.regexp_replace(F.lower(x), r"[^a-z0-9_\[\]]+", "_"), "^_+|_+$", "")
+    pairs = lambda k, v: F.map_from_entries(F.filter(F.zip_with(F.transform(k, canonical), v, lambda a, b: F.struct(a.alias("a"), b.alias("b"))), lambda e: e["a"] != ""))
+    lower = F.transform("names", lambda x: F.lower(x))
+    layout_ = F.when(F.array_contains(lower, "payer_name"), "csv_tall").when(F.exists(lower, lambda x: x.rlike(r"^standard_charge\|.*\|.*\|")), "csv_wide").otherwise("unknown")
+    struct = F.filter(F.zip_with("keys", "values", lambda a, b: F.struct(a.alias("a"), b.alias("b"))), lambda e: F.lower(e["a"]) == "version")
+    headers = heads.select("snapshot_id", pairs(F.col("keys"), F.col("values")).alias("header"), layout_.alias("layout"), F.nullif(F.get(struct, F.lit(0))["b"], F.lit("")).alias("version"))
+    rows = own.filter("line_ordinal >= 3").join(heads.select("snapshot_id", "names"), "snapshot_id")
+    return headers, rows.select("snapshot_id", (F.col("line_ordinal") - 3).alias("row_ordinal"), pairs(F.col("names"), F.col("cells")).alias("cells"))
+
+
+def csv_header_tables(headers: DataFrame) -> dict[str, DataFrame]:
+    """A row per file, its locations and identifiers, from csv_files' headers; several values of one cell are parted by bars."""
+    of = lambda name: F.nullif(F.try_element_at("header", F.lit(name)), F.lit(""))
+    license_ = F.get(F.filter(F.map_keys("header"), lambda k: k.like("license_number%")), F.lit(0))
+    parts = lambda name: F.transform(F.split(F.coalesce(of(name), F.lit("")), "[|]"), lambda x: F.trim(x))
+    located = headers.select("snapshot_id", F.posexplode(F.arrays_zip(parts("location_name").alias("location_name"), parts("hospital_address").alias("hospital_address"))).alias("location_ordinal", "x"))
+    return {
+        "hospital_mrf_snapshots": headers.select(
+            "snapshot_id", "layout", of("hospital_name").alias("reported_hospital_name"), of("last_updated_on").alias("published_last_updated_on"), F.col("version").alias("schema_version"),
+            F.nullif(F.try_element_at("header", license_), F.lit("")).alias("license_number"), F.nullif(F.upper(F.regexp_extract(license_, "^license_number_(.+)$", 1)), F.lit("")).alias("reported_state"),
+        ),
+        "hospital_locations": located.select("snapshot_id", "location_ordinal", "x.*").filter("location_name <> '' or hospital_address <> ''"),
+        "type2_npi": headers.select("snapshot_id", F.posexplode(parts("type_2_npi")).alias("npi_ordinal", "npi")).filter("npi <> ''"),
+    }
+
+
+def tall_rows(rows: DataFrame, names: list[str]) -> DataFrame:
+    """csv_files' rows of tall files as columns of these names, blank texts null."""
+    source = {v: k for k, v in TALL_NAMES.items()}
+    return rows.select("snapshot_id", "row_ordinal", *[F.nullif(F.try_element_at("cells", F.lit(source.get(n, n))), F.lit("")).alias(n) for n in names])
+
+
 def load_tall(frame: DataFrame) -> DataFrame:
     """Canonical names, blank texts null."""
     return frame.select(*[F.nullif(F.trim(F.col(f"`{c}`").cast("string")), F.lit("")).alias(_canonical(c)) for c in frame.columns])
@@ -157,6 +231,16 @@ def reference_table(lines: DataFrame, columns: list[str], code: str, width: int,
     return own.withColumns({c: flag(c) for c in columns if c.endswith("_drg")})
 
 
+def conformed(reference: DataFrame, system: str, code: str, columns: dict[str, str]) -> DataFrame:
+    """A reference table in the form that codes are matched in: code_system, match_code, code_edition, then columns (new name -> column)."""
+    return reference.select(F.lit(system).alias("code_system"), codes.match_code(F.lit(system), clean_text(F.col(code), lowercase=False)).alias("match_code"), "code_edition", *[F.col(c).alias(n) for n, c in columns.items()])
+
+
+def columns_like(frame: DataFrame, pattern: str, exclude: str | None = None) -> DataFrame:
+    """The columns whose whole names match a pattern, but for those that match another."""
+    return frame.select(*[F.col(f"`{c}`") for c in frame.columns if re.fullmatch(pattern, c) and not (exclude and re.fullmatch(exclude, c))])
+
+
 def staged(frame: DataFrame, spec: dict[str, str]) -> DataFrame:
     """Raw and clean twins of text columns, and casts: spec maps a column to text or to a type."""
     out = []
