@@ -34,7 +34,7 @@ def snapshots_of(spark: SparkSession, root: str, schema: str | None = None, colu
 
 def _container_pattern(schema: str) -> str:
     """Where a record has an array or object under a key that the schema has as text, or inside a list of texts. Quotes within JSON texts follow a backslash, so keys are told apart."""
-    scalars = sorted(set(re.findall(r"[<,]`?(\w+)`?:string", schema)))
+    scalars = sorted(set(re.findall(r"[<,]`?(\w+)`?:string", schema)) - set(re.findall(r"[<,]`?(\w+)`?:(?:struct|array)<", schema)))  # a name may be both
     lists = sorted(set(re.findall(r"[<,]`?(\w+)`?:array<string>", schema)))
     patterns = [rf'(?<!\\)"({"|".join(scalars)})"\s*:\s*[\[{{]'] + [rf'(?<!\\)"({"|".join(lists)})"\s*:\s*\[[^\]"]*(?:"(?:[^"\\]|\\.)*"[^\]"]*)*[\[{{]'] * bool(lists)
     return "|".join(patterns)

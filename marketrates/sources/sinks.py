@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 
 def write_partitioned(frame: DataFrame, path: str, by: str = "snapshot_id", records_per_file: int = 500_000) -> int:
-    """Append rows by partition, files of at most so many rows; an empty frame still makes the folder. Returns the rows written, counted on the way."""
+    """Append rows by partition, files of at most so many rows; an empty frame still makes the folder. Returns the rows written, counted on the way.
+
+    Rows are brought together by partition first, large ones split over tasks by AQE, so that files are few.
+    """
     seen = Observation()
-    frame.observe(seen, F.count("*").alias("rows")).write.mode("append").partitionBy(by).option("maxRecordsPerFile", records_per_file).parquet(path)
+    frame.observe(seen, F.count("*").alias("rows")).hint("rebalance", by).write.mode("append").partitionBy(by).option("maxRecordsPerFile", records_per_file).parquet(path)
     return int(seen.get["rows"])
 
 
