@@ -23,8 +23,9 @@ from pyspark.sql import types as T
 from . import kernels as K
 
 #: Bytes of text scanned at once, and pieces remembered by a Python worker.
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 19
 CACHE_PIECES = 400_000
+MERGED = 8_000  # pieces merged together
 #: Above every id.
 NO_PAIR = 1 << 40
 
@@ -185,8 +186,8 @@ class Vocabulary:
         for width in (4, 8, 12, 16, 24, 48):
             rows = np.flatnonzero((sizes > low) & (sizes <= width))
             low = width
-            for a in range(0, len(rows), 20_000):
-                own = rows[a : a + 20_000]
+            for a in range(0, len(rows), MERGED):
+                own = rows[a : a + MERGED]
                 raw = np.frombuffer(b"".join(pieces[i].ljust(width, b"\0") for i in own.tolist()), np.uint8).reshape(-1, width)
                 parts = np.where(np.arange(width) < sizes[own][:, None], self.byte_id[raw], -1)
                 rank = self._pair_rank(parts[:, :-1], parts[:, 1:])
@@ -285,6 +286,11 @@ class Vocabulary:
         return ids, places
 
 
+    def decode(self, ids: bytes) -> bytes:
+        """The bytes that little-endian unsigned 32-bit ids stand for."""
+        return b"".join(map(self.bytes.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+
 @functools.lru_cache(maxsize=2)
 def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
@@ -299,19 +305,23 @@ def _added(frame: DataFrame, *names: str) -> T.StructType:
     return T.StructType([f for f in frame.schema.fields if f.name not in names] + [T.StructField(n, T.BinaryType()) for n in names])
 
 
-def encode(frame: DataFrame, ranks: str, text: str = "text", ids: str = "ids", pieces: str = "piece_offsets") -> DataFrame:
+def encode(frame: DataFrame, ranks: str, text: str = "text", ids: str = "ids", pieces: str = "piece_offsets", decoded: str | None = None, keep_text: bool = True) -> DataFrame:
     """Add the ids of the text and the byte offsets of its pieces, as binary columns of little-endian unsigned 32-bit integers.
 
-    A column that already has one of these names is replaced. ranks: path of the rank file, the same on each executor.
+    A column that already has one of these names is replaced. ranks: path of the rank file, the same on each executor. decoded: also what the ids decode to, in the same
+    pass through Python; keep_text: whether the text goes back to Spark.
     """
+    names = [ids, pieces, *[decoded] * bool(decoded)]
+    gone = [] if keep_text else [text]
 
     def run(batches):
         v = vocabulary(ranks)
         for batch in batches:
             a, b = v.encode(*K.buffers(batch.column(batch.schema.names.index(text))))
-            yield _with(batch, **{ids: pa.array(a, pa.binary()), pieces: pa.array(b, pa.binary())})
+            columns = [a, b, *[[v.decode(x) for x in a]] * bool(decoded)]
+            yield _with(batch.drop_columns(gone), **{n: pa.array(c, pa.binary()) for n, c in zip(names, columns)})
 
-    return frame.mapInArrow(run, _added(frame, ids, pieces))
+    return frame.mapInArrow(run, _added(frame.drop(*gone), *names))
 
 
 def decode(frame: DataFrame, ranks: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -320,7 +330,7 @@ def decode(frame: DataFrame, ranks: str, ids: str = "ids", out: str = "decoded")
     def run(batches):
         v = vocabulary(ranks)
         for batch in batches:
-            texts = [b"".join(map(v.bytes.__getitem__, np.frombuffer(x.as_buffer() or b"", "<u4").tolist())) if x.is_valid else b"" for x in batch.column(batch.schema.names.index(ids))]
+            texts = [v.decode(x.as_buffer() or b"") if x.is_valid else b"" for x in batch.column(batch.schema.names.index(ids))]
             yield _with(batch, **{out: pa.array(texts, pa.binary())})
 
     return frame.mapInArrow(run, _added(frame, out))
@@ -328,8 +338,7 @@ def decode(frame: DataFrame, ranks: str, ids: str = "ids", out: str = "decoded")
 
 def digest_query(documents: DataFrame, ranks: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every whole text, and the number of its pieces."""
-    coded = encode(documents.select("doc_id", "text"), ranks).drop("text")
-    back = decode(coded, ranks)
+    back = encode(documents.select("doc_id", "text"), ranks, decoded="decoded", keep_text=False)
     return back.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
