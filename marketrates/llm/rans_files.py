@@ -172,7 +172,8 @@ def write_files(documents: DataFrame, path: str, tokenizer: str, end_id: int = 2
     """Encode every whole text by the tokenizers library, append end_id, and write the ids in ascending order of the key to path."""
     spark = documents.sparkSession
     own = documents.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    ordered = own.repartitionByRange(partitions(spark), "key").sortWithinPartitions("key", "text")
+    # By the text's beginning, too: many rows of one id, or of none, are spread, and the order is the same.
+    ordered = own.repartitionByRange(partitions(spark), "key", F.substring("text", 1, 64)).sortWithinPartitions("key", "text")
     setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(setting, "false")
     spark.conf.set(setting, "true")
