@@ -10,19 +10,23 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources import shared
+
+_tables: dict[str, list[str]] = {}
 #: Rows and bytes in one Arrow batch, whichever comes first: a batch of whole texts must fit a Python worker, and offsets of 32 bits.
 BATCH_ROWS, BATCH_BYTES = 1000, 64 << 20
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; one under /tmp/checkpoints only where that is unset (tests, local runs)."""
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    return folder.rstrip("/") if folder else "/tmp/checkpoints/local"
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh path in the application's part of the folder named in spark.checkpoint.dir."""
+    return f"{shared.folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+def clear(spark: SparkSession) -> None:
+    """Delete the application's intermediate tables, those in the catalog too; frames that still read them are void."""
+    for table in _tables.pop(spark.sparkContext.applicationId, []):
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    shared.clear(spark)
 
 
 def ship(spark: SparkSession) -> None:
@@ -79,4 +83,5 @@ def bucketed(frame: DataFrame, name: str, key: str) -> DataFrame:
         frame.repartition(n, key).write.bucketBy(n, key).sortBy(key).option("compression", "zstd").option("path", scratch(spark, name)).saveAsTable(table)
     finally:
         spark.conf.set(setting, before)
+    _tables.setdefault(spark.sparkContext.applicationId, []).append(table)
     return spark.table(table)

@@ -73,6 +73,13 @@ def test_rows_that_share_an_id_are_told_apart(spark):
     assert [tuple(x) for x in kept.collect()] == [(1, a, "en", "s", 1)]
 
 
+def test_intermediate_tables_can_be_cleared(spark):
+    own = store.bucketed(spark.range(5), "numbers", "id")
+    assert own.count() == 5 and any(t.name.startswith("numbers_") for t in spark.catalog.listTables())
+    store.clear(spark)
+    assert not any(t.name.startswith("numbers_") for t in spark.catalog.listTables())
+
+
 def test_odd_rows(spark, sf_dir):
     store.tune(spark)
     schema = "doc_id long, text string, lang string, source string, n_chars long"
