@@ -232,12 +232,12 @@ def _(m):
     return scope.current_only(m.fact, m.snapshots).select("observation_id", "snapshot_id", "amount_value")
 
 
-@query("contract_representatives", "SELECT * FROM reps", model=True, keep=("rates", "snapshots", "bridge"))
+@query("contract_representatives", "SELECT * FROM reps", model=True, keep=("snapshots",))
 def _(m):
     return m.reps
 
 
-@query("hospital_amounts", "SELECT * REPLACE (round(hospital_amount, 4) AS hospital_amount) FROM amounts", model=True, keep=("rates", "snapshots", "bridge"))
+@query("hospital_amounts", "SELECT * REPLACE (round(hospital_amount, 4) AS hospital_amount) FROM amounts", model=True, keep=("snapshots",))
 def _(m):
     return m.amounts.withColumn("hospital_amount", r4("hospital_amount"))
 
@@ -444,7 +444,7 @@ def _coverage(m):
     return own.withColumns({"coded_item_rate": F.round(F.col("coded_items") / F.col("item_count"), 6), "payer_mapping_rate": F.round(F.col("matched_rate_count") / F.col("rate_count"), 6)})
 
 
-@query("coverage_scorecard", _more(_COVERAGE, "SELECT * FROM cov"), model=True, keep=("rates", "snapshots", "bridge"))
+@query("coverage_scorecard", _more(_COVERAGE, "SELECT * FROM cov"), model=True, keep=("snapshots",))
 def _(m):
     return _coverage(m)
 
@@ -471,7 +471,7 @@ def _transparency(m):
     _more(_COVERAGE + ", " + _SCORED, """SELECT *, dense_rank() OVER (ORDER BY overall_score DESC) AS overall_rank, dense_rank() OVER (ORDER BY readiness_score DESC) AS readiness_rank, dense_rank() OVER (ORDER BY payer_score DESC) AS payer_rank,
        CASE WHEN overall_score >= 0.85 THEN 'high' WHEN overall_score >= 0.70 THEN 'moderate' WHEN overall_score >= 0.50 THEN 'limited' ELSE 'low' END AS data_confidence
        FROM (SELECT *, round((freshness_score + code_score + amount_score + payer_score + readiness_score) / 5, 6) AS overall_score FROM sc)"""),
-    model=True, keep=("rates", "snapshots", "bridge"),
+    model=True, keep=("snapshots",),
 )
 def _(m):
     return _transparency(m)
@@ -491,7 +491,7 @@ _STAGES = {
     + ", ".join(f'count(*) FILTER (WHERE {c}) AS "{n}"' for n, (c, _) in _STAGES.items())
     + " FROM spine WHERE is_current GROUP BY GROUPING SETS ((hospital_id), ())) "
     + " UNION ALL ".join(f"SELECT hospital_id, '{n}' AS stage, '{label}' AS label, \"{n}\" AS rows FROM c" for n, (_, label) in _STAGES.items()),
-    model=True, keep=("rates", "snapshots", "bridge"),
+    model=True, keep=("snapshots",),
 )
 def _(m):
     counts = [F.count_if(F.expr(c)).alias(n) for n, (c, _) in _STAGES.items()]
@@ -503,7 +503,7 @@ def _(m):
     "blocker_summary",
     ", c AS (SELECT hospital_id, count(*) AS total, " + ", ".join(f"count(*) FILTER (WHERE {n}) AS {n}" for n in BLOCKERS) + " FROM spine WHERE is_current GROUP BY hospital_id) "
     + " UNION ALL ".join(f"SELECT hospital_id, '{n}' AS blocker, {n} AS rows, round({n} / total, 6) AS share FROM c" for n in BLOCKERS),
-    model=True, keep=("rates", "snapshots", "bridge"),
+    model=True, keep=("snapshots",),
 )
 def _(m):
     own = m.spine.filter("is_current").groupBy("hospital_id").agg(F.count("*").alias("total"), *[F.count_if(n).alias(n) for n in compare.blocker_flags()])
@@ -542,7 +542,7 @@ def _(m):
 @query(
     "featured_top30",
     _more(_SUMMARY, "SELECT row_number() OVER (ORDER BY hospital_count DESC, observation_count DESC, service_context_key) AS place, service_context_key, hospital_count, observation_count FROM g WHERE hospital_count >= 3 QUALIFY place <= 30"),
-    model=True, keep=("rates", "snapshots", "bridge"),
+    model=True, keep=("snapshots",),
 )
 def _(m):
     order = [F.col("hospital_count").desc(), F.col("observation_count").desc(), F.col("service_context_key")]
@@ -725,13 +725,13 @@ def _(m):
     return own.groupBy(F.least("n", F.lit(10)).alias("hospitals")).agg(F.count("*").alias("contexts"))
 
 
-@query("page_top_above_market", _more(_PEERS_ALL, "SELECT hospital_id, service_context_key, delta_all FROM pa WHERE delta_all > 0 ORDER BY delta_all DESC, hospital_id, service_context_key LIMIT 100"), model=True, keep=("rates", "snapshots", "bridge"))
+@query("page_top_above_market", _more(_PEERS_ALL, "SELECT hospital_id, service_context_key, delta_all FROM pa WHERE delta_all > 0 ORDER BY delta_all DESC, hospital_id, service_context_key LIMIT 100"), model=True, keep=("snapshots",))
 def _(m):
     own = _positions(m).filter("delta_all > 0").select("hospital_id", "service_context_key", "delta_all")
     return own.orderBy(F.col("delta_all").desc(), "hospital_id", "service_context_key").limit(100)
 
 
-@query("page_thin_contexts", _more(_SUMMARY, "SELECT service_context_key, hospital_count, observation_count FROM g WHERE hospital_count < 3"), model=True, keep=("rates", "snapshots", "bridge"))
+@query("page_thin_contexts", _more(_SUMMARY, "SELECT service_context_key, hospital_count, observation_count FROM g WHERE hospital_count < 3"), model=True, keep=("snapshots",))
 def _(m):
     return compare.distribution(m.amounts).filter("not meets_threshold").select("service_context_key", "hospital_count", "observation_count")
 

@@ -55,15 +55,19 @@ class Model:
 
     @cached_property
     def reps(self):
-        return self._own("reps", star.contracts(self.spine))
+        return self._own("reps", star.contracts(self._of(["negotiated_dollar"])))
 
     @cached_property
     def amounts(self):
-        return self._own("amounts", compare.hospital_amounts(self.spine, self.reps))
+        return self._own("amounts", compare.hospital_amounts(self._of(["gross_charge", "discounted_cash"]), self.reps))
 
+    def _of(self, kinds: list[str]) -> DataFrame:
+        """The spine of some kinds of amounts: others are not made only to be filtered out."""
+        return star.spine(star.fact(self.rates, kinds), self.bridge, self.snapshots)
 
-#: For queries over the market's statistics: the joins of rates once, votes and contracts once.
-MARKET = ("rates", "snapshots", "bridge", "reps", "amounts")
+
+#: For queries over the market's statistics: votes and contracts, which are small, are computed once. Rates are read where they are used, with the columns used there: all of them as a table cost more than they save.
+MARKET = ("snapshots", "reps", "amounts")
 
 
 def query(name: str, oracle: str, model: bool = False, keep: tuple[str, ...] = ()):

@@ -112,11 +112,11 @@ def snapshots(rates: DataFrame, as_of: str = AS_OF) -> DataFrame:
     return current.withColumn("age_days", age.cast("long")).withColumn("freshness", semantics.freshness(F.col("age_days"), (365, 730, 1460)))
 
 
-def fact(rates: DataFrame) -> DataFrame:
-    """One row per stated amount: four of the charge, seven of the payer's rate. Only charges' prices and comparable dollars may be ranked."""
+def fact(rates: DataFrame, kinds: list[str] | None = None) -> DataFrame:
+    """One row per stated amount: four of the charge, seven of the payer's rate. Only charges' prices and comparable dollars may be ranked. kinds: those wanted, if not all."""
     none, text = F.lit(None).cast("decimal(18,4)"), F.lit(None).cast("string")
     cells = []
-    for kind, (column, of, role, unit) in AMOUNTS.items():
+    for kind, (column, of, role, unit) in ((k, v) for k, v in AMOUNTS.items() if kinds is None or k in kinds):
         value = none if unit == "text" else F.col(column)
         cells.append({"amount_kind": kind, "scope": of, "amount_role": role, "amount_unit": unit, "raw_algorithm_value": F.col(column) if unit == "text" else text, "value": value, "present": F.col(column).isNotNull()})
     own = unpivot_measures(rates, cells)
