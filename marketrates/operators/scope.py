@@ -70,7 +70,7 @@ def replace_snapshots(frame: DataFrame, path: str, ids, column: str = "snapshot_
     hadoop = spark._jvm.org.apache.hadoop.fs
     system = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
     try:
-        frame.observe(seen, F.count_if(~inside).alias("outside")).hint("rebalance", column).write.partitionBy(column).option("maxRecordsPerFile", records_per_file).parquet(aside)
+        frame.hint("rebalance", column).observe(seen, F.count_if(~inside).alias("outside")).write.partitionBy(column).option("maxRecordsPerFile", records_per_file).parquet(aside)
         if seen.get["outside"]:
             raise ValueError("rows outside the snapshots that are to be replaced")
         _drop_partitions(spark, path, column, ids)

@@ -14,7 +14,7 @@ def write_partitioned(frame: DataFrame, path: str, by: str = "snapshot_id", reco
     Rows are brought together by partition first, large ones split over tasks by AQE, so that files are few.
     """
     seen = Observation()
-    frame.observe(seen, F.count("*").alias("rows")).hint("rebalance", by).write.mode("append").partitionBy(by).option("maxRecordsPerFile", records_per_file).parquet(path)
+    frame.hint("rebalance", by).observe(seen, F.count("*").alias("rows")).write.mode("append").partitionBy(by).option("maxRecordsPerFile", records_per_file).parquet(path)
     return int(seen.get["rows"])
 
 
