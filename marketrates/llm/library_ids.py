@@ -3,7 +3,8 @@
 A byte-level pre-tokeniser parts the last white space of a run from what stands before it, and lets a last space lead the next piece, so a text may be cut before each
 space or line end that no white space follows without changing its ids; so may a word before a comma or full stop at its end. The parts are encoded by the
 library, many at a time in one text, told apart by the tokens that begin with the space or line end before them, and remembered in one array of ids; a text's ids
-are gathered from it.
+are gathered from it. A text that holds a string of one of the tokenizer's added tokens, as <|endoftext|>, goes to the library whole: it becomes that token's id, as the library
+gives it with add_special_tokens=False.
 """
 
 from __future__ import annotations
@@ -45,7 +46,29 @@ def _strings(column: pa.Array) -> list[str]:
     return column.to_numpy(zero_copy_only=False).tolist()
 
 
-class Library:
+class Parts:
+    """Parts of texts remembered by number: the ids of each are a run in one array."""
+
+    dtype = np.dtype("<u4")
+
+    def forget(self) -> None:
+        self.index: dict[str, int] = {}
+        self.flat, self.start, self.size = np.zeros(1 << 20, self.dtype), np.zeros(1 << 18, np.int64), np.zeros(1 << 18, np.int64)
+        self.used = 0
+
+    def add(self, ids: np.ndarray, size: np.ndarray, at: int) -> None:
+        """Put the runs of ids into the arrays as entries from `at` on."""
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while at + len(size) > len(self.size):
+            self.start, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.size))
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.start[at : at + len(size)] = self.used + np.cumsum(size) - size
+        self.size[at : at + len(size)] = size
+        self.used += len(ids)
+
+
+class Library(Parts):
     """path: a tokenizers JSON file with a byte-level pre-tokeniser."""
 
     def __init__(self, path: str):
@@ -53,7 +76,7 @@ class Library:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.marks = {x: self.raw([x])[0] for x in ",."}
         tokens = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
@@ -61,11 +84,6 @@ class Library:
         self.begins = {x: np.array([t[:1] == c for t in tokens]) for x, c in own.items()}
         self.forget()
 
-    def forget(self) -> None:
-        self.index: dict[str, int] = {}
-        self.flat, self.start, self.size = np.zeros(1 << 20, self.dtype), np.zeros(1 << 18, np.int64), np.zeros(1 << 18, np.int64)
-        self.used = 0
-
     def raw(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, how many each has)."""
         ids = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -80,17 +98,6 @@ class Library:
             return self.raw([before + x for x in parts])
         return ids, np.diff(np.append(np.flatnonzero(first), len(ids)))
 
-    def add(self, ids: np.ndarray, size: np.ndarray, at: int) -> None:
-        """Put the runs of ids into the arrays as entries from `at` on."""
-        while self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while at + len(size) > len(self.size):
-            self.start, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.size))
-        self.flat[self.used : self.used + len(ids)] = ids
-        self.start[at : at + len(size)] = self.used + np.cumsum(size) - size
-        self.size[at : at + len(size)] = size
-        self.used += len(ids)
-
     def learn(self, missing: list[str]) -> None:
         """Encode parts that are not remembered; of one that ends in a mark after a letter, what stands before the mark."""
 
@@ -154,9 +161,10 @@ class Library:
         out = []
         for a, b in K.blocks(K.buffers(texts)[1], BLOCK_BYTES):
             part = texts.slice(a, b - a)
-            odd = pc.match_substring_regex(part, ODD)
+            whole = functools.reduce(pc.or_, [pc.match_substring(part, t) for t in self.added], pa.array(np.zeros(len(part), bool)))
+            odd = pc.or_(whole, pc.match_substring_regex(part, ODD))
             even = self._ids(pc.split_pattern(pc.replace_substring(part.filter(pc.invert(odd)), "\n", " \n"), " ").cast(WORDS))
-            rest = self._ids(pa.array([cut(x) for x in part.filter(odd).to_pylist()], WORDS))
+            rest = self._ids(pa.array([[x] if w else cut(x) for x, w in zip(part.filter(odd).to_pylist(), whole.filter(odd).to_pylist())], WORDS))
             even, rest = iter(even), iter(rest)
             out += [next(rest if x else even) for x in odd.to_pylist()]
         return out

@@ -21,7 +21,7 @@ JSON, RANKS = P.path("byte_bpe_50k.json"), P.path("byte_bpe_50k.tiktoken")
 def odd_texts():
     r = random.Random(5)
     letters = list("ab'strevmld  \n\t é1²٣!?#😀　x'\x1c\x85\xa0")
-    return ["".join(r.choice(letters) for _ in range(r.randrange(40))) for _ in range(400)] + ["", None, "a" * 3000, "'" * 99, " " * 300, "<|endoftext|> x", "it's we'll ''s don'ts", "same", "same"]
+    return ["".join(r.choice(letters) for _ in range(r.randrange(40))) for _ in range(400)] + ["", None, "a" * 3000, "'" * 99, " " * 300, "<|endoftext|> x", "<|endoftext|>", "a<|endoftext|><|endoftext|>\n b, c.<|endoftext|", "word <|endoftext|> word word\n<|endoftext|>\n", "<|endoftext", "it's we'll ''s don'ts", "same", "same"]
 
 
 @pytest.fixture(scope="module")
@@ -36,7 +36,6 @@ def library():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(JSON)
-    t.encode_special_tokens = True
     return lambda x: t.encode(x or "", add_special_tokens=False).ids
 
 
@@ -66,7 +65,7 @@ def test_byte_bpe(odd, reference):
 def test_byte_bpe_keeps_columns_and_offsets(odd):
     out = byte_bpe.encode(odd, RANKS)
     assert out.columns == ["doc_id", "text", "n", "start", "ids", "piece_offsets"]
-    row = out.filter("doc_id = 406").collect()[0]
+    row = out.filter("text like 'it%'").collect()[0]
     assert row["text"] == "it's we'll ''s don'ts"
     assert np.frombuffer(row["piece_offsets"], "<u4").tolist() == [0, 2, 4, 7, 10, 13, 14, 18, 20]
 
