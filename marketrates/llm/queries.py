@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bayes_quality, byte_bpe, chat_parts, cost_packing, dart_minhash, merkle_manifest, ngram_quality, piece_bpe, pq_neighbours, rans_files, repeat_tree, warc_index
+from . import bayes_quality, byte_bpe, chat_parts, cost_packing, dart_minhash, hard_negatives, merkle_manifest, ngram_quality, piece_bpe, pq_neighbours, rans_files, repeat_tree, warc_index
 from .store import tune
 
 
@@ -45,6 +45,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_ngram_quality": _with_labels(ngram_quality.quality),
         "op10_byte_bpe": _table("documents", lambda d: byte_bpe.digest_query(d, _tokenizer("byte_bpe_50k.tiktoken"))),
         "op11_piece_bpe": _table("documents", lambda d: piece_bpe.digest_query(d, _tokenizer("piece_bpe_32k.model"))),
+        "op12_hard_negatives": _table("embeddings", hard_negatives.digest_query),
         "op13_merkle_manifest": _table("documents", merkle_manifest.digest_query),
     }
 
@@ -56,5 +57,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_chat_parts": chat_parts.oracle(),
         "op8_pq_neighbours": pq_neighbours.oracle(),
         "op11_piece_bpe": _table("documents", lambda d: piece_bpe.digest_query(d, _tokenizer("piece_bpe_32k.model"))),
+        "op12_hard_negatives": hard_negatives.oracle(),
         "op13_merkle_manifest": merkle_manifest.oracle(),
     }
