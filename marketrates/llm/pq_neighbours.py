@@ -6,9 +6,10 @@ query is not quantised); candidates are ranked again by exact cosine in double p
 
 Probes and candidates are sufficient, not a fixed number. With cosine c, unit vectors lie within r = sqrt(2 - 2c) of each other. A partner of the query can only be in
 another list if that list's border with any list is at most r beyond the query along the border's normal, and if the query is at most r farther from the list's centroid
-than its farthest member and at most r nearer than its nearest. A pair's difference that points anywhere lies along a given normal with r / sqrt(dimension) at most in
-the mean of squares, so borders are tested with MARGIN of these deviations where pairs do point anywhere, and with the whole r, which is certain, where they may not:
-for queries of all lists that hold ends of the fitting sample's links, unless each of these links, measured along the list's borders, stays within MARGIN / 2 deviations.
+than its farthest member and at most r nearer than its nearest. A pair's difference lies along a given normal with r * sqrt(share) at most in the mean of squares, where share is the
+part of the spread that lies along that normal: measured for each border in the sample's covariance and in that of its residuals, and taken as 1 / effective dimension (the participation ratio
+of either covariance) at least, so vectors of many stored and few effective dimensions have wide margins. Borders are tested with MARGIN of these deviations, or with the whole r, which is certain,
+where that is no more, and for queries of all lists that hold ends of the fitting sample's links, unless each of these links, measured along the list's borders, stays within two thirds of the margin.
 So groups dense enough to shape centroids are probed with certainty however they are spread, and others with chance of 0.003 to lose a pair that lies just at the line
 between two lists. Of two lists that may hold partners of each other, one is probed from the other, and a link found so counts for both its ends. A partner's table
 distance is at most r plus the length of what its code leaves over, which is kept with each code, so no candidate is lost in a list. Centroids and codewords are fitted
@@ -24,6 +25,7 @@ vec_id in it, and is null only where all are.
 
 from __future__ import annotations
 
+import functools
 from functools import reduce
 
 import numpy as np
@@ -47,9 +49,13 @@ ROUNDING = 1e-5  # of table distances in single precision; candidates are ranked
 
 def _nearest(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(index, squared distance) of each row's nearest centre, the first among equals."""
-    d = (x**2).sum(1)[:, None] - 2 * x @ centres.T + (centres**2).sum(1)
-    at = d.argmin(1)
-    return at, np.maximum(d[np.arange(len(x)), at], 0)
+    at, least, own = np.zeros(len(x), np.int64), np.zeros(len(x)), (centres**2).sum(1)
+    for a in range(0, len(x), 1024):
+        part = x[a : a + 1024]
+        d = (part**2).sum(1)[:, None] - 2 * part @ centres.T + own
+        at[a : a + 1024] = d.argmin(1)
+        least[a : a + 1024] = np.maximum(d.min(1), 0)
+    return at, least
 
 
 def k_means(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
@@ -66,6 +72,26 @@ def k_means(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
     return centres
 
 
+def _distances(x: np.ndarray) -> np.ndarray:
+    """Between all rows, from inner products; single precision, never below the exact value."""
+    square = (x**2).sum(1)
+    out = np.empty((len(x), len(x)), np.float32)
+    for a in range(0, len(x), 512):
+        d = square[a : a + 512, None] + square - 2 * x[a : a + 512] @ x.T
+        out[a : a + 512] = np.sqrt(np.maximum(d, 0)) * (1 + 1e-6) + 1e-6
+    return out
+
+
+def _spread(x: np.ndarray) -> tuple[np.ndarray, float]:
+    """(R with R R' = the covariance over its trace, participation ratio: the number of dimensions over which the spread is even)."""
+    values, vectors = np.linalg.eigh(np.cov(x, rowvar=False, bias=True).reshape(x.shape[1], x.shape[1]))
+    values = np.maximum(values, 0)
+    total = values.sum()
+    if not total:
+        return np.zeros((x.shape[1], 1)), 1.0
+    return vectors * np.sqrt(values / total), float(total**2 / (values**2).sum())
+
+
 class Quantiser:
     def __init__(self, sample: np.ndarray, lists: int):
         """sample: unit vectors of one dimension."""
@@ -74,7 +100,19 @@ class Quantiser:
         self.edges = np.linspace(0, sample.shape[1], min(SUBSPACES, sample.shape[1]) + 1).astype(int)
         rest = sample - self.coarse[at]
         self.books = [k_means(rest[:, a:b], CODES) for a, b in zip(self.edges, self.edges[1:])]
-        self.between = np.sqrt(np.maximum(((self.coarse[:, None] - self.coarse[None]) ** 2).sum(2), 0))
+        self.shares = [_spread(sample), _spread(rest)]
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k != "borders"}  # lists squared: made where it is used
+
+    @functools.cached_property
+    def borders(self) -> tuple[np.ndarray, np.ndarray]:
+        """(list, list): the distance of the centroids, and that times the share of a difference along the border, as its root: single precision, rounded up."""
+        between = _distances(self.coarse)
+        along = between * max(1 / np.sqrt(ratio) for _, ratio in self.shares)
+        for root, _ in self.shares:
+            np.maximum(along, _distances(self.coarse @ root), out=along)
+        return between, np.minimum(along, between)
 
     def code(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(list, codes, length of what the codes leave over) of each row."""
@@ -86,31 +124,35 @@ class Quantiser:
             over += d
         return at, codes, np.sqrt(over)
 
-    def probes(self, x: np.ndarray, reach: float, shells: tuple[np.ndarray, np.ndarray] | None = None, along: np.ndarray | float | None = None) -> np.ndarray:
+    def probes(self, x: np.ndarray, reach: float, shells: tuple[np.ndarray, np.ndarray] | None = None, whole: np.ndarray | bool = True, margin: float = MARGIN) -> np.ndarray:
         """(row, list): whether a vector within reach of the row can be in the list.
 
-        shells: distances of each list's nearest and farthest member to its centroid; along: how far such a vector lies along a border's normal at most, reach if not given.
+        shells: distances of each list's nearest and farthest member to its centroid; whole: of each row, whether borders are tested with the whole reach or with so many deviations as margin says.
         """
         d = (x**2).sum(1)[:, None] - 2 * x @ self.coarse.T + (self.coarse**2).sum(1)
         row, near = np.arange(len(x)), np.ones(d.shape, bool)
-        wide = 2 * np.broadcast_to(np.asarray(reach if along is None else along), len(x))[:, None]
-        for other in np.argsort(d, 1, kind="stable")[:, :BORDERS].T:  # borders with the nearest lists, the row's own first
-            near &= d - d[row, other][:, None] <= wide * self.between[other] + SLACK
+        between, along = self.borders
+        whole = np.broadcast_to(np.asarray(whole), len(x))[:, None]
+        n = min(BORDERS, d.shape[1])
+        others = np.argpartition(d, n - 1, axis=1)[:, :n] if n < d.shape[1] else np.tile(np.arange(n), (len(x), 1))
+        for other in others.T:  # borders with the nearest lists, the row's own among them
+            wide = np.where(whole, between[other], np.minimum(between[other], margin * along[other]))
+            near &= d - d[row, other][:, None] <= 2 * reach * wide + SLACK
         if shells is not None:
             least, most = shells
             near &= (d <= (most + reach + SLACK) ** 2) & (d >= np.maximum(least - reach - SLACK, 0) ** 2 - SLACK)
         return near
 
     def reaches(self, sample: np.ndarray, reach: float) -> np.ndarray:
-        """How far along borders queries of each list probe: MARGIN deviations, the whole reach where two thirds of that lose a link of the sample."""
-        narrow = min(reach, MARGIN * reach / sample.shape[1] ** 0.5)
+        """Whether queries of each list probe with the whole reach: where two thirds of the margin lose a link of the sample. In slices; what is held of all is a bit per vector and list."""
         at, _ = _nearest(sample, self.coarse)
-        near, out = self.probes(sample, reach, along=narrow * 2 / 3), np.full(len(self.coarse), narrow)
+        near = np.concatenate([np.packbits(self.probes(sample[a : a + 1024], reach, whole=False, margin=MARGIN * 2 / 3), axis=1) for a in range(0, len(sample), 1024)])
+        reached = lambda i, j: near[i, at[j] >> 3] >> (7 - (at[j] & 7)) & 1 > 0
+        out = np.zeros(len(self.coarse), bool)
         for a in range(0, len(sample), 1024):
             i, j = np.nonzero(sample[a : a + 1024] @ sample.T >= 1 - reach**2 / 2)
             i = i + a
-            lost = ~(near[i, at[j]] & near[j, at[i]])
-            out[at[i[lost]]] = reach
+            out[at[i[~(reached(i, j) & reached(j, i))]]] = True
         return out
 
     def tables(self, x: np.ndarray, at: int) -> np.ndarray:
@@ -249,7 +291,7 @@ def _links(classes: DataFrame, dimension: int, cosine: float) -> DataFrame:
     q = Quantiser(sample, lists)
     held = spark.sparkContext.broadcast(q)  # so many vectors, and CODES
     reach = float(np.sqrt(2 - 2 * cosine))
-    along = q.reaches(sample, reach)
+    whole = q.reaches(sample, reach)
 
     def index(batches):
         for batch in batches:
@@ -273,7 +315,7 @@ def _links(classes: DataFrame, dimension: int, cosine: float) -> DataFrame:
         q, lists = held.value, np.arange(len(held.value.coarse))
         for batch in batches:
             home = np.asarray(batch.column(0))
-            near = q.probes(_rows(batch.column(2).to_pylist()), reach, (least, most), along[home])
+            near = q.probes(_rows(batch.column(2).to_pylist()), reach, (least, most), whole[home])
             apart = lists - home[:, None]
             near &= np.where((lists + home[:, None]) % 2 == 0, apart > 0, apart < 0)  # one of each two lists probes the other
             near[:, np.setdiff1d(lists, filled)] = False

@@ -268,12 +268,43 @@ def test_probes_and_tables_lose_nothing():
     at, codes, over = q.code(y)
     reach = np.sqrt(0.1)
     assert q.probes(x, reach)[near, at[near]].all()
-    assert q.probes(x, reach, along=reach * pq_neighbours.MARGIN / 24**0.5)[near, at[near]].mean() > 0.99
+    assert q.probes(x, reach, whole=False)[near, at[near]].mean() > 0.99
     for i in near[:100]:
         table = q.tables(x[i : i + 1], at[i])[:, :, 0]
         assert np.sqrt(table[np.arange(codes.shape[1]), codes[i]].sum()) <= reach + over[i] + pq_neighbours.ROUNDING
 
 
+@pytest.mark.parametrize("stored, effective, noise", [(256, 16, 0.0), (192, 24, 0.1), (48, 48, 0.0)])
+def test_probes_of_few_effective_dimensions(stored, effective, noise):
+    """Planted pairs whose differences lie in the subspace of the vectors, by the rule of which list probes which: nearly all of them are met."""
+    r = np.random.default_rng(7)
+    n, reach = 9000, np.sqrt(2 - 2 * pq_neighbours.COSINE)
+    base = np.linalg.qr(r.normal(size=(stored, effective)))[0]
+    z = r.normal(size=(n, effective))
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    step = r.normal(size=(n, effective))
+    step *= reach * r.uniform(0.8, 0.98, size=(n, 1)) / np.linalg.norm(step, axis=1, keepdims=True)
+    x, y = (v @ base.T + noise * r.normal(size=(n, stored)) / stored**0.5 for v in (z, z + step))
+    x, y = (v / np.linalg.norm(v, axis=1, keepdims=True) for v in (x, y))
+    both = np.concatenate([x, y])
+    q = pq_neighbours.Quantiser(both[r.permutation(2 * n)[:4096]], 134)
+    pairs = np.flatnonzero((x * y).sum(1) >= pq_neighbours.COSINE)
+    a, b = (pq_neighbours._nearest(v[pairs], q.coarse)[0] for v in (x, y))
+    met = a == b
+    for own, home, other in ((x, a, b), (y, b, a)):
+        turn = np.where((home + other) % 2 == 0, other > home, other < home)
+        met |= turn & q.probes(own[pairs], reach, whole=False)[np.arange(len(pairs)), other]
+    assert len(pairs) > 4000 and met.mean() > 0.99
+
+
+def test_distances_are_never_below():
+    x = np.random.default_rng(8).normal(size=(700, 40))
+    x[5] = x[6]
+    exact = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
+    got = pq_neighbours._distances(x)
+    assert (got >= exact).all() and (got <= exact * 1.001 + 1e-4).all()
+
+
 def test_empty(spark):
     assert pq_neighbours.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<double>")).count() == 0
     assert chat_parts.digest_query(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 1
