@@ -37,6 +37,7 @@ COORDINATES, ROWS = 100, 5
 DARTS = COORDINATES * (math.log(COORDINATES) + 3)
 BLOCK = 1024
 BLOCK_BYTES = 1 << 19
+TASK_BYTES = 16 << 20
 
 
 def elements(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -110,9 +111,10 @@ def _sign(batches):
                     batch.column(0).slice(a, b - a).filter(pa.array(full)),
                     batch.column(2).slice(a, b - a).filter(pa.array(full)),
                     pa.array(weight[rows]),
+                    pa.array(np.diff(own)[rows]),
                     pa.array(list(bands[rows].astype(np.int64)), pa.list_(pa.int64())),
                 ],
-                ["doc_id", "text_hash", "weight", "bands"],
+                ["doc_id", "text_hash", "weight", "bytes", "bands"],
             )
 
 
@@ -151,7 +153,7 @@ def _across(ordered: bool):
         out = []
         if not left.empty and not right.empty:
             n = len(left)
-            texts = pa.array([*left["text"], *right["text"]], pa.string())
+            texts = pa.array([*left["text"], *right["text"]], pa.large_string())
             cells, doc = elements(*K.buffers(texts))
             _, code = np.unique(cells, return_inverse=True)
             first = np.searchsorted(doc, np.arange(len(texts) + 1))
@@ -188,38 +190,38 @@ def _strangers(named: DataFrame, texts: DataFrame) -> DataFrame | None:
     """Links between members of one bucket that its centre did not show, both not the centre; named: bucket, rep, weight, centre, component of all members.
 
     A bucket's largest component is its main one, members of others are strangers. A stranger is compared with the main component's members, whose texts are carried
-    once for all buckets; strangers of several components in one bucket are compared with each other. Both by blocks of BLOCK texts.
+    once for all buckets; strangers of several components in one bucket are compared with each other. Every side of a comparison is dealt in blocks of about BLOCK texts or TASK_BYTES bytes, whichever are
+    more, so a task holds two blocks however many strangers or members there are.
     """
     counts = named.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.count_if(F.col("rep") != F.col("centre")).alias("others"))
     mixed = counts.groupBy("bucket").agg(F.max(F.struct("n", "component", "others")).alias("main"), F.count("*").alias("kinds")).filter("kinds > 1")
     mixed = written(mixed.select("bucket", "kinds", F.col("main.component").alias("main"), F.col("main.others").alias("others")), "mixed")
-    strange = written(named.filter("rep <> centre").join(mixed, "bucket").filter("component <> main").select("bucket", "rep", "weight", "component", "main", "others", "kinds"), "strangers")
+    strange = written(named.filter("rep <> centre").join(mixed, "bucket").filter("component <> main").select("bucket", "rep", "weight", "bytes", "component", "main", "others", "kinds"), "strangers")
     if strange.isEmpty():
         return None
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     dealt = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")
+    in_blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("bytes") / TASK_BYTES)).cast("int")  # by texts and by bytes, whichever makes more
 
     # Strangers against main components: where the main component has the centre alone in the bucket, all was compared before.
-    whole = named.select("rep", "weight", "component").distinct()
-    items = strange.filter("others > 0").select(F.col("main"), "rep", "weight", "component").distinct()
+    whole = named.select("rep", "weight", "bytes", "component").distinct()
+    items = strange.filter("others > 0").select(F.col("main"), "rep", "weight", "bytes", "component").distinct()
     mains = whole.join(items.select(F.col("main").alias("component")).distinct(), "component", "left_semi")
-    spread = mains.groupBy("component").agg(F.count("*").alias("n"), F.min("weight").alias("low"), F.max("weight").alias("high")).select(F.col("component").alias("main"), blocks, "low", "high")
+    spread = mains.groupBy("component").agg(in_blocks.alias("n"), F.min("weight").alias("low"), F.max("weight").alias("high")).withColumnRenamed("component", "main")
     fits = (F.col("weight") * THRESHOLD[1] >= F.col("low") * THRESHOLD[0]) & (F.col("high") * THRESHOLD[1] >= F.col("weight") * THRESHOLD[0])
-    items = written(items.join(spread, "main").filter(fits).select("main", "blocks", "rep", "component"), "items")
-    used = items.select("main", "blocks").distinct()
+    items = written(items.join(spread, "main").filter(fits).select("main", "n", "rep", "component", "bytes"), "items")
+    used = written(items.groupBy("main", "n").agg(in_blocks.alias("m")), "dealt")
     fresh = lambda names: [F.col(c).alias(c) for c in names]  # noqa: E731  columns of their own for either side
-    sides = fresh(["main", "i", "rep", "component", "text"])
-    left = items.withColumn("i", every("blocks")).join(texts, "rep").select(sides)
-    right = mains.withColumnRenamed("component", "main").join(used, "main").withColumn("i", dealt("blocks")).join(texts, "rep").withColumn("component", F.col("main")).select(sides)
-    keys = ["main", "i"]
+    sides, keys = fresh(["main", "i", "j", "rep", "component", "text"]), ["main", "i", "j"]
+    left = items.drop("n").join(used, "main").withColumn("i", dealt("m")).withColumn("j", every("n")).join(texts, "rep").select(sides)
+    right = mains.withColumnRenamed("component", "main").join(used, "main").withColumn("j", dealt("n")).withColumn("i", every("m")).join(texts, "rep").withColumn("component", F.col("main")).select(sides)
     found = written(left.groupBy(keys).cogroup(right.groupBy(keys)).applyInPandas(_across(False), "a long, b long"), "links")
 
     # Strangers against each other; equal sets of them are compared once.
     several = strange.groupBy("bucket").agg(
-        F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"), F.bit_xor(F.xxhash64("rep")).alias("x"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("y")
+        F.count("*").alias("n"), in_blocks.alias("blocks"), F.min("component").alias("low"), F.max("component").alias("high"), F.bit_xor(F.xxhash64("rep")).alias("x"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("y")
     )
-    sets = several.filter("low <> high").groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket", blocks)
+    sets = several.filter("low <> high").groupBy("n", "x", "y", "blocks").agg(F.min("bucket").alias("bucket")).select("bucket", "blocks")
     own = written(strange.join(sets, "bucket").select("bucket", "rep", "component", "blocks"), "sets")
     if own.isEmpty():
         return found
@@ -235,10 +237,10 @@ def _classes(documents: DataFrame, key: str, text: str) -> DataFrame:
     """text_hash, class_id, first (whether the text stands for the class) of each text with words: a written table."""
     own = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     hashed = own.select("doc_id", "text", _hash("text"))
-    signed = written(hashed.filter("doc_id is not null").mapInArrow(_sign, "doc_id long, text_hash string, weight long, bands array<long>"), "signed")
-    least = signed.groupBy("text_hash").agg(F.min(F.struct("doc_id", "weight", "bands")).alias("x")).select("text_hash", F.col("x.doc_id").alias("name"), "x.weight", "x.bands")
+    signed = written(hashed.filter("doc_id is not null").mapInArrow(_sign, "doc_id long, text_hash string, weight long, bytes long, bands array<long>"), "signed")
+    least = signed.groupBy("text_hash").agg(F.min(F.struct("doc_id", "weight", "bytes", "bands")).alias("x")).select("text_hash", F.col("x.doc_id").alias("name"), "x.weight", "x.bytes", "x.bands")
     classes = written(least.withColumn("rep", F.monotonically_increasing_id()), "classes")  # as a table, so that the ids stay; a doc_id may have several texts
-    placed = classes.select("rep", "weight", F.explode("bands").alias("bucket"))
+    placed = classes.select("rep", "weight", "bytes", F.explode("bands").alias("bucket"))
     centres = placed.groupBy("bucket").agg(F.min(F.struct("rep", "weight")).alias("centre"), F.count("*").alias("n")).filter("n > 1")
     centres = written(centres.select("bucket", F.col("centre.rep").alias("centre"), F.col("centre.weight").alias("centre_weight")), "centres")  # a table, as below, so that a hot key's side of the join can be split
     shared = written(placed.join(centres, "bucket"), "buckets")
@@ -254,7 +256,7 @@ def _classes(documents: DataFrame, key: str, text: str) -> DataFrame:
     pairs = shared.filter((F.col("rep") != F.col("centre")) & _may_link("weight", "centre_weight"))
     links = linked(pairs.select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct())
     first = components(links)
-    named = shared.join(first.withColumnRenamed("id", "rep"), "rep", "left").select("bucket", "rep", "weight", "centre", F.coalesce("component", "rep").alias("component"))
+    named = shared.join(first.withColumnRenamed("id", "rep"), "rep", "left").select("bucket", "rep", "weight", "bytes", "centre", F.coalesce("component", "rep").alias("component"))
     more = _strangers(written(named, "members"), texts)
     final = first if more is None or more.isEmpty() else components(links.unionByName(more))
     named = classes.select("text_hash", "name", "rep").join(final.withColumnRenamed("id", "rep"), "rep", "left").select("text_hash", "name", F.coalesce("component", "rep").alias("component"))

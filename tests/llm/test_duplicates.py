@@ -176,6 +176,42 @@ def test_dart_minhash(frame, block, monkeypatch):
     assert all(r["kept"] == (r["doc_id"] == r["class_id"]) for r in rows if r["doc_id"] is not None)
 
 
+@pytest.mark.parametrize("limit", [("BLOCK", 20), ("TASK_BYTES", 20_000)])
+def test_strangers_are_dealt_in_blocks(spark, limit, monkeypatch):
+    """Many texts that meet one component in its buckets and are too far from it: no task holds more than its blocks, whether by number or by bytes."""
+    r = random.Random(21)
+    base = words(r, 140).split()
+    near = [" ".join(base[:k] + ["x"] + base[k + 1 :]) for k in range(0, 140, 2)]
+    strange = [" ".join(base[:112] + words(r, 28).split()) for _ in range(300)]
+    texts = [" ".join(base), *near, *strange]
+    across, most = dart_minhash._across, 60
+
+    def watched(ordered):
+        run = across(ordered)
+
+        def checked(key, left, right):
+            assert max(len(left), len(right)) <= most, (key, len(left), len(right))
+            return run(key, left, right)
+
+        return checked
+
+    monkeypatch.setattr(dart_minhash, *limit)
+    monkeypatch.setattr(dart_minhash, "_across", watched)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x["doc_id"]: x["class_id"] for x in dart_minhash.near_duplicates(frame).collect()}
+    assert [got[i] for i in range(len(texts))] == brute_classes(texts)
+
+
+def test_long_and_short_texts_side_by_side():
+    import pandas as pd
+
+    r = random.Random(22)
+    long = words(r, 300_000)
+    side = lambda rep, label, text: pd.DataFrame({"rep": rep, "component": label, "text": text})
+    left, right = side([1, 2], [1, 2], [long, "a b c d e f"]), side([3, 4, 5], [9, 9, 9], [long + " more", "a b c d e f", "a b"])
+    assert sorted(map(tuple, dart_minhash._across(False)(None, left, right).to_numpy().tolist())) == [(1, 3), (2, 4)]
+
+
 def test_dart_minhash_with_several_texts_of_one_id(spark):
     r = random.Random(12)
     a, b = words(r, 150), words(r, 150)
