@@ -1,7 +1,7 @@
 """Snapshots: which are current, reading some of them, replacing and removing them.
 
 Current is derived by recency, never stored as truth. Destructive calls refuse an empty scope. Plain Parquet has no transactions: a replace writes aside, drops the
-named partitions and moves the new ones in, so readers in between may see neither; use a table format with transactions where that matters.
+named partitions and moves the new ones in, so readers in between may see neither. `sources.snapshot_table` makes the same changes as commits, which readers see whole.
 """
 
 from __future__ import annotations

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators import base, published_rules, quality, rules, scope
 from ..sources import ingest, shared, sinks
+from ..sources.snapshot_table import SnapshotTable
 from .registry import Model, query
 
 SLOTS = [("code_1", "code_1_type"), ("code_2", "code_2_type"), ("code_3", "code_3_type")]
@@ -340,6 +341,37 @@ def _(m):
     return ingest.snapshots_of(m.spark, path, "k long").groupBy("snapshot_id").agg(F.count("*").alias("n"), F.sum("k").alias("total"))
 
 
+def _table(m) -> SnapshotTable:
+    table = SnapshotTable(m.spark, f"{shared.folder(m.spark)}/table-{shared.uuid.uuid4().hex}", "hospital_id string, k long")
+    own = _lines(m).select("hospital_id", "k", "snapshot_id")
+    table.replace(own, [r[0] for r in own.select("snapshot_id").distinct().collect()])  # a row per published file
+    return table
+
+
+@query("replace_by_nothing", f"WITH {LINES} SELECT snapshot_id, count(*) AS n, cast(sum(k) AS BIGINT) AS total FROM pub WHERE snapshot_id <> '2-1997' GROUP BY snapshot_id")
+def _(m):
+    """A snapshot replaced by an empty frame: gone, the others untouched."""
+    table = _table(m)
+    table.replace(table.read(ids=["2-1997"]).filter("k < 0"), ["2-1997"])
+    return table.read().groupBy("snapshot_id").agg(F.count("*").alias("n"), F.sum("k").alias("total"))
+
+
+@query(
+    "snapshot_commits",
+    f"""WITH {LINES}, c AS (
+         SELECT 1 AS commit, k, snapshot_id FROM pub UNION ALL SELECT 2, CASE WHEN snapshot_id = '1-1996' THEN 0 ELSE k END, snapshot_id FROM pub WHERE snapshot_id <> '1-1996' OR k % 2 = 0
+         UNION ALL SELECT 3, CASE WHEN snapshot_id = '1-1996' THEN 0 ELSE k END, snapshot_id FROM pub WHERE snapshot_id <> '3-1995' AND (snapshot_id <> '1-1996' OR k % 2 = 0))
+       SELECT commit, snapshot_id, count(*) AS n, cast(sum(k) AS BIGINT) AS total FROM c GROUP BY ALL""",
+)
+def _(m):
+    """What each commit of a table holds: all, one snapshot replaced from the table itself, one cleared. Older commits stay readable."""
+    table = _table(m)
+    table.replace(table.read(ids=["1-1996"]).filter("k % 2 = 0").withColumn("k", F.lit(0).cast("long")), ["1-1996"])
+    table.clear(["3-1995"])
+    every = reduce(lambda a, b: a.unionByName(b), [table.read(at=n).withColumn("commit", F.lit(n)) for n in table.commits()])
+    return every.groupBy("commit", "snapshot_id").agg(F.count("*").alias("n"), F.sum("k").alias("total"))
+
+
 @query("prune_and_sync", "SELECT s.hospital_id, count(*) AS n FROM rates f JOIN snapshots s ON f.snapshot_id = s.snapshot_id WHERE s.is_current GROUP BY s.hospital_id", model=True, keep=("rates", "snapshots"))
 def _(m):
     """What is left of a partitioned table when snapshots that are not current are pruned, by a snapshot table whose flags were synchronised."""
