@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import codes, semantics
 from ..functions.keys import signature_text
 from ..operators import base, compare, match, reshape
-from ..sources import ingest
+from ..sources import csv_records, ingest, shared
 from . import market, published
 from .registry import MARKET, query, r4
 from .sql import BLOCKERS
@@ -263,7 +263,56 @@ def _csv_lines(m):
 def _(m):
     """Rows of tall files from their lines, columns named by the third."""
     lines = _csv_lines(m)
-    return ingest.tall_rows(ingest.csv_files(lines, 16)[1], ["description", "code_1", "setting", "gross_charge", "payer_name", "standard_charge_dollar", "count"])
+    return ingest.tall_rows(ingest.csv_files(lines)[1], ["description", "code_1", "setting", "gross_charge", "payer_name", "standard_charge_dollar", "count"])
+
+
+def _as_files(m, lines) -> str:
+    """The lines written as a file per snapshot, below a folder that names it."""
+    path = f"{shared.folder(m.spark)}/csv-{shared.uuid.uuid4().hex}"
+    lines.repartition("snapshot_id").sortWithinPartitions("snapshot_id", "line_ordinal").select("snapshot_id", "line").write.partitionBy("snapshot_id").text(path)
+    return path
+
+
+def _from_files(m, path: str):
+    records, _ = csv_records.read_records(m.spark, path)
+    return records.select(F.regexp_extract("file", "snapshot_id=([^/]+)/", 1).alias("snapshot_id"), F.col("record_ordinal").alias("line_ordinal"), F.col("record").alias("line"))
+
+
+@query(
+    "csv_tall_files",
+    rf"""WITH {published.LINES} SELECT snapshot_id, row_ordinal, CASE WHEN row_ordinal % 3 = 0 THEN trim(description) || chr(10) || 'a, "b"' ELSE description END AS description, code_1, setting, gross AS gross_charge, payer_name, dollar AS standard_charge_dollar, counted AS count
+       FROM (SELECT * REPLACE (nullif(trim(description), '') AS description) FROM lines WHERE format_family = 'csv' AND (row_ordinal % 3 <> 0 OR trim(description) <> ''))""",
+)
+def _(m):
+    """Rows of tall files from the files themselves: quoted cells with line ends, commas and quotes, in splits of any size."""
+    lines = _csv_lines(m).join(published.Files(m).rows.select("snapshot_id", (F.col("row_ordinal") + 3).alias("line_ordinal"), F.trim(F.coalesce("description", F.lit(""))).alias("own")), ["snapshot_id", "line_ordinal"], "left")
+    broken = (F.col("line_ordinal") >= 3) & (F.col("line_ordinal") % 3 == 0)
+    rest = F.regexp_extract("line", r"^[^,]*(,.*)$", 1)
+    lines = lines.withColumn("line", F.when(broken & (F.col("own") != ""), F.concat(F.lit('"'), "own", F.lit('\na, ""b""\n"'), rest)).otherwise(F.col("line")))
+    rows = ingest.csv_files(_from_files(m, _as_files(m, lines)))[1]
+    own = ingest.tall_rows(rows, ["description", "code_1", "setting", "gross_charge", "payer_name", "standard_charge_dollar", "count"])
+    return own.filter("row_ordinal % 3 <> 0 or description is not null")
+
+
+@query(
+    "csv_wide_files",
+    f"""WITH {published.LINES}, w AS (SELECT *, CASE WHEN dollar IS NOT NULL THEN 'Payer ' || hospital_id WHEN percentage IS NOT NULL THEN 'Cigna' END AS payer_name FROM (SELECT * EXCLUDE (payer_name) FROM pub WHERE format_family = 'csv'))
+       SELECT snapshot_id, row_ordinal, nullif(trim(description), '') AS description, payer_name, CASE WHEN payer_name = 'Cigna' THEN 'HMO' WHEN payer_name IS NOT NULL THEN 'PPO' END AS plan_name, dollar, percentage FROM w""",
+)
+def _(m):
+    """Wide files of different payers in one job, each by its own header: 40 more payers there without a value."""
+    rows = published.wide_rows(m)
+    more = [f"standard_charge|Other {i}|HMO|negotiated_dollar" for i in range(40)]
+    names = F.concat(F.lit("description,standard_charge|Payer "), "hospital_id", F.lit("|PPO|negotiated_dollar," + ",".join(more) + ",standard_charge|Cigna|HMO|negotiated_percentage"))
+    line = F.concat_ws(",", F.concat(F.lit('"'), F.coalesce("description", F.lit("")), F.lit('"')), F.coalesce("dollar", F.lit(" ")), *[F.lit("")] * len(more), F.coalesce("percentage", F.lit("")))
+    heads = rows.select("snapshot_id", "hospital_id").distinct()
+    three = [heads.select("snapshot_id", F.lit(n).cast("long").alias("line_ordinal"), x.alias("line")) for n, x in enumerate([F.lit("version"), F.lit("2.2.0"), names])]
+    lines = reduce(lambda a, b: a.unionByName(b), three, rows.select("snapshot_id", (F.col("row_ordinal") + 3).alias("line_ordinal"), line.alias("line")))
+    own = ingest.csv_wide_rows(_from_files(m, _as_files(m, lines)))
+    of = lambda c, n: F.nullif(F.try_element_at(c, F.lit(n)), F.lit(""))
+    return own.select(
+        "snapshot_id", "row_ordinal", of("cells", "description").alias("description"), "payer_name", "plan_name", of("values", "standard_charge_negotiated_dollar").alias("dollar"), of("values", "standard_charge_negotiated_percentage").alias("percentage")
+    )
 
 
 @query(
@@ -274,7 +323,7 @@ def _(m):
 )
 def _(m):
     """Headers of CSV files, a row for each location."""
-    tables = ingest.csv_header_tables(ingest.csv_files(_csv_lines(m), 16)[0])
+    tables = ingest.csv_header_tables(ingest.csv_files(_csv_lines(m))[0])
     return tables["hospital_mrf_snapshots"].join(tables["hospital_locations"], "snapshot_id")
 
 

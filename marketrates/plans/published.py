@@ -301,6 +301,14 @@ def _(m):
 # --- wide CSV, scopes, sinks -------------------------------------------------------------------------------------------------------------------------------
 
 
+def wide_rows(m):
+    """snapshot_id, hospital_id, row_ordinal, description, dollar, percentage of the files that name payers in their headers."""
+    place = F.row_number().over(Window.partitionBy("snapshot_id").orderBy("order")).cast("long") - 1
+    n, price = F.col("order.l_linenumber"), F.col("order.l_extendedprice").cast("decimal(12,2)").cast("string")
+    own = _lines(m).filter("format_family = 'csv'")
+    return own.select("snapshot_id", "hospital_id", place.alias("row_ordinal"), "description", F.when(n != 4, price).alias("dollar"), F.when(n == 4, "40").alias("percentage"))
+
+
 @query(
     "csv_wide_unpivot",
     f"""WITH {LINES}, w AS (SELECT * FROM pub WHERE format_family = 'csv')

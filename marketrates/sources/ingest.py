@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import codes
 from ..functions.text import clean_text
+from .csv_records import with_cells
 
 _PAYER = "struct<payer_name:string,plan_name:string,methodology:string,standard_charge_dollar:string,standard_charge_percentage:string,standard_charge_algorithm:string,estimated_amount:string,median_amount:string,`10th_percentile`:string,`90th_percentile`:string,count:string,additional_payer_notes:string>"
 _CHARGE = f"struct<minimum:string,maximum:string,gross_charge:string,discounted_cash:string,setting:string,billing_class:string,additional_generic_notes:string,modifier_code:array<string>,payers_information:array<{_PAYER}>>"
@@ -140,29 +141,72 @@ TALL_NAMES = {
 }
 
 
-def _cells(line: Column, width: int) -> Column:
-    """The trimmed cells of a CSV line of at most width cells, '' where there is none."""
-    parsed = F.from_csv(line, ", ".join(f"c{i} string" for i in range(width)), {"escape": '"'})
-    return F.array(*[F.coalesce(F.trim(parsed[f"c{i}"]), F.lit("")) for i in range(width)])
+def _canonical_names(names: str) -> Column:
+    return F.transform(names, lambda x: F.regexp_replace(F.regexp_replace(F.lower(x), r"[^a-z0-9_\[\]]+", "_"), "^_+|_+$", ""))
 
 
-def csv_files(lines: DataFrame, width: int = 64) -> tuple[DataFrame, DataFrame]:
-    """lines: snapshot_id, line_ordinal from 0, line. Files' first two lines are the header's keys and values, the third names the columns.
+def _heads(lines: DataFrame) -> DataFrame:
+    """snapshot_id, keys, values, names: the cells of the first three lines, a row per file."""
+    own = with_cells(lines.filter("line_ordinal < 3").select("snapshot_id", "line_ordinal", "line"), "line")
+    cells = [F.max(F.when(F.col("line_ordinal") == n, F.col("cells"))).alias(c) for n, c in enumerate(("keys", "values", "names"))]
+    return own.groupBy("snapshot_id").agg(*cells)
+
+
+def _fields(names: Column) -> Column:
+    """Positions and names of the cells that have a name; of equal names the last."""
+    named = F.transform(names, lambda x, i: F.struct(i.alias("position"), x.alias("name")))
+    return F.filter(named, lambda e: (e["name"] != "") & ~F.exists(F.slice(names, e["position"] + 2, F.size(names)), lambda y: y == e["name"]))
+
+
+def _by_name(fields: str, cells: str) -> Column:
+    """A map from names to cells, '' where there is none."""
+    return F.map_from_arrays(F.col(f"{fields}.name"), F.transform(F.col(f"{fields}.position"), lambda p: F.coalesce(F.get(F.col(cells), p), F.lit(""))))
+
+
+def csv_files(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """lines: snapshot_id, line_ordinal from 0, line (a record, which may hold line ends). Files' first two lines are the header's keys and values, the third names the columns.
 
     (snapshot_id, header, layout, version: a row per file; snapshot_id, row_ordinal from 0, cells: a row per line from the fourth on). header and cells are maps from
-    canonical names to texts. Files of any layout go through together; what names the columns is a row per file.
+    canonical names to texts. Files of any layout and width go through together; what names the columns is a row per file, made canonical once.
     """
-    own = lines.withColumn("cells", _cells(F.col("line"), width))
-    first = lambda n: F.max(F.when(F.col("line_ordinal") == n, F.col("cells")))
-    heads = own.filter("line_ordinal < 3").groupBy("snapshot_id").agg(first(0).alias("keys"), first(1).alias("values"), first(2).alias("names"))
-    canonical = lambda x: F.regexp_replace(F.regexp_replace(F.lower(x), r"[^a-z0-9_\[\]]+", "_"), "^_+|_+$", "")
-    pairs = lambda k, v: F.map_from_entries(F.filter(F.zip_with(F.transform(k, canonical), v, lambda a, b: F.struct(a.alias("a"), b.alias("b"))), lambda e: e["a"] != ""))
+    heads = _heads(lines).withColumns({"key_fields": _fields(_canonical_names("keys")), "fields": _fields(_canonical_names("names"))})
     lower = F.transform("names", lambda x: F.lower(x))
     layout_ = F.when(F.array_contains(lower, "payer_name"), "csv_tall").when(F.exists(lower, lambda x: x.rlike(r"^standard_charge\|.*\|.*\|")), "csv_wide").otherwise("unknown")
     struct = F.filter(F.zip_with("keys", "values", lambda a, b: F.struct(a.alias("a"), b.alias("b"))), lambda e: F.lower(e["a"]) == "version")
-    headers = heads.select("snapshot_id", pairs(F.col("keys"), F.col("values")).alias("header"), layout_.alias("layout"), F.nullif(F.get(struct, F.lit(0))["b"], F.lit("")).alias("version"))
-    rows = own.filter("line_ordinal >= 3").join(heads.select("snapshot_id", "names"), "snapshot_id")
-    return headers, rows.select("snapshot_id", (F.col("line_ordinal") - 3).alias("row_ordinal"), pairs(F.col("names"), F.col("cells")).alias("cells"))
+    headers = heads.select("snapshot_id", _by_name("key_fields", "values").alias("header"), layout_.alias("layout"), F.nullif(F.get(struct, F.lit(0))["b"], F.lit("")).alias("version"))
+    body = with_cells(lines.filter("line_ordinal >= 3").select("snapshot_id", (F.col("line_ordinal") - 3).alias("row_ordinal"), "line"), "line")
+    rows = body.join(heads.select("snapshot_id", "fields"), "snapshot_id")
+    return headers, rows.select("snapshot_id", "row_ordinal", _by_name("fields", "cells").alias("cells"))
+
+
+def csv_wide_rows(lines: DataFrame) -> DataFrame:
+    """The rows of wide files, each by its own file's header: snapshot_id, row_ordinal, payer_name, plan_name, values, cells.
+
+    values: a map from the names of a payer's columns in the tall layout to texts, those that are not blank; a row per payer with any, one with a null payer where no payer has any.
+    cells: a map of the other columns, as csv_files gives it. A file's payer blocks are a list of (payer, plan, (name, position)s), a row per file, that is met with the row's cells by position.
+    """
+    heads = _heads(lines)
+    named = heads.select("snapshot_id", F.posexplode("names").alias("position", "name"))
+    part = lambda k: F.trim(F.get(F.split("name", r"\|"), F.lit(k)))
+    word = lambda x: F.regexp_replace(F.regexp_replace(F.lower(x), "[^a-z0-9_]+", "_"), "^_+|_+$", "")
+    parts, first, third = F.size(F.split("name", r"\|")), F.lower(part(0)), F.lower(part(2))
+    field = F.when((parts == 4) & (first == "standard_charge"), F.concat(F.lit("standard_charge_"), word(part(3)))).when((parts == 3) & (first != "code") & (third != "type"), word(part(0)))
+    named = named.withColumns({"field": field, "payer": part(1), "plan": part(2)})
+    cells = named.filter("field is not null").groupBy("snapshot_id", "payer", "plan", "field").agg(F.max("position").alias("position"))
+    blocks = cells.groupBy("snapshot_id", "payer", "plan").agg(F.min("position").alias("first"), F.collect_list(F.struct(F.col("field").alias("name"), "position")).alias("fields"))
+    blocks = blocks.groupBy("snapshot_id").agg(F.sort_array(F.collect_list(F.struct("first", "payer", "plan", "fields"))).alias("blocks"))
+    other = F.transform("names", lambda x: F.when(F.size(F.split(x, r"\|")) < 3, x).when(F.lower(x).rlike(r"^\s*code\s*\||\|\s*type\s*$"), x).otherwise(""))
+    plain = heads.select("snapshot_id", other.alias("names")).select("snapshot_id", _fields(_canonical_names("names")).alias("fields"))
+    body = with_cells(lines.filter("line_ordinal >= 3").select("snapshot_id", (F.col("line_ordinal") - 3).alias("row_ordinal"), "line"), "line", "parsed")
+    rows = body.join(plain.join(blocks, "snapshot_id"), "snapshot_id")
+
+    def values(block: Column) -> Column:
+        met = F.transform(block["fields"], lambda f: F.struct(f["name"].alias("name"), F.get(F.col("parsed"), f["position"]).alias("value")))
+        return F.map_from_entries(F.filter(met, lambda e: F.coalesce(e["value"], F.lit("")) != ""))
+
+    payers = F.transform("blocks", lambda x: F.struct(x["payer"].alias("payer_name"), x["plan"].alias("plan_name"), values(x).alias("values")))
+    rows = rows.select("snapshot_id", "row_ordinal", _by_name("fields", "parsed").alias("cells"), F.filter(payers, lambda x: F.size(x["values"]) > 0).alias("payers"))
+    return rows.select("snapshot_id", "row_ordinal", F.explode_outer("payers").alias("p"), "cells").select("snapshot_id", "row_ordinal", "p.payer_name", "p.plan_name", F.coalesce("p.values", F.create_map().cast("map<string,string>")).alias("values"), "cells")
 
 
 def csv_header_tables(headers: DataFrame) -> dict[str, DataFrame]:

@@ -35,7 +35,7 @@ def test_csv_files_from_lines(spark):
     tall = ["hospital_name,last_updated_on,version,location_name,license_number|GA", '"H ""x""",1/2/2024, 2.2.0 ,A|B,9', "Description,code|1,code|1|type,payer_name,standard_charge|negotiated_dollar,10th_percentile", 'a,1,CPT,"p, q",5,', "b,,,,,7,"]
     wide = ["version", "", "description,standard_charge|gross,standard_charge|P|Q|negotiated_dollar", "c,1,2"]
     lines = [("t", i, x) for i, x in enumerate(tall)] + [("w", i, x) for i, x in enumerate(wide)] + [("u", 0, "x"), ("u", 1, "y"), ("u", 2, "z")]
-    headers, rows = ingest.csv_files(spark.createDataFrame(lines, "snapshot_id string, line_ordinal long, line string").repartition(3), 8)
+    headers, rows = ingest.csv_files(spark.createDataFrame(lines, "snapshot_id string, line_ordinal long, line string").repartition(3))
     assert rows_of(headers, "snapshot_id", "layout", "version") == [("t", "csv_tall", "2.2.0"), ("u", "unknown", None), ("w", "csv_wide", None)]
     names = ["description", "code_1", "code_1_type", "payer_name", "standard_charge_dollar", "tenth_percentile"]
     own = ingest.tall_rows(rows.filter("snapshot_id = 't'"), names)
