@@ -10,6 +10,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .quantiles import exact_quantiles
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -66,19 +68,24 @@ def pass_rate(frame: DataFrame, violations: DataFrame, group: str) -> DataFrame:
 
 
 def numeric_profile(long: DataFrame) -> DataFrame:
-    """Per (grain, column_name) of the long form: nulls, texts that are no number, distribution, zeros and negatives."""
-    x = F.col("raw_value").try_cast("double")
-    return long.groupBy("grain", "column_name").agg(
+    """Per (grain, column_name) of the long form: nulls, texts that are no number, distribution, zeros and negatives.
+
+    Counts, sums and extremes are one grouping with partial sums; quantiles are exact, by selection over counted values, so no group holds a column.
+    """
+    x, keys = F.col("raw_value").try_cast("double"), ["grain", "column_name"]
+    totals = long.groupBy(*keys).agg(
         F.count("*").alias("row_count"),
         F.count_if(F.col("raw_value").isNull()).alias("null_count"),
         F.count_if(F.col("raw_value").isNotNull() & x.isNull()).alias("non_numeric_count"),
         F.min(x).alias("min_value"),
         F.max(x).alias("max_value"),
         F.avg(x).alias("mean_value"),
-        *[F.percentile(x, q).alias(n) for n, q in (("p10_value", 0.1), ("median_value", 0.5), ("p90_value", 0.9))],
         F.count_if(x == 0).alias("zero_count"),
         F.count_if(x < 0).alias("negative_count"),
     )
+    points = exact_quantiles(long.select(*keys, x.alias("x")), keys, "x", {"p10_value": 0.1, "median_value": 0.5, "p90_value": 0.9})
+    points = points.select(F.col("grain").alias("_grain"), F.col("column_name").alias("_column"), "p10_value", "median_value", "p90_value")
+    return totals.join(points, F.col("grain").eqNullSafe(F.col("_grain")) & F.col("column_name").eqNullSafe(F.col("_column")), "left").drop("_grain", "_column")
 
 
 def parse_diagnostics(frame: DataFrame, columns: list[str], keys: list[str]) -> DataFrame:
