@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import codes, semantics
 from ..functions.keys import signature_text
 from ..operators import base, compare, match, reshape
-from ..sources import csv_records, ingest, shared
+from ..sources import csv_records, files, ingest, shared
 from . import market, published
 from .registry import MARKET, query, r4
 from .sql import BLOCKERS
@@ -315,6 +315,41 @@ def _(m):
     )
 
 
+@query(
+    "file_digests",
+    """WITH f AS (SELECT conv_id % 20 AS k, string_agg(coalesce(text, '') || chr(10), '' ORDER BY conv_id, turn, role, text) AS content FROM conversations GROUP BY 1)
+       SELECT k, strlen(content) AS byte_count, sha256(content) AS file_hash, 'utf-8' AS encoding, len(content) - len(replace(content, chr(10), '')) AS line_count, len(replace(content, chr(10), '')) AS char_count FROM f""",
+)
+def _(m):
+    """Files written, listed and streamed: digest and encoding by one reading in pieces, lines by another."""
+    own = m.table("conversations").select((F.col("conv_id") % 20).alias("k"), F.struct("conv_id", "turn", "role", "text").alias("place"), F.coalesce("text", F.lit("")).alias("value"))
+    path = f"{shared.folder(m.spark)}/said-{shared.uuid.uuid4().hex}"
+    own.repartition("k").sortWithinPartitions("k", "place").select("k", "value").write.partitionBy("k").text(path)
+    k = F.regexp_extract("path", "k=([0-9]+)/", 1).cast("bigint").alias("k")
+    listed = files.listed(m.spark, path, "part-*")
+    counts = files.decoded_lines(listed).groupBy(k).agg(F.count("*").alias("line_count"), F.sum(F.length("line")).cast("long").alias("char_count"))
+    return files.digests(listed).select(k, "byte_count", "file_hash", "encoding").join(counts, "k")
+
+
+@query(
+    "file_layouts",
+    f"""WITH {published.LINES} SELECT DISTINCT snapshot_id, CASE WHEN format_family = 'json' THEN 'json' WHEN cast(hospital_id AS BIGINT) % 4 = 1 THEN 'csv_tall' ELSE 'csv_wide' END AS layout,
+         CASE WHEN format_family = 'json' THEN '3.0' ELSE 'v' || hospital_id END AS version FROM pub""",
+)
+def _(m):
+    """A folder of JSON, tall and wide files told apart by their first bytes."""
+    own = published.Files(m).lines.select("snapshot_id", "hospital_id", "format_family", "k", "description")
+    tall = F.col("hospital_id").cast("bigint") % 4 == 1
+    head = F.when(F.col("format_family") == "json", F.lit('{"hospital_name": "x", "version": "3.0", "standard_charge_information": ['))
+    head = head.otherwise(F.concat(F.lit('Version,name\nv'), "hospital_id", F.lit(',"a, b"\n'), F.when(tall, "description,payer_name").otherwise("description,standard_charge|P|Q|negotiated_dollar")))
+    heads = own.groupBy("snapshot_id").agg(F.min(head).alias("line")).withColumn("place", F.lit(-1).cast("long"))
+    lines = heads.unionByName(own.select("snapshot_id", F.col("k").alias("place"), F.to_json(F.struct("description")).alias("line")))
+    path = f"{shared.folder(m.spark)}/mixed-{shared.uuid.uuid4().hex}"
+    lines.repartition("snapshot_id").sortWithinPartitions("snapshot_id", "place").select("snapshot_id", "line").write.partitionBy("snapshot_id").text(path)
+    told = files.layouts(files.listed(m.spark, path, "part-*"), 256)
+    return told.select(F.regexp_extract("path", "snapshot_id=([^/]+)/", 1).alias("snapshot_id"), "layout", "version")
+
+
 @query(
     "csv_headers",
     f"""WITH {published.LINES}, h AS (SELECT DISTINCT snapshot_id, hospital_id FROM pub WHERE format_family = 'csv')
