@@ -59,6 +59,19 @@ def rule_summary(violations: DataFrame, rules: list[Rule]) -> DataFrame:
     return own.select("rule_id", "grain", "severity", "disposition", F.coalesce("n", F.lit(0)).cast("long").alias("violation_count"))
 
 
+def current_summary(violations: DataFrame, rules: list[Rule], current: DataFrame, publisher: str = "hospital_id", snapshot: str = "snapshot_id") -> DataFrame:
+    """Breaks of each rule in the current snapshots, those without any included: how many, in how many snapshots, of how many publishers, and how many of them exclude.
+
+    Broken rules are counted by snapshot first, so the distinct counts are over a row per rule and snapshot.
+    """
+    own = violations.join(current.select(snapshot).distinct(), snapshot, "left_semi")
+    by_snapshot = own.groupBy("grain", "rule_id", snapshot).agg(F.min(publisher).alias("publisher"), F.count("*").alias("n"), F.count_if("excludes").alias("excluding"))
+    counts = by_snapshot.groupBy("grain", "rule_id").agg(F.sum("n").alias("n"), F.count("*").alias("snapshots"), F.count_distinct("publisher").alias("publishers"), F.sum("excluding").alias("excluding"))
+    known = registry(violations, rules).distinct().join(counts, ["grain", "rule_id"], "left")
+    whole = {"n": "violation_count", "snapshots": "affected_snapshot_count", "publishers": "affected_hospital_count", "excluding": "rejected_violation_count"}
+    return known.select("rule_id", "grain", "severity", "disposition", *[F.coalesce(c, F.lit(0)).cast("long").alias(name) for c, name in whole.items()])
+
+
 def pass_rate(frame: DataFrame, violations: DataFrame, group: str) -> DataFrame:
     """Per group: records, violations and max(0, 1 - violations / records)."""
     records = frame.groupBy(group).agg(F.count("*").alias("record_count"))

@@ -100,7 +100,7 @@ def _current(m):
 )
 def _(m):
     """Whether the current snapshots are good enough to build on: seven measures with their thresholds."""
-    share = lambda c: F.round(100.0 * F.count_if(c) / F.count("*"), 2)
+    share = lambda c: F.round(F.try_divide(100.0 * F.count_if(c), F.count("*")), 2)
     own = _current(m)
     typed = F.coalesce(semantics.plan_type(F.col("plan_name")) == "hmo", F.lit(False))
     rates = own.agg(share(F.col("payer_id") != compare.UNMATCHED).alias("payer"), share(F.col("market_segment") != "unknown").alias("segment"), share(typed).alias("typed"), F.count_if(F.col("methodology").isNull() | F.col("negotiated").isNull()).alias("amounts"))
