@@ -99,11 +99,11 @@ def gate_rows(measures: DataFrame, specs: list[Gate]) -> DataFrame:
 
 
 def gates(measures: DataFrame, thresholds: dict[str, tuple[str, float]]) -> DataFrame:
-    """A row per gate of a one-row frame of measures: metric, value, threshold, passed; a threshold is ('min' or 'max', bound)."""
+    """A row per gate of a one-row frame of measures: metric, value, threshold, passed; a threshold is ('min' or 'max', bound); what cannot be measured has not passed."""
     cells = []
     for metric, (kind, bound) in thresholds.items():
         value = F.col(metric).cast("double")
-        cells.append(F.struct(F.lit(metric).alias("metric"), value.alias("value"), F.lit(float(bound)).alias("threshold"), (value >= bound if kind == "min" else value <= bound).alias("passed")))
+        cells.append(F.struct(F.lit(metric).alias("metric"), value.alias("value"), F.lit(float(bound)).alias("threshold"), F.coalesce(value >= bound if kind == "min" else value <= bound, F.lit(False)).alias("passed")))
     return measures.select(F.explode(F.array(*cells)).alias("g")).select("g.*")
 
 

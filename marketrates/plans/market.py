@@ -9,7 +9,7 @@ from ..functions import semantics
 from ..functions.keys import signature_text, surrogate_key
 from ..operators import compare, identity, match, quality, reshape, rules, scope
 from . import star
-from .registry import MARKET, query, r4
+from .registry import MARKET, RANKED, query, r4
 from .sql import BLOCKERS
 
 # --- validation -------------------------------------------------------------------------------------------------------------------------------------------
@@ -232,12 +232,12 @@ def _(m):
     return scope.current_only(m.fact, m.snapshots).select("observation_id", "snapshot_id", "amount_value")
 
 
-@query("contract_representatives", "SELECT * FROM reps", model=True, keep=("snapshots",))
+@query("contract_representatives", "SELECT * FROM reps", model=True, keep=RANKED)
 def _(m):
     return m.reps
 
 
-@query("hospital_amounts", "SELECT * REPLACE (round(hospital_amount, 4) AS hospital_amount) FROM amounts", model=True, keep=("snapshots",))
+@query("hospital_amounts", "SELECT * REPLACE (round(hospital_amount, 4) AS hospital_amount) FROM amounts", model=True, keep=RANKED)
 def _(m):
     return m.amounts.withColumn("hospital_amount", r4("hospital_amount"))
 
@@ -266,7 +266,7 @@ def _more(ctes: str, body: str) -> str:
        CASE WHEN hospital_count >= 3 AND p10 <> 0 THEN round(p90 / p10, 6) END AS spread_p90_to_p10, CASE WHEN hospital_count >= 3 THEN outliers END AS outlier_hospital_count FROM g JOIN o USING (service_context_key)""",
     ),
     model=True,
-    keep=MARKET,
+    keep=RANKED,
 )
 def _(m):
     own = compare.distribution(m.amounts)
@@ -300,7 +300,7 @@ def _peers(m):
     f"""SELECT hospital_id, service_context_key, amount_kind, state, hospital_type, health_system, round(hospital_amount, 4) AS hospital_amount, {", ".join(_peer_sql(n, c) for n, c in _COHORTS.items())}
        FROM amounts LEFT JOIN hospitals USING (hospital_id) WHERE hospital_amount IS NOT NULL""",
     model=True,
-    keep=MARKET,
+    keep=RANKED,
 )
 def _(m):
     own = _rounded(_peers(m), _COHORTS).withColumn("hospital_amount", r4("hospital_amount"))
@@ -331,7 +331,7 @@ def _(m):
 )
 def _(m):
     context = ["service_code_key", "setting", "billing_class", "modifier_signature", "drug_unit"]
-    contexts = m.spine.select("service_context_key", *context).distinct()
+    contexts = m.ranked.select("service_context_key", *context).distinct()
     cash = m.amounts.filter((F.col("amount_kind") == "discounted_cash") & F.col("hospital_amount").isNotNull()).join(contexts, "service_context_key")
     payers = compare.payer_amounts(m.reps).drop("service_code_key").join(contexts, "service_context_key")
     own = compare.cash_comparison(payers, cash, ["hospital_id", *context])
@@ -388,7 +388,8 @@ def _(m):
     payer_market = payers.groupBy("payer_id", "service_context_key").agg(F.max("payer_peer_hospital_count").alias("payer_peers"), F.max("payer_market_median").alias("payer_med"))
     item = ["item_id", "snapshot_id", "setting", "billing_class", "modifier_signature"]
     fair = F.when(F.col("methodology").isin(semantics.COMPARABLE_METHODOLOGIES), F.col("negotiated").cast("double"))
-    items = m.rates.groupBy(*item).agg(F.max("gross").alias("g"), F.max("cash").alias("c"), F.median(fair).alias("n"))  # before amounts fan out
+    current = m.snapshots.filter("is_current").select("snapshot_id")
+    items = m.rates.join(current, "snapshot_id", "left_semi").groupBy(*item).agg(F.max("gross").alias("g"), F.max("cash").alias("c"), F.median(fair).alias("n"))  # before amounts fan out
     own = m.spine.filter("is_current").withColumn("contract_key", surrogate_key("payer_name", "plan_name"))
     own = own.join(ranks, context, "left").join(market, "service_context_key", "left").join(contracts, [*context, "snapshot_id", "contract_key"], "left")
     own = own.join(payers.select("payer_id", *context, "payer_hospital_amount", "payer_pct_rank"), ["payer_id", *context], "left").join(payer_market, ["payer_id", "service_context_key"], "left")
@@ -700,7 +701,7 @@ def _(m):
     model=True,
 )
 def _(m):
-    measures = m.rates.agg(F.count("*").alias("rows"), F.round(F.count_if(F.col("billing_class").isNull()) / F.count("*"), 6).alias("missing_class"), F.round(F.count_if(F.col("payer_id") != compare.UNMATCHED) / F.count("*"), 6).alias("matched"))
+    measures = m.rates.agg(F.count("*").alias("rows"), F.round(F.try_divide(F.count_if(F.col("billing_class").isNull()), F.count("*")), 6).alias("missing_class"), F.round(F.try_divide(F.count_if(F.col("payer_id") != compare.UNMATCHED), F.count("*")), 6).alias("matched"))
     return quality.gates(measures, {"rows": ("min", 100), "missing_class": ("max", 0.01), "matched": ("min", 0.75)})
 
 

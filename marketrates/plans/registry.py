@@ -53,21 +53,25 @@ class Model:
     def spine(self):
         return star.spine(self.fact, self.bridge, self.snapshots)
 
+    @cached_property
+    def ranked(self):
+        """What statistics are made of: current, context-aligned rows with a price that may be ranked, in one pass over the rates, with no more columns than that takes."""
+        own = star.with_contract(star.spine(star.fact(self.rates, compare.RANKED_KINDS), self.bridge, self.snapshots))
+        return self._own("ranked", compare.ranking_rows(own, compare.RANKED_KINDS).select(*star.RANKED))
+
     @cached_property
     def reps(self):
-        return self._own("reps", star.contracts(self._of(["negotiated_dollar"])))
+        return self._own("reps", compare.contract_representatives(self.ranked))
 
     @cached_property
     def amounts(self):
-        return self._own("amounts", compare.hospital_amounts(self._of(["gross_charge", "discounted_cash"]), self.reps))
-
-    def _of(self, kinds: list[str]) -> DataFrame:
-        """The spine of some kinds of amounts: others are not made only to be filtered out."""
-        return star.spine(star.fact(self.rates, kinds), self.bridge, self.snapshots)
+        return self._own("amounts", compare.hospital_amounts(self.ranked, self.reps))
 
 
-#: For queries over the market's statistics: votes and contracts, which are small, are computed once. Rates are read where they are used, with the columns used there: all of them as a table cost more than they save.
-MARKET = ("snapshots", "reps", "amounts")
+#: For queries over the market's statistics: what they are made of is a thin table, written once. Rates are read where they are used, with the columns used there: all of them as a table cost more than they save.
+RANKED = ("snapshots", "bridge", "ranked")
+#: For those that use contracts and votes several times.
+MARKET = (*RANKED, "reps", "amounts")
 
 
 def query(name: str, oracle: str, model: bool = False, keep: tuple[str, ...] = ()):

@@ -135,8 +135,14 @@ def bridge(rates: DataFrame) -> DataFrame:
     return own.withColumn("service_code_key", surrogate_key("code_system", "match_code"))
 
 
-def contracts(spine: DataFrame) -> DataFrame:
-    return compare.contract_representatives(spine.withColumn("contract_key", surrogate_key("payer_name", "plan_name")))
+#: Columns that statistics of the market need.
+RANKED = [
+    "hospital_id", "snapshot_id", "item_id", "service_context_key", "contract_key", "payer_id", "market_segment", *compare.CONTEXT, "amount_value", "match_code", "code_is_specific", "comparison_tier", "is_current", "is_price_rankable",
+]
+
+
+def with_contract(spine: DataFrame) -> DataFrame:
+    return spine.withColumn("contract_key", surrogate_key("payer_name", "plan_name"))
 
 
 def spine(fact: DataFrame, bridge: DataFrame, snapshots: DataFrame) -> DataFrame:
