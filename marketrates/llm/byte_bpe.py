@@ -4,7 +4,8 @@ Pre-tokenisation is done on arrays: every code point gets a class (one look ahea
 scanner state, and the functions are composed with an associative scan over blocks; the state before a character and its class say whether a piece starts
 there. No regular expression locates a boundary. The pieces are byte slices of the batch; each distinct slice is merged once and cached.
 
-Nulls count as the empty text; an empty text has no ids. Equal rows give equal rows. Other columns pass through untouched.
+Nulls count as the empty text; an empty text has no ids. Equal rows give equal rows. Of pairs of equal rank in a piece the leftmost is merged first; there are no other ties. Texts of any length are taken
+whole, a longer one than a block as a block of its own. Other columns pass through untouched; one that has the name of what is added is replaced. An empty table gives an empty one.
 """
 
 from __future__ import annotations

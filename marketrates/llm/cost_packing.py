@@ -6,7 +6,8 @@ need no padding. Full `length` cuts of longer documents fill sequences of their
 has room for them; a remainder that fits nowhere whole is cut over the sequences of lowest cost that have room left.
 
 A task packs what it scans, a window at a time: nothing is shuffled, and a worker holds one window. Ids of sequences are unique, not dense. A null text is the
-empty text (its end id alone); null or repeated doc_ids are documents of their own; an empty table gives no pieces.
+empty text (its end id alone); null or repeated doc_ids are documents of their own; of remainders equally long the one read first goes first, of sequences equally cheap the first; other columns
+are not read, whatever their names; an empty table gives no pieces.
 """
 
 from __future__ import annotations

@@ -5,7 +5,8 @@ one and two words and of 1 to 4 bytes are hashed to 2**BITS features, counted on
 regression is trained on labelled quality rows, its probabilities are calibrated on rows kept out of training (Platt), and a text is kept at KEEP or more.
 
 Training takes the FIT_ROWS labelled documents of least hash: a documented bound, the only one. Every text is scored whole, in Arrow batches. A null text has no
-words and fails the base; labels that are null are not used; documents labelled twice count as their least label. Without labels of both kinds, the base decides.
+words and fails the base; labels that are null are not used; documents labelled twice count as their least label. Without labels of both kinds, the base decides. Repeated rows are rated each, equal
+texts alike (there are no other ties); a text longer than a block is a block of its own; an empty table gives no rows. `rate` reads doc_id and text only, `keep_good` keeps all columns, whatever their names.
 """
 
 from __future__ import annotations

@@ -20,7 +20,7 @@ links it found, never the pairs themselves; counts are added up and forests join
 
 Vectors that are null, zero, or hold nulls or non-finite components link with nothing. Vectors of different dimension only link within their dimension. Rows of equal
 vec_id and vector count as vectors of their own in n_links, and so do vectors of equal or null vec_id. Classes have ids of their own; a component is named by the least
-vec_id in it, and is null only where all are.
+vec_id in it, and is null only where all are. Ties do not arise: a pair either reaches the cosine or does not. Other columns are not read, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations

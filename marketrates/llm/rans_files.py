@@ -7,8 +7,9 @@ Layout of a file set, all written by Spark:
   the next. A reader may start at any checkpoint of any block. `doc_ids`, `pieces`, `lengths` say which document each run of ids belongs to.
 * `table`: the shared frequency table: id and frequency, adding up to 2**SCALE_BITS, made from the counts of all ids.
 
-Documents are ordered by (id, text); null ids come first; a null text is the empty text, which still has its end id; repeated rows are documents of their own.
-A document longer than a block is cut into pieces. An empty table gives empty files.
+Documents are ordered by (id, text), those that share an id and their first 64 characters in no order among themselves; null ids come first; a null text is the empty text, which still has its
+end id; repeated rows are documents of their own, spread over tasks however many they are. A document longer than a block is cut into pieces. Other columns are not read, whatever their names. An
+empty table gives empty files.
 """
 
 from __future__ import annotations
@@ -172,13 +173,14 @@ def write_files(documents: DataFrame, path: str, tokenizer: str, end_id: int = 2
     """Encode every whole text by the tokenizers library, append end_id, and write the ids in ascending order of the key to path."""
     spark = documents.sparkSession
     own = documents.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    # By the text's beginning, too: many rows of one id, or of none, are spread, and the order is the same.
-    ordered = own.repartitionByRange(partitions(spark), "key", F.substring("text", 1, 64)).sortWithinPartitions("key", "text")
+    # By the text's beginning and then by row, too: many rows of one id, or of none, are spread, also where they repeat.
+    own = own.withColumn("row", F.monotonically_increasing_id())
+    ordered = own.repartitionByRange(partitions(spark), "key", F.substring("text", 1, 64), "row").sortWithinPartitions("key", "text").drop("row")
     setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(setting, "false")
     spark.conf.set(setting, "true")
     try:
-        ordered.mapInArrow(_blocks(tokenizer, end_id), _plain).write.option("compression", "zstd").parquet(plain := scratch(spark, "ids"))
+        ordered.mapInArrow(_blocks(tokenizer, end_id), _plain).write.option("compression", "snappy").parquet(plain := scratch(spark, "ids"))
     finally:
         spark.conf.set(setting, before)
     ids = spark.read.schema(_plain).parquet(plain)

@@ -115,6 +115,16 @@ def test_token_files_cut_long_documents(spark, library, monkeypatch):
         start += len(ids)
 
 
+def test_token_files_spread_repeated_rows(spark, library, tmp_path):
+    frame = spark.createDataFrame([(7, "same words again", "x")] * 900 + [(8, "other", "y")], "doc_id long, text string, key string")
+    rans_files.write_files(frame, str(tmp_path / "f"), JSON)
+    blocks = spark.read.parquet(str(tmp_path / "f" / "blocks"))
+    assert blocks.select("shard").distinct().count() == 4
+    got = rans_files.read_files(spark, str(tmp_path / "f")).orderBy("start").collect()
+    n = len(library("same words again")) + 1
+    assert [(r["doc_id"], r["start"]) for r in got] == [(7, k * n) for k in range(900)] + [(8, 900 * n)]
+
+
 def test_rans_checkpoints_and_checksums():
     r = np.random.default_rng(3)
     ids = (r.zipf(1.3, 420_000) % 50_000).astype(np.uint32)
