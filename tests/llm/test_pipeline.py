@@ -87,3 +87,62 @@ def test_odd_rows(spark, sf_dir):
     for frame in (spark.createDataFrame(rows, schema), spark.createDataFrame([], schema)):
         for _, function in C.STAGES:
             assert function(spark, frame, sf_dir).count() >= 0
+
+
+def test_whole_run_against_brute_force(spark, tmp_path):
+    """Without labels the base rules decide and the classifier keeps all, so plain Python can say what is left after every stage, and what the packed ids are."""
+    import hashlib
+    import zlib
+
+    import public_tokenizers as P
+    from test_duplicates import brute_classes, brute_removed, words
+    from test_quality import brute_base
+    from tokenizers import Tokenizer
+
+    r = random.Random(31)
+    passage, near = words(r, 70), words(r, 90)
+    texts = [words(r, r.randrange(5, 120)) for _ in range(60)]
+    texts += [words(r, 40) + " " + passage + " " + words(r, 40) for _ in range(6)]
+    texts += [near.replace(near.split()[k], "edited", 1) for k in range(8)] + [texts[30]] * 3 + ["again and again and again and so on " * 20, "", None, "\n".join([passage, words(r, 30)])]
+    rows = [(i, t, r.choice(["en", "de"]), r.choice(["a", "b"]), len(t or "")) for i, t in enumerate(texts)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(rows, schema).repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    got = C.run(spark, str(tmp_path)).collect()
+
+    kept = []
+    for i, t in enumerate(texts):
+        n, _, _, _, repeated = brute_base(t)
+        if n >= ngram_quality.MIN_WORDS and 100 * repeated <= ngram_quality.MAX_REPEATED * n:
+            kept.append((i, t))
+    classes = brute_classes([t for _, t in kept])
+    kept = [x for k, x in enumerate(kept) if classes[k] == k]
+    assert 0 < len(kept) < len(texts) - 10
+    library = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    want, cut = {}, 0
+    for (i, t), (_, removed, _, digest) in zip(kept, brute_removed([t for _, t in kept])):
+        left = t
+        if removed:
+            cut += 1
+            left = _without(t, [x for _, x in kept])
+            assert hashlib.sha256(left.encode()).hexdigest() == digest
+        want[i] = library.encode(left, add_special_tokens=False).ids + [0]
+    assert cut >= 6 and {x["doc_id"] for x in got} == want.keys()
+    for i, ids_ in want.items():
+        at = 0
+        for x in sorted((x for x in got if x["doc_id"] == i), key=lambda x: x["start"]):
+            assert (x["start"], x["doc_tokens"]) == (at, len(ids_)) and x["ids_crc32"] == zlib.crc32(np.array(ids_[at : at + x["length"]], "<u4").tobytes())
+            at += x["length"]
+        assert at == len(ids_)
+
+
+def _without(text, texts, size=200):
+    """The text without the characters of strings of this size that start more than once in all texts; plain letters."""
+    import collections
+
+    seen = collections.Counter(x[i : i + size] for x in texts for i in range(len(x) - size + 1))
+    gone = [False] * len(text)
+    for i in range(len(text) - size + 1):
+        if seen[text[i : i + size]] > 1:
+            gone[i : i + size] = [True] * size
+    return "".join(c for c, g in zip(text, gone) if not g)
