@@ -6,7 +6,9 @@ hash is met once are dropped before any text is moved. The others are grouped by
 (a sparse enhanced suffix array), a stack scan gives the intervals of the prefix tree, and in each interval the members are sorted by what stands to their left: where
 left extensions of two members agree for so long that the repeat reaches SPAN bytes, both are covered. Intervals have all occurrences as members, not just neighbours.
 
-Hot anchors of more than HOT occurrences are not gathered in one task: their windows are hashed to 128 bits and counted by grouped aggregation instead.
+Anchors of more than HOT occurrences are not gathered in one task. Equal surroundings are one there, searched as two, and the group is split by longer prefixes: where two members agree over SPAN
+bytes, a to the right of the anchor's beginning and b to its left being known, they agree over half of the rest on one side at least, so those alike in that much to the right and those alike in that
+much to the left are groups of their own, each split again while it is hot. What is hot no longer goes through the same tree; a group that is alike over SPAN bytes is covered by them as it is.
 
 Texts are UTF-8 bytes; null is the empty text. Repeated rows are copies like any others, each with an id of its own. Texts with exact copies are covered whole where
 they have SPAN bytes, and are searched once. Ties between anchors go to the leftmost. Texts of any length go through in pieces of CHUNK bytes; a text itself is one
@@ -16,6 +18,7 @@ row. Other columns are carried in a struct, so their names clash with nothing. A
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -226,21 +229,6 @@ def _repeat_groups(batches):
         yield pa.RecordBatch.from_pylist(rows, pa.schema([("group_id", pa.string()), ("length", pa.int64()), ("row_id", pa.int64()), ("start", pa.int64())]))
 
 
-def _window_hashes(batches):
-    for batch in batches:
-        place = np.asarray(batch.column(2))
-        ids, starts, codes = [], [], [[], []]
-        for row, p, span in zip(batch.column(1).to_pylist(), place.tolist(), batch.column(3).to_pylist()):
-            at, near, far = p >> 16, p >> 8 & 255, p & 255
-            for d in range(near, far + 1):
-                x = hashlib.blake2b(span[far - d : far - d + SPAN], digest_size=16).digest()
-                ids.append(row)
-                starts.append(at - d)
-                codes[0].append(int.from_bytes(x[:8], "little", signed=True))
-                codes[1].append(int.from_bytes(x[8:], "little", signed=True))
-        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (*codes, ids, starts)], ["code_a", "code_b", "row_id", "start"])
-
-
 def _cut(whole_characters: bool):
     """Merge a text's covered ranges into runs and take them out; a run may first be narrowed to the characters that lie in it whole."""
 
@@ -339,6 +327,42 @@ def _hot_groups(contexts: DataFrame) -> DataFrame:
     )
 
 
+def _split_hot(contexts: DataFrame, hot: int) -> DataFrame:
+    """(row_id, start, end) that the windows of hot anchors cover, by the tree over groups of longer and longer prefixes."""
+    near, far = F.shiftright("place", 8).bitwiseAND(F.lit(255)), F.col("place").bitwiseAND(F.lit(255))
+    held = contexts.withColumns({"near": near.cast("int"), "far": far.cast("int"), "at": F.shiftright("place", 16)})
+    held = written(held.withColumn("context", F.md5(F.concat("bytes", F.encode(F.concat_ws(" ", F.lit(""), "key", "near", "far"), "utf-8")))), "contexts")
+    alike = held.groupBy("context").agg(F.count("*").alias("n"), *(F.first(c).alias(c) for c in ("key", "near", "far", "bytes")))
+    # Two stand for all of equal surroundings: each has another that is like it.
+    nodes = alike.withColumn("copy", F.explode(F.sequence(F.lit(0), F.least(F.col("n") - 1, F.lit(1)).cast("int")))).drop("n")
+    nodes = written(nodes.withColumns({"a": F.lit(GRAM), "b": F.lit(0), "code": F.col("key")}), "nodes")
+    half = F.ceil((F.lit(SPAN) - F.col("a") - F.col("b")) / 2).cast("int")
+    own = ["context", "copy", "key", "near", "far", "bytes"]
+    ready, leaves = [], []
+    while True:
+        sizes = written(nodes.groupBy("code").agg(F.count("*").alias("n")), "sizes")
+        big = sizes.filter(F.col("n") > hot).select("code")
+        ready.append(nodes.join(big, "code", "left_anti").join(sizes.filter("n > 1").select("code"), "code", "left_semi").select(*own, "code"))
+        if big.isEmpty():
+            break
+        left = nodes.join(big, "code", "left_semi")
+        leaves.append(left.filter(F.col("a") + F.col("b") >= SPAN).select("context", "a", "b"))
+        split = left.filter(F.col("a") + F.col("b") < SPAN)
+        sides = [split.select(*own, (F.col("a") + half).alias("a"), "b"), split.select(*own, "a", (F.col("b") + half).alias("b"))]
+        fits = (F.col("a") <= SPAN - F.col("near")) & (F.col("b") <= F.col("far"))
+        children = sides[0].unionByName(sides[1]).filter(fits).dropDuplicates(["context", "copy", "a", "b"])  # two ways may lead to one prefix
+        prefix = F.substring("bytes", F.col("far") - F.col("b") + 1, F.col("a") + F.col("b"))
+        nodes = written(children.withColumn("code", F.xxhash64("key", "a", "b", prefix)), "nodes")
+    grouped = reduce(DataFrame.unionByName, ready).select(F.col("code").alias("key"), F.col("context").alias("row_id"), (F.col("near") * 256 + F.col("far")).cast("long").alias("place"), "bytes")
+    grouped = grouped.repartition(partitions(contexts.sparkSession), "key").sortWithinPartitions("key")
+    ranges = grouped.mapInArrow(_covered, "row_id string, start long, end long").withColumnRenamed("row_id", "context")
+    for x in leaves:
+        ranges = ranges.unionByName(x.select("context", (-F.col("b")).cast("long").alias("start"), F.col("a").cast("long").alias("end")))
+    ranges = written(ranges.groupBy("context").agg(F.collect_set(F.struct("start", "end")).alias("ranges")), "context_ranges")  # a context has at most SPAN ranges
+    found = held.select("context", "row_id", "at").join(ranges, "context").select("row_id", "at", F.explode("ranges").alias("x"))
+    return found.select("row_id", (F.col("at") + F.col("x.start")).alias("start"), (F.col("at") + F.col("x.end")).alias("end"))
+
+
 def _strings(batches):
     """Each string of SPAN bytes or more around an anchor within its windows, with the bytes that stand next to it there."""
     schema = pa.schema([("context", pa.string()), ("n", pa.int64()), ("key", pa.int64()), ("before", pa.int64()), ("length", pa.int64()), ("group_id", pa.string()), ("left", pa.int32()), ("right", pa.int32())])
@@ -359,9 +383,7 @@ def _spans(documents: DataFrame, key: str, text: str, hot: int, whole_characters
     cool = _contexts(own, places.filter("not hot")).repartition(partitions(own.sparkSession), "key").sortWithinPartitions("key")
     ranges = cool.mapInArrow(_covered, "row_id long, start long, end long")
     if not places.filter("hot").isEmpty():
-        windows = written(_contexts(own, places.filter("hot")).mapInArrow(_window_hashes, "code_a long, code_b long, row_id long, start long"), "windows")
-        twice = written(windows.groupBy("code_a", "code_b").agg(F.count("*").alias("n")).filter("n > 1").drop("n"), "repeated")
-        ranges = ranges.unionByName(windows.join(twice, ["code_a", "code_b"]).select("row_id", "start", (F.col("start") + SPAN).alias("end")))
+        ranges = ranges.unionByName(_split_hot(_contexts(own, places.filter("hot")), hot))
     lists = written(ranges.groupBy("row_id").agg(F.collect_list(F.struct("start", "end")).alias("ranges")), "ranges")
     struct = "array<struct<start:bigint,end:bigint>>"
     everything = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.octet_length("text").cast("long").alias("end"))).cast(struct)

@@ -71,6 +71,26 @@ def test_repeat_tree(frame, hot, monkeypatch):
     assert len(got) == frame.count() and None in got
 
 
+@pytest.mark.parametrize("hot", [2, 5, 12, 40])
+def test_hot_anchors_are_split_by_prefixes(spark, hot, monkeypatch):
+    """A passage with surroundings that are alike for longer or shorter stretches on either side, some of them equal: groups are split until none is hot, down to whole windows."""
+    store.tune(spark)
+    monkeypatch.setattr(repeat_tree.remove_repeats, "__defaults__", ("doc_id", "text", hot))
+    r = random.Random(17)
+    letters = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    core, left, right = letters(60), [letters(220) for _ in range(3)], [letters(220) for _ in range(3)]
+    texts = []
+    for _ in range(70):
+        a, b = r.choice(left), r.choice(right)
+        i, j = r.choice([0, 30, 90, 150, 220]), r.choice([0, 20, 60, 110, 220])
+        texts.append(letters(r.randrange(40)) + (a[len(a) - i :] if i else "") + core + b[:j] + letters(r.randrange(200)))
+    texts += texts[:6] + [left[0] + core + right[0]] * 5 + [core + right[1] + "é" * 100]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {x["doc_id"]: tuple(x)[1:] for x in repeat_tree.digest_query(frame).collect()}
+    want = brute_removed(texts)
+    assert sum(x[1] for x in want) > 1000 and [got[i] for i in range(len(texts))] == want
+
+
 def test_repeat_groups_have_all_occurrences(spark):
     r = random.Random(9)
     a, b = words(r, 60), words(r, 50)
