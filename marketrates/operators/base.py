@@ -138,6 +138,17 @@ def rate_modifiers(rates: DataFrame, modifiers: DataFrame, on: str = "standard_c
     return own.groupBy(rate).agg(modifier_signature(F.col("match_modifier_code")).alias("modifier_signature"), F.count_distinct("match_modifier_code").alias("modifier_count"))
 
 
+def metadata_children(tables: dict[str, DataFrame], broken: dict[str, DataFrame], keys: dict[str, list[str]], parents: dict[str, str] | None = None) -> dict[str, DataFrame]:
+    """Locations, identifiers, provisions, modifiers and their payers as base tables: rows that a rule excludes are gone, and so are rows whose parent is.
+
+    broken: the violations of a table, where it has rules; keys: what identifies a row there; parents: child -> parent, joined on the parent's keys.
+    """
+    kept = {name: scope.accepted(t, rejected_keys(broken[name], keys[name]), keys[name]) if name in broken else t for name, t in tables.items()}
+    for child, parent in (parents or {}).items():
+        kept[child] = kept[child].join(kept[parent].select(*keys[parent]).distinct(), keys[parent], "left_semi")
+    return kept
+
+
 def payer_rates(staged: dict[str, DataFrame], rejected: dict[str, DataFrame], charges: DataFrame) -> DataFrame:
     """Accepted rates of accepted charges, of both formats."""
     own = _left(staged, rejected, "rates").join(charges.select(*KEYS["charges"], "charge_item_id", "standard_charge_id"), KEYS["charges"])

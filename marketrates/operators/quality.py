@@ -60,6 +60,14 @@ def reconcile(summary: DataFrame, again: DataFrame, keys: list[str], tolerances:
     return out.filter((F.col("side") != "both") | (F.size("differing") > 0))
 
 
+def sparsity(frame: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
+    """by, column_name, row_count, present_count, present_rate: how often each column is filled, from one grouping."""
+    counts = frame.groupBy(*by).agg(F.count("*").alias("row_count"), *[F.count(c).alias(f"_{c}") for c in columns])
+    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"_{c}").alias("present_count")) for c in columns])
+    rate = F.round(F.try_divide(F.col("present_count"), F.col("row_count")), 6).alias("present_rate")
+    return counts.select(*by, "row_count", F.inline(cells)).select(*by, "column_name", "row_count", "present_count", rate)
+
+
 def not_monotone(frame: DataFrame, group: list[str], order: str, value: str) -> DataFrame:
     """Rows whose value exceeds that of the row before in their group: stages of a funnel only lose."""
     before = F.lag(value).over(Window.partitionBy(*group).orderBy(order))

@@ -308,9 +308,7 @@ def _(m):
     return own.select("hospital_id", "service_context_key", "amount_kind", "state", "hospital_type", "health_system", "hospital_amount", *stats)
 
 
-@query(
-    "payer_benchmarks",
-    """, hp AS (SELECT payer_id, hospital_id, service_context_key, min(service_code_key) AS service_code_key, min(comparison_methodology) AS comparison_methodology, count(*) AS contract_count,
+_PAYER_SQL = """, hp AS (SELECT payer_id, hospital_id, service_context_key, min(service_code_key) AS service_code_key, min(comparison_methodology) AS comparison_methodology, count(*) AS contract_count,
          count(contract_amount) AS valid_contract_count, count(*) FILTER (WHERE has_multiple_amounts) AS ambiguous_contract_count, median(cast(contract_amount AS DOUBLE)) AS negotiated_dollar
          FROM reps WHERE payer_id <> '<unmatched>' GROUP BY payer_id, hospital_id, service_context_key),
        ctx AS (SELECT DISTINCT service_context_key, service_code_key, setting, billing_class, modifier_signature, drug_unit FROM spine),
@@ -325,11 +323,15 @@ def _(m):
          CASE WHEN negotiated_dollar IS NULL THEN 'ambiguous_negotiated_context' WHEN payer_hospital_count < 3 THEN 'insufficient_denominator' WHEN (negotiated_dollar - med) / nullif(med, 0) <= -0.25 THEN 'well_below_payer_market'
            WHEN (negotiated_dollar - med) / nullif(med, 0) <= -0.1 THEN 'below_payer_market' WHEN (negotiated_dollar - med) / nullif(med, 0) >= 0.25 THEN 'well_above_payer_market'
            WHEN (negotiated_dollar - med) / nullif(med, 0) >= 0.1 THEN 'above_payer_market' ELSE 'near_payer_market' END AS contract_position,
-         CASE WHEN cash_status <> 'comparable' THEN cash_status WHEN negotiated_dollar < cash_amount THEN 'below_cash' WHEN negotiated_dollar > cash_amount THEN 'above_cash' ELSE 'equal_to_cash' END AS cash_position FROM w""",
-    model=True,
-    keep=MARKET,
-)
+         CASE WHEN cash_status <> 'comparable' THEN cash_status WHEN negotiated_dollar < cash_amount THEN 'below_cash' WHEN negotiated_dollar > cash_amount THEN 'above_cash' ELSE 'equal_to_cash' END AS cash_position FROM w"""
+
+
+@query("payer_benchmarks", _PAYER_SQL, model=True, keep=MARKET)
 def _(m):
+    return _payer_benchmarks(m)
+
+
+def _payer_benchmarks(m):
     context = ["service_code_key", "setting", "billing_class", "modifier_signature", "drug_unit"]
     contexts = m.ranked.select("service_context_key", *context).distinct()
     cash = m.amounts.filter((F.col("amount_kind") == "discounted_cash") & F.col("hospital_amount").isNotNull()).join(contexts, "service_context_key")
@@ -543,7 +545,7 @@ def _(m):
 @query(
     "featured_top30",
     _more(_SUMMARY, "SELECT row_number() OVER (ORDER BY hospital_count DESC, observation_count DESC, service_context_key) AS place, service_context_key, hospital_count, observation_count FROM g WHERE hospital_count >= 3 QUALIFY place <= 30"),
-    model=True, keep=("snapshots",),
+    model=True, keep=RANKED,
 )
 def _(m):
     order = [F.col("hospital_count").desc(), F.col("observation_count").desc(), F.col("service_context_key")]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import audit, checks, market, published, scalar  # noqa: F401  they register theirs
+from . import audit, checks, market, presentation, published, scalar  # noqa: F401  they register theirs
 from .registry import Query, _oracles, _queries
 
 

@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def folder(spark: SparkSession) -> str:
-    """The application's folder in the one named by spark.checkpoint.dir; below /tmp/checkpoints only where that is unset (tests, local runs)."""
+    """The application's folder in the one named by spark.checkpoint.dir; below /tmp/checkpoints where that is unset and all runs on one machine. On a cluster it must be named, as a machine's own
+    folder is not shared."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("name a shared folder in spark.checkpoint.dir")
     return f"{(named or '/tmp/checkpoints').rstrip('/')}/{spark.sparkContext.applicationId}"
 
 
