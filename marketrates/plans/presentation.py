@@ -176,3 +176,28 @@ def _(m):
     missing = ingest.snapshots_of(m.spark, f"{path}-none", "n_nationkey long, note string")
     own = there.join(missing.select("n_nationkey", "note"), "n_nationkey", "left")
     return own.groupBy(F.col("snapshot_id").cast("long").alias("n_regionkey")).agg(F.count("*").alias("nations"), F.count("note").alias("notes"))
+
+
+@query(
+    "json_item_tables",
+    """WITH l AS (SELECT l_orderkey AS k, l_quantity AS q, l_linenumber AS n FROM lineitem WHERE l_orderkey % 11 <> 0), o AS (SELECT k, count(*) AS n FROM l GROUP BY k)
+       SELECT k, 'standard_charge_info' AS table_name, 1 AS n FROM o UNION ALL SELECT k, 'code_information', 1 + k % 2 FROM o UNION ALL SELECT k, 'drug_information', 1 FROM o WHERE k % 3 = 0 UNION ALL SELECT k, 'standard_charges', n FROM o
+       UNION ALL SELECT k, 'standard_charge_modifiers', cast(sum(CASE WHEN q > 40 THEN 2 WHEN q > 25 THEN 1 END) AS BIGINT) FROM l WHERE q > 25 GROUP BY k UNION ALL SELECT k, 'payers_information', count(*) FROM l WHERE n <> 2 GROUP BY k""",
+)
+def _(m):
+    """Item records with codes, drugs, charges, their modifiers and payers as JSON texts, flattened into six tables; records that do not parse are set aside."""
+    k, q, n = F.col("l_orderkey"), F.col("l_quantity"), F.col("l_linenumber")
+    modifiers = F.filter(F.array(F.when(q > 25, "26"), F.when(q > 40, "TC")), lambda x: x.isNotNull())
+    payers = F.when(n != 2, F.array(F.struct(F.lit("p").alias("payer_name"), F.lit("q").alias("plan_name"), F.col("l_extendedprice").cast("string").alias("standard_charge_dollar"))))
+    charge = F.struct(n.alias("place"), F.struct(F.col("l_extendedprice").cast("string").alias("gross_charge"), F.lit("both").alias("setting"), modifiers.alias("modifier_code"), payers.alias("payers_information")).alias("charge"))
+    own = m.table("lineitem").select("l_orderkey", charge.alias("x")).groupBy("l_orderkey").agg(F.collect_list("x").alias("charges"))
+    code = lambda kind: F.struct(F.lit("1").alias("code"), F.lit(kind).alias("type"))
+    record = F.to_json(F.struct(
+        F.lit("d").alias("description"), F.when(k % 2 == 0, F.array(code("CPT"))).otherwise(F.array(code("CPT"), code("RC"))).alias("code_information"),
+        F.when(k % 3 == 0, F.struct(F.lit("1").alias("unit"), F.lit("ML").alias("type"))).alias("drug_information"), F.transform("charges", lambda x: x["charge"]).alias("standard_charges"),
+    ))
+    raw = own.select(k.alias("item_ordinal"), F.lit("s").alias("snapshot_id"), F.when(k % 11 == 0, F.left(record, F.length(record) - 3)).otherwise(record).alias("raw"))
+    good, _ = ingest.split_json(raw, "raw", ingest.ITEM)
+    place = F.split_part("key", F.lit("_"), F.lit(2)).cast("long").alias("k")
+    tables = {n: t.withColumnRenamed("charge_item_id" if "charge_item_id" in t.columns else "standard_charge_id", "key").groupBy(place).agg(F.count("*").alias("n")) for n, t in ingest.flatten_items(good).items()}
+    return reduce(lambda a, b: a.unionByName(b), [t.withColumn("table_name", F.lit(n)) for n, t in tables.items()])

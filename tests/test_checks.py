@@ -81,3 +81,24 @@ def test_rules_without_a_break_stay(spark):
     current = spark.createDataFrame([("s1",), ("s2",)], "snapshot_id string")
     got = sorted(tuple(x) for x in rules.current_summary(rules.evaluate(frame, own, ["snapshot_id", "hospital_id"]), own, current).drop("severity", "disposition").collect())
     assert got == [("r1", "g", 3, 2, 1, 3), ("r2", "g", 1, 1, 1, 0), ("r3", "g", 0, 0, 0, 0)]
+
+
+def test_metadata_children(spark):
+    from marketrates.operators import base
+
+    modifiers = spark.createDataFrame([("m1", None), ("m2", "26"), ("m3", "TC")], "modifier_code_id string, code string")
+    payers = spark.createDataFrame([("m1", 0, "x"), ("m2", 0, None), ("m2", 1, "y"), ("m3", 0, "z")], "modifier_code_id string, ordinal int, name string")
+    places = spark.createDataFrame([("s",)], "snapshot_id string")
+    keys = {"modifiers": ["modifier_code_id"], "payers": ["modifier_code_id", "ordinal"]}
+    missing = lambda c: [rules.Rule("missing", "g", c, F.col(c).isNull(), F.col(c))]
+    broken = {"modifiers": rules.evaluate(modifiers, missing("code"), keys["modifiers"]), "payers": rules.evaluate(payers, missing("name"), keys["payers"])}
+    kept = base.metadata_children({"modifiers": modifiers, "payers": payers, "places": places}, broken, keys, {"payers": "modifiers"})
+    assert sorted(x[0] for x in kept["modifiers"].collect()) == ["m2", "m3"] and kept["places"].count() == 1
+    assert sorted(x["name"] for x in kept["payers"].collect()) == ["y", "z"]
+
+
+def test_sparsity(spark):
+    frame = spark.createDataFrame([("g", 1, None), ("g", None, None), ("h", 2, "x")], "g string, a int, b string")
+    got = sorted(map(tuple, quality.sparsity(frame, ["g"], ["a", "b"]).collect()))
+    assert got == [("g", "a", 2, 1, 0.5), ("g", "b", 2, 0, 0.0), ("h", "a", 1, 1, 1.0), ("h", "b", 1, 1, 1.0)]
+    assert quality.sparsity(frame.filter("false"), ["g"], ["a"]).count() == 0
