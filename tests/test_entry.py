@@ -39,3 +39,20 @@ def test_agrees_with_sql(spark, sf_dir, name):
 def test_imports_without_training_subpackage():
     code = f"import sys; sys.path.insert(0, {str(TOP)!r}); sys.modules['marketrates.llm'] = None; sys.modules['corpus_pipeline'] = None; import __spark_entry__ as e; assert not any(k.startswith('op') for k in e.queries()) and e.queries()"
     subprocess.run([sys.executable, "-c", code], check=True)
+
+
+def test_rest_works_without_both_folders(tmp_path):
+    """A copy without the training subpackage, its tests and the pipeline: all other tests are collected, and a query runs."""
+    import shutil
+
+    gone = {str(TOP / "marketrates" / "llm"), str(TOP / "tests" / "llm"), str(TOP / "corpus_pipeline.py"), str(TOP / ".git")}
+    ignore = lambda folder, names: [n for n in names if f"{folder}/{n}" in gone or n == "__pycache__"]
+    copy = shutil.copytree(TOP, tmp_path / "copy", ignore=ignore)
+    collected = subprocess.run([sys.executable, "-m", "pytest", "--collect-only", "-q", "tests"], cwd=copy, capture_output=True, text=True)
+    assert collected.returncode == 0 and "tests/test_operators.py" in collected.stdout and "tests/llm" not in collected.stdout
+    code = (
+        "import sys; sys.path.insert(0, '.'); import __spark_entry__ as e; from pyspark.sql import SparkSession; assert set(e.queries()) == set(e.oracle_sql());"
+        "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').config('spark.sql.shuffle.partitions', '2').config('spark.checkpoint.dir', sys.argv[1]).getOrCreate();"
+        "assert e.queries()['rule_violations'](s, '/root/testdata/sf0.001').count() > 0"
+    )
+    subprocess.run([sys.executable, "-c", code, str(tmp_path / "tables")], cwd=copy, check=True, capture_output=True)
