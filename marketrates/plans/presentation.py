@@ -167,7 +167,7 @@ def _(m):
     return reshape.unpivot_slots(own.toDF(*[c.lower() for c in own.columns]), slots, ["p_partkey"]).select("p_partkey", "code_ordinal", "code", "code_type")
 
 
-@query("optional_table", "SELECT n_regionkey, count(*) AS nations, 0 AS notes FROM nation GROUP BY n_regionkey")
+@query("missing_table", "SELECT n_regionkey, count(*) AS nations, 0 AS notes FROM nation GROUP BY n_regionkey")
 def _(m):
     """A table of snapshots that was never loaded is empty and typed, so what joins it still runs."""
     path = f"{shared.folder(m.spark)}/optional-{shared.uuid.uuid4().hex}"
