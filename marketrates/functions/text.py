@@ -9,11 +9,21 @@ from pyspark.sql import functions as F
 NULL_TOKENS = ["", "null", "none", "n/a", "na", "not applicable", "not available", "unknown", "-"]
 
 
+def _nothing(space: str, between: str) -> str:
+    """A pattern of the texts that stand for nothing, in any case. U+212A is the one sign beyond ASCII whose lower case is an ASCII letter, k."""
+    return rf"(?i)\A{space}*(?:" + "|".join(t.replace(" ", between).replace("k", "[k\u212a]") for t in NULL_TOKENS) + rf"){space}*\z"
+
+
+def stated(x: Column) -> Column:
+    """Whether a text stands for something: clean_text(x) is not null, told by one pattern without making the text."""
+    return F.coalesce(~x.cast("string").rlike(_nothing(r"\s", r"\s+")), F.lit(False))
+
+
 def clean_text(x: Column, lowercase: bool = True, collapse_ws: bool = True) -> Column:
     """Trimmed text with runs of white space made one space, null where it stands for nothing, in lower case if asked for."""
-    text = F.trim(F.regexp_replace(x.cast("string"), r"\s+", " ") if collapse_ws else x.cast("string"))
-    kept = F.when(~F.lower(text).isin(NULL_TOKENS), text)
-    return F.lower(kept) if lowercase else kept
+    x = x.cast("string")
+    text = F.trim(F.regexp_replace(x, r"\s+", " ") if collapse_ws else x)
+    return F.when(~x.rlike(_nothing(r"\s", r"\s+") if collapse_ws else _nothing(" ", " ")), F.lower(text) if lowercase else text)
 
 
 def clean_display_text(x: Column) -> Column:

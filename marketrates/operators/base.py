@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.casts import safe_decimal
 from ..functions.keys import modifier_signature, surrogate_key
-from ..functions.text import clean_display_text, clean_text
+from ..functions.text import clean_display_text, clean_text, stated
 from . import published_rules, scope
 from .reshape import union_all
 from .rules import Rule, evaluate, rejected_keys
@@ -26,10 +26,6 @@ KEYS = {"items": ["format_family", "snapshot_id", "source_id"], "codes": ["forma
 KEYS |= {"charges": ["format_family", "snapshot_id", "source_id", "charge_ordinal"], "rates": ["format_family", "snapshot_id", "source_id", "charge_ordinal", "payer_ordinal"]}
 
 
-def _stated(x: Column) -> Column:
-    return clean_text(x).isNotNull()
-
-
 def _is_ndc(code: Column) -> Column:
     return F.coalesce(clean_text(code["type"]) == "ndc", F.lit(False))
 
@@ -41,9 +37,9 @@ def stage_json(items: DataFrame, record: str = "record", item_ordinal: str = "it
     own = items.select(F.lit("json").alias("format_family"), "snapshot_id", "hospital_id", "schema_family", F.concat_ws("_", "snapshot_id", F.col(item_ordinal).cast("string")).alias("source_id"), r.alias("r"), codes.alias("codes"), charges.alias("charges"))
     head = ["format_family", "snapshot_id", "hospital_id", "schema_family", "source_id"]
     drug = F.col("r.drug_information")
-    charge = own.select(*head, F.posexplode("charges").alias("charge_ordinal", "c"))
+    charge = own.select(*head, F.posexplode_outer("charges").alias("charge_ordinal", "c")).filter("charge_ordinal is not null")
     payers = F.coalesce(F.col("c.payers_information"), F.array())
-    any_ = lambda name: F.exists(payers, lambda p: _stated(p[name])).alias(f"has_payer_{name.removeprefix('standard_charge_')}")
+    any_ = lambda name: F.exists(payers, lambda p: stated(p[name])).alias(f"has_payer_{name.removeprefix('standard_charge_')}")
     named = lambda p, n: p[{"tenth_percentile": "10th_percentile", "ninetieth_percentile": "90th_percentile"}.get(n, n)].alias(n)
     return {
         "items": own.select(
@@ -65,17 +61,17 @@ def stage_csv(rows: DataFrame, slots: list[tuple[str, str]]) -> dict[str, DataFr
     A row is an item's, a charge's and, where it names a payer or states a rate, a rate's.
     """
     cells = [F.struct(F.lit(i).alias("code_ordinal"), F.col(c).alias("code"), F.col(t).alias("type")) for i, (c, t) in enumerate(slots)]
-    own = rows.withColumns({"format_family": F.lit("csv"), "source_id": F.col("row_ordinal").cast("string"), "codes": F.filter(F.array(*cells), lambda x: _stated(x["code"]) | _stated(x["type"]))})
+    own = rows.withColumns({"format_family": F.lit("csv"), "source_id": F.col("row_ordinal").cast("string"), "codes": F.filter(F.array(*cells), lambda x: stated(x["code"]) | stated(x["type"]))})
     head = ["format_family", "snapshot_id", "hospital_id", "schema_family", "source_id"]
-    drug = _stated(F.col("drug_unit_of_measurement")) | _stated(F.col("drug_type_of_measurement"))
+    drug = stated(F.col("drug_unit_of_measurement")) | stated(F.col("drug_type_of_measurement"))
     zero = F.lit(0)
     charge = own.withColumns({"charge_ordinal": zero, "payer_ordinal": zero})
-    any_ = lambda name: _stated(F.col(name)).alias(f"has_payer_{name.removeprefix('standard_charge_')}")
-    text = F.greatest(*[_stated(F.col(n)) for n in ("payer_name", "plan_name", "methodology", "standard_charge_dollar", "standard_charge_percentage", "standard_charge_algorithm")])
+    any_ = lambda name: stated(F.col(name)).alias(f"has_payer_{name.removeprefix('standard_charge_')}")
+    text = F.exists(F.array("payer_name", "plan_name", "methodology", "standard_charge_dollar", "standard_charge_percentage", "standard_charge_algorithm"), stated)
     return {
         "items": own.select(
             *head, "description", F.col("drug_unit_of_measurement").alias("drug_unit"), F.col("drug_type_of_measurement").alias("drug_unit_type"), F.size("codes").alias("code_count"), F.lit(1).alias("charge_count"),
-            F.exists("codes", _is_ndc).alias("has_ndc"), drug.alias("has_drug"), F.size(F.filter("codes", lambda x: _stated(x["code"]) != _stated(x["type"]))).alias("unpaired_codes"), F.col("schema_family").alias("record_family"),
+            F.exists("codes", _is_ndc).alias("has_ndc"), drug.alias("has_drug"), F.size(F.filter("codes", lambda x: stated(x["code"]) != stated(x["type"]))).alias("unpaired_codes"), F.col("schema_family").alias("record_family"),
         ),
         "codes": own.select(*head, F.explode("codes").alias("x")).select(*head, "x.*"),
         "drugs": own.filter(drug).select(*head, F.col("drug_unit_of_measurement").alias("unit"), F.col("drug_type_of_measurement").alias("type")),

@@ -6,12 +6,13 @@ Columns are the texts as published; a text that stands for nothing counts as abs
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions.semantics import METHODOLOGIES, WHOLE_COUNT
-from ..functions.text import clean_text
-from .rules import Rule
+from .rules import Rule, cleaned
 
 #: Fixed values, in the published order: accepted settings, classes, measures, methods, code types by family, states.
 SETTINGS = ["inpatient", "outpatient", "both"]
@@ -24,11 +25,11 @@ COUNT = "^(0|1 through 10)$|" + WHOLE_COUNT
 
 
 def _has(name: str) -> Column:
-    return clean_text(F.col(name)).isNotNull()
+    return cleaned(name).isNotNull()
 
 
 def _text(name: str) -> Column:
-    return clean_text(F.col(name))
+    return cleaned(name)
 
 
 def _number(name: str) -> Column:
@@ -39,6 +40,10 @@ def _is(column: str, value: str) -> Column:
     return F.coalesce(F.col(column) == value, F.lit(False))
 
 
+def _reading(texts: str, rules: list[Rule]) -> list[Rule]:
+    return [replace(r, texts=tuple(texts.split())) for r in rules]
+
+
 def _numbers(grain: str, prefix: str, names: list[str]) -> list[Rule]:
     out = []
     for n in names:
@@ -70,56 +75,56 @@ def header(attestation: str | None = None) -> list[Rule]:
     ]
     if attestation:
         out.append(r("attestation_text_exact", "attestation", said.isNotNull() & (F.trim(said) != attestation), "text differs"))
-    return out
+    return _reading("attestation confirm_attestation attester_name affirmation confirm_affirmation reported_state reported_hospital_name", out)
 
 
 def charge_item() -> list[Rule]:
     """Items with what is known of their children: code_count, charge_count, has_ndc, has_drug, unpaired_codes, record_family."""
     r = lambda rule, column, broken, severity="error", disposition="exclude_entity": Rule(rule, "charge_item", column, broken, F.col(column), severity, disposition)
     json, csv3 = _is("format_family", "json"), _is("format_family", "csv") & _is("schema_family", "3.0")
-    return [
+    return _reading("description", [
         r("charge_item_description_non_empty", "description", ~_has("description")),
         r("charge_item_required_arrays_non_empty", "code_count", json & (F.col("code_count") == 0)),
         r("charge_item_required_arrays_non_empty", "charge_count", json & (F.col("charge_count") == 0)),
         r("ndc_requires_drug_information", "has_drug", F.col("has_ndc") & ~F.col("has_drug") & F.col("schema_family").isin("2.2", "3.0")),
         r("csv_code_pair_required", "unpaired_codes", csv3 & ((F.col("unpaired_codes") > 0) | (F.col("code_count") == 0))),
         r("schema_version_header_record_mismatch", "record_family", json & (F.col("record_family") != F.col("schema_family")), "warn", "report_only"),
-    ]
+    ])
 
 
 def code() -> list[Rule]:
     r = lambda rule, column, broken: Rule(rule, "code", column, broken, F.col(column))
     kind = _text("type")
-    return [
+    return _reading("code type", [
         r("code_information_required_shape", "code", F.col("code").isNull() | F.col("type").isNull()),
         r("code_text_non_empty", "code", (F.col("code").isNotNull() & ~_has("code")) | (F.col("type").isNotNull() & ~_has("type"))),
         r("code_type_allowed_values", "type", kind.isNotNull() & ~kind.isin(CODE_TYPES)),
         r("code_type_family_specific_enum", "type", kind.isin(CODE_TYPES_SINCE_3) & F.col("schema_family").isin("2.1", "2.2")),
-    ]
+    ])
 
 
 def drug() -> list[Rule]:
     r = lambda rule, column, broken: Rule(rule, "drug", column, broken, F.col(column))
-    return [
+    return _reading("unit type", [
         r("drug_information_required_shape_when_present", "unit", ~_has("unit") | ~_has("type")),
         r("drug_unit_numeric_parseable", "unit", _is("schema_family", "3.0") & _has("unit") & _number("unit").isNull()),
         r("drug_unit_positive", "unit", _number("unit") <= 0),
         r("drug_type_allowed_values", "type", _has("type") & ~_text("type").isin(DRUG_TYPES)),
-    ]
+    ])
 
 
 def standard_charge() -> list[Rule]:
     """Charges with what their payers state: has_payer_dollar, has_payer_percentage, has_payer_algorithm."""
     r = lambda rule, column, broken, severity="error", disposition="exclude_entity": Rule(rule, "standard_charge", column, broken, F.col(column), severity, disposition)
     payer = F.col("has_payer_dollar") | F.col("has_payer_percentage") | F.col("has_payer_algorithm")
-    return [
+    return _reading("minimum maximum gross_charge discounted_cash setting billing_class", [
         *_numbers("standard_charge", "standard_charge", ["minimum", "maximum", "gross_charge", "discounted_cash"]),
         r("standard_charge_required_setting_shape", "setting", ~_has("setting")),
         r("setting_allowed_values", "setting", _has("setting") & ~_text("setting").isin(SETTINGS)),
         r("billing_class_allowed_values", "billing_class", _has("billing_class") & ~_text("billing_class").isin(BILLING_CLASSES), "warn", "report_only"),
         r("charge_requires_any_standard_charge_value", "gross_charge", ~_has("gross_charge") & ~_has("discounted_cash") & ~payer),
         r("payer_dollar_requires_minimum_and_maximum", "minimum", F.col("has_payer_dollar") & (~_has("minimum") | ~_has("maximum"))),
-    ]
+    ])
 
 
 def payer_rate() -> list[Rule]:
@@ -129,7 +134,7 @@ def payer_rate() -> list[Rule]:
     indirect, count = _has(percentage) | _has(algorithm), _text("count")
     priced, named = _has(dollar) | indirect, _has("payer_name") & _has("plan_name") & _has("methodology")
     noted = _has("additional_payer_notes") | _has("additional_generic_notes")
-    return [
+    return _reading("payer_name plan_name methodology standard_charge_dollar standard_charge_percentage standard_charge_algorithm estimated_amount median_amount tenth_percentile ninetieth_percentile count additional_payer_notes additional_generic_notes", [
         *_numbers("payer_rate", "payer", [dollar, percentage, "estimated_amount", "median_amount", "tenth_percentile", "ninetieth_percentile"]),
         r("payer_required_identity_and_methodology", "payer_name", json & ~named),
         r("csv_payer_identity_required_with_rate", "payer_name", csv3 & priced & ~named),
@@ -143,22 +148,22 @@ def payer_rate() -> list[Rule]:
         r("v3_count_allowed_format", "count", v3 & count.isNotNull() & ~count.rlike(COUNT)),
         r("v3_count_nonzero_requires_allowed_amounts", "median_amount", v3 & indirect & (count != "0") & ~(_has("median_amount") & _has("tenth_percentile") & _has("ninetieth_percentile"))),
         r("count_zero_requires_explanation", "count", v3 & indirect & (count == "0") & ~noted),
-    ]
+    ])
 
 
 def modifier(strict: bool = False) -> list[Rule]:
     """Modifier definitions with payer_count, and CSV rows of modifiers only with has_amount_or_note. strict: either side missing breaks the row rule, not only both."""
     r = lambda rule, column, broken: Rule(rule, "modifier", column, broken, F.col(column))
     described, filled = _has("description"), F.col("has_amount_or_note")
-    return [
+    return _reading("code description setting", [
         r("modifier_required_shape", "code", _is("format_family", "json") & (~_has("code") | ~described | (F.col("payer_count") == 0))),
         r("modifier_setting_allowed_values", "setting", _is("format_family", "json") & _has("setting") & ~_text("setting").isin(SETTINGS)),
         r("csv_modifier_without_item_minimum_information", "code", _is("format_family", "csv") & _is("schema_family", "3.0") & _has("code") & ((~described | ~filled) if strict else (~described & ~filled))),
-    ]
+    ])
 
 
 def modifier_payer() -> list[Rule]:
-    return [Rule("modifier_payer_required_shape", "modifier_payer", "payer_name", ~_has("payer_name") | ~_has("plan_name") | ~_has("description"), F.col("payer_name"))]
+    return _reading("payer_name plan_name description", [Rule("modifier_payer_required_shape", "modifier_payer", "payer_name", ~_has("payer_name") | ~_has("plan_name") | ~_has("description"), F.col("payer_name"))])
 
 
 def npi() -> list[Rule]:
@@ -166,7 +171,7 @@ def npi() -> list[Rule]:
 
 
 def provision() -> list[Rule]:
-    return [Rule("general_contract_provisions_required_shape", "provision", "provisions", ~_has("provisions"), F.col("provisions"))]
+    return _reading("provisions", [Rule("general_contract_provisions_required_shape", "provision", "provisions", ~_has("provisions"), F.col("provisions"))])
 
 
 def structural() -> list[Rule]:

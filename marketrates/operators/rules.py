@@ -10,12 +10,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import clean_text
 from .quantiles import exact_quantiles
 
 
 @dataclass(frozen=True)
 class Rule:
-    """broken: when the row breaks the rule; raw: what was published; excludes: whether the row's entity is rejected."""
+    """broken: when the row breaks the rule; raw: what was published; excludes: whether the row's entity is rejected. texts: columns that it reads cleaned, by cleaned()."""
 
     rule_id: str
     grain: str
@@ -25,10 +26,19 @@ class Rule:
     severity: str = "error"
     disposition: str = "exclude_entity"
     message: str = ""
+    texts: tuple[str, ...] = ()
+
+
+def cleaned(name: str) -> Column:
+    """A column's cleaned text, as evaluate computes it once for all rules that name it among their texts."""
+    return F.col(f"_clean_{name}")
 
 
 def evaluate(frame: DataFrame, rules: list[Rule], keys: list[str]) -> DataFrame:
-    """keys, rule_id, grain, column_name, raw_value, severity, disposition, message, excludes for each break."""
+    """keys, rule_id, grain, column_name, raw_value, severity, disposition, message, excludes for each break.
+
+    Texts are cleaned once a row, by one expression over their array; rules read the cleaned ones. An outer explode has no filter inferred that computes the tests again.
+    """
     hits = [
         F.when(
             F.coalesce(r.broken, F.lit(False)),
@@ -39,7 +49,12 @@ def evaluate(frame: DataFrame, rules: list[Rule], keys: list[str]) -> DataFrame:
         )
         for r in rules
     ]
-    return frame.select(*keys, F.explode(F.filter(F.array(*hits), lambda h: h.isNotNull())).alias("hit")).select(*keys, "hit.*")
+    texts = list(dict.fromkeys(n for r in rules for n in r.texts))
+    if texts:
+        frame = frame.withColumn("_clean", F.transform(F.array(*[F.col(n).cast("string") for n in texts]), lambda x: clean_text(x)))
+        frame = frame.withColumns({f"_clean_{n}": F.col("_clean")[i] for i, n in enumerate(texts)})
+    found = frame.select(*keys, F.explode_outer(F.filter(F.array(*hits), lambda h: h.isNotNull())).alias("hit"))
+    return found.filter("hit is not null").select(*keys, "hit.*")
 
 
 def rejected_keys(violations: DataFrame, keys: list[str]) -> DataFrame:

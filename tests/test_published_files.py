@@ -91,3 +91,24 @@ def test_replace_may_read_what_it_replaces(spark, tmp_path):
 def test_written_tables_can_be_cleared(spark):
     own = shared.written(spark.range(3), "numbers")
     assert own.count() == 3 and shared.clear(spark)
+
+
+def test_a_quick_sign_precedes_every_container_found(spark):
+    """Records that the full pattern sets aside all show the quick sign; plain records do not, so the slow pattern is not run on them."""
+    from marketrates.sources.ingest import ITEM, _container_pattern, _odd_bracket
+
+    plain = ['{"description":"a","code_information":[{"code":"1","type":"CPT"},{"code":"2"}],"drug_information":{"unit":"1"},"standard_charges":[{"payers_information":[{"count":"1"}]}]}', "{}"]
+    wrong = ['{"description":{"x":1}}', '{"description" : [1]}', '{"standard_charges":[{"modifier_code":["a",{"b":1}]}]}', '{"standard_charges":[{"modifier_code": [["b"]]}]}', '{"code_information":[{"code":[{"x":1}]}]}', '{"drug_information":{"unit":\n{"x":1}}}']
+    own = spark.createDataFrame([(x,) for x in plain + wrong], "raw string").select("raw", F.col("raw").rlike(_container_pattern(ITEM)).alias("full"), F.col("raw").rlike(_odd_bracket(ITEM)).alias("quick"))
+    got = {r["raw"]: (r["full"], r["quick"]) for r in own.collect()}
+    assert all(got[x] == (False, False) for x in plain) and all(got[x] == (True, True) for x in wrong)
+
+
+def test_a_record_is_parsed_once_and_texts_cleaned_once(spark):
+    from marketrates.operators import base
+    from marketrates.sources.ingest import ITEM, split_json
+
+    items = spark.createDataFrame([("s", "h", "3.0", 1, "{}")], "snapshot_id string, hospital_id string, schema_family string, item_ordinal int, raw string")
+    broken = base.violations(base.stage_json(split_json(items, "raw", ITEM)[0]), "rates")
+    plan = broken._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1 and plan.count("regexp_replace(") <= 1
