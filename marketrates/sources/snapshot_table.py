@@ -1,7 +1,8 @@
 """A table of snapshots whose changes are commits: readers see the whole of one commit or of another, never what lies between.
 
-root/data/version=<v>/<column>=<snapshot>/ holds Parquet files; a version is what one change wrote. root/commits/<number>.json names, for each snapshot that is there, its version and
-rows. A change writes a version aside, counts what was written, and then renames one small file to the next number, which fails if another writer took that number: the change is then made
+root/data/version=<v>/ holds Parquet files in order of their snapshots; a version is what one change wrote. There are as many files as the rows need, not one for each snapshot, of which there
+may be hundreds of thousands; the files' statistics tell which hold a snapshot. root/commits/<number>.json names, for each snapshot that is there, its version and rows, and for each version the
+snapshots that have gone from it. A change writes a version aside, counts what was written, and then renames one small file to the next number, which fails if another writer took that number: the change is then made
 again on top of that one's commit. Nothing is moved or deleted before, so a crash at any step leaves the table as it was, with files that no commit names; `vacuum` removes them and those
 that only old commits name. A frame that was read keeps its commit's files until then.
 
@@ -13,11 +14,14 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 Entries = dict[str, dict]
+#: Snapshots that a filter names; more are joined.
+NAMED = 1000
 
 
 class Conflict(Exception):
@@ -50,19 +54,21 @@ class SnapshotTable:
             return []
         return sorted(int(x.getPath().getName().removesuffix(".json")) for x in self.system.listStatus(folder) if x.getPath().getName().endswith(".json"))
 
-    def entries(self, at: int | None = None) -> Entries:
-        """Snapshot -> version and rows, of the commit `at` or the last one; nothing before the first."""
-        known = self.commits()
-        if at is None:
-            at = known[-1] if known else 0
+    def _record(self, at: int) -> dict:
         if at == 0:
-            return {}
+            return {"snapshots": {}, "gone": {}}
         stream = self.system.open(self._path("commits", f"{at:010}.json"))
         try:
-            raw = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         finally:
             stream.close()
-        return json.loads(raw)["snapshots"]
+
+    def _last(self) -> int:
+        return (self.commits() or [0])[-1]
+
+    def entries(self, at: int | None = None) -> Entries:
+        """Snapshot -> version and rows, of the commit `at` or the last one; nothing before the first."""
+        return self._record(self._last() if at is None else at)["snapshots"]
 
     def _write_aside(self, text: str):
         path = self._path("commits", f".{uuid.uuid4().hex}.tmp")
@@ -86,9 +92,14 @@ class SnapshotTable:
 
     def _commit(self, change: Callable[[Entries], Entries], tries: int = 20) -> int:
         for _ in range(tries):
-            number = (self.commits() or [0])[-1]
-            after = change(dict(self.entries(number)))
-            aside = self._write_aside(json.dumps({"commit": number + 1, "snapshots": after}))
+            number = self._last()
+            before, gone = self.entries(number), self._record(number)["gone"]
+            after = change(dict(before))
+            for k, v in before.items():
+                if after.get(k, {}).get("version") != v["version"]:
+                    gone.setdefault(v["version"], []).append(k)
+            used = {v["version"] for v in after.values()}
+            aside = self._write_aside(json.dumps({"commit": number + 1, "snapshots": after, "gone": {v: x for v, x in gone.items() if v in used}}))
             try:
                 self._take_number(aside, number + 1)
                 return number + 1
@@ -101,29 +112,30 @@ class SnapshotTable:
     # --- data -------------------------------------------------------------------------------------------------------------------------------------------
 
     def _stage(self, frame: DataFrame) -> str:
-        """Write the frame as a version, rows brought together by snapshot."""
-        version = uuid.uuid4().hex
-        frame.hint("rebalance", self.column).write.partitionBy(self.column).option("maxRecordsPerFile", self.records_per_file).parquet(f"{self.root}/data/version={version}")
+        """Write the frame as a version, rows brought together by snapshot and in their order; a large snapshot is split over tasks."""
+        version, own = uuid.uuid4().hex, frame.withColumn(self.column, F.col(self.column).cast("string"))
+        own = own.hint("rebalance", self.column).sortWithinPartitions(self.column)
+        own.write.option("maxRecordsPerFile", self.records_per_file).parquet(f"{self.root}/data/version={version}")
         return version
 
     def _counted(self, version: str) -> dict[str | None, int]:
-        """Rows of each snapshot as they were written, from the files' footers."""
+        """Rows of each snapshot as they were written."""
         written = self.spark.read.schema(f"{self.schema}, {self.column} string").parquet(f"{self.root}/data/version={version}")
         return dict(written.groupBy(self.column).agg(F.count("*")).collect())  # a row per published file
 
     def replace(self, frame: DataFrame, ids) -> dict[str, int]:
         """The named snapshots' rows become frame's, also none; rows outside the scope, or without a snapshot, are an error, and nothing is changed. Returns the rows of each."""
-        ids = named(ids)
+        ids = dict.fromkeys(named(ids))
         version = self._stage(frame)
         rows = self._counted(version)
-        if outside := rows.keys() - set(ids):
+        if outside := rows.keys() - ids.keys():
             raise ValueError(f"rows outside the snapshots that are to be replaced: {sorted(map(str, outside))[:3]}")
         new = {x: {"version": version, "rows": n} for x, n in rows.items() if n}
         self._commit(lambda old: {k: v for k, v in old.items() if k not in ids} | new)
         return {x: rows.get(x, 0) for x in ids}
 
     def clear(self, ids) -> None:
-        ids = named(ids)
+        ids = set(named(ids))
         self._commit(lambda old: {k: v for k, v in old.items() if k not in ids})
 
     def keep_current(self, snapshots: DataFrame) -> list[str]:
@@ -135,15 +147,31 @@ class SnapshotTable:
         return there
 
     def read(self, at: int | None = None, ids=None) -> DataFrame:
-        """The rows of a commit, of the named snapshots or all; only their folders are listed."""
-        escape = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-        entries = self.entries(at)
+        """The rows of a commit, of the named snapshots or all: versions that are there in whole, and of others the snapshots that are left."""
+        at = self._last() if at is None else at
+        entries, gone = self.entries(at), self._record(at)["gone"]
         chosen = entries if ids is None else {k: entries[k] for k in map(str, ids) if k in entries}
-        paths = [f"{self.root}/data/version={v['version']}/{self.column}={escape(k)}" for k, v in chosen.items()]
-        if not paths:
+        left: dict[str, list[str]] = {}
+        for k, v in chosen.items():
+            left.setdefault(v["version"], []).append(k)
+        if not left:
             return self.spark.createDataFrame([], f"{self.schema}, {self.column} string")
-        reader = self.spark.read.schema(f"{self.schema}, version string, {self.column} string").option("basePath", f"{self.root}/data")
-        return reader.parquet(*paths).drop("version")
+        reader = self.spark.read.schema(f"{self.schema}, {self.column} string, version string").option("basePath", f"{self.root}/data")
+        own, version, snapshot = reader.parquet(*[f"{self.root}/data/version={v}" for v in left]), F.col("version"), F.col(self.column)
+        whole = [v for v in left if ids is None and not gone.get(v)]
+        tests, joined = [version.isin(whole)], []
+        for v in left.keys() - set(whole):
+            if ids is None and len(gone[v]) <= NAMED:
+                tests.append((version == v) & ~snapshot.isin(gone[v]))
+            elif len(left[v]) <= NAMED:
+                tests.append((version == v) & snapshot.isin(left[v]))
+            else:
+                joined += [(v, k) for k in left[v]]
+        out = own.filter(reduce(lambda a, b: a | b, tests))
+        if joined:
+            pairs = self.spark.createDataFrame(joined, f"version string, {self.column} string")
+            out = out.unionByName(own.join(pairs, ["version", self.column], "left_semi"))
+        return out.select(*[c for c in own.columns if c != "version"])
 
     def vacuum(self, keep: int = 1) -> int:
         """Delete versions that none of the last `keep` commits names, and the records of older commits; returns how many versions went. Not while a change is being written."""

@@ -100,3 +100,19 @@ def test_stream_of_commits(spark, table, tmp_path):
         rows(spark, values).write.mode("append").parquet(source)
         stream_commits(source, table, str(tmp_path / "check")).awaitTermination(60)
     assert seen(table.read()) == [(1, "a"), (5, "c"), (7, "b")] and table.commits() == [1, 2, 3]
+
+
+def test_files_do_not_grow_with_snapshots(spark, tmp_path):
+    """Hundreds of snapshots in few files; of many named, left or gone, each read holds what it should."""
+    from marketrates.sources import snapshot_table
+
+    t, ids = SnapshotTable(spark, str(tmp_path / "many"), SCHEMA), [f"s{i}" for i in range(300)]
+    t.replace(rows(spark, [(i, f"s{i}") for i in range(300)]), ids)
+    assert len(list((tmp_path / "many" / "data").rglob("*.parquet"))) <= 8
+    t.clear(ids[:150])
+    for named in (1000, 10):
+        snapshot_table.NAMED, before = named, snapshot_table.NAMED
+        try:
+            assert seen(t.read()) == [(i, f"s{i}") for i in sorted(range(150, 300))] and t.read(ids=ids[:200]).count() == 50 and t.read(at=1).count() == 300
+        finally:
+            snapshot_table.NAMED = before
