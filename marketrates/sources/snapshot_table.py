@@ -134,6 +134,21 @@ class SnapshotTable:
         self._commit(lambda old: {k: v for k, v in old.items() if k not in ids} | new)
         return {x: rows.get(x, 0) for x in ids}
 
+    def load(self, frame: DataFrame) -> dict[str, int]:
+        """The first commit: every snapshot that the frame holds, told from what was written, so that the frame is computed once. Returns the rows of each."""
+        version = self._stage(frame)
+        rows = self._counted(version)
+        if rows:
+            named(rows)
+
+        def first(old: Entries) -> Entries:
+            if old:
+                raise ValueError("the table has rows: name the snapshots that are to be replaced")
+            return {x: {"version": version, "rows": n} for x, n in rows.items()}
+
+        self._commit(first)
+        return rows
+
     def clear(self, ids) -> None:
         ids = set(named(ids))
         self._commit(lambda old: {k: v for k, v in old.items() if k not in ids})
