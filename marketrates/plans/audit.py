@@ -247,12 +247,12 @@ def _(m):
 # --- CSV files as published ---------------------------------------------------------------------------------------------------------------------------------
 
 
-def _csv_lines(m):
-    """Each odd supplier's year as the lines of a file: header keys, header values, column names, rows."""
+def _csv_lines(m, edited=lambda line: line):
+    """Each odd supplier's year as the lines of a file: header keys, header values, column names, rows, whose lines may be edited by what the rows hold."""
     rows = published.Files(m).rows
     named = {"description": "description", "code_1": "code|1", "code_1_type": "code|1|type", "setting": "setting", "gross_charge": "standard_charge|gross", "payer_name": "payer_name", "standard_charge_dollar": "standard_charge|negotiated_dollar", "count": "count"}
     line = F.to_csv(F.struct(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in named]), {"emptyValue": ""})
-    body = rows.select("snapshot_id", (F.col("row_ordinal") + 3).alias("line_ordinal"), line.alias("line"))
+    body = rows.select("snapshot_id", (F.col("row_ordinal") + 3).alias("line_ordinal"), edited(line).alias("line"))
     heads = rows.select("snapshot_id", "hospital_id").distinct()
     value = F.concat(F.lit('"Hospital ""'), "hospital_id", F.lit('""",2024-01-02,v'), "hospital_id", F.lit(",North|South,1 First St|2 Second St,77,1234567890"))
     three = [(0, F.lit("hospital_name, last_updated_on,Version,location_name,hospital_address,license_number|TN,type_2_npi")), (1, value), (2, F.lit(",".join(named.values())))]
@@ -267,15 +267,16 @@ def _(m):
 
 
 def _as_files(m, lines) -> str:
-    """The lines written as a file per snapshot, below a folder that names it."""
+    """The lines written as a file per snapshot that has its name."""
     path = f"{shared.folder(m.spark)}/csv-{shared.uuid.uuid4().hex}"
-    lines.repartition("snapshot_id").sortWithinPartitions("snapshot_id", "line_ordinal").select("snapshot_id", "line").write.partitionBy("snapshot_id").text(path)
+    files.write_lines(lines, path, "snapshot_id", ["line_ordinal"], "line", ".csv")
     return path
 
 
 def _from_files(m, path: str):
     records, _ = csv_records.read_records(m.spark, path)
-    return records.select(F.regexp_extract("file", "snapshot_id=([^/]+)/", 1).alias("snapshot_id"), F.col("record_ordinal").alias("line_ordinal"), F.col("record").alias("line"))
+    own = records.select(files.name_of("file", ".csv").alias("snapshot_id"), F.col("record_ordinal").alias("line_ordinal"), F.col("record").alias("line"))
+    return shared.written(own, "records").repartition("snapshot_id", "line_ordinal")  # heads and bodies: the files are read once; lines that pack well are few files, and what follows takes all tasks
 
 
 @query(
@@ -285,10 +286,9 @@ def _from_files(m, path: str):
 )
 def _(m):
     """Rows of tall files from the files themselves: quoted cells with line ends, commas and quotes, in splits of any size."""
-    lines = _csv_lines(m).join(published.Files(m).rows.select("snapshot_id", (F.col("row_ordinal") + 3).alias("line_ordinal"), F.trim(F.coalesce("description", F.lit(""))).alias("own")), ["snapshot_id", "line_ordinal"], "left")
-    broken = (F.col("line_ordinal") >= 3) & (F.col("line_ordinal") % 3 == 0)
-    rest = F.regexp_extract("line", r"^[^,]*(,.*)$", 1)
-    lines = lines.withColumn("line", F.when(broken & (F.col("own") != ""), F.concat(F.lit('"'), "own", F.lit('\na, ""b""\n"'), rest)).otherwise(F.col("line")))
+    own = F.trim(F.coalesce("description", F.lit("")))
+    quoted = lambda line: F.concat(F.lit('"'), own, F.lit('\na, ""b""\n"'), F.regexp_extract(line, r"^[^,]*(,.*)$", 1))
+    lines = _csv_lines(m, lambda line: F.when((F.col("row_ordinal") % 3 == 0) & (own != ""), quoted(line)).otherwise(line))
     rows = ingest.csv_files(_from_files(m, _as_files(m, lines)))[1]
     own = ingest.tall_rows(rows, ["description", "code_1", "setting", "gross_charge", "payer_name", "standard_charge_dollar", "count"])
     return own.filter("row_ordinal % 3 <> 0 or description is not null")
@@ -345,9 +345,9 @@ def _(m):
     heads = own.groupBy("snapshot_id").agg(F.min(head).alias("line")).withColumn("place", F.lit(-1).cast("long"))
     lines = heads.unionByName(own.select("snapshot_id", F.col("k").alias("place"), F.to_json(F.struct("description")).alias("line")))
     path = f"{shared.folder(m.spark)}/mixed-{shared.uuid.uuid4().hex}"
-    lines.repartition("snapshot_id").sortWithinPartitions("snapshot_id", "place").select("snapshot_id", "line").write.partitionBy("snapshot_id").text(path)
-    told = files.layouts(files.listed(m.spark, path, "part-*"), 256)
-    return told.select(F.regexp_extract("path", "snapshot_id=([^/]+)/", 1).alias("snapshot_id"), "layout", "version")
+    files.write_lines(lines, path, "snapshot_id", ["place"], "line")
+    told = files.layouts(files.listed(m.spark, path, "*.txt"), 256)
+    return told.select(files.name_of("path").alias("snapshot_id"), "layout", "version")
 
 
 @query(

@@ -11,9 +11,12 @@ import csv
 import hashlib
 import io
 import re
+import uuid
+from urllib.parse import quote
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PIECE, HEAD = 1 << 20, 1 << 18
@@ -28,13 +31,68 @@ def listed(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     return files.select("path", "length", F.col("modificationTime").alias("modified"))
 
 
+def _uri(path: str) -> str:
+    return re.sub("^file:/(?!/)", "file:///", path) if ":" in path.split("/")[0] else f"file://{path}"
+
+
 def _open(path: str):
     from pyarrow import fs
 
-    system, inner = fs.FileSystem.from_uri(re.sub("^file:/(?!/)", "file:///", path) if ":" in path.split("/")[0] else f"file://{path}")
+    system, inner = fs.FileSystem.from_uri(_uri(path))
     return system.open_input_stream(inner)
 
 
+def write_lines(lines: DataFrame, root: str, name: str, order: list[str], line: str, suffix: str = ".txt") -> int:
+    """A file <root>/<name><suffix> for each name, its lines in order, each ended by \\n; returns how many files there are.
+
+    Tasks stream their files one after another and hold a batch. The files stand in one folder, so listing them is one call, and are written without the two folders, the checksum and the renames that
+    a partitioned write makes for each of them. A file appears whole, by a rename; a task that runs again writes the same.
+    """
+
+    def run(batches):
+        from pyarrow import fs
+
+        system, inner = fs.FileSystem.from_uri(_uri(root))
+        held, at, stream = None, "", None
+
+        def close():
+            stream.close()
+            system.move(at, f"{inner}/{_file_name(held)}{suffix}")
+            return pa.RecordBatch.from_arrays([pa.array([1], pa.int64())], ["files"])
+
+        for batch in batches:
+            texts, begin, runs = pc.fill_null(batch.column(1), ""), 0, pc.run_end_encode(batch.column(0))
+            for own, end in zip(runs.values.to_pylist(), runs.run_ends.to_pylist()):
+                if not own:
+                    raise ValueError("lines without a file's name")
+                if own != held:
+                    if stream:
+                        yield close()
+                    held, at = own, f"{inner}/.{uuid.uuid4().hex}"
+                    stream = system.open_output_stream(at)
+                stream.write("".join([x + "\n" for x in texts.slice(begin, end - begin).to_pylist()]).encode())
+                begin = end
+        if stream:
+            yield close()
+
+    from pyarrow import fs
+
+    system, inner = fs.FileSystem.from_uri(_uri(root))
+    system.create_dir(inner, recursive=True)
+    dealt = lines.repartition(name).sortWithinPartitions(name, *order).select(F.col(name).cast("string"), F.col(line).cast("string"))
+    return dealt.mapInArrow(run, "files long").agg(F.coalesce(F.sum("files"), F.lit(0))).collect()[0][0]
+
+
+def _file_name(name: str) -> str:
+    """Letters, digits, - and ~ only: paths and URIs have it alike, and Spark, which skips names that begin with . or _, reads it."""
+    return quote(name, safe="").replace("~", "%7E").replace("_", "%5F").replace(".", "%2E").replace("%", "~")
+
+
+def name_of(path: Column | str, suffix: str = ".txt") -> Column:
+    """The name under which write_lines wrote a file, of its path or URI."""
+    return F.url_decode(F.translate(F.regexp_extract(path, f"([^/]+){re.escape(suffix)}$", 1), "~", "%"))
+
+
 def _pieces(path: str, size: int = 0):
     with _open(path) as stream:
         while piece := stream.read(size or PIECE):

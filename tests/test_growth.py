@@ -1,9 +1,10 @@
 """Steps whose cost must not grow faster than their input: files and folders made, texts parsed, tables computed again."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from marketrates.plans import queries
-from marketrates.sources import shared
+from marketrates.sources import files, shared
 from marketrates.sources.snapshot_table import SnapshotTable
 
 
@@ -30,3 +31,24 @@ def test_a_table_is_loaded_once(spark, tmp_path):
     assert sorted(map(tuple, t.read().collect())) == [(1, "a"), (2, "b"), (3, "b")]
     empty = SnapshotTable(spark, str(tmp_path / "e"), "x int")
     assert empty.load(rows([])) == {} and empty.read().count() == 0
+
+
+def test_a_file_for_each_name(spark, tmp_path):
+    """Names of any kind, lines in order whatever their partitions, nothing else in the folder."""
+    names = ["a", "b c", "d/é=%+1", "_e.~x", *[f"s{i}" for i in range(200)]]
+    rows = [(n, i, None if i == 3 else f"{n},{i}\nx") for n in names for i in range(5)]
+    root = str(tmp_path / "out")
+    lines = spark.createDataFrame(rows, "k string, i int, line string").repartition(7)
+    assert files.write_lines(lines, root, "k", ["i"], "line", ".csv") == len(names)
+    found = spark.read.text(root, wholetext=True).select(files.name_of(F.col("_metadata.file_path"), ".csv"), "value")
+    want = {n: "".join("\n" if i == 3 else f"{n},{i}\nx\n" for i in range(5)) for n in names}
+    assert dict(map(tuple, found.collect())) == want and len(list((tmp_path / "out").iterdir())) == len(names)
+    assert files.write_lines(lines.limit(0), root + "-none", "k", ["i"], "line") == 0
+    with pytest.raises(Exception, match="without a file's name"):
+        files.write_lines(spark.createDataFrame([(None, 1, "x")], "k string, i int, line string"), root, "k", ["i"], "line")
+
+
+@pytest.mark.parametrize("name", ["file_layouts", "csv_tall_files", "csv_wide_files"])
+def test_published_files_make_no_folder_each(spark, sf_dir, own_folder, name):
+    assert queries.queries()[name](spark, sf_dir).count() > 0
+    assert len([p for p in own_folder.rglob("*") if p.is_dir()]) < 10
