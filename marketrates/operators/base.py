@@ -92,9 +92,9 @@ def violations(staged: dict[str, DataFrame], grain: str) -> DataFrame:
     return evaluate(staged[grain], rules_of(grain), KEYS[grain])
 
 
-def rejections(staged: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Keys that a rule excludes, by grain."""
-    return {grain: rejected_keys(violations(staged, grain), KEYS[grain]) for grain in KEYS}
+def rejections(staged: dict[str, DataFrame], grain: str | None = None) -> dict[str, DataFrame] | DataFrame:
+    """Keys that a rule excludes, by grain, or those of one grain."""
+    return rejected_keys(violations(staged, grain), KEYS[grain]) if grain else {g: rejections(staged, g) for g in KEYS}
 
 
 def _left(staged: dict[str, DataFrame], rejected: dict[str, DataFrame], grain: str) -> DataFrame:

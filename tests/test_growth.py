@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from marketrates.plans import queries
+from marketrates.plans import published, queries
+from marketrates.plans.registry import Model
 from marketrates.sources import files, shared
 from marketrates.sources.snapshot_table import SnapshotTable
 
@@ -52,3 +53,11 @@ def test_a_file_for_each_name(spark, tmp_path):
 def test_published_files_make_no_folder_each(spark, sf_dir, own_folder, name):
     assert queries.queries()[name](spark, sf_dir).count() > 0
     assert len([p for p in own_folder.rglob("*") if p.is_dir()]) < 10
+
+
+def test_records_are_parsed_once_for_all_grains(spark, sf_dir, own_folder):
+    """What base entities are made of reads parsed records, and only the grains that they need are held to the rules."""
+    f = published.Files(Model(spark, sf_dir))
+    plans = [own._jdf.queryExecution().optimizedPlan().toString() for own in f.stored.values()]
+    assert all("from_json(" not in p for p in plans)
+    assert f.items.count() > 0 and sorted(f.rejected) == ["codes", "drugs", "items"]
