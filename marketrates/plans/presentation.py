@@ -197,7 +197,7 @@ def _(m):
         F.when(k % 3 == 0, F.struct(F.lit("1").alias("unit"), F.lit("ML").alias("type"))).alias("drug_information"), F.transform("charges", lambda x: x["charge"]).alias("standard_charges"),
     ))
     raw = own.select(k.alias("item_ordinal"), F.lit("s").alias("snapshot_id"), F.when(k % 11 == 0, F.left(record, F.length(record) - 3)).otherwise(record).alias("raw"))
-    good, _ = ingest.split_json(raw, "raw", ingest.ITEM)
+    good = shared.written(ingest.split_json(raw, "raw", ingest.ITEM)[0].drop("raw"), "items")  # six tables of records that are parsed once
     place = F.split_part("key", F.lit("_"), F.lit(2)).cast("long").alias("k")
     tables = {n: t.withColumnRenamed("charge_item_id" if "charge_item_id" in t.columns else "standard_charge_id", "key").groupBy(place).agg(F.count("*").alias("n")) for n, t in ingest.flatten_items(good).items()}
     return reduce(lambda a, b: a.unionByName(b), [t.withColumn("table_name", F.lit(n)) for n, t in tables.items()])

@@ -61,3 +61,9 @@ def test_records_are_parsed_once_for_all_grains(spark, sf_dir, own_folder):
     plans = [own._jdf.queryExecution().optimizedPlan().toString() for own in f.stored.values()]
     assert all("from_json(" not in p for p in plans)
     assert f.items.count() > 0 and sorted(f.rejected) == ["codes", "drugs", "items"]
+
+
+@pytest.mark.parametrize("name", ["json_item_tables", "current_rule_summary"])
+def test_a_query_of_many_grains_parses_once(spark, sf_dir, own_folder, name):
+    own = queries.queries()[name](spark, sf_dir)
+    assert "from_json(" not in own._jdf.queryExecution().optimizedPlan().toString()
