@@ -180,7 +180,7 @@ def _(m):
 
 @query("profile_blocker_distribution", "SELECT len(blocker_reasons) AS blockers, comparison_tier, count(*) AS n FROM spine WHERE is_current GROUP BY ALL", model=True)
 def _(m):
-    return m.spine.filter("is_current").groupBy(F.size("blocker_reasons").cast("long").alias("blockers"), "comparison_tier").agg(F.count("*").alias("n"))
+    return m.current_spine.groupBy(F.size("blocker_reasons").cast("long").alias("blockers"), "comparison_tier").agg(F.count("*").alias("n"))
 
 
 @query("profile_corpus_overview", ", n AS (SELECT count(*) AS rates, count(DISTINCT hospital_id) AS hospitals, count(DISTINCT item_id) AS items, count(DISTINCT payer_name) AS payers, min(ship_date) AS first_day, max(ship_date) AS last_day FROM rates) SELECT n.*, (SELECT count(*) FROM snapshots) AS snapshots FROM n", model=True, keep=("rates",))
@@ -239,7 +239,7 @@ def _(m):
     model=True,
 )
 def _(m):
-    own = m.spine.filter("is_current").select("hospital_id", "comparison_tier", *BLOCKERS)
+    own = m.current_spine.select("hospital_id", "comparison_tier", *BLOCKERS)
     counts = own.groupBy("hospital_id", "comparison_tier").agg(*[F.count_if(b).alias(b) for b in BLOCKERS])  # before they become rows
     return reshape.columns_to_rows(counts, {b: (b,) for b in BLOCKERS}, ["blocker"], "n", ["hospital_id", "comparison_tier"]).filter("n > 0")
 

@@ -62,7 +62,7 @@ def _(m):
 def _(m):
     """Funnel stages only lose rows, scores lie in [0, 1]: rows that break it, and the same after a fault was put in."""
     counts = [F.count_if(F.expr(c)).alias(n) for n, (c, _) in market._STAGES.items()]
-    own = m.spine.filter("is_current").rollup("hospital_id").agg(*counts).withColumn("hospital_id", F.coalesce("hospital_id", F.lit("<corpus>")))
+    own = m.current_spine.rollup("hospital_id").agg(*counts).withColumn("hospital_id", F.coalesce("hospital_id", F.lit("<corpus>")))
     funnel = market.reshape.columns_to_rows(own, {n: (n,) for n in market._STAGES}, ["stage"], "rows", ["hospital_id"])
     swollen = funnel.withColumn("rows", F.when(F.col("stage") == "3_full_context", F.col("rows") + 1_000_000_000).otherwise(F.col("rows")))
     scores = market._transparency(m)

@@ -49,14 +49,29 @@ class Model:
     def bridge(self):
         return self._own("bridge", star.bridge(self.rates))
 
+    @cached_property
+    def coded_rates(self):
+        """Rates with their item's comparable codes as an array."""
+        return star.rates(self.spark, self.d, star.with_codes)
+
+    @cached_property
+    def current_rates(self):
+        """Those of current snapshots, with is_current: lines of other snapshots leave before all joins."""
+        current = self.snapshots.filter("is_current").select("snapshot_id")
+        return star.rates(self.spark, self.d, star.with_codes, current).withColumn("is_current", F.lit(True))
+
     @cached_property
     def spine(self):
-        return star.spine(self.fact, self.bridge, self.snapshots)
+        return star.spine(self.coded_rates.join(self.snapshots.select("snapshot_id", "is_current"), "snapshot_id"))
+
+    @cached_property
+    def current_spine(self):
+        return star.spine(self.current_rates)
 
     @cached_property
     def ranked(self):
         """What statistics are made of: current, context-aligned rows with a price that may be ranked, in one pass over the rates, with no more columns than that takes."""
-        own = star.with_contract(star.spine(star.fact(self.rates, compare.RANKED_KINDS), self.bridge, self.snapshots))
+        own = star.with_contract(star.spine(self.current_rates, compare.RANKED_KINDS))
         return self._own("ranked", compare.ranking_rows(own, compare.RANKED_KINDS).select(*star.RANKED))
 
     @cached_property

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from marketrates.plans import published, queries
+from marketrates.plans import published, queries, star
 from marketrates.plans.registry import Model
 from marketrates.sources import files, shared
 from marketrates.sources.snapshot_table import SnapshotTable
@@ -67,3 +67,33 @@ def test_records_are_parsed_once_for_all_grains(spark, sf_dir, own_folder):
 def test_a_query_of_many_grains_parses_once(spark, sf_dir, own_folder, name):
     own = queries.queries()[name](spark, sf_dir)
     assert "from_json(" not in own._jdf.queryExecution().optimizedPlan().toString()
+
+
+def optimized(frame):
+    return frame._jdf.queryExecution().optimizedPlan().toString()
+
+
+def scans(plan):
+    return sum("Relation [" in line and "l_orderkey#" in line for line in plan.splitlines())
+
+
+@pytest.mark.parametrize("name, lines", [("blocker_reasons", 2), ("comparison_spine", 2), ("profile_code_expansion", 1), ("profile_blocker_distribution", 2)])
+def test_rows_fan_out_after_all_joins(spark, sf_dir, name, lines):
+    """Amounts and codes are dealt to no join, and the lines are read once for the rates and once for the snapshots."""
+    plan = optimized(queries.queries()[name](spark, sf_dir))
+    assert "Join" not in plan[: plan.index("Generate")] and scans(plan) == lines
+
+
+@pytest.mark.parametrize("name", ["market_explorer", "profile_legible_examples"])
+def test_contexts_are_named_from_the_ranked_rows(spark, sf_dir, own_folder, name):
+    assert scans(optimized(queries.queries()[name](spark, sf_dir))) == 0
+
+
+def test_codes_of_parts_that_share_a_key(spark):
+    """Each rate of a key has all its parts' codes once; a part without a brand has a code without a text."""
+    rows = [(1, "a", "B 1", "T", 3), (1, "a", "B 2", "T", 4), (2, "b", None, "T", None)]
+    part = spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_type string, p_size int")
+    got = star.with_codes(part).selectExpr("p_partkey", "transform(codes, c -> concat(c.code_system, ':', coalesce(c.match_code, '-'))) AS c").collect()
+    assert sorted(map(tuple, got)) == [(1, ["brand:B1", "brand:B2", "type:T"]), (1, ["brand:B1", "brand:B2", "type:T"]), (2, ["brand:-", "type:T"])]
+    held = star.bridge(part.withColumnRenamed("p_partkey", "item_id")).filter("code_comparable").distinct().groupBy("item_id").count()
+    assert sorted(map(tuple, held.collect())) == [(1, 3), (2, 2)]
