@@ -97,3 +97,31 @@ def test_codes_of_parts_that_share_a_key(spark):
     assert sorted(map(tuple, got)) == [(1, ["brand:B1", "brand:B2", "type:T"]), (1, ["brand:B1", "brand:B2", "type:T"]), (2, ["brand:-", "type:T"])]
     held = star.bridge(part.withColumnRenamed("p_partkey", "item_id")).filter("code_comparable").distinct().groupBy("item_id").count()
     assert sorted(map(tuple, held.collect())) == [(1, 3), (2, 2)]
+
+
+def test_history_is_dealt_once_by_identity(spark, sf_dir, own_folder):
+    """Distinct counts of snapshots and items deal no expanded rows; signatures are made of parts, not of rates."""
+    own = queries.queries()["service_item_history"](spark, sf_dir)
+    plan = own._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and sum("Exchange hashpartitioning(service_item_id" in line for line in plan.splitlines()) == 1 and scans(optimized(own)) == 2
+
+
+@pytest.mark.parametrize("name", ["coverage_scorecard", "transparency_scorecard"])
+def test_coverage_is_one_pass(spark, sf_dir, own_folder, name):
+    """The lines are read once for all counts, dealt once by snapshot, and no row of an amount is dealt."""
+    own = queries.queries()[name](spark, sf_dir)
+    plan = own._jdf.queryExecution().executedPlan().toString()
+    assert scans(optimized(own)) == 1 and "Exchange hashpartitioning(snapshot_id" in plan
+    dealt = [line for line in plan.splitlines() if "Exchange " in line]
+    assert not any("rate_id" in line or "item_id" in line for line in dealt)
+
+
+def test_checks_hold_written_tables(spark, sf_dir, own_folder):
+    """What is held twice, as it is and with a fault, is computed once; the fact is read once for both of its checks."""
+    for name, most in (("summary_reconciliation", 0), ("bi_guards", 0), ("semantic_guards", 2)):
+        assert scans(optimized(queries.queries()[name](spark, sf_dir))) <= most, name
+
+
+def test_price_comparison_joins_observations_once(spark, sf_dir, own_folder):
+    plan = optimized(queries.queries()["price_comparison"](spark, sf_dir))
+    assert plan[: plan.index("Generate")].count("Join") == 1
