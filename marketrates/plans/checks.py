@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import semantics
 from ..operators import base, compare, quality, rules, runs
 from ..operators.quantiles import exact_quantiles
+from ..sources import shared
 from . import audit, market, published
 from .registry import MARKET, query
 
@@ -64,8 +65,9 @@ def _(m):
     counts = [F.count_if(F.expr(c)).alias(n) for n, (c, _) in market._STAGES.items()]
     own = m.current_spine.rollup("hospital_id").agg(*counts).withColumn("hospital_id", F.coalesce("hospital_id", F.lit("<corpus>")))
     funnel = market.reshape.columns_to_rows(own, {n: (n,) for n in market._STAGES}, ["stage"], "rows", ["hospital_id"])
+    own = shared.written(own, "funnel")  # a row per publisher, held twice
     swollen = funnel.withColumn("rows", F.when(F.col("stage") == "3_full_context", F.col("rows") + 1_000_000_000).otherwise(F.col("rows")))
-    scores = market._transparency(m)
+    scores = shared.written(market._transparency(m), "scores")
     columns = ["freshness_score", "code_score", "amount_score", "payer_score", "readiness_score", "overall_score"]
     checks = {
         "funnel_monotone": [quality.not_monotone(f, ["hospital_id"], "stage", "rows") for f in (funnel, swollen)],
