@@ -44,6 +44,7 @@ def _(m):
     }
     out = []
     for name, (own, other, keys, tolerances, column, fault) in checks.items():
+        own, other = shared.written(own, f"{name}-summary"), shared.written(other, f"{name}-again")  # each is held twice, a row a key
         wrong = own.withColumn(column, F.when(fault, F.col(column) + 1).otherwise(F.col(column)))
         counts = [quality.reconcile(x, other, keys, tolerances).agg(F.count("*").alias(c)) for x, c in ((own, "failing"), (wrong, "planted"))]
         out.append(counts[0].crossJoin(counts[1]).select(F.lit(name).alias("check"), "failing", "planted"))  # one row each
@@ -64,8 +65,8 @@ def _(m):
     """Funnel stages only lose rows, scores lie in [0, 1]: rows that break it, and the same after a fault was put in."""
     counts = [F.count_if(F.expr(c)).alias(n) for n, (c, _) in market._STAGES.items()]
     own = m.current_spine.rollup("hospital_id").agg(*counts).withColumn("hospital_id", F.coalesce("hospital_id", F.lit("<corpus>")))
-    funnel = market.reshape.columns_to_rows(own, {n: (n,) for n in market._STAGES}, ["stage"], "rows", ["hospital_id"])
     own = shared.written(own, "funnel")  # a row per publisher, held twice
+    funnel = market.reshape.columns_to_rows(own, {n: (n,) for n in market._STAGES}, ["stage"], "rows", ["hospital_id"])
     swollen = funnel.withColumn("rows", F.when(F.col("stage") == "3_full_context", F.col("rows") + 1_000_000_000).otherwise(F.col("rows")))
     scores = shared.written(market._transparency(m), "scores")
     columns = ["freshness_score", "code_score", "amount_score", "payer_score", "readiness_score", "overall_score"]
