@@ -162,9 +162,12 @@ def _(m):
     """Published codes whose form or system is not as it should be, by snapshot."""
     own = published.Files(m).staged["codes"]
     code, kind = base.clean_display_text(F.col("code")), base.clean_text(F.col("type"))
-    system = F.when(kind.isin(*codes.VALID_FORMS, *codes.SPECIFIC_SYSTEMS, *codes.LOCAL_SYSTEMS), kind)
-    own = own.select("snapshot_id", code.alias("code"), kind.alias("kind"), system.alias("system"))
-    found = codes.code_status(F.col("code"), F.col("kind"), F.col("system"), codes.match_code(F.col("system"), F.col("code")))
+    system = F.when(F.col("kind").isin(*codes.VALID_FORMS, *codes.SPECIFIC_SYSTEMS, *codes.LOCAL_SYSTEMS), F.col("kind"))
+    # As elements of one-row arrays, texts are cleaned once for a code; as columns they are written out again wherever they are named, until the code is too long to compile.
+    once = lambda frame, **columns: frame.select("snapshot_id", F.explode(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))).alias("x")).select("snapshot_id", "x.*")
+    own = once(own, code=code, kind=kind)
+    own = once(own, code=F.col("code"), kind=F.col("kind"), system=system, match=codes.match_code(system, F.col("code")))
+    found = codes.code_status(F.col("code"), F.col("kind"), F.col("system"), F.col("match"))
     return own.select("snapshot_id", found.alias("finding")).filter(~F.col("finding").isin("valid", "not_validated")).groupBy("snapshot_id", "finding").agg(F.count("*").alias("n"))
 
 

@@ -125,3 +125,8 @@ def test_checks_hold_written_tables(spark, sf_dir, own_folder):
 def test_price_comparison_joins_observations_once(spark, sf_dir, own_folder):
     plan = optimized(queries.queries()["price_comparison"](spark, sf_dir))
     assert plan[: plan.index("Generate")].count("Join") == 1
+
+
+def test_code_findings_clean_a_text_once(spark, sf_dir, own_folder):
+    """Cleaned texts are not written out again wherever they are named: the code of their step would be too long to compile."""
+    assert optimized(queries.queries()["code_findings"](spark, sf_dir)).count("(?i)") < 20
