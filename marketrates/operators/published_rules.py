@@ -6,13 +6,14 @@ Columns are the texts as published; a text that stands for nothing counts as abs
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions.semantics import METHODOLOGIES, WHOLE_COUNT
-from .rules import Rule, cleaned
+from .rules import Rule, cleaned, shown
 
 #: Fixed values, in the published order: accepted settings, classes, measures, methods, code types by family, states.
 SETTINGS = ["inpatient", "outpatient", "both"]
@@ -25,7 +26,7 @@ COUNT = "^(0|1 through 10)$|" + WHOLE_COUNT
 
 
 def _has(name: str) -> Column:
-    return cleaned(name).isNotNull()
+    return shown(name).isNotNull()
 
 
 def _text(name: str) -> Column:
@@ -33,7 +34,7 @@ def _text(name: str) -> Column:
 
 
 def _number(name: str) -> Column:
-    return _text(name).try_cast("double")
+    return shown(name).try_cast("double")
 
 
 def _is(column: str, value: str) -> Column:
@@ -92,14 +93,15 @@ def charge_item() -> list[Rule]:
     ])
 
 
-def code() -> list[Rule]:
-    r = lambda rule, column, broken: Rule(rule, "code", column, broken, F.col(column))
-    kind = _text("type")
+def code(of: Callable[[str], Column] = F.col) -> list[Rule]:
+    """of: where the texts are found, for codes that are elements of a record's array."""
+    r = lambda rule, column, broken: Rule(rule, "code", column, broken, of(column))
+    code, type_, kind = of("code"), of("type"), F.lower(of("_shown_type"))
     return _reading("code type", [
-        r("code_information_required_shape", "code", F.col("code").isNull() | F.col("type").isNull()),
-        r("code_text_non_empty", "code", (F.col("code").isNotNull() & ~_has("code")) | (F.col("type").isNotNull() & ~_has("type"))),
-        r("code_type_allowed_values", "type", kind.isNotNull() & ~kind.isin(CODE_TYPES)),
-        r("code_type_family_specific_enum", "type", kind.isin(CODE_TYPES_SINCE_3) & F.col("schema_family").isin("2.1", "2.2")),
+        r("code_information_required_shape", "code", code.isNull() | type_.isNull()),
+        r("code_text_non_empty", "code", (code.isNotNull() & of("_shown_code").isNull()) | (type_.isNotNull() & of("_shown_type").isNull())),
+        r("code_type_allowed_values", "type", of("_shown_type").isNotNull() & ~kind.isin(CODE_TYPES)),
+        r("code_type_family_specific_enum", "type", F.col("schema_family").isin("2.1", "2.2") & kind.isin(CODE_TYPES_SINCE_3)),
     ])
 
 

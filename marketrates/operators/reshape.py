@@ -31,6 +31,12 @@ def unpivot_slots(frame: DataFrame, slots: list[tuple[str, str]], ids: list[str]
     return own.select(*ids, cell).select(*ids, "cell.*")
 
 
+def once(frame: DataFrame, **columns: Column) -> DataFrame:
+    """The frame with more columns, each computed once a row: taken through an array of one they stay below what reads them; by themselves they are written out again wherever a filter names them."""
+    own = frame.select("*", *[c.alias(n) for n, c in columns.items()])
+    return own.select(*frame.columns, F.explode_outer(F.array(F.struct(*columns))).alias("_once")).select(*frame.columns, "_once.*")
+
+
 def split_ordinal(frame: DataFrame, column: str, separator: str = "|", value: str = "value", ordinal: str = "ordinal") -> DataFrame:
     """One row per part of a delimited text, ordinals from 0; blank parts go."""
     parts = F.posexplode(F.split(column, f"[{separator}]")).alias(ordinal, value)

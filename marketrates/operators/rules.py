@@ -6,12 +6,14 @@ A rule states when a row breaks it. Rows are tested against an array with an ele
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import clean_text
+from ..functions.text import clean_display_text, quick_display_text
 from .quantiles import exact_quantiles
+from .reshape import once
 
 
 @dataclass(frozen=True)
@@ -31,7 +33,32 @@ class Rule:
 
 def cleaned(name: str) -> Column:
     """A column's cleaned text, as evaluate computes it once for all rules that name it among their texts."""
-    return F.col(f"_clean_{name}")
+    return F.lower(shown(name))
+
+
+def shown(name: str) -> Column:
+    """The same in the case in which it is published, which is enough to tell whether there is one, or a number."""
+    return F.col(f"_shown_{name}")
+
+
+def _texts(rules: list[Rule]) -> list[str]:
+    return list(dict.fromkeys(n for r in rules for n in r.texts))
+
+
+#: Texts that one step cleans: the code of a longer step is not compiled to the machine's.
+_AT_ONCE = 5
+
+
+def with_cleaned(frame: DataFrame, rules: list[Rule]) -> DataFrame:
+    """The frame with the cleaned texts that the rules read, made once a row, for excluded() and for what the accepted rows say."""
+    texts = _texts(rules)
+    parts = [texts[i : i + _AT_ONCE] for i in range(0, len(texts), _AT_ONCE)]
+    return reduce(lambda own, part: once(own, **{f"_shown_{n}": quick_display_text(F.col(n).cast("string")) for n in part}), parts, frame)
+
+
+def excluded(rules: list[Rule]) -> Column:
+    """Whether any rule excludes the row's entity, over a frame with_cleaned: what rejected_keys tells by rows and a join."""
+    return reduce(lambda a, b: a | b, [F.coalesce(r.broken, F.lit(False)) for r in rules if r.disposition == "exclude_entity"])
 
 
 def evaluate(frame: DataFrame, rules: list[Rule], keys: list[str]) -> DataFrame:
@@ -49,10 +76,10 @@ def evaluate(frame: DataFrame, rules: list[Rule], keys: list[str]) -> DataFrame:
         )
         for r in rules
     ]
-    texts = list(dict.fromkeys(n for r in rules for n in r.texts))
+    texts = _texts(rules)
     if texts:
-        frame = frame.withColumn("_clean", F.transform(F.array(*[F.col(n).cast("string") for n in texts]), lambda x: clean_text(x)))
-        frame = frame.withColumns({f"_clean_{n}": F.col("_clean")[i] for i, n in enumerate(texts)})
+        frame = frame.withColumn("_shown", F.transform(F.array(*[F.col(n).cast("string") for n in texts]), lambda x: clean_display_text(x)))
+        frame = frame.withColumns({f"_shown_{n}": F.col("_shown")[i] for i, n in enumerate(texts)})
     found = frame.select(*keys, F.explode_outer(F.filter(F.array(*hits), lambda h: h.isNotNull())).alias("hit"))
     return found.filter("hit is not null").select(*keys, "hit.*")
 

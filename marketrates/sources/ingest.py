@@ -10,6 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StructType
 
 from ..functions import codes
 from ..functions.text import clean_text
@@ -51,14 +52,27 @@ def _odd_bracket(schema: str) -> str:
 def split_json(frame: DataFrame, column: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """(rows whose record parses, with it under 'record'; rows whose record does not, or has a container where a scalar belongs). schema: a struct type.
 
-    The record is exploded from an array of one, so that filters on it stay above and each text is parsed once; moved below a projection, every use in a filter would parse it again.
+    The record is exploded from an array of one, so that filters on it stay above and each text is made and parsed once; moved below a projection, every use in a filter would parse it again. A text
+    that has no more brackets than its record has containers holds none under a scalar: the patterns are tried on the others.
     """
     wide = schema.removesuffix(">") + ",_corrupt:string>"
     own = frame.select("*", F.explode_outer(F.array(F.from_json(column, wide, {"columnNameOfCorruptRecord": "_corrupt"}))).alias("record"))
-    bad = F.col("record").isNull() | F.col("record._corrupt").isNotNull() | (F.col(column).rlike(_odd_bracket(schema)) & F.col(column).rlike(_container_pattern(schema)))
+    brackets = F.length(column) - F.length(F.replace(F.replace(column, F.lit("{"), F.lit("")), F.lit("["), F.lit("")))
+    more = brackets != _containers(F.col("record"), DataType.fromDDL(schema))
+    bad = F.col("record").isNull() | F.col("record._corrupt").isNotNull() | (more & F.col(column).rlike(_odd_bracket(schema)) & F.col(column).rlike(_container_pattern(schema)))
     return own.filter(~bad), own.filter(bad).drop("record")
 
 
+def _containers(x: Column, kind: DataType) -> Column:
+    """How many structs and arrays a value has, itself included; none for null. Each stands for a bracket of its own in the text that it was parsed from."""
+    if isinstance(kind, ArrayType):
+        inner = kind.elementType
+        within = [F.aggregate(x, F.lit(0), lambda n, e: n + _containers(e, inner))] if isinstance(inner, (ArrayType, StructType)) else []
+    elif isinstance(kind, StructType):
+        within = [_containers(x[f.name], f.dataType) for f in kind.fields if isinstance(f.dataType, (ArrayType, StructType))]
+    return F.when(x.isNull(), 0).otherwise(reduce(lambda a, b: a + b, within, F.lit(1)))
+
+
 def diagnostics(bad: DataFrame, keys: list[str], column: str, section: str) -> DataFrame:
     """A row for each quarantined record."""
     return bad.select(*keys, F.lit(section).alias("section"), F.lit("record does not parse").alias("error_summary"), F.col(column).alias("raw_record"))

@@ -130,3 +130,26 @@ def test_price_comparison_joins_observations_once(spark, sf_dir, own_folder):
 def test_code_findings_clean_a_text_once(spark, sf_dir, own_folder):
     """Cleaned texts are not written out again wherever they are named: the code of their step would be too long to compile."""
     assert optimized(queries.queries()["code_findings"](spark, sf_dir)).count("(?i)") < 20
+
+
+@pytest.mark.parametrize("name, written", [("base_payer_rates", ["lines"]), ("base_standard_charges", ["lines"]), ("base_charge_items", ["lines"]), ("csv_item_identity", [])])
+def test_entities_need_no_keys(spark, sf_dir, own_folder, name, written):
+    """Nothing but the lines is written, and what a rule excludes above an entity is told in its own row: no table of rejected keys, no join with it."""
+    own = queries.queries()[name](spark, sf_dir)
+    assert own.count() > 0 and sorted(p.name.split("-")[0] for p in own_folder.glob("*")) == written
+    assert optimized(own).count("Join ") == (0 if written else 3)  # lines with orders, customers and parts
+
+
+def methods(frame):
+    """Bytes of the longest method of each compiled step."""
+    steps = frame._jdf.queryExecution().debug().codegenToSeq()
+    return [steps.apply(i)._3().maxMethodCodeSize() for i in range(steps.size())]
+
+
+def test_steps_are_short_enough_to_compile(spark, sf_dir, own_folder):
+    """A method of over 8000 bytes is interpreted."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert max(methods(queries.queries()["base_payer_rates"](spark, sf_dir))) <= 8000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")

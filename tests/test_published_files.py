@@ -112,3 +112,50 @@ def test_a_record_is_parsed_once_and_texts_cleaned_once(spark):
     broken = base.violations(base.stage_json(split_json(items, "raw", ITEM)[0]), "rates")
     plan = broken._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json(") == 1 and plan.count("regexp_replace(") <= 1
+
+
+def test_records_give_the_entities_that_keys_give(spark):
+    """Going down the records tells the same items, charges and rates as staged grains with rejected keys, whatever is missing or broken above them."""
+    rate = {"payer_name": "A  b", "plan_name": "PPO", "methodology": "Case\tRate", "standard_charge_dollar": "5"}
+    charge = {"setting": " Both ", "gross_charge": "10", "minimum": "1", "maximum": "9"}
+    rates = [rate, rate | {"methodology": "barter"}, rate | {"standard_charge_dollar": "x"}, rate | {"standard_charge_dollar": None, "standard_charge_percentage": "40"}, rate | {"standard_charge_dollar": None, "standard_charge_percentage": "40", "count": "0"}, {}, None]
+    charges = [charge | {"payers_information": rates}, charge, charge | {"setting": "ward", "payers_information": [rate]}, charge | {"minimum": "n/a", "payers_information": [rate]}, {"payers_information": [rate]}, None]
+    codes = [{"code": " 70450", "type": "CPT"}, {"code": "1", "type": "XYZ"}, {"code": None, "type": "RC"}, {"code": "12345-678-90", "type": "Ndc"}, {}]
+    drugs = [None, {"unit": "5", "type": "ML"}, {"unit": "x", "type": "ML"}, {"unit": "N/A", "type": None}]
+    items = [{"description": d, "code_information": c, "drug_information": g, "standard_charges": s} for d in ("CT  head", "none", None) for c in (codes, codes[1:3], codes[:1], [], None) for g in drugs for s in (charges, [], None)]
+    frame = spark.createDataFrame([("s", "h", f, i, json.dumps(x)) for f in ("3.0", "2.2") for i, x in enumerate(items)], "snapshot_id string, hospital_id string, schema_family string, item_ordinal int, raw string")
+    good = ingest.split_json(frame.withColumn("snapshot_id", F.concat("snapshot_id", "schema_family")), "raw", ingest.ITEM)[0]
+    names = ["description", "code_1", "code_1_type", "code_2", "code_2_type", "drug_unit_of_measurement", "drug_type_of_measurement", *base.CHARGE, *base.RATE]
+    cells = [{"description": d, "code_1": a, "code_1_type": b, "code_2": "7", "code_2_type": c, "drug_unit_of_measurement": u, **x, **y} for d in ("CT  head", "n/a") for a, b in (("70450", "CPT"), ("12345-678-90", "ndc"), ("-", None)) for c in ("RC", "XYZ", None) for u in ("x", None, "5") for x in (charge, charges[3], {"setting": "ward"}) for y in [r or {} for r in rates]]
+    cells = [{k: v for k, v in c.items() if k in names} for c in cells]
+    rows = spark.createDataFrame([("c", "h", "3.0", i, *[c.get(n) for n in names]) for i, c in enumerate(cells)], "snapshot_id string, hospital_id string, schema_family string, row_ordinal long, " + ", ".join(f"`{n}` string" for n in names))
+    slots = [("code_1", "code_1_type"), ("code_2", "code_2_type")]
+    for staged, records in ((base.stage_json(good), base.json_records(good)), (base.stage_csv(rows, slots), base.csv_records(rows, slots))):
+        rejected = base.rejections(staged)
+        by_key = [base.charge_items(staged, rejected)]
+        by_key += [base.standard_charges(staged, rejected, by_key[0])]
+        by_key += [base.payer_rates(staged, rejected, by_key[1])]
+        items_, rows_ = base.item_of(records), len(cells)
+        charges_ = base.charge_of(items_)
+        down = [items_.filter("item_there"), charges_.filter("charge_there"), base.rate_of(charges_).filter("charge_there and not rejected")]
+        for want, got in zip(by_key, down):
+            columns = sorted(set(want.columns) & set(got.columns))
+            assert len(columns) >= 8 and len(rows_of(got, *columns)) > 0 and rows_of(got, *columns) == rows_of(want, *columns)
+        assert base.rate_of(charges_).count() == staged["rates"].count() and rows_ > 0
+
+
+def test_quick_texts_are_clean_texts(spark):
+    from marketrates.functions import text
+
+    odd = ["", " ", "a", " a ", "a  b", "a\tb", "\n", "a\x0bb", "a\fb", "a\rb", "N/A", " n/a ", "not  applicable", "not\tavailable", "UnKnown", "un known", "-", "--", " ", "İ", "nulls", None]
+    frame = spark.createDataFrame([(x,) for x in odd], "x string")
+    assert frame.select("x").filter(~text.quick_display_text(F.col("x")).eqNullSafe(text.clean_display_text(F.col("x")))).count() == 0
+
+
+def test_brackets_beyond_a_records_containers(spark):
+    """Texts with brackets in them are no containers; containers under scalars are set aside, also where nulls, repeated keys or unknown keys change the count."""
+    good = ['{"description":"a [{ b","code_information":[null,{"code":"1"}],"standard_charges":null}', '{"other":{"x":[1]},"description":"a"}', '{"standard_charges":[{"modifier_code":["a",null],"payers_information":[]},null]}']
+    bad = ['{"description":{"a":1},"code_information":[null]}', '{"code_information":[{"code":[1]}],"standard_charges":[null]}', '{"drug_information":null,"description":["x"]}']
+    frame = spark.createDataFrame([(i, x) for i, x in enumerate(good + bad)], "i int, raw string")
+    left, aside = ingest.split_json(frame, "raw", ingest.ITEM)
+    assert rows_of(left, "i") == [(0,), (1,), (2,)] and rows_of(aside, "i") == [(3,), (4,), (5,)]
