@@ -163,6 +163,10 @@ def charge_of(items: DataFrame) -> DataFrame:
     return own.select(*_HEAD, "charge_ordinal", "charge_there", "charge_item_id", key.alias("standard_charge_id"), *amounts, cleaned("setting").alias("clean_setting"), cleaned("billing_class").alias("clean_billing_class"), "additional_generic_notes", *passed)
 
 
+def rate_key() -> Column:
+    return surrogate_key("snapshot_id", "format_family", "source_id", "charge_ordinal", "payer_ordinal")
+
+
 def rate_of(charges: DataFrame) -> DataFrame:
     """charge_of's rows by rate, with rejected, whether a rule excludes the rate, and its payer_rate_id, amounts and cleaned texts. It is accepted where it is not, and its charge is there."""
     head = [*_HEAD, "charge_ordinal", "charge_there", "charge_item_id", "standard_charge_id", "additional_generic_notes"]
@@ -175,7 +179,7 @@ def rate_of(charges: DataFrame) -> DataFrame:
     own = once(with_cleaned(own, published_rules.payer_rate()), rejected=excluded(published_rules.payer_rate()))
     amounts = [shown(c).try_cast("decimal(18,4)").alias(n) for n, c in AMOUNTS.items()]
     return own.select(
-        surrogate_key("snapshot_id", "format_family", "source_id", "charge_ordinal", "payer_ordinal").alias("payer_rate_id"), *KEYS["rates"], "hospital_id", "charge_there", "rejected", "charge_item_id", "standard_charge_id",
+        rate_key().alias("payer_rate_id"), *KEYS["rates"], "hospital_id", "charge_there", "rejected", "charge_item_id", "standard_charge_id",
         *[cleaned(n).alias(f"clean_{n}") for n in ("payer_name", "plan_name", "methodology")], *amounts, shown("standard_charge_algorithm").alias("negotiated_algorithm"), F.col("count").alias("raw_count"),
     )
 
@@ -249,7 +253,7 @@ def payer_rates(staged: dict[str, DataFrame], rejected: dict[str, DataFrame], ch
     """Accepted rates of accepted charges, of both formats."""
     own = _left(staged, rejected, "rates").join(charges.select(*KEYS["charges"], "charge_item_id", "standard_charge_id"), KEYS["charges"])
     return own.select(
-        surrogate_key("snapshot_id", "format_family", "source_id", "charge_ordinal", "payer_ordinal").alias("payer_rate_id"), *KEYS["rates"], "hospital_id", "charge_item_id", "standard_charge_id",
+        rate_key().alias("payer_rate_id"), *KEYS["rates"], "hospital_id", "charge_item_id", "standard_charge_id",
         *[clean_text(F.col(n)).alias(f"clean_{n}") for n in ("payer_name", "plan_name", "methodology")], *[safe_decimal(F.col(c)).alias(n) for n, c in AMOUNTS.items()],
         clean_display_text(F.col("standard_charge_algorithm")).alias("negotiated_algorithm"), F.col("count").alias("raw_count"),
     )

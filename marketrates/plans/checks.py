@@ -148,11 +148,9 @@ _REGISTRY = ", ".join(
 )
 def _(m):
     """Every rule with its breaks in current snapshots, also those without any."""
-    f = published.Files(m)
-    year = F.split("snapshot_id", "-")[1].cast("int")
-    current = f.lines.groupBy("hospital_id").agg(F.max(F.struct(year.alias("year"), "snapshot_id")).alias("x")).select("x.snapshot_id")
+    f = published.Files(m, current=True)
     every = reduce(lambda a, b: a.unionByName(b), [base.violations(f.stored, g).select("grain", "snapshot_id", "rule_id", "excludes") for g in base.KEYS])
-    return rules.current_summary(every.withColumn("hospital_id", F.split_part("snapshot_id", F.lit("-"), F.lit(1))), _rules(), current)
+    return rules.current_summary(every.withColumn("hospital_id", F.split_part("snapshot_id", F.lit("-"), F.lit(1))), _rules(), published.current_ids(m))
 
 
 # --- operational marts --------------------------------------------------------------------------------------------------------------------------------------
