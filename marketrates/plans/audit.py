@@ -252,14 +252,19 @@ def _(m):
 
 def _csv_lines(m, edited=lambda line: line):
     """Each odd supplier's year as the lines of a file: header keys, header values, column names, rows, whose lines may be edited by what the rows hold."""
-    rows = published.Files(m).rows
+    rows = published.Files(m, family="csv").rows
     named = {"description": "description", "code_1": "code|1", "code_1_type": "code|1|type", "setting": "setting", "gross_charge": "standard_charge|gross", "payer_name": "payer_name", "standard_charge_dollar": "standard_charge|negotiated_dollar", "count": "count"}
     line = F.to_csv(F.struct(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in named]), {"emptyValue": ""})
-    body = rows.select("snapshot_id", (F.col("row_ordinal") + 3).alias("line_ordinal"), edited(line).alias("line"))
-    heads = rows.select("snapshot_id", "hospital_id").distinct()
     value = F.concat(F.lit('"Hospital ""'), "hospital_id", F.lit('""",2024-01-02,v'), "hospital_id", F.lit(",North|South,1 First St|2 Second St,77,1234567890"))
-    three = [(0, F.lit("hospital_name, last_updated_on,Version,location_name,hospital_address,license_number|TN,type_2_npi")), (1, value), (2, F.lit(",".join(named.values())))]
-    return reduce(lambda a, b: a.unionByName(b), [heads.select("snapshot_id", F.lit(n).cast("long").alias("line_ordinal"), text.alias("line")) for n, text in three], body)
+    heads = [F.lit("hospital_name, last_updated_on,Version,location_name,hospital_address,license_number|TN,type_2_npi"), value, F.lit(",".join(named.values()))]
+    return _headed(rows.select("snapshot_id", "hospital_id", "row_ordinal", "description", line.alias("line")).withColumn("line", edited(F.col("line"))), heads)
+
+
+def _headed(rows, heads: list):
+    """snapshot_id, line_ordinal, line: rows (with row_ordinal and line) below their file's heads, which its first row brings."""
+    line = lambda n, x: F.struct(n.cast("long").alias("line_ordinal"), x.alias("line"))
+    own, first = line(F.col("row_ordinal") + 3, F.col("line")), [line(F.lit(n), x) for n, x in enumerate(heads)]
+    return rows.select("snapshot_id", F.explode(F.when(F.col("row_ordinal") == 0, F.array(*first, own)).otherwise(F.array(own))).alias("x")).select("snapshot_id", "x.*")
 
 
 @query("csv_tall_load", f"WITH {published.LINES} SELECT snapshot_id, row_ordinal, nullif(trim(description), '') AS description, code_1, setting, gross AS gross_charge, payer_name, dollar AS standard_charge_dollar, counted AS count FROM lines WHERE format_family = 'csv'")
@@ -269,15 +274,13 @@ def _(m):
     return ingest.tall_rows(ingest.csv_files(lines)[1], ["description", "code_1", "setting", "gross_charge", "payer_name", "standard_charge_dollar", "count"])
 
 
-def _as_files(m, lines) -> str:
-    """The lines written as a file per snapshot that has its name."""
-    path = f"{shared.folder(m.spark)}/csv-{shared.uuid.uuid4().hex}"
-    files.write_lines(lines, path, "snapshot_id", ["line_ordinal"], "line", ".csv")
-    return path
+def _as_files(m, lines):
+    """The lines written as a file per snapshot that has its name; path and length of each."""
+    return files.write_files(lines, f"{shared.folder(m.spark)}/csv-{shared.uuid.uuid4().hex}", "snapshot_id", ["line_ordinal"], "line", ".csv")
 
 
-def _from_files(m, path: str):
-    records, _ = csv_records.read_records(m.spark, path)
+def _from_files(m, listed):
+    records, _ = csv_records.records_of(m.spark, listed)
     own = records.select(files.name_of("file", ".csv").alias("snapshot_id"), F.col("record_ordinal").alias("line_ordinal"), F.col("record").alias("line"))
     return shared.written(own, "records").repartition("snapshot_id", "line_ordinal")  # heads and bodies: the files are read once; lines that pack well are few files, and what follows takes all tasks
 
@@ -308,9 +311,7 @@ def _(m):
     more = [f"standard_charge|Other {i}|HMO|negotiated_dollar" for i in range(40)]
     names = F.concat(F.lit("description,standard_charge|Payer "), "hospital_id", F.lit("|PPO|negotiated_dollar," + ",".join(more) + ",standard_charge|Cigna|HMO|negotiated_percentage"))
     line = F.concat_ws(",", F.concat(F.lit('"'), F.coalesce("description", F.lit("")), F.lit('"')), F.coalesce("dollar", F.lit(" ")), *[F.lit("")] * len(more), F.coalesce("percentage", F.lit("")))
-    heads = rows.select("snapshot_id", "hospital_id").distinct()
-    three = [heads.select("snapshot_id", F.lit(n).cast("long").alias("line_ordinal"), x.alias("line")) for n, x in enumerate([F.lit("version"), F.lit("2.2.0"), names])]
-    lines = reduce(lambda a, b: a.unionByName(b), three, rows.select("snapshot_id", (F.col("row_ordinal") + 3).alias("line_ordinal"), line.alias("line")))
+    lines = _headed(rows.withColumn("line", line), [F.lit("version"), F.lit("2.2.0"), names])
     own = ingest.csv_wide_rows(_from_files(m, _as_files(m, lines)))
     of = lambda c, n: F.nullif(F.try_element_at(c, F.lit(n)), F.lit(""))
     return own.select(

@@ -16,7 +16,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import files
+
 _LINES = "file string, block long, index long, value string, inside_out boolean, inside_in boolean, begun_out long, begun_in long, after_out boolean, after_in boolean"
+_RECORDS = "file string, record_ordinal long, line_ordinal long, record string, closed boolean"
 _SPLITS = "file string, block long, lines long, begun_out long, begun_in long, after_out boolean, after_in boolean"
 
 
@@ -126,7 +129,7 @@ def _entries(splits: DataFrame) -> DataFrame:
     return folded.select("file", F.when(F.col("f.inside"), F.col("f.records") - 1).alias("open"), F.inline("f.seen"))
 
 
-def read_records(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def read_records(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
     """(file, record_ordinal from 0, line_ordinal from 0 of its first line, record: the records of all files; the same of records that are never closed, by their first line)."""
     text = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
     entries = _entries(text.mapInArrow(_split_rows, _SPLITS))
@@ -144,6 +147,50 @@ def read_records(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return single.unionByName(several), left
 
 
+#: Files up to this many bytes are read whole by a task; a longer one is read in splits.
+WHOLE = 32 << 20
+
+
+def _whole_rows(batches):
+    """file, record_ordinal, line_ordinal, record, closed: the records of whole files, one after another; of a record that is never closed its first line."""
+    held = []
+
+    def told():
+        rows = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.bool_()))], _names(_RECORDS))
+        held.clear()
+        return rows
+
+    for batch in batches:
+        for path in batch.column("path").to_pylist():
+            data = b"".join(files.pieces(path)).removeprefix(b"\xef\xbb\xbf")
+            lines, open_, number = [x.decode(errors="replace") for x in data.splitlines()], [], 0
+            for n, line in enumerate(lines):
+                inside = ends_inside(line, bool(open_)) if open_ or '"' in line else False
+                if inside or open_:
+                    open_.append(line)
+                if not inside:
+                    held.append((path, number, n - max(len(open_) - 1, 0), "\n".join(open_) if open_ else line, True))
+                    open_, number = [], number + 1
+            if open_:
+                held.append((path, number, len(lines) - len(open_), open_[0], False))
+            if len(held) >= files.BATCH:
+                yield told()
+    if held:
+        yield told()
+
+
+def records_of(spark: SparkSession, listed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """read_records of listed files (path, length): a task reads its files whole, one after another, so a small one costs its opening and nothing is dealt; long ones are read in splits."""
+    some = lambda frame, closed: frame.filter("closed" if closed else "not closed").drop("closed")
+    rows = files.dealt(listed.filter(F.col("length") <= WHOLE).select("path")).mapInArrow(_whole_rows, _RECORDS)
+    long = [r[0] for r in listed.filter(F.col("length") > WHOLE).select("path").collect()]  # a row per 32 MB of input at most
+    closed, left = some(rows, True), some(rows, False)
+    if long:
+        more, more_left = read_records(spark, long)
+        closed, left = closed.unionByName(more), left.unionByName(more_left)
+    return closed, left
+
+
 def with_cells(frame: DataFrame, record: str = "record", out: str = "cells") -> DataFrame:
     """The record's cells in its place, as an array of any length of trimmed texts; records without quotes are split by Arrow."""
 

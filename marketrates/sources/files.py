@@ -19,6 +19,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import shared
+
 PIECE, HEAD = 1 << 20, 1 << 18
 #: Lines in one batch, and how long a line may be in characters before it is handed over in several rows.
 BATCH, LONGEST = 5000, 1 << 26
@@ -42,8 +44,8 @@ def _open(path: str):
     return system.open_input_stream(inner)
 
 
-def write_lines(lines: DataFrame, root: str, name: str, order: list[str], line: str, suffix: str = ".txt") -> int:
-    """A file <root>/<name><suffix> for each name, its lines in order, each ended by \\n; returns how many files there are.
+def write_files(lines: DataFrame, root: str, name: str, order: list[str], line: str, suffix: str = ".txt") -> DataFrame:
+    """A file <root>/<name><suffix> for each name, its lines in order, each ended by \\n; returns path and length of each, as a table written beside them, so that what reads the files need not list them.
 
     Tasks stream their files one after another and hold a batch. The files stand in one folder, so listing them is one call, and are written without the two folders, the checksum and the renames that
     a partitioned write makes for each of them. A file appears whole, by a rename; a task that runs again writes the same.
@@ -53,12 +55,17 @@ def write_lines(lines: DataFrame, root: str, name: str, order: list[str], line:
         from pyarrow import fs
 
         system, inner = fs.FileSystem.from_uri(_uri(root))
-        held, at, stream = None, "", None
+        held, at, stream, size, done = None, "", None, 0, []
 
         def close():
             stream.close()
             system.move(at, f"{inner}/{_file_name(held)}{suffix}")
-            return pa.RecordBatch.from_arrays([pa.array([1], pa.int64())], ["files"])
+            done.append((f"{root.rstrip('/')}/{_file_name(held)}{suffix}", size))
+
+        def told():
+            rows = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done), (pa.string(), pa.int64()))], ["path", "length"])
+            done.clear()
+            return rows
 
         for batch in batches:
             texts, begin, runs = pc.fill_null(batch.column(1), ""), 0, pc.run_end_encode(batch.column(0))
@@ -67,20 +74,29 @@ def write_lines(lines: DataFrame, root: str, name: str, order: list[str], line:
                     raise ValueError("lines without a file's name")
                 if own != held:
                     if stream:
-                        yield close()
-                    held, at = own, f"{inner}/.{uuid.uuid4().hex}"
+                        close()
+                    held, at, size = own, f"{inner}/.{uuid.uuid4().hex}", 0
                     stream = system.open_output_stream(at)
-                stream.write("".join([x + "\n" for x in texts.slice(begin, end - begin).to_pylist()]).encode())
-                begin = end
+                piece = "".join([x + "\n" for x in texts.slice(begin, end - begin).to_pylist()]).encode()
+                stream.write(piece)
+                size, begin = size + len(piece), end
+            if done:
+                yield told()
         if stream:
-            yield close()
+            close()
+            yield told()
 
     from pyarrow import fs
 
     system, inner = fs.FileSystem.from_uri(_uri(root))
     system.create_dir(inner, recursive=True)
     dealt = lines.repartition(name).sortWithinPartitions(name, *order).select(F.col(name).cast("string"), F.col(line).cast("string"))
-    return dealt.mapInArrow(run, "files long").agg(F.coalesce(F.sum("files"), F.lit(0))).collect()[0][0]
+    return shared.written(dealt.mapInArrow(run, "path string, length long"), "files")
+
+
+def write_lines(lines: DataFrame, root: str, name: str, order: list[str], line: str, suffix: str = ".txt") -> int:
+    """write_files; returns how many there are."""
+    return write_files(lines, root, name, order, line, suffix).count()
 
 
 def _file_name(name: str) -> str:
@@ -93,7 +109,8 @@ def name_of(path: Column | str, suffix: str = ".txt") -> Column:
     return F.url_decode(F.translate(F.regexp_extract(path, f"([^/]+){re.escape(suffix)}$", 1), "~", "%"))
 
 
-def _pieces(path: str, size: int = 0):
+def pieces(path: str, size: int = 0):
+    """A file's bytes, some at a time."""
     with _open(path) as stream:
         while piece := stream.read(size or PIECE):
             yield piece
@@ -109,7 +126,7 @@ class _Western:
 def _is_utf8(path: str) -> bool:
     decoder = codecs.getincrementaldecoder("utf-8")()
     try:
-        for piece in _pieces(path):
+        for piece in pieces(path):
             decoder.decode(piece)
         decoder.decode(b"", True)
     except UnicodeDecodeError:
@@ -125,7 +142,7 @@ def digests(files: DataFrame) -> DataFrame:
             rows = []
             for path in batch.column("path").to_pylist():
                 digest, decoder, n = hashlib.sha256(), codecs.getincrementaldecoder("utf-8")(), 0
-                for piece in _pieces(path):
+                for piece in pieces(path):
                     digest.update(piece)
                     n += len(piece)
                     try:
@@ -141,7 +158,7 @@ def digests(files: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, "byte_count", "file_hash", "encoding"])
 
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema.fields], "byte_count long, file_hash string, encoding string"])
-    return _dealt(files).mapInArrow(run, schema)
+    return dealt(files).mapInArrow(run, schema)
 
 
 def decoded_lines(files: DataFrame) -> DataFrame:
@@ -154,7 +171,7 @@ def decoded_lines(files: DataFrame) -> DataFrame:
     def rows(path: str):
         decoder = codecs.getincrementaldecoder("utf-8-sig")() if _is_utf8(path) else _Western()
         held, n, part = "", 0, 0
-        for piece in _pieces(path):
+        for piece in pieces(path):
             *whole, held = (held + decoder.decode(piece)).split("\n")
             for x in whole:
                 yield path, n, part, x.removesuffix("\r")
@@ -183,7 +200,7 @@ def decoded_lines(files: DataFrame) -> DataFrame:
         if out:
             yield batch()
 
-    return _dealt(files.select("path")).mapInArrow(run, "path string, line_ordinal long, part long, line string")
+    return dealt(files.select("path")).mapInArrow(run, "path string, line_ordinal long, part long, line string")
 
 
 def _layout(head: bytes, whole: bool) -> tuple[str, str | None]:
@@ -221,9 +238,9 @@ def layouts(files: DataFrame, head: int = HEAD) -> DataFrame:
             columns = [pa.array([x[k] for x in found], pa.string()) for k in (0, 1)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, "layout", "version"])
 
-    return _dealt(files).mapInArrow(run, ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema.fields], "layout string, version string"]))
+    return dealt(files).mapInArrow(run, ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema.fields], "layout string, version string"]))
 
 
-def _dealt(files: DataFrame) -> DataFrame:
-    """Paths over all tasks: a listing has few partitions, however much the files hold."""
-    return files.repartition(F.xxhash64("path"))
+def dealt(files: DataFrame) -> DataFrame:
+    """Paths over all tasks: a listing has few partitions and few bytes, however much the files hold, so how many tasks take them is said here."""
+    return files.repartition(int(files.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("path"))

@@ -10,7 +10,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, StructType
 
 from ..functions import codes
 from ..functions.text import clean_text
@@ -43,34 +42,24 @@ def _container_pattern(schema: str) -> str:
 
 
 def _odd_bracket(schema: str) -> str:
-    """A bracket elsewhere than at the start, right after the key of a container, or after another element's: all that _container_pattern finds have one, told much faster."""
+    """A bracket after a key and a colon, unless right after the key of a container: all that _container_pattern finds have one, told much faster."""
     names = set(re.findall(r"[<,]`?(\w+)`?:(?:struct|array)<", schema)) - set(re.findall(r"[<,]`?(\w+)`?:(?:array<)?string", schema))
-    known = "|".join([rf'"(?:{"|".join(sorted(names))})":'] * bool(names) + [r"\[", r"\},", r"\A"])
-    return rf"[\[{{](?<!(?:{known})[\[{{])"
+    known = rf'(?<!"(?:{"|".join(sorted(names))})":[\[{{])' if names else ""
+    return rf'"\s*:\s*[\[{{]{known}'
 
 
 def split_json(frame: DataFrame, column: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """(rows whose record parses, with it under 'record'; rows whose record does not, or has a container where a scalar belongs). schema: a struct type.
 
-    The record is exploded from an array of one, so that filters on it stay above and each text is made and parsed once; moved below a projection, every use in a filter would parse it again. A text
-    that has no more brackets than its record has containers holds none under a scalar: the patterns are tried on the others.
+    The record, and whether it has such a container, are exploded from an array of one, so that filters on them stay above and each text is made, parsed and searched once; moved below a projection,
+    every use in a filter would do it again.
     """
     wide = schema.removesuffix(">") + ",_corrupt:string>"
-    own = frame.select("*", F.explode_outer(F.array(F.from_json(column, wide, {"columnNameOfCorruptRecord": "_corrupt"}))).alias("record"))
-    brackets = F.length(column) - F.length(F.replace(F.replace(column, F.lit("{"), F.lit("")), F.lit("["), F.lit("")))
-    more = brackets != _containers(F.col("record"), DataType.fromDDL(schema))
-    bad = F.col("record").isNull() | F.col("record._corrupt").isNotNull() | (more & F.col(column).rlike(_odd_bracket(schema)) & F.col(column).rlike(_container_pattern(schema)))
-    return own.filter(~bad), own.filter(bad).drop("record")
-
-
-def _containers(x: Column, kind: DataType) -> Column:
-    """How many structs and arrays a value has, itself included; none for null. Each stands for a bracket of its own in the text that it was parsed from."""
-    if isinstance(kind, ArrayType):
-        inner = kind.elementType
-        within = [F.aggregate(x, F.lit(0), lambda n, e: n + _containers(e, inner))] if isinstance(inner, (ArrayType, StructType)) else []
-    elif isinstance(kind, StructType):
-        within = [_containers(x[f.name], f.dataType) for f in kind.fields if isinstance(f.dataType, (ArrayType, StructType))]
-    return F.when(x.isNull(), 0).otherwise(reduce(lambda a, b: a + b, within, F.lit(1)))
+    odd = F.col(column).rlike(_odd_bracket(schema)) & F.col(column).rlike(_container_pattern(schema))
+    parsed = F.struct(F.from_json(column, wide, {"columnNameOfCorruptRecord": "_corrupt"}).alias("record"), odd.alias("odd"))
+    own = frame.select("*", F.explode_outer(F.array(parsed)).alias("_parsed")).select("*", "_parsed.record", F.col("_parsed.odd").alias("_odd")).drop("_parsed")
+    bad = F.col("record").isNull() | F.col("record._corrupt").isNotNull() | F.col("_odd")
+    return own.filter(~bad).drop("_odd"), own.filter(bad).drop("record", "_odd")
 
 
 def diagnostics(bad: DataFrame, keys: list[str], column: str, section: str) -> DataFrame:
@@ -224,12 +213,15 @@ def csv_wide_rows(lines: DataFrame) -> DataFrame:
     body = with_cells(lines.filter("line_ordinal >= 3").select("snapshot_id", (F.col("line_ordinal") - 3).alias("row_ordinal"), "line"), "line", "parsed")
     rows = body.join(plain.join(blocks, "snapshot_id"), "snapshot_id")
 
+    cell = lambda f: F.coalesce(F.get(F.col("parsed"), f["position"]), F.lit(""))
+    stated = F.filter("blocks", lambda x: F.exists(x["fields"], lambda f: cell(f) != ""))  # few of a file's payers have a value in a row: only theirs become maps
+
     def values(block: Column) -> Column:
-        met = F.transform(block["fields"], lambda f: F.struct(f["name"].alias("name"), F.get(F.col("parsed"), f["position"]).alias("value")))
-        return F.map_from_entries(F.filter(met, lambda e: F.coalesce(e["value"], F.lit("")) != ""))
+        met = F.transform(block["fields"], lambda f: F.struct(f["name"].alias("name"), cell(f).alias("value")))
+        return F.map_from_entries(F.filter(met, lambda e: e["value"] != ""))
 
-    payers = F.transform("blocks", lambda x: F.struct(x["payer"].alias("payer_name"), x["plan"].alias("plan_name"), values(x).alias("values")))
-    rows = rows.select("snapshot_id", "row_ordinal", _by_name("fields", "parsed").alias("cells"), F.filter(payers, lambda x: F.size(x["values"]) > 0).alias("payers"))
+    payers = F.transform(stated, lambda x: F.struct(x["payer"].alias("payer_name"), x["plan"].alias("plan_name"), values(x).alias("values")))
+    rows = rows.select("snapshot_id", "row_ordinal", _by_name("fields", "parsed").alias("cells"), payers.alias("payers"))
     return rows.select("snapshot_id", "row_ordinal", F.explode_outer("payers").alias("p"), "cells").select("snapshot_id", "row_ordinal", "p.payer_name", "p.plan_name", F.coalesce("p.values", F.create_map().cast("map<string,string>")).alias("values"), "cells")
 
 

@@ -5,6 +5,7 @@ import io
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from marketrates.sources import csv_records, ingest
 
@@ -101,3 +102,32 @@ def test_no_file_is_no_record(spark, tmp_path):
     (tmp_path / "a.csv").write_text("")
     records, left = csv_records.read_records(spark, str(tmp_path))
     assert records.count() == left.count() == 0
+
+
+def test_small_files_are_read_whole_as_in_splits(spark, tmp_path, monkeypatch):
+    """Quotes over lines, line ends of any kind, a mark, no last line end, an open quote: the records that splits give, with their numbers, also where a file is too long to be read whole."""
+    from marketrates.sources import files
+
+    texts = ['a,b\n"x\ny",2\r\n\nlast', '﻿q,"1 ""z""\n\n",3\n', "one\rtwo\n", 'ok\n"open\nrest,x\nmore\n', "\n", 'a"b,c"\n"",""\n', "é,ü\n" * 50]
+    for i, x in enumerate(texts):
+        (tmp_path / f"f{i}.csv").write_bytes(x.encode())
+    listed = files.listed(spark, str(tmp_path), "*.csv")
+    rows = lambda frames: [sorted(tuple(r) for r in x.select(F.regexp_extract("file", "[^/]+$", 0), "record_ordinal", "line_ordinal", "record").collect()) for x in frames]
+    want = rows(csv_records.read_records(spark, str(tmp_path)))
+    assert rows(csv_records.records_of(spark, listed)) == want and want[1]
+    monkeypatch.setattr(csv_records, "WHOLE", 20)
+    assert rows(csv_records.records_of(spark, listed)) == want
+    assert listed.filter("length > 20").count() in range(1, len(texts))
+
+
+def test_written_files_need_no_listing(spark, tmp_path, monkeypatch):
+    """What was written is told with its length, and read by more than one task however few bytes the paths have."""
+    from marketrates.sources import files, shared
+
+    monkeypatch.setattr(shared, "folder", lambda _: str(tmp_path / "shared"))
+    lines = spark.createDataFrame([(f"s{i}", n, f"{i},é{n}") for i in range(40) for n in range(3)], "k string, n int, line string")
+    told = files.write_files(lines, str(tmp_path / "out"), "k", ["n"], "line", ".csv")
+    assert sorted((r["path"], r["length"]) for r in told.collect()) == sorted((str(p), p.stat().st_size) for p in (tmp_path / "out").iterdir())
+    records, left = csv_records.records_of(spark, told)
+    assert records.count() == 120 and left.count() == 0
+    assert records.select(F.spark_partition_id().alias("p")).distinct().count() > 1
