@@ -153,3 +153,25 @@ def test_steps_are_short_enough_to_compile(spark, sf_dir, own_folder):
         assert max(methods(queries.queries()["base_payer_rates"](spark, sf_dir))) <= 8000
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+@pytest.mark.parametrize("name", ["published_rule_summary", "current_rule_summary"])
+def test_summaries_take_current_lines_only(spark, sf_dir, own_folder, name):
+    """Lines of other snapshots than a publisher's last leave before the joins: none of them is written."""
+    assert queries.queries()[name](spark, sf_dir).count() > 0
+    (lines,) = own_folder.glob("lines-*")
+    held = spark.read.parquet(str(lines)).groupBy("l_suppkey").agg(F.count_distinct(F.year("l_shipdate")).alias("n"), F.max(F.year("l_shipdate")).alias("y"))
+    last = spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy("l_suppkey").agg(F.lit(1).cast("long").alias("n"), F.max(F.year("l_shipdate")).alias("y"))
+    assert held.count() > 0 and held.exceptAll(last).count() == 0
+
+
+def test_reconciliation_is_one_join_of_what_is_kept(spark, sf_dir, own_folder):
+    own = queries.queries()["base_reconciliation"](spark, sf_dir)
+    assert own.count() == 1 and sorted(p.name.split("-")[0] for p in own_folder.glob("*")) == ["lines", "parsed", "rows"]
+    assert optimized(own).count("Join ") == 1
+
+
+def test_code_findings_write_lines_only(spark, sf_dir, own_folder):
+    """No records as texts, no rows: a record is made, parsed and flattened in one step."""
+    assert queries.queries()["code_findings"](spark, sf_dir).count() > 0
+    assert [p.name.split("-")[0] for p in own_folder.glob("*")] == ["lines"]
