@@ -162,7 +162,7 @@ def _whole_rows(batches):
 
     for batch in batches:
         for path in batch.column("path").to_pylist():
-            data = b"".join(files.pieces(path)).removeprefix(b"\xef\xbb\xbf")
+            data = files.content(path).removeprefix(b"\xef\xbb\xbf")
             lines, open_, number = [x.decode(errors="replace") for x in data.splitlines()], [], 0
             for n, line in enumerate(lines):
                 inside = ends_inside(line, bool(open_)) if open_ or '"' in line else False

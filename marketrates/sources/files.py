@@ -109,8 +109,12 @@ def name_of(path: Column | str, suffix: str = ".txt") -> Column:
     return F.url_decode(F.translate(F.regexp_extract(path, f"([^/]+){re.escape(suffix)}$", 1), "~", "%"))
 
 
-def pieces(path: str, size: int = 0):
-    """A file's bytes, some at a time."""
+def content(path: str) -> bytes:
+    """A small file's bytes."""
+    return b"".join(_pieces(path))
+
+
+def _pieces(path: str, size: int = 0):
     with _open(path) as stream:
         while piece := stream.read(size or PIECE):
             yield piece
@@ -126,7 +130,7 @@ class _Western:
 def _is_utf8(path: str) -> bool:
     decoder = codecs.getincrementaldecoder("utf-8")()
     try:
-        for piece in pieces(path):
+        for piece in _pieces(path):
             decoder.decode(piece)
         decoder.decode(b"", True)
     except UnicodeDecodeError:
@@ -142,7 +146,7 @@ def digests(files: DataFrame) -> DataFrame:
             rows = []
             for path in batch.column("path").to_pylist():
                 digest, decoder, n = hashlib.sha256(), codecs.getincrementaldecoder("utf-8")(), 0
-                for piece in pieces(path):
+                for piece in _pieces(path):
                     digest.update(piece)
                     n += len(piece)
                     try:
@@ -171,7 +175,7 @@ def decoded_lines(files: DataFrame) -> DataFrame:
     def rows(path: str):
         decoder = codecs.getincrementaldecoder("utf-8-sig")() if _is_utf8(path) else _Western()
         held, n, part = "", 0, 0
-        for piece in pieces(path):
+        for piece in _pieces(path):
             *whole, held = (held + decoder.decode(piece)).split("\n")
             for x in whole:
                 yield path, n, part, x.removesuffix("\r")
